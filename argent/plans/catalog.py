@@ -39,3 +39,179 @@ _M = [("m1", "registration_source"), ("m2", "incidents"), ("m3", "interactions")
 
 for _id, _model in _M:
     QUERIES[f"{_id}_{_model}"] = (lambda m: lambda spark, sf_dir: full_build(spark, sf_dir, m))(_model)
+
+
+# ---------------------------------------------------------------------------
+# Two-run incremental fixtures (P5, P6, A1, S6-S9, J3, J4, ST3)
+# ---------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from argent.functions.exprs import lit_ts  # noqa: E402
+from argent.operators import staging as st  # noqa: E402
+from argent.plans.models import materialize  # noqa: E402
+from argent.session import work_dir  # noqa: E402
+from argent.sources.bronze import project_bronze  # noqa: E402
+from argent.sources.silver_table import read_table  # noqa: E402
+
+ORDERS_CUT = "2000-01-01 00:00:00"
+EVENTS_CUT = "2024-01-20 00:00:00"
+EARLY_DAY = "2024-01-30 00:00:00"   # rows of the last day delivered before the late ones
+
+
+def run1_input(bronze: DataFrame, cut: str, early_from: str | None = None) -> DataFrame:
+    cond = F.col(st.SYNCED) < lit_ts(cut)
+    if early_from:
+        cond = cond | (F.col(st.SYNCED) >= lit_ts(early_from))
+    return bronze.where(cond)
+
+
+def two_runs(spark, sf_dir, model: str, use_window=False, early_from=None, num_buckets=None) -> DataFrame:
+    """Run 1 builds the table from rows before the cut; run 2 loads the whole
+    bronze table incrementally and merges. Returns the table after run 2."""
+    spec = MODELS[model]
+    if num_buckets:
+        from dataclasses import replace
+        spec = replace(spec, num_buckets=num_buckets)
+    bronze = fx.bronze(spark, sf_dir, spec.source)
+    orders = spec.source in ("order_headers", "order_lines")
+    cut = ORDERS_CUT if orders else EVENTS_CUT
+    path = work_dir(spark, f"silver-{model}")
+    materialize(spark, spec, run1_input(bronze, cut, early_from), path, cut, RUN1)
+    materialize(spark, spec, bronze, path, fx.fixture_as_of(spec.source), RUN2, use_window=use_window)
+    return read_table(spark, path)
+
+
+def run1_table(spark, sf_dir, model: str) -> DataFrame:
+    spec = MODELS[model]
+    bronze = fx.bronze(spark, sf_dir, spec.source)
+    cut = ORDERS_CUT if spec.source in ("order_headers", "order_lines") else EVENTS_CUT
+    return build_silver(run1_input(bronze, cut), spec, cut, RUN1)
+
+
+@query("s1_read_bronze")
+def _s1(spark, sf_dir):
+    return project_bronze(fx.order_lines(spark, sf_dir), "order_lines")
+
+
+@query("p1_select")
+def _p1(spark, sf_dir):
+    return st.project(fx.order_headers(spark, sf_dir), ["ORDER_ID", "CUSTOMER_ID", "ORDER_STATUS"])
+
+
+def _dedup_active_brands(spark, sf_dir):
+    b = fx.brands(spark, sf_dir)
+    return st.dedup_latest(st.active_only(b), "BRAND_ID")
+
+
+@query("p2_audit_rename")
+def _p2(spark, sf_dir):
+    return st.add_audit(_dedup_active_brands(spark, sf_dir), RUN1, fx.EVENTS_AS_OF) \
+        .select("BRAND_ID", st.AUDIT_SYNC, st.AUDIT_DELETED)
+
+
+@query("p3_run_id")
+def _p3(spark, sf_dir):
+    return st.add_audit(_dedup_active_brands(spark, sf_dir), RUN1, fx.EVENTS_AS_OF).select("BRAND_ID", st.AUDIT_RUN)
+
+
+@query("p4_load_time")
+def _p4(spark, sf_dir):
+    return st.add_audit(_dedup_active_brands(spark, sf_dir), RUN1, fx.EVENTS_AS_OF).select("BRAND_ID", st.AUDIT_LOAD)
+
+
+@query("p5_high_water_filter")
+def _p5(spark, sf_dir):
+    target = run1_table(spark, sf_dir, "interactions")
+    b = fx.interactions(spark, sf_dir)
+    return st.incremental_filter(b, target, lookback_days=0, as_of=fx.EVENTS_AS_OF) \
+        .select("INTERACTION_ID", st.SYNCED, st.DELETED)
+
+
+@query("p6_lookback")
+def _p6(spark, sf_dir):
+    target = run1_table(spark, sf_dir, "interactions")
+    b = fx.interactions(spark, sf_dir)
+    return st.incremental_filter(b, target, as_of=fx.EVENTS_AS_OF).select("INTERACTION_ID", st.SYNCED, st.DELETED)
+
+
+@query("p7_active_only")
+def _p7(spark, sf_dir):
+    return st.active_only(fx.order_headers(spark, sf_dir)).select("ORDER_ID", st.SYNCED, st.DELETED)
+
+
+@query("p8_limit_dates")
+def _p8(spark, sf_dir):
+    return full_build(spark, sf_dir, "order_headers", env="dev")
+
+
+@query("p9_keep_rank1")
+def _p9(spark, sf_dir):
+    return st.dedup_latest(st.active_only(fx.order_headers(spark, sf_dir)), "ORDER_ID") \
+        .select("ORDER_ID", "TOTAL_AMOUNT", st.SYNCED, st.DELETED)
+
+
+@query("p11_transform_chain")
+def _p11(spark, sf_dir):
+    return full_build(spark, sf_dir, "city_tiers")
+
+
+@query("p12_violations")
+def _p12(spark, sf_dir):
+    s = full_build(spark, sf_dir, "surveys")
+    return st.violations(s, (F.col("NPS_SCORE") < 0) | (F.col("NPS_SCORE") > 10)).select("SURVEY_ID", "NPS_SCORE")
+
+
+@query("w1_dedup_latest")
+def _w1(spark, sf_dir):
+    return st.dedup_latest(fx.order_lines(spark, sf_dir), "LINE_ID", st.SYNCED, ("ITEM_ID", "TIE")) \
+        .select("LINE_ID", "ITEM_ID", "TIE", st.SYNCED, st.DELETED)
+
+
+@query("o3_top1_per_group")
+def _o3(spark, sf_dir):
+    return st.dedup_latest(fx.orders_v1(spark, sf_dir), "CUSTOMER_ID", st.SYNCED, ("ORDER_ID",)) \
+        .select("CUSTOMER_ID", "ORDER_ID", st.SYNCED)
+
+
+@query("a1_high_water")
+def _a1(spark, sf_dir):
+    target = run1_table(spark, sf_dir, "order_headers")
+    return target.agg(st.high_water(target).alias("high_water"))
+
+
+@query("s6_merge_upsert")
+def _s6(spark, sf_dir):
+    return two_runs(spark, sf_dir, "order_headers")
+
+
+@query("s7_merge_exclude")
+def _s7(spark, sf_dir):
+    return two_runs(spark, sf_dir, "order_lines").select("LINE_ID", st.AUDIT_LOAD, st.AUDIT_RUN, st.AUDIT_SYNC)
+
+
+@query("s8_materialize")
+def _s8(spark, sf_dir):
+    spec = MODELS["addresses"]
+    path = work_dir(spark, "silver-addresses")
+    materialize(spark, spec, fx.addresses(spark, sf_dir), path, fx.EVENTS_AS_OF, RUN1)
+    return read_table(spark, path)
+
+
+@query("j3_merge_match")
+def _j3(spark, sf_dir):
+    return two_runs(spark, sf_dir, "surveys")
+
+
+@query("j4_merge_window")
+def _j4(spark, sf_dir):
+    return two_runs(spark, sf_dir, "order_headers", use_window=True)
+
+
+@query("u1_union")
+def _u1(spark, sf_dir):
+    return two_runs(spark, sf_dir, "campaigns")
+
+
+@query("st3_late_data")
+def _st3(spark, sf_dir):
+    return two_runs(spark, sf_dir, "interactions", use_window=None, early_from=EARLY_DAY)

@@ -130,3 +130,100 @@ for _id, _model in [("m1", "registration_source"), ("m2", "incidents"), ("m3", "
                     ("m8", "city_tiers"), ("m9", "order_headers"), ("m10", "order_lines"),
                     ("m11", "campaigns")]:
     ORACLES[f"{_id}_{_model}"] = model_build(_model)
+
+
+MODEL_COLS = {
+    "registration_source": ["REGISTRATION_ID", "CUSTOMER_ID", "CHANNEL"],
+    "incidents": ["INCIDENT_ID", "CUSTOMER_ID", "INCIDENT_DATE"],
+    "interactions": ["INTERACTION_ID", "CUSTOMER_ID", "INTERACTION_DATE"],
+    "surveys": ["SURVEY_ID", "CUSTOMER_ID", "NPS_SCORE", "CSAT_SCORE"],
+    "addresses": ["ADDRESS_ID", "CITY", "STATE"],
+    "brands": ["BRAND_ID", "BRAND_NAME"],
+    "categories": ["CATEGORY_ID", "CATEGORY_NAME"],
+    "city_tiers": ["CITY_TIER_ID", "CITY", "STATE", "TIER"],
+    "order_headers": ["ORDER_ID", "CUSTOMER_ID", "ORDER_DATE", "TOTAL_AMOUNT", "ORDER_STATUS"],
+    "order_lines": ["LINE_ID", "ORDER_ID", "ITEM_ID", "QUANTITY", "UNIT_PRICE"],
+    "campaigns": ["CAMPAIGN_ID", "CAMPAIGN_NAME", "TOTAL_SPEND", "CUSTOMERS_ACQUIRED"],
+}
+AUDIT = ["_bronze_sync_timestamp", "_silver_load_timestamp", "_run_id", "_is_deleted"]
+ORDERS_CUT = "2000-01-01 00:00:00"
+EVENTS_CUT = "2024-01-20 00:00:00"
+EARLY_DAY = "2024-01-30 00:00:00"
+MIN_TS = "timestamp '2000-01-01 00:00:00'"
+
+
+def cut_for(model: str) -> str:
+    return ORDERS_CUT if model in ("order_headers", "order_lines") else EVENTS_CUT
+
+
+def run1_sql(model: str, early_from: str | None = None) -> str:
+    cut = cut_for(model)
+    where = f"_synced < timestamp '{cut}'" + (f" or _synced >= timestamp '{early_from}'" if early_from else "")
+    return model_build(model, where=where, as_of=cut, run_id=RUN1)
+
+
+def merge_sql(model: str, window: bool = False, early_from: str | None = None, lookback: int = 3) -> str:
+    """Two runs: run-1 table, incremental run-2 batch, then the merge formula
+    (batch left-join target) union (target anti-join batch)."""
+    key = MODEL_COLS[model][0]
+    as_of2 = as_of_for(model)
+    t1 = run1_sql(model, early_from)
+    hw = f"(select coalesce(max(_bronze_sync_timestamp), {MIN_TS}) from t1)"
+    b = model_build(model, where=f"_synced > {hw} or _synced >= timestamp '{as_of2}' - interval {lookback} day",
+                    as_of=as_of2, run_id=RUN2)
+    win = f"coalesce(t1._bronze_sync_timestamp >= timestamp '{as_of2}' - interval 3 day, false)" if window else "true"
+    cols = MODEL_COLS[model] + AUDIT
+    sel_b = ", ".join(f"case when e.{key} is not null then e._silver_load_timestamp else b._silver_load_timestamp end as {c}"
+                      if c == "_silver_load_timestamp" else f"b.{c}" for c in cols)
+    return f"""with t1 as ({t1}), b as ({b}),
+        e as (select {key}, _silver_load_timestamp from t1 where {win})
+        select {sel_b} from b left join e on b.{key} = e.{key}
+        union all
+        select {", ".join("t1." + c for c in cols)} from t1
+        where not ({win}) or not exists (select 1 from b where b.{key} = t1.{key})"""
+
+
+def dedup_sql(src: str, key: str, cols: str, tie: str = "", where: str = "") -> str:
+    return f"""select {cols} from (select *, row_number() over (partition by {key}
+        order by _synced desc nulls first{tie}) as _rn from ({src}) s {('where ' + where) if where else ''}) r
+        where _rn = 1"""
+
+
+ACTIVE = "(_deleted = false or _deleted is null)"
+
+ORACLES.update({
+    "s1_read_bronze": f"select LINE_ID, ORDER_ID, ITEM_ID, QUANTITY, UNIT_PRICE, _synced, _deleted from ({FIXTURES['order_lines']})",
+    "p1_select": f"select ORDER_ID, CUSTOMER_ID, ORDER_STATUS from ({FIXTURES['order_headers']})",
+    "p2_audit_rename": dedup_sql(FIXTURES["brands"], "BRAND_ID",
+                                 "BRAND_ID, _synced as _bronze_sync_timestamp, _deleted as _is_deleted", where=ACTIVE),
+    "p3_run_id": dedup_sql(FIXTURES["brands"], "BRAND_ID", f"BRAND_ID, '{RUN1}' as _run_id", where=ACTIVE),
+    "p4_load_time": dedup_sql(FIXTURES["brands"], "BRAND_ID",
+                              f"BRAND_ID, timestamp '{EVENTS_AS_OF}' as _silver_load_timestamp", where=ACTIVE),
+    "p5_high_water_filter": f"""with t1 as ({run1_sql('interactions')})
+        select INTERACTION_ID, _synced, _deleted from ({FIXTURES['interactions']}) s
+        where _synced > (select coalesce(max(_bronze_sync_timestamp), {MIN_TS}) from t1)
+           or _synced >= timestamp '{EVENTS_AS_OF}'""",
+    "p6_lookback": f"""with t1 as ({run1_sql('interactions')})
+        select INTERACTION_ID, _synced, _deleted from ({FIXTURES['interactions']}) s
+        where _synced > (select coalesce(max(_bronze_sync_timestamp), {MIN_TS}) from t1)
+           or _synced >= timestamp '{EVENTS_AS_OF}' - interval 3 day""",
+    "p7_active_only": f"select ORDER_ID, _synced, _deleted from ({FIXTURES['order_headers']}) s where {ACTIVE}",
+    "p8_limit_dates": model_build("order_headers",
+                                  where=f"try_cast(ORDER_DATE as date) >= date '{ORDERS_AS_OF[:10]}' - interval 90 day"),
+    "p9_keep_rank1": dedup_sql(FIXTURES["order_headers"], "ORDER_ID", "ORDER_ID, TOTAL_AMOUNT, _synced, _deleted",
+                               where=ACTIVE),
+    "p11_transform_chain": model_build("city_tiers"),
+    "p12_violations": f"select SURVEY_ID, NPS_SCORE from ({model_build('surveys')}) m where NPS_SCORE < 0 or NPS_SCORE > 10",
+    "w1_dedup_latest": dedup_sql(FIXTURES["order_lines"], "LINE_ID", "LINE_ID, ITEM_ID, TIE, _synced, _deleted",
+                                 tie=", ITEM_ID asc nulls first, TIE asc nulls first"),
+    "o3_top1_per_group": dedup_sql(FIXTURES["orders_v1"], "CUSTOMER_ID", "CUSTOMER_ID, ORDER_ID, _synced",
+                                   tie=", ORDER_ID asc nulls first"),
+    "a1_high_water": f"select coalesce(max(_bronze_sync_timestamp), {MIN_TS}) as high_water from ({run1_sql('order_headers')}) t",
+    "s6_merge_upsert": merge_sql("order_headers"),
+    "s7_merge_exclude": f"select LINE_ID, _silver_load_timestamp, _run_id, _bronze_sync_timestamp from ({merge_sql('order_lines')}) m",
+    "s8_materialize": model_build("addresses"),
+    "j3_merge_match": merge_sql("surveys"),
+    "j4_merge_window": merge_sql("order_headers", window=True),
+    "u1_union": merge_sql("campaigns"),
+    "st3_late_data": merge_sql("interactions", window=True, early_from=EARLY_DAY),
+})
