@@ -215,3 +215,80 @@ def _u1(spark, sf_dir):
 @query("st3_late_data")
 def _st3(spark, sf_dir):
     return two_runs(spark, sf_dir, "interactions", use_window=None, early_from=EARLY_DAY)
+
+
+# ---------------------------------------------------------------------------
+# Type-2 history
+# ---------------------------------------------------------------------------
+from argent.operators import scd2  # noqa: E402
+
+CUSTOMER_VIEW_COLS = ["CUSTOMER_ID", "EMAIL", "PHONE", "FIRST_NAME", "LAST_NAME",
+                      "REGISTRATION_DATE", "CUSTOMER_TYPE", "STATUS"]
+
+
+def history_table(spark, sf_dir, snap: str, runs=(1, 2, 3)) -> DataFrame:
+    """Apply the snapshot runs through the bucketed history sink; return the table."""
+    from argent.plans.models import SNAPSHOTS
+    spec = SNAPSHOTS[snap]
+    run_of = fx.customers_run if spec.source == "customers" else fx.items_run
+    path = work_dir(spark, f"history-{snap}")
+    for r in runs:
+        scd2.snapshot(spark, path, run_of(spark, sf_dir, r), spec.key, fx.HISTORY_RUNS[r],
+                      num_buckets=spec.num_buckets)
+    return read_table(spark, path)
+
+
+def history_in_memory(spark, sf_dir, runs=(1, 2, 3)) -> DataFrame:
+    h = None
+    for r in runs:
+        h = scd2.scd2_apply(h, fx.customers_run(spark, sf_dir, r), "CUSTOMER_ID", fx.HISTORY_RUNS[r])
+    return h
+
+
+@query("s10_scd2_apply")
+def _s10(spark, sf_dir):
+    return history_in_memory(spark, sf_dir)
+
+
+@query("m12_customer_history")
+def _m12(spark, sf_dir):
+    return history_table(spark, sf_dir, "customer_history")
+
+
+@query("m13_item_history")
+def _m13(spark, sf_dir):
+    return history_table(spark, sf_dir, "item_history")
+
+
+@query("m14_current_customers")
+def _m14(spark, sf_dir):
+    return scd2.current_view(history_table(spark, sf_dir, "customer_history"), CUSTOMER_VIEW_COLS)
+
+
+@query("s11_current_view")
+def _s11(spark, sf_dir):
+    return scd2.current_view(history_table(spark, sf_dir, "item_history", runs=(1, 2)),
+                             ["ITEM_ID", "STATUS", "CATEGORY_ID", "BRAND_ID"])
+
+
+@query("p10_current_rows")
+def _p10(spark, sf_dir):
+    h = history_in_memory(spark, sf_dir, runs=(1, 2))
+    return st.current_rows(h).select("CUSTOMER_ID", "STATUS", "valid_from", "is_deleted")
+
+
+@query("j5_history_compare")
+def _j5(spark, sf_dir):
+    h = history_in_memory(spark, sf_dir, runs=(1, 2))
+    return scd2.changes(h, fx.customers_run(spark, sf_dir, 3), "CUSTOMER_ID")
+
+
+@query("f16_open_end")
+def _f16(spark, sf_dir):
+    h = history_in_memory(spark, sf_dir, runs=(1, 2))
+    return h.where(F.col("valid_to") == scd2.lit_ts(scd2.OPEN_END_DATE)).select("CUSTOMER_ID", "valid_from", "valid_to")
+
+
+@query("f17_scd_id")
+def _f17(spark, sf_dir):
+    return history_in_memory(spark, sf_dir, runs=(1, 2)).select("CUSTOMER_ID", "updated_at", "scd_id")

@@ -272,18 +272,32 @@ HISTORY_RUNS = {
 }
 
 
-def customers_run(spark, sf_dir, run: int) -> DataFrame:
-    """Source snapshot of customers as delivered on run 1, 2 or 3."""
-    c = customers(spark, sf_dir)
-    k = F.col("CUSTOMER_ID")
+def history_run(base: DataFrame, key: str, change_col: str, run: int) -> DataFrame:
+    """Source snapshot of a keyed table as delivered on run 1, 2 or 3.
+
+    Key classes: ``late`` (k % 10 = 9) first appears on run 2, ``gone``
+    (k % 19 = 0) disappears on run 2, ``changed`` (k % 5 = 0) gets
+    ``change_col = 'CHANGED'`` on run 2, and k % 38 = 0 comes back on run 3.
+    """
+    k = F.col(key)
     late, gone, changed = (k % 10 == 9), (k % 19 == 0), (k % 5 == 0)
     t05, t15, t25 = lit_ts("2024-01-05 00:00:00"), lit_ts("2024-01-15 00:00:00"), lit_ts("2024-01-25 00:00:00")
     if run == 1:
-        return c.where(~late).withColumn(SYNCED, t05)
-    run2 = (c.where(~gone)
-            .withColumn("STATUS", F.when(changed, F.lit("CHANGED")).otherwise(F.col("STATUS")))
+        return base.where(~late).withColumn(SYNCED, t05)
+    run2 = (base.where(~gone)
+            .withColumn(change_col, F.when(changed, F.lit("CHANGED")).otherwise(F.col(change_col)))
             .withColumn(SYNCED, F.when(changed | late, t15).otherwise(t05)))
     if run == 2:
         return run2
-    back = c.where(k % 38 == 0).withColumn(SYNCED, t25)
+    back = base.where(k % 38 == 0).withColumn(SYNCED, t25)
     return run2.unionByName(back)
+
+
+def customers_run(spark, sf_dir, run: int) -> DataFrame:
+    """Customers snapshot of run 1, 2 or 3 (three-run history fixture)."""
+    return history_run(customers(spark, sf_dir), "CUSTOMER_ID", "STATUS", run)
+
+
+def items_run(spark, sf_dir, run: int) -> DataFrame:
+    """Item master snapshot of run 1, 2 or 3 (same key classes)."""
+    return history_run(items(spark, sf_dir), "ITEM_ID", "STATUS", run)

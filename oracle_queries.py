@@ -227,3 +227,104 @@ ORACLES.update({
     "u1_union": merge_sql("campaigns"),
     "st3_late_data": merge_sql("interactions", window=True, early_from=EARLY_DAY),
 })
+
+
+# ---------------------------------------------------------------------------
+# Type-2 history: one SQL step per snapshot run
+# ---------------------------------------------------------------------------
+OPEN_END = "timestamp '9999-12-31 00:00:00'"
+HISTORY_AS_OF = {1: "2024-01-10 00:00:00", 2: "2024-01-20 00:00:00", 3: "2024-01-30 00:00:00"}
+CUSTOMER_COLS = ["CUSTOMER_ID", "EMAIL", "PHONE", "FIRST_NAME", "LAST_NAME", "REGISTRATION_DATE",
+                 "CUSTOMER_TYPE", "STATUS", "_synced", "_deleted"]
+ITEM_COLS = ["ITEM_ID", "STATUS", "CATEGORY_ID", "BRAND_ID", "_synced", "_deleted"]
+
+
+def run_source_sql(base: str, key: str, run: int) -> str:
+    t05, t15, t25 = (f"timestamp '2024-01-{d} 00:00:00'" for d in ("05", "15", "25"))
+    r1 = f"select * replace ({t05} as _synced) from ({base}) b where not ({key} % 10 = 9)"
+    r2 = (f"select * replace (case when {key} % 5 = 0 then 'CHANGED' else STATUS end as STATUS, "
+          f"case when {key} % 5 = 0 or {key} % 10 = 9 then {t15} else {t05} end as _synced) "
+          f"from ({base}) b where not ({key} % 19 = 0)")
+    r3 = f"{r2} union all select * replace ({t25} as _synced) from ({base}) b where {key} % 38 = 0"
+    return {1: r1, 2: r2, 3: r3}[run]
+
+
+def sid(key: str, ts: str) -> str:
+    return (f"md5(concat_ws('|', coalesce(cast({key} as varchar), ''), "
+            f"coalesce(strftime({ts}, '%Y-%m-%d %H:%M:%S.%f'), '')))")
+
+
+def history_sql(base: str, key: str, cols: list, runs=(1, 2, 3)) -> str:
+    """CTE chain h1..hN: the history after each run, spelled as plain SQL."""
+    c = ", ".join(cols)
+    sc = lambda a: ", ".join(f"{a}.{x}" for x in cols)
+    ctes = []
+    for r in runs:
+        src = f"""s{r} as (select {c} from (select *, row_number() over (partition by {key}
+                  order by _synced desc nulls first) as _rn from ({run_source_sql(base, key, r)}) x) y where _rn = 1)"""
+        ctes.append(src)
+        if r == runs[0]:
+            ctes.append(f"""h{r} as (select {c}, {sid(key, '_synced')} as scd_id, _synced as valid_from,
+                {OPEN_END} as valid_to, _synced as updated_at, true as is_current, false as is_deleted from s{r})""")
+            continue
+        p, now = f"h{r - 1}", f"timestamp '{HISTORY_AS_OF[r]}'"
+        back = "greatest(s._synced, c.valid_from)"
+        ctes.append(f"""h{r} as (
+            select * from {p} where not is_current
+            union all
+            select {sc('c')}, c.scd_id, c.valid_from,
+                   case when s.{key} is null and not c.is_deleted then {now}
+                        when s.{key} is not null and c.is_deleted then {back}
+                        when s.{key} is not null and s._synced > c.valid_from then s._synced
+                        else c.valid_to end as valid_to,
+                   c.updated_at, false as is_current, c.is_deleted
+              from {p} c left join s{r} s on c.{key} = s.{key}
+             where c.is_current and ((s.{key} is null and not c.is_deleted)
+                   or (s.{key} is not null and (c.is_deleted or s._synced > c.valid_from)))
+            union all
+            select {sc('c')}, c.scd_id, c.valid_from, c.valid_to, c.updated_at, c.is_current, c.is_deleted
+              from {p} c left join s{r} s on c.{key} = s.{key}
+             where c.is_current and not ((s.{key} is null and not c.is_deleted)
+                   or (s.{key} is not null and (c.is_deleted or s._synced > c.valid_from)))
+            union all
+            select {sc('c')}, {sid('c.' + key, now)}, {now}, {OPEN_END}, {now}, true, true
+              from {p} c left join s{r} s on c.{key} = s.{key}
+             where c.is_current and s.{key} is null and not c.is_deleted
+            union all
+            select {sc('s')}, {sid('s.' + key, 'case when c.is_deleted then ' + back + ' else s._synced end')},
+                   case when c.is_deleted then {back} else s._synced end, {OPEN_END},
+                   case when c.is_deleted then {back} else s._synced end, true, false
+              from s{r} s left join (select * from {p} where is_current) c on c.{key} = s.{key}
+             where c.{key} is null or c.is_deleted or s._synced > c.valid_from)""")
+    return "with " + ",\n".join(ctes)
+
+
+CUST_HIST = history_sql(FIXTURES["customers"], "CUSTOMER_ID", CUSTOMER_COLS)
+CUST_HIST2 = history_sql(FIXTURES["customers"], "CUSTOMER_ID", CUSTOMER_COLS, runs=(1, 2))
+ITEM_HIST = history_sql(FIXTURES["items"], "ITEM_ID", ITEM_COLS)
+ITEM_HIST2 = history_sql(FIXTURES["items"], "ITEM_ID", ITEM_COLS, runs=(1, 2))
+_CUR = "is_current and (is_deleted = false or is_deleted is null)"
+
+ORACLES.update({
+    "s10_scd2_apply": f"{CUST_HIST} select * from h3",
+    "m12_customer_history": f"{CUST_HIST} select * from h3",
+    "m13_item_history": f"{ITEM_HIST} select * from h3",
+    "m14_current_customers": f"""{CUST_HIST} select CUSTOMER_ID, EMAIL, PHONE, FIRST_NAME, LAST_NAME,
+        REGISTRATION_DATE, CUSTOMER_TYPE, STATUS, valid_from, valid_to, updated_at from h3 where {_CUR}""",
+    "s11_current_view": f"""{ITEM_HIST2} select ITEM_ID, STATUS, CATEGORY_ID, BRAND_ID, valid_from, valid_to,
+        updated_at from h2 where {_CUR}""",
+    "p10_current_rows": f"{CUST_HIST2} select CUSTOMER_ID, STATUS, valid_from, is_deleted from h2 where {_CUR}",
+    "j5_history_compare": f"""{CUST_HIST2}, s3 as (select CUSTOMER_ID, _synced from (select *, row_number() over
+        (partition by CUSTOMER_ID order by _synced desc nulls first) as _rn
+        from ({run_source_sql(FIXTURES['customers'], 'CUSTOMER_ID', 3)}) x) y where _rn = 1),
+        c as (select * from h2 where is_current)
+        select coalesce(c.CUSTOMER_ID, s.CUSTOMER_ID) as CUSTOMER_ID,
+               case when c.CUSTOMER_ID is null then 'insert'
+                    when s.CUSTOMER_ID is null and c.is_deleted then 'deleted'
+                    when s.CUSTOMER_ID is null then 'delete'
+                    when c.is_deleted then 'return'
+                    when s._synced > c.valid_from then 'update' else 'unchanged' end as action
+          from c full outer join s3 s on c.CUSTOMER_ID = s.CUSTOMER_ID""",
+    "f16_open_end": f"{CUST_HIST2} select CUSTOMER_ID, valid_from, valid_to from h2 where valid_to = {OPEN_END}",
+    "f17_scd_id": f"{CUST_HIST2} select CUSTOMER_ID, updated_at, scd_id from h2",
+})
