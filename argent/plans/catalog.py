@@ -292,3 +292,138 @@ def _f16(spark, sf_dir):
 @query("f17_scd_id")
 def _f17(spark, sf_dir):
     return history_in_memory(spark, sf_dir, runs=(1, 2)).select("CUSTOMER_ID", "updated_at", "scd_id")
+
+
+# ---------------------------------------------------------------------------
+# Data quality
+# ---------------------------------------------------------------------------
+from argent.operators import quality as dq  # noqa: E402
+from argent.plans.checks import FRESHNESS, SUITES  # noqa: E402
+from argent.sources.bronze import SOURCES  # noqa: E402
+
+
+@query("a2_duplicate_groups")
+def _a2(spark, sf_dir):
+    return dq.duplicate_groups(two_runs(spark, sf_dir, "order_headers", use_window=True), "ORDER_ID")
+
+
+@query("d1_unique")
+def _d1(spark, sf_dir):
+    t = two_runs(spark, sf_dir, "order_headers", use_window=True)
+    return dq.run_checks(t, [dq.unique("ORDER_ID")], "order_headers")
+
+
+@query("d2_not_null")
+def _d2(spark, sf_dir):
+    return dq.run_checks(full_build(spark, sf_dir, "city_tiers"), SUITES["city_tiers"], "city_tiers")
+
+
+@query("d3_in_range")
+def _d3(spark, sf_dir):
+    return dq.run_checks(full_build(spark, sf_dir, "surveys"), SUITES["surveys"], "surveys")
+
+
+@query("d4_not_after")
+def _d4(spark, sf_dir):
+    return dq.run_checks(full_build(spark, sf_dir, "incidents"), [dq.not_after("INCIDENT_DATE")], "incidents",
+                         as_of=EVENTS_CUT)
+
+
+@query("d5_matches")
+def _d5(spark, sf_dir):
+    from argent.functions.exprs import EMAIL_PATTERN_COLUMN
+    return dq.run_checks(fx.customers(spark, sf_dir),
+                         [dq.not_null("EMAIL"), dq.matches("EMAIL", EMAIL_PATTERN_COLUMN)], "customers")
+
+
+@query("d6_positive")
+def _d6(spark, sf_dir):
+    return dq.run_checks(full_build(spark, sf_dir, "campaigns"), [dq.positive("TOTAL_SPEND")], "campaigns")
+
+
+@query("d7_has_type")
+def _d7(spark, sf_dir):
+    checks = [dq.has_type("ORDER_ID", "bigint"), dq.has_type("TOTAL_AMOUNT", "DECIMAL(18,2)"),
+              dq.has_type("CUSTOMER_ID", "integer")]
+    return dq.run_checks(full_build(spark, sf_dir, "order_headers"), checks, "order_headers")
+
+
+@query("o2_type_probe")
+def _o2(spark, sf_dir):
+    checks = [dq.has_type("SURVEY_ID", "BIGINT"), dq.has_type("NPS_SCORE", "decimal(38,0)"),
+              dq.has_type("CSAT_SCORE", "double")]
+    return dq.run_checks(full_build(spark, sf_dir, "surveys"), checks, "surveys")
+
+
+@query("d8_valid_email")
+def _d8(spark, sf_dir):
+    return dq.run_checks(fx.customers(spark, sf_dir), [dq.valid_email("EMAIL")], "customers")
+
+
+def _orders_vs_history(spark, sf_dir):
+    orders = full_build(spark, sf_dir, "order_headers")
+    hist = history_in_memory(spark, sf_dir, runs=(1, 2))
+    return orders, hist
+
+
+@query("j1_orphans")
+def _j1(spark, sf_dir):
+    orders, hist = _orders_vs_history(spark, sf_dir)
+    return dq.orphans(orders, hist, "CUSTOMER_ID", F.col("is_current") == F.lit(True)).select("ORDER_ID", "CUSTOMER_ID")
+
+
+@query("d9_references")
+def _d9(spark, sf_dir):
+    orders, hist = _orders_vs_history(spark, sf_dir)
+    return dq.references(orders, hist, "CUSTOMER_ID", "order_headers", F.col("is_current") == F.lit(True))
+
+
+def _freshness_all(spark, sf_dir, as_of):
+    out = None
+    for name, src in SOURCES.items():
+        f = dq.freshness(fx.bronze(spark, sf_dir, name), name, st.SYNCED, FRESHNESS[src.group], as_of)
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
+@query("a3_freshness")
+def _a3(spark, sf_dir):
+    return dq.freshness(fx.interactions(spark, sf_dir), "interactions", st.SYNCED, FRESHNESS["crm"],
+                        "2024-01-31 01:30:00")
+
+
+@query("d10_freshness")
+def _d10(spark, sf_dir):
+    return _freshness_all(spark, sf_dir, "2024-01-31 03:00:00")
+
+
+@query("a4_run_checks")
+def _a4(spark, sf_dir):
+    return dq.run_checks(full_build(spark, sf_dir, "order_headers"), SUITES["order_headers"], "order_headers",
+                         as_of=fx.ORDERS_AS_OF)
+
+
+def _suite_results(spark, sf_dir):
+    out = None
+    for m in ("order_headers", "order_lines", "surveys", "campaigns", "city_tiers", "registration_source"):
+        r = dq.run_checks(full_build(spark, sf_dir, m), SUITES[m], m, as_of=fx.fixture_as_of(m))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("d11_run_status")
+def _d11(spark, sf_dir):
+    return dq.run_status(_suite_results(spark, sf_dir))
+
+
+@query("j2_inner_join_order")
+def _j2(spark, sf_dir):
+    o = full_build(spark, sf_dir, "order_headers")
+    c = fx.customers(spark, sf_dir).select("CUSTOMER_ID", "LAST_NAME")
+    return o.join(c, "CUSTOMER_ID", "inner").select("ORDER_ID", "CUSTOMER_ID", "LAST_NAME") \
+        .orderBy("LAST_NAME", "ORDER_ID")
+
+
+@query("o1_sort")
+def _o1(spark, sf_dir):
+    return full_build(spark, sf_dir, "campaigns").select("CAMPAIGN_ID", "CAMPAIGN_NAME").orderBy("CAMPAIGN_NAME")

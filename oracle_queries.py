@@ -328,3 +328,131 @@ ORACLES.update({
     "f16_open_end": f"{CUST_HIST2} select CUSTOMER_ID, valid_from, valid_to from h2 where valid_to = {OPEN_END}",
     "f17_scd_id": f"{CUST_HIST2} select CUSTOMER_ID, updated_at, scd_id from h2",
 })
+
+
+# ---------------------------------------------------------------------------
+# Data quality
+# ---------------------------------------------------------------------------
+def _res(check: str, table: str, column: str, severity: str, failures: str) -> str:
+    return (f"select '{check}' as \"check\", '{table}' as \"table\", '{column}' as \"column\", "
+            f"'{severity}' as severity, cast({failures} as bigint) as failures, "
+            f"case when {failures} > 0 then '{severity}' else 'pass' end as status")
+
+
+def _row_check(src: str, table: str, checks: list) -> str:
+    """checks: (name, column, severity, failing predicate); NULL predicate passes."""
+    parts = [f"select * from (select {_res(n, table, c, s, 'f')[7:]} from "
+             f"(select count(*) filter (where coalesce({pred}, false)) as f from ({src}) x) y)"
+             for n, c, s, pred in checks]
+    return " union all ".join(parts)
+
+
+def _unique_check(src: str, table: str, col: str, severity: str = "error") -> str:
+    return (f"select {_res('unique_' + col.lower(), table, col, severity, 'f')[7:]} from "
+            f"(select count(*) as f from (select {col} from ({src}) x where {col} is not null "
+            f"group by {col} having count(*) > 1) g) y")
+
+
+def _suite_sql(model: str, as_of: str) -> str:
+    src = model_build(model)
+    day = f"timestamp '{as_of[:10]} 00:00:00'"
+    suites = {
+        "order_headers": ([("ORDER_ID", "error")],
+                          [("not_null_order_id", "ORDER_ID", "error", "ORDER_ID is null"),
+                           ("not_null_customer_id", "CUSTOMER_ID", "error", "CUSTOMER_ID is null"),
+                           ("not_null_total_amount", "TOTAL_AMOUNT", "error", "TOTAL_AMOUNT is null"),
+                           ("in_range_total_amount", "TOTAL_AMOUNT", "error", "not (TOTAL_AMOUNT >= 0)"),
+                           ("not_null_order_date", "ORDER_DATE", "error", "ORDER_DATE is null"),
+                           ("not_after_order_date", "ORDER_DATE", "warn", f"not (ORDER_DATE <= {day})")]),
+        "order_lines": ([("LINE_ID", "error")],
+                        [("not_null_line_id", "LINE_ID", "error", "LINE_ID is null"),
+                         ("not_null_order_id", "ORDER_ID", "error", "ORDER_ID is null"),
+                         ("in_range_quantity", "QUANTITY", "warn", "not (QUANTITY >= 1)")]),
+        "surveys": ([("SURVEY_ID", "error")],
+                    [("not_null_survey_id", "SURVEY_ID", "error", "SURVEY_ID is null"),
+                     ("in_range_nps_score", "NPS_SCORE", "warn", "not (NPS_SCORE >= 0 and NPS_SCORE <= 10)"),
+                     ("in_range_csat_score", "CSAT_SCORE", "warn", "not (CSAT_SCORE >= 1 and CSAT_SCORE <= 5)")]),
+        "campaigns": ([("CAMPAIGN_ID", "error")],
+                      [("not_null_campaign_id", "CAMPAIGN_ID", "error", "CAMPAIGN_ID is null"),
+                       ("in_range_total_spend", "TOTAL_SPEND", "warn", "not (TOTAL_SPEND >= 0)")]),
+        "city_tiers": ([("CITY_TIER_ID", "error")],
+                       [("not_null_tier", "TIER", "warn", "TIER is null")]),
+        "registration_source": ([("REGISTRATION_ID", "error")],
+                                [("not_null_customer_id", "CUSTOMER_ID", "error", "CUSTOMER_ID is null"),
+                                 ("not_null_channel", "CHANNEL", "error", "CHANNEL is null")]),
+    }
+    uniq, rows = suites[model]
+    return " union all ".join([_row_check(src, model, rows)] + [_unique_check(src, model, c, s) for c, s in uniq])
+
+
+EMAIL_COLUMN_RE = r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$"
+EMAIL_TEST_RE = r"^[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}$"
+EMAIL_MACRO_RE = r"^[a-zA-Z0-9._%+'-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
+
+
+def _re(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+def _fresh(name: str, src: str, warn: int, err: int, as_of: str) -> str:
+    age = f"(epoch_us(timestamp '{as_of}') - epoch_us(m)) / 60000000.0"
+    return (f"select '{name}' as source, m as max_loaded_at, {age} as age_minutes, "
+            f"case when m is null then 'error' when {age} > {err} then 'error' when {age} > {warn} then 'warn' "
+            f"else 'pass' end as status from (select max(_synced) as m from ({src}) x) y")
+
+
+GROUP_OF = {"order_headers": "erp", "order_lines": "erp", "addresses": "erp", "city_tiers": "erp", "items": "erp",
+            "categories": "erp", "brands": "erp", "customers": "crm", "registration_source": "crm",
+            "incidents": "crm", "interactions": "crm", "surveys": "crm", "campaigns": "marketing"}
+RULES = {"erp": (60, 240), "crm": (60, 240), "marketing": (1440, 2880)}
+_HEADERS_J4 = merge_sql("order_headers", window=True)
+_CUR_PARENT = "select CUSTOMER_ID from h2 where is_current = true"
+
+ORACLES.update({
+    "a2_duplicate_groups": f"""select ORDER_ID, count(*) as n_records from ({_HEADERS_J4}) m
+        where ORDER_ID is not null group by ORDER_ID having count(*) > 1""",
+    "d1_unique": _unique_check(_HEADERS_J4, "order_headers", "ORDER_ID"),
+    "d2_not_null": _row_check(model_build("city_tiers"), "city_tiers", [("not_null_tier", "TIER", "warn", "TIER is null")])
+    + " union all " + _unique_check(model_build("city_tiers"), "city_tiers", "CITY_TIER_ID"),
+    "d3_in_range": _suite_sql("surveys", EVENTS_AS_OF),
+    "d4_not_after": _row_check(model_build("incidents"), "incidents",
+                               [("not_after_incident_date", "INCIDENT_DATE", "warn",
+                                 f"not (INCIDENT_DATE <= timestamp '{EVENTS_CUT[:10]} 00:00:00')")]),
+    "d5_matches": _row_check(FIXTURES["customers"], "customers",
+                             [("not_null_email", "EMAIL", "error", "EMAIL is null"),
+                              ("matches_email", "EMAIL", "warn", f"not regexp_matches(EMAIL, '{_re(EMAIL_COLUMN_RE)}')")]),
+    "d6_positive": _row_check(model_build("campaigns"), "campaigns",
+                              [("positive_total_spend", "TOTAL_SPEND", "error",
+                                "TOTAL_SPEND is not null and TOTAL_SPEND <= 0")]),
+    "d7_has_type": " union all ".join(
+        f"select * from (select {_res('has_type_' + c.lower(), 'order_headers', c, 'error', 'f')[7:]} from "
+        f"(select case when upper(typeof({c})) <> upper('{t}') then 1 else 0 end as f "
+        f"from ({model_build('order_headers')}) x limit 1) y)"
+        for c, t in (("ORDER_ID", "bigint"), ("TOTAL_AMOUNT", "DECIMAL(18,2)"), ("CUSTOMER_ID", "integer"))),
+    "o2_type_probe": " union all ".join(
+        f"select * from (select {_res('has_type_' + c.lower(), 'surveys', c, 'error', 'f')[7:]} from "
+        f"(select case when upper(typeof({c})) <> upper('{t}') then 1 else 0 end as f "
+        f"from ({model_build('surveys')}) x limit 1) y)"
+        for c, t in (("SURVEY_ID", "BIGINT"), ("NPS_SCORE", "decimal(38,0)"), ("CSAT_SCORE", "double"))),
+    "d8_valid_email": _row_check(FIXTURES["customers"], "customers",
+                                 [("valid_email_email", "EMAIL", "error",
+                                   f"EMAIL is not null and not regexp_matches(EMAIL, '{_re(EMAIL_TEST_RE)}')")]),
+    "j1_orphans": f"""{CUST_HIST2} select child.ORDER_ID, child.CUSTOMER_ID from ({model_build('order_headers')}) child
+        left join ({_CUR_PARENT}) parent on child.CUSTOMER_ID = parent.CUSTOMER_ID
+        where child.CUSTOMER_ID is not null and parent.CUSTOMER_ID is null""",
+    "d9_references": f"""{CUST_HIST2} select {_res('references_customer_id', 'order_headers', 'CUSTOMER_ID', 'error', 'f')[7:]}
+        from (select count(*) as f from ({model_build('order_headers')}) child
+        left join ({_CUR_PARENT}) parent on child.CUSTOMER_ID = parent.CUSTOMER_ID
+        where child.CUSTOMER_ID is not null and parent.CUSTOMER_ID is null) y""",
+    "a3_freshness": _fresh("interactions", FIXTURES["interactions"], 60, 240, "2024-01-31 01:30:00"),
+    "d10_freshness": " union all ".join(_fresh(n, FIXTURES[n], *RULES[g], "2024-01-31 03:00:00")
+                                        for n, g in GROUP_OF.items()),
+    "a4_run_checks": _suite_sql("order_headers", ORDERS_AS_OF),
+    "d11_run_status": f"""select errors, warnings, passed, case when errors > 0 then 'error' when warnings > 0 then 'warn'
+        else 'pass' end as run_status from (select count(*) filter (where status = 'error') as errors,
+        count(*) filter (where status = 'warn') as warnings, count(*) filter (where status = 'pass') as passed
+        from ({' union all '.join(_suite_sql(m, as_of_for(m)) for m in ('order_headers', 'order_lines', 'surveys', 'campaigns', 'city_tiers', 'registration_source'))}) r) y""",
+    "j2_inner_join_order": f"""select o.ORDER_ID, o.CUSTOMER_ID, c.LAST_NAME from ({model_build('order_headers')}) o
+        join ({FIXTURES['customers']}) c on o.CUSTOMER_ID = c.CUSTOMER_ID order by c.LAST_NAME, o.ORDER_ID""",
+    "o1_sort": f"select CAMPAIGN_ID, CAMPAIGN_NAME from ({model_build('campaigns')}) m order by CAMPAIGN_NAME",
+})
