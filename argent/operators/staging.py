@@ -117,3 +117,13 @@ def violations(df: DataFrame, cond: Column) -> DataFrame:
 def project(df: DataFrame, cols: Iterable[Union[str, Column]]) -> DataFrame:
     """Explicit projection (Catalyst prunes the scan to these columns)."""
     return df.select(*cols)
+
+
+def with_docs(df: DataFrame, column_docs: dict) -> DataFrame:
+    """Attach column descriptions (``comment`` metadata, kept in Parquet)."""
+    out = df
+    for c, text in column_docs.items():
+        meta = dict(out.schema[c].metadata or {})
+        meta["comment"] = text
+        out = out.withMetadata(c, meta)
+    return out

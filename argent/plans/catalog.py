@@ -427,3 +427,161 @@ def _j2(spark, sf_dir):
 @query("o1_sort")
 def _o1(spark, sf_dir):
     return full_build(spark, sf_dir, "campaigns").select("CAMPAIGN_ID", "CAMPAIGN_NAME").orderBy("CAMPAIGN_NAME")
+
+
+# ---------------------------------------------------------------------------
+# Change feeds (S2-S5), schema evolution (S9), docs
+# ---------------------------------------------------------------------------
+from argent.operators import cdc  # noqa: E402
+from argent.sources.silver_table import write_table  # noqa: E402
+
+CAMPAIGN_COLS = ["CAMPAIGN_NAME", "TOTAL_SPEND", "CUSTOMERS_ACQUIRED"]
+
+
+@query("s2_apply_changes")
+def _s2(spark, sf_dir):
+    path = work_dir(spark, "bronze-order-headers")
+    write_table(fx.orders_bronze_base(spark, sf_dir), path, "ORDER_ID")
+    cdc.apply_changes_to_table(spark, path, fx.order_changes(spark, sf_dir), "ORDER_ID", fx.SEQ,
+                               as_of=fx.ORDERS_AS_OF)
+    return read_table(spark, path)
+
+
+@query("s3_snapshot_diff")
+def _s3(spark, sf_dir):
+    return cdc.snapshot_diff(fx.campaigns_extract(spark, sf_dir, 1), fx.campaigns_extract(spark, sf_dir, 2),
+                             "CAMPAIGN_ID", CAMPAIGN_COLS)
+
+
+@query("s3_orders_diff")
+def _s3o(spark, sf_dir):
+    return cdc.snapshot_diff(fx.orders_extract(spark, sf_dir, 1), fx.orders_extract(spark, sf_dir, 2), "ORDER_ID")
+
+
+@query("s4_changed_columns")
+def _s4(spark, sf_dir):
+    d = cdc.diff_changed_columns(fx.campaigns_extract(spark, sf_dir, 1), fx.campaigns_extract(spark, sf_dir, 2),
+                                 "CAMPAIGN_ID", CAMPAIGN_COLS)
+    return d.select("CAMPAIGN_ID", F.array_join("changed_columns", ",").alias("changed_columns"))
+
+
+@query("s5_retain_changes")
+def _s5(spark, sf_dir):
+    return cdc.retain_changes(fx.interactions(spark, sf_dir), st.SYNCED, as_of=fx.EVENTS_AS_OF) \
+        .select("INTERACTION_ID", st.SYNCED)
+
+
+@query("s9_schema_evolve")
+def _s9(spark, sf_dir):
+    from dataclasses import replace
+    spec = MODELS["campaigns"]
+    old = replace(spec, columns=spec.columns[:2])
+    bronze = fx.campaigns(spark, sf_dir)
+    path = work_dir(spark, "silver-campaigns-evolve")
+    materialize(spark, old, run1_input(bronze, EVENTS_CUT), path, EVENTS_CUT, RUN1)
+    materialize(spark, spec, bronze, path, fx.EVENTS_AS_OF, RUN2)
+    return read_table(spark, path)
+
+
+@query("s12_with_docs")
+def _s12(spark, sf_dir):
+    docs = {"BRAND_ID": "Brand key", "BRAND_NAME": "Brand name, 'Unknown' when missing"}
+    return st.with_docs(full_build(spark, sf_dir, "brands"), docs)
+
+
+# ---------------------------------------------------------------------------
+# Governance
+# ---------------------------------------------------------------------------
+from argent.functions import exprs as fn  # noqa: E402
+from argent.operators import governance as gov  # noqa: E402
+
+
+@query("g1_tag_pii")
+def _g1(spark, sf_dir):
+    return gov.tag_pii(fx.customers(spark, sf_dir), gov.CUSTOMER_PII)
+
+
+@query("g2_mask_string")
+def _g2(spark, sf_dir):
+    c = fx.customers(spark, sf_dir)
+    return c.select("CUSTOMER_ID", fn.mask_string("EMAIL").alias("EMAIL"), fn.mask_string("PHONE").alias("PHONE"),
+                    fn.mask_string("FIRST_NAME", ["COMPLIANCE_ROLE"]).alias("FIRST_NAME"))
+
+
+@query("g3_mask_date")
+def _g3(spark, sf_dir):
+    o = fx.orders_v1(spark, sf_dir)
+    d = F.to_date("ORDER_DATE")
+    return o.select("ORDER_ID", fn.mask_date(d).alias("ORDER_DAY"), fn.mask_date(d, ["ADMIN_ROLE"]).alias("ORDER_DAY_ADMIN"))
+
+
+@query("g4_masked_view")
+def _g4(spark, sf_dir):
+    return gov.masked_view(gov.tag_pii(fx.customers(spark, sf_dir), gov.CUSTOMER_PII))
+
+
+# ---------------------------------------------------------------------------
+# Column functions
+# ---------------------------------------------------------------------------
+@query("f1_or_unknown")
+def _f1(spark, sf_dir):
+    return fx.categories(spark, sf_dir).select("CATEGORY_ID", fn.or_unknown("CATEGORY_NAME").alias("CATEGORY_NAME"))
+
+
+@query("f2_clean_upper")
+def _f2(spark, sf_dir):
+    return fx.addresses(spark, sf_dir).select("ADDRESS_ID", fn.clean_upper("CITY").alias("CITY"),
+                                              fn.clean_upper("STATE").alias("STATE"))
+
+
+@query("f3_money")
+def _f3(spark, sf_dir):
+    return fx.order_lines(spark, sf_dir).select("LINE_ID", "TIE", fn.money("UNIT_PRICE").alias("UNIT_PRICE"))
+
+
+@query("f4_whole")
+def _f4(spark, sf_dir):
+    return fx.surveys(spark, sf_dir).select("SURVEY_ID", fn.whole("NPS_SCORE").alias("NPS_SCORE"),
+                                            fn.whole(F.col("CSAT_SCORE") / 2).alias("CSAT_HALF"))
+
+
+@query("f5_to_text")
+def _f5(spark, sf_dir):
+    return fx.campaigns(spark, sf_dir).select("CAMPAIGN_ID", fn.to_text("CUSTOMERS_ACQUIRED").alias("CUSTOMERS_ACQUIRED"))
+
+
+@query("f6_try_ts")
+def _f6(spark, sf_dir):
+    return fx.incidents(spark, sf_dir).select("INCIDENT_ID", fn.try_ts("INCIDENT_DATE").alias("INCIDENT_DATE"))
+
+
+@query("f8_days_ago")
+def _f8(spark, sf_dir):
+    return fx.interactions(spark, sf_dir).where(F.col(st.SYNCED) >= fn.days_ago(3, fx.EVENTS_AS_OF)) \
+        .select("INTERACTION_ID", st.SYNCED)
+
+
+@query("f10_is_email")
+def _f10(spark, sf_dir):
+    return fx.customers(spark, sf_dir).select("CUSTOMER_ID", fn.is_email("EMAIL").alias("EMAIL_OK"))
+
+
+@query("f11_regex")
+def _f11(spark, sf_dir):
+    e = F.col("EMAIL")
+    return fx.customers(spark, sf_dir).select(
+        "CUSTOMER_ID",
+        e.rlike(fn.full_match(fn.EMAIL_PATTERN_MACRO)).alias("match_macro"),
+        e.rlike(fn.full_match(fn.EMAIL_PATTERN_TEST)).alias("match_test"),
+        e.rlike(fn.full_match(fn.EMAIL_PATTERN_COLUMN)).alias("match_column"))
+
+
+@query("f14_year_floor")
+def _f14(spark, sf_dir):
+    return fx.orders_v1(spark, sf_dir).select("ORDER_ID", fn.year_floor(st.SYNCED).alias("ORDER_YEAR"))
+
+
+@query("f15_upper_differs")
+def _f15(spark, sf_dir):
+    return fx.categories(spark, sf_dir).select("CATEGORY_ID",
+                                               fn.upper_differs("CATEGORY_ID", "CATEGORY_NAME").alias("DIFFERS"))

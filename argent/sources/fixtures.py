@@ -301,3 +301,56 @@ def customers_run(spark, sf_dir, run: int) -> DataFrame:
 def items_run(spark, sf_dir, run: int) -> DataFrame:
     """Item master snapshot of run 1, 2 or 3 (same key classes)."""
     return history_run(items(spark, sf_dir), "ITEM_ID", "STATUS", run)
+
+
+# ---------------------------------------------------------------------------
+# Change-log and full-compare fixtures
+# ---------------------------------------------------------------------------
+SEQ = "_seq"
+
+
+def orders_bronze_base(spark, sf_dir) -> DataFrame:
+    """Bronze order headers before the change log: every order not divisible by 7."""
+    return orders_v1(spark, sf_dir).where(F.col("ORDER_ID") % 7 != 0)
+
+
+def order_changes(spark, sf_dir) -> DataFrame:
+    """Change log: inserts of the orders missing from the base (k % 7 = 0),
+    then updates of every third order, deletes where k % 13 = 0."""
+    v1 = orders_v1(spark, sf_dir)
+    v2 = orders_v2(spark, sf_dir)
+    biz = ["ORDER_ID", "CUSTOMER_ID", "ORDER_DATE", "TOTAL_AMOUNT", "ORDER_STATUS"]
+    ins = v1.where(F.col("ORDER_ID") % 7 == 0).select(*biz, F.col(SYNCED).alias(SEQ), F.lit("I").alias("_op"))
+    upd = v2.select(*biz, F.col(SYNCED).alias(SEQ),
+                    F.when(F.col("ORDER_ID") % 13 == 0, F.lit("D")).otherwise(F.lit("U")).alias("_op"))
+    return ins.unionByName(upd)
+
+
+def campaigns_extract(spark, sf_dir, version: int) -> DataFrame:
+    """Two full extracts of the campaign source. Version 1 lacks k % 9 = 0;
+    version 2 lacks k % 7 = 0, renames k % 5 = 0 and has no spend for k % 4 = 0
+    (version 1 has none for k % 8 = 0)."""
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    if version == 1:
+        return s.where(k % 9 != 0).select(
+            k.alias("CAMPAIGN_ID"), F.col("s_name").alias("CAMPAIGN_NAME"),
+            F.when(k % 8 == 0, F.lit(None).cast("double")).otherwise(F.col("s_acctbal")).alias("TOTAL_SPEND"),
+            F.col("s_nationkey").alias("CUSTOMERS_ACQUIRED"))
+    return s.where(k % 7 != 0).select(
+        k.alias("CAMPAIGN_ID"),
+        F.when(k % 5 == 0, F.concat(F.col("s_name"), F.lit(" (renewed)"))).otherwise(F.col("s_name")).alias("CAMPAIGN_NAME"),
+        F.when(k % 4 == 0, F.lit(None).cast("double")).otherwise(F.col("s_acctbal")).alias("TOTAL_SPEND"),
+        F.col("s_nationkey").alias("CUSTOMERS_ACQUIRED"))
+
+
+def orders_extract(spark, sf_dir, version: int) -> DataFrame:
+    """Two full extracts of order headers: version 1 lacks k % 9 = 0; version 2
+    lacks k % 7 = 0 and carries the second delivery for every third order."""
+    biz = ["ORDER_ID", "CUSTOMER_ID", "ORDER_DATE", "TOTAL_AMOUNT", "ORDER_STATUS"]
+    v1 = orders_v1(spark, sf_dir).select(*biz)
+    if version == 1:
+        return v1.where(F.col("ORDER_ID") % 9 != 0)
+    v2 = orders_v2(spark, sf_dir).select(*biz)
+    keep = v1.where((F.col("ORDER_ID") % 3 != 0) & (F.col("ORDER_ID") % 7 != 0))
+    return keep.unionByName(v2.where(F.col("ORDER_ID") % 7 != 0))

@@ -79,19 +79,22 @@ def stage(df: DataFrame, spark: SparkSession, name: str = "stage") -> DataFrame:
 
 def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[str, Sequence[str]],
                  exclude_update: Sequence[str] = (AUDIT_LOAD,), match_cond: Optional[Column] = None,
-                 num_buckets: int = DEFAULT_BUCKETS) -> dict:
+                 num_buckets: int = DEFAULT_BUCKETS, combine=None, create=None) -> dict:
     """Upsert ``batch`` (one row per key) into the table at ``path``.
 
-    Returns a small report: rows in the batch and buckets rewritten.
+    ``combine(target_buckets, staged_batch)`` replaces the default merge
+    (both carry the bucket column; the result must too); ``create(batch)``
+    shapes the batch of a first write. Returns a small report: rows in the
+    batch and buckets rewritten.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     current = read_table(spark, path, keep_bucket=True)
     if current is None:
-        write_table(batch, path, keys, num_buckets)
+        write_table(create(batch) if create else batch, path, keys, num_buckets)
         return {"mode": "create", "buckets": num_buckets}
 
     target_cols = [c for c in current.columns if c != BUCKET]
-    cols = evolve_append(target_cols, batch.columns)
+    cols = evolve_append(target_cols, [c for c in batch.columns if not (create and c not in create(batch).columns)])
     staged = stage(batch.withColumn(BUCKET, bucket_expr(keys, num_buckets, batch.columns)), spark)
     stats = staged.groupBy(BUCKET).count().collect()          # <= num_buckets rows
     if not stats:
@@ -101,7 +104,10 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
     target = current if new_columns else current.where(F.col(BUCKET).isin(touched))
     # A new column is written into every bucket so that all files agree
     # on the schema and readers never need ``mergeSchema``.
-    merged = merge_frames(target, staged, keys, exclude_update, match_cond, bucket_col=BUCKET)
+    if combine is not None:
+        merged = combine(target, staged)
+    else:
+        merged = merge_frames(target, staged, keys, exclude_update, match_cond, bucket_col=BUCKET)
     (merged.select(*cols, BUCKET).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(path))

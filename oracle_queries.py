@@ -162,12 +162,15 @@ def run1_sql(model: str, early_from: str | None = None) -> str:
     return model_build(model, where=where, as_of=cut, run_id=RUN1)
 
 
-def merge_sql(model: str, window: bool = False, early_from: str | None = None, lookback: int = 3) -> str:
+def merge_sql(model: str, window: bool = False, early_from: str | None = None, lookback: int = 3,
+              t1_null: tuple = ()) -> str:
     """Two runs: run-1 table, incremental run-2 batch, then the merge formula
     (batch left-join target) union (target anti-join batch)."""
     key = MODEL_COLS[model][0]
     as_of2 = as_of_for(model)
     t1 = run1_sql(model, early_from)
+    if t1_null:
+        t1 = f"select * replace ({', '.join(f'null as {c}' for c in t1_null)}) from ({t1}) r"
     hw = f"(select coalesce(max(_bronze_sync_timestamp), {MIN_TS}) from t1)"
     b = model_build(model, where=f"_synced > {hw} or _synced >= timestamp '{as_of2}' - interval {lookback} day",
                     as_of=as_of2, run_id=RUN2)
@@ -456,3 +459,88 @@ ORACLES.update({
         join ({FIXTURES['customers']}) c on o.CUSTOMER_ID = c.CUSTOMER_ID order by c.LAST_NAME, o.ORDER_ID""",
     "o1_sort": f"select CAMPAIGN_ID, CAMPAIGN_NAME from ({model_build('campaigns')}) m order by CAMPAIGN_NAME",
 })
+
+
+# ---------------------------------------------------------------------------
+# Change feeds, schema evolution, docs, governance, column functions
+# ---------------------------------------------------------------------------
+_BIZ = "ORDER_ID, CUSTOMER_ID, ORDER_DATE, TOTAL_AMOUNT, ORDER_STATUS"
+_BASE = f"select * from ({FIXTURES['orders_v1']}) v where ORDER_ID % 7 <> 0"
+_CHANGES = f"""select {_BIZ}, _synced as _seq, 'I' as _op from ({FIXTURES['orders_v1']}) a where ORDER_ID % 7 = 0
+    union all select {_BIZ}, _synced as _seq, case when ORDER_ID % 13 = 0 then 'D' else 'U' end as _op
+    from ({FIXTURES['orders_v2']}) b"""
+
+
+def _pick(c: str) -> str:
+    return (f"case when c.ORDER_ID is not null and (c._op <> 'D' or t.ORDER_ID is null) "
+            f"then c.{c} else t.{c} end as {c}")
+
+
+def _extract_sql(kind: str, version: int) -> str:
+    if kind == "campaigns":
+        if version == 1:
+            return """select s_suppkey as CAMPAIGN_ID, s_name as CAMPAIGN_NAME,
+                case when s_suppkey % 8 = 0 then null else s_acctbal end as TOTAL_SPEND,
+                s_nationkey as CUSTOMERS_ACQUIRED from supplier where s_suppkey % 9 <> 0"""
+        return """select s_suppkey as CAMPAIGN_ID,
+            case when s_suppkey % 5 = 0 then concat(s_name, ' (renewed)') else s_name end as CAMPAIGN_NAME,
+            case when s_suppkey % 4 = 0 then null else s_acctbal end as TOTAL_SPEND,
+            s_nationkey as CUSTOMERS_ACQUIRED from supplier where s_suppkey % 7 <> 0"""
+    v1 = f"select {_BIZ} from ({FIXTURES['orders_v1']}) a"
+    if version == 1:
+        return f"{v1} where ORDER_ID % 9 <> 0"
+    return (f"{v1} where ORDER_ID % 3 <> 0 and ORDER_ID % 7 <> 0 union all "
+            f"select {_BIZ} from ({FIXTURES['orders_v2']}) b where ORDER_ID % 7 <> 0")
+
+
+def _diff_sql(kind: str, key: str, cols: list) -> str:
+    differs = " or ".join(f"p.{c} is distinct from c.{c}" for c in cols)
+    vals = ", ".join(f"case when c.{key} is not null then c.{x} else p.{x} end as {x}" for x in [key, *cols])
+    return f"""select * from (select case when p.{key} is null then 'insert' when c.{key} is null then 'delete'
+        when {differs} then 'update' end as op, {vals}
+        from ({_extract_sql(kind, 1)}) p full outer join ({_extract_sql(kind, 2)}) c on p.{key} = c.{key}) d
+        where op is not null"""
+
+
+_CAMP = ["CAMPAIGN_NAME", "TOTAL_SPEND", "CUSTOMERS_ACQUIRED"]
+
+ORACLES.update({
+    "s2_apply_changes": f"""with t as ({_BASE}), c as (select * from (select *, row_number() over
+        (partition by ORDER_ID order by _seq desc nulls first) as _rn from ({_CHANGES}) x) y where _rn = 1)
+        select {', '.join(_pick(c) for c in _BIZ.split(', '))},
+            case when c.ORDER_ID is not null then timestamp '{ORDERS_AS_OF}' else t._synced end as _synced,
+            case when c.ORDER_ID is not null then c._op = 'D' else t._deleted end as _deleted
+        from t full outer join c on t.ORDER_ID = c.ORDER_ID""",
+    "s3_snapshot_diff": _diff_sql("campaigns", "CAMPAIGN_ID", _CAMP),
+    "s3_orders_diff": _diff_sql("orders", "ORDER_ID", ["CUSTOMER_ID", "ORDER_DATE", "TOTAL_AMOUNT", "ORDER_STATUS"]),
+    "s4_changed_columns": f"""select * from (select p.CAMPAIGN_ID, concat_ws(',', {', '.join(
+        f"case when p.{c} is distinct from c.{c} then '{c}' end" for c in _CAMP)}) as changed_columns from ({_extract_sql('campaigns', 1)}) p join ({_extract_sql('campaigns', 2)}) c
+        on p.CAMPAIGN_ID = c.CAMPAIGN_ID) d where changed_columns <> ''""",
+    "s5_retain_changes": f"""select INTERACTION_ID, _synced from ({FIXTURES['interactions']}) s
+        where _synced >= timestamp '{EVENTS_AS_OF}' - interval 2 day""",
+    "s9_schema_evolve": merge_sql("campaigns", t1_null=("CUSTOMERS_ACQUIRED",)),
+    "s12_with_docs": model_build("brands"),
+    "g1_tag_pii": FIXTURES["customers"],
+    "g2_mask_string": f"""select CUSTOMER_ID, '***MASKED***' as EMAIL, '***MASKED***' as PHONE, FIRST_NAME
+        from ({FIXTURES['customers']}) c""",
+    "g3_mask_date": f"""select ORDER_ID, make_date(year(cast(ORDER_DATE as date)), 1, 1) as ORDER_DAY,
+        cast(ORDER_DATE as date) as ORDER_DAY_ADMIN from ({FIXTURES['orders_v1']}) o""",
+    "g4_masked_view": f"""select * replace ('***MASKED***' as EMAIL, '***MASKED***' as PHONE,
+        '***MASKED***' as FIRST_NAME, '***MASKED***' as LAST_NAME) from ({FIXTURES['customers']}) c""",
+    "f1_or_unknown": f"select CATEGORY_ID, coalesce(CATEGORY_NAME, 'Unknown') as CATEGORY_NAME from ({FIXTURES['categories']}) c",
+    "f2_clean_upper": f"select ADDRESS_ID, upper(trim(CITY)) as CITY, upper(trim(STATE)) as STATE from ({FIXTURES['addresses']}) a",
+    "f3_money": f"select LINE_ID, TIE, cast(UNIT_PRICE as decimal(18,2)) as UNIT_PRICE from ({FIXTURES['order_lines']}) l",
+    "f4_whole": f"""select SURVEY_ID, cast(NPS_SCORE as decimal(38,0)) as NPS_SCORE,
+        cast(CSAT_SCORE / 2 as decimal(38,0)) as CSAT_HALF from ({FIXTURES['surveys']}) s""",
+    "f5_to_text": f"select CAMPAIGN_ID, cast(CUSTOMERS_ACQUIRED as varchar) as CUSTOMERS_ACQUIRED from ({FIXTURES['campaigns']}) c",
+    "f6_try_ts": f"select INCIDENT_ID, try_cast(INCIDENT_DATE as timestamp) as INCIDENT_DATE from ({FIXTURES['incidents']}) i",
+    "f8_days_ago": f"""select INTERACTION_ID, _synced from ({FIXTURES['interactions']}) s
+        where _synced >= timestamp '{EVENTS_AS_OF}' - interval 3 day""",
+    "f10_is_email": f"""select CUSTOMER_ID, coalesce(regexp_matches(EMAIL, '{_re(EMAIL_MACRO_RE)}'), false) as EMAIL_OK
+        from ({FIXTURES['customers']}) c""",
+    "f11_regex": f"""select CUSTOMER_ID, regexp_matches(EMAIL, '{_re(EMAIL_MACRO_RE)}') as match_macro,
+        regexp_matches(EMAIL, '{_re(EMAIL_TEST_RE)}') as match_test,
+        regexp_matches(EMAIL, '{_re(EMAIL_COLUMN_RE)}') as match_column from ({FIXTURES['customers']}) c""",
+    "f14_year_floor": f"select ORDER_ID, make_date(year(_synced), 1, 1) as ORDER_YEAR from ({FIXTURES['orders_v1']}) o",
+    "f15_upper_differs": f"select CATEGORY_ID, upper(CATEGORY_ID) <> upper(CATEGORY_NAME) as DIFFERS from ({FIXTURES['categories']}) c",
+})
