@@ -53,8 +53,15 @@ def recent_match(days: int = LOOKBACK_DAYS, as_of=None, col: str = AUDIT_SYNC) -
 
 def merge_frames(target: DataFrame, batch: DataFrame, keys: Union[str, Sequence[str]],
                  exclude_update: Sequence[str] = (AUDIT_LOAD,), match_cond: Optional[Column] = None,
-                 bucket_col: Optional[str] = None, num_partitions: Optional[int] = None) -> DataFrame:
-    """Return the target after merging ``batch`` (one row per key) into it."""
+                 bucket_col: Optional[str] = None, num_partitions: Optional[int] = None,
+                 guard_col: Optional[str] = None) -> DataFrame:
+    """Return the target after merging ``batch`` (one row per key) into it.
+
+    ``guard_col`` (a sequence column such as the sync time) makes the merge
+    safe to replay and order-independent: a matched target row is updated
+    only when the batch value is not older than the stored one; an older
+    batch row is dropped.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
     types = {f.name: f.dataType for f in target.schema.fields}
     types.update({f.name: f.dataType for f in batch.schema.fields if f.name not in types})
@@ -79,12 +86,16 @@ def merge_frames(target: DataFrame, batch: DataFrame, keys: Union[str, Sequence[
     keyed, nulls = u.where(has_key), u.where(~has_key)
 
     w = Window.partitionBy(*([bucket_col] if bucket_col else []), *keys)
-    src = F.max(F.when(F.col(_SIDE) == 1, F.struct(*[F.col(c) for c in update_cols]))).over(w)
+    src_fields = update_cols + ([guard_col] if guard_col and guard_col not in update_cols else [])
+    src = F.max(F.when(F.col(_SIDE) == 1, F.struct(*[F.col(c) for c in src_fields]))).over(w)
     n_elig = F.sum(F.when((F.col(_SIDE) == 0) & F.col(_ELIG), 1).otherwise(0)).over(w)
     keyed = keyed.withColumn("_m_src", src).withColumn("_m_nelig", n_elig)
 
     is_t = F.col(_SIDE) == 0
     updated = is_t & F.col(_ELIG) & F.col("_m_src").isNotNull()
+    if guard_col:
+        g_new, g_old = F.col("_m_src").getField(guard_col), F.col(guard_col)
+        updated = updated & (g_old.isNull() | (g_new >= g_old))
     keep = is_t | (F.col("_m_nelig") == 0)
     out_cols = [F.when(updated, F.col("_m_src").getField(c)).otherwise(F.col(c)).alias(c)
                 if c in update_cols else F.col(c) for c in cols]

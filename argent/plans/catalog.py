@@ -7,7 +7,7 @@ case plus a short name.
 
 from __future__ import annotations
 
-from typing import Callable, Dict
+from typing import Callable, Dict, Optional
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -585,3 +585,44 @@ def _f14(spark, sf_dir):
 def _f15(spark, sf_dir):
     return fx.categories(spark, sf_dir).select("CATEGORY_ID",
                                                fn.upper_differs("CATEGORY_ID", "CATEGORY_NAME").alias("DIFFERS"))
+
+
+# ---------------------------------------------------------------------------
+# Streaming (ST1, ST2, ST4)
+# ---------------------------------------------------------------------------
+from argent.streaming import run_incremental  # noqa: E402
+
+
+def _land(df: DataFrame, path: str) -> None:
+    """Deliver a bronze extract as new files in a landing folder."""
+    df.write.mode("append").parquet(path)
+
+
+def streamed_table(spark, sf_dir, model: str, deliveries, files_per_batch: Optional[int] = None) -> DataFrame:
+    spec = MODELS[model]
+    root = work_dir(spark, f"stream-{model}")
+    landing, target, ckpt = f"{root}/landing", f"{root}/silver", f"{root}/_checkpoint"
+    schema = None
+    for d in deliveries:
+        df = d(spark, sf_dir)
+        schema = schema or df.schema
+        _land(df, landing)
+        run_incremental(spark, spec, landing, schema, target, ckpt, fx.fixture_as_of(spec.source), RUN1,
+                        max_files_per_trigger=files_per_batch)
+    return read_table(spark, target)
+
+
+@query("st1_micro_batch")
+def _st1(spark, sf_dir):
+    return streamed_table(spark, sf_dir, "surveys", [fx.surveys])
+
+
+@query("st2_stream_upsert")
+def _st2(spark, sf_dir):
+    return streamed_table(spark, sf_dir, "order_headers", [fx.orders_v1, fx.orders_v2], files_per_batch=2)
+
+
+@query("st4_stream_high_water")
+def _st4(spark, sf_dir):
+    t = streamed_table(spark, sf_dir, "order_headers", [fx.orders_v1, fx.orders_v2])
+    return t.agg(st.high_water(t).alias("high_water"))

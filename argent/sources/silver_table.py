@@ -79,7 +79,8 @@ def stage(df: DataFrame, spark: SparkSession, name: str = "stage") -> DataFrame:
 
 def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[str, Sequence[str]],
                  exclude_update: Sequence[str] = (AUDIT_LOAD,), match_cond: Optional[Column] = None,
-                 num_buckets: int = DEFAULT_BUCKETS, combine=None, create=None) -> dict:
+                 num_buckets: int = DEFAULT_BUCKETS, combine=None, create=None,
+                 guard_col: Optional[str] = None) -> dict:
     """Upsert ``batch`` (one row per key) into the table at ``path``.
 
     ``combine(target_buckets, staged_batch)`` replaces the default merge
@@ -107,7 +108,8 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
     if combine is not None:
         merged = combine(target, staged)
     else:
-        merged = merge_frames(target, staged, keys, exclude_update, match_cond, bucket_col=BUCKET)
+        merged = merge_frames(target, staged, keys, exclude_update, match_cond, bucket_col=BUCKET,
+                              guard_col=guard_col)
     (merged.select(*cols, BUCKET).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(path))

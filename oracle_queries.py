@@ -544,3 +544,10 @@ ORACLES.update({
     "f14_year_floor": f"select ORDER_ID, make_date(year(_synced), 1, 1) as ORDER_YEAR from ({FIXTURES['orders_v1']}) o",
     "f15_upper_differs": f"select CATEGORY_ID, upper(CATEGORY_ID) <> upper(CATEGORY_NAME) as DIFFERS from ({FIXTURES['categories']}) c",
 })
+
+ORACLES.update({
+    "st1_micro_batch": model_build("surveys"),
+    "st2_stream_upsert": model_build("order_headers"),
+    "st4_stream_high_water": f"""select coalesce(max(_bronze_sync_timestamp), {MIN_TS}) as high_water
+        from ({model_build('order_headers')}) m""",
+})
