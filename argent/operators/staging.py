@@ -51,10 +51,9 @@ def dedup_latest(df: DataFrame, keys: Union[str, Sequence[str]], order_col: str
 def add_audit(df: DataFrame, run_id: str, as_of=None, synced_col: str = SYNCED,
               deleted_col: str = DELETED) -> DataFrame:
     """Rename the change columns to audit names, stamp run id and load time."""
-    return (df.withColumnRenamed(synced_col, AUDIT_SYNC)
-              .withColumn(AUDIT_LOAD, as_of_ts(as_of))
-              .withColumn(AUDIT_RUN, F.lit(run_id))
-              .withColumnRenamed(deleted_col, AUDIT_DELETED))
+    rest = [c for c in df.columns if c not in (synced_col, deleted_col)]
+    return df.select(*rest, F.col(synced_col).alias(AUDIT_SYNC), as_of_ts(as_of).alias(AUDIT_LOAD),
+                     F.lit(run_id).alias(AUDIT_RUN), F.col(deleted_col).alias(AUDIT_DELETED))
 
 
 def high_water(target: DataFrame, col: str = AUDIT_SYNC, min_date: str = MIN_DATE) -> Column:
