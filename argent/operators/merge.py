@@ -83,24 +83,27 @@ def merge_frames(target: DataFrame, batch: DataFrame, keys: Union[str, Sequence[
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
-    keyed, nulls = u.where(has_key), u.where(~has_key)
+    # NULL keys never match: such rows get their own window groups (spread
+    # by a row hash so that many of them do not form one hot group) and
+    # pass through unchanged, in the same pass as the keyed rows.
+    nk = F.when(has_key, F.lit(0)).otherwise(F.xxhash64(*[F.col(c) for c in cols], F.col(_SIDE)))
+    u = u.withColumn("_m_nk", nk).withColumn("_m_haskey", has_key)
 
-    w = Window.partitionBy(*([bucket_col] if bucket_col else []), *keys)
+    w = Window.partitionBy(*([bucket_col] if bucket_col else []), *keys, "_m_nk")
     src_fields = update_cols + ([guard_col] if guard_col and guard_col not in update_cols else [])
     src = F.max(F.when(F.col(_SIDE) == 1, F.struct(*[F.col(c) for c in src_fields]))).over(w)
     n_elig = F.sum(F.when((F.col(_SIDE) == 0) & F.col(_ELIG), 1).otherwise(0)).over(w)
-    keyed = keyed.withColumn("_m_src", src).withColumn("_m_nelig", n_elig)
+    keyed = u.select("*", src.alias("_m_src"), n_elig.alias("_m_nelig"))
 
     is_t = F.col(_SIDE) == 0
-    updated = is_t & F.col(_ELIG) & F.col("_m_src").isNotNull()
+    updated = is_t & F.col(_ELIG) & F.col("_m_haskey") & F.col("_m_src").isNotNull()
     if guard_col:
         g_new, g_old = F.col("_m_src").getField(guard_col), F.col(guard_col)
         updated = updated & (g_old.isNull() | (g_new >= g_old))
-    keep = is_t | (F.col("_m_nelig") == 0)
+    keep = is_t | (F.col("_m_nelig") == 0) | ~F.col("_m_haskey")
     out_cols = [F.when(updated, F.col("_m_src").getField(c)).otherwise(F.col(c)).alias(c)
                 if c in update_cols else F.col(c) for c in cols]
-    merged = keyed.where(keep).select(*out_cols)
-    return merged.unionByName(nulls.select(*cols))
+    return keyed.where(keep).select(*out_cols)
 
 
 def merge_by_joins(target: DataFrame, batch: DataFrame, keys: Union[str, Sequence[str]],
