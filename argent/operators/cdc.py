@@ -98,39 +98,55 @@ def apply_changes_to_table(spark, path: str, changes: DataFrame, key: str, seq_c
                         create=lambda b: b.drop(OP))
 
 
+def paired_versions(prev: DataFrame, cur: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """One row per key with the previous (``p``) and current (``c``) version
+    as structs (NULL when absent).
+
+    Both copies are unioned and grouped by key: one shuffle, and a key that
+    (wrongly) repeats in an extract collapses to one version instead of
+    multiplying into all pairs as a join would.
+    """
+    fields = [key, *cols]
+    st_p = prev.select(F.struct(*fields)).schema[0].dataType
+    st_c = cur.select(F.struct(*fields)).schema[0].dataType
+    a = prev.select(F.col(key).alias("_k"), F.struct(*fields).alias("p"), F.lit(None).cast(st_c).alias("c"))
+    b = cur.select(F.col(key).alias("_k"), F.lit(None).cast(st_p).alias("p"), F.struct(*fields).alias("c"))
+    return a.unionByName(b).groupBy("_k").agg(F.max("p").alias("p"), F.max("c").alias("c"))
+
+
 def snapshot_diff(prev: DataFrame, cur: DataFrame, key: str, compare_cols: Optional[Sequence[str]] = None,
                   op_col: str = "op") -> DataFrame:
     """S3: rows that changed between two copies: ``insert`` / ``update`` /
     ``delete`` (unchanged keys are dropped). NULL-safe column compare.
 
-    Output: the key, ``op`` and the columns of the current copy (of the
+    Output: ``op``, the key and the columns of the current copy (of the
     previous copy for deletes).
     """
     compare_cols = list(compare_cols or [c for c in cur.columns if c != key])
-    p, c = prev.alias("p"), cur.alias("c")
-    j = p.join(c, F.col(f"p.{key}") == F.col(f"c.{key}"), "full_outer")
-    in_p, in_c = F.col(f"p.{key}").isNotNull(), F.col(f"c.{key}").isNotNull()
+    pv = paired_versions(prev, cur, key, compare_cols)
+    in_p, in_c = F.col("p").isNotNull(), F.col("c").isNotNull()
     differs = F.lit(False)
     for col in compare_cols:
-        differs = differs | ~F.col(f"p.{col}").eqNullSafe(F.col(f"c.{col}"))
+        differs = differs | ~F.col("p").getField(col).eqNullSafe(F.col("c").getField(col))
     op = (F.when(in_c & ~in_p, F.lit("insert"))
            .when(in_p & ~in_c, F.lit("delete"))
            .when(differs, F.lit("update")))
-    vals = [F.when(in_c, F.col(f"c.{x}")).otherwise(F.col(f"p.{x}")).alias(x) for x in [key, *compare_cols]]
-    return j.select(op.alias(op_col), *vals).where(F.col(op_col).isNotNull())
+    vals = [F.when(in_c, F.col("c").getField(x)).otherwise(F.col("p").getField(x)).alias(x)
+            for x in [key, *compare_cols]]
+    return pv.select(op.alias(op_col), *vals).where(F.col(op_col).isNotNull())
 
 
-def changed_columns(old_prefix: str, new_prefix: str, cols: Sequence[str]) -> Column:
-    """Array of the names of ``cols`` whose old and new values differ
-    (NULL-safe), for a row holding both versions as ``<prefix>.<col>``."""
-    flags = [F.when(~F.col(f"{old_prefix}.{c}").eqNullSafe(F.col(f"{new_prefix}.{c}")), F.lit(c)) for c in cols]
+def changed_columns(old: Column, new: Column, cols: Sequence[str]) -> Column:
+    """Array of the names of ``cols`` whose values differ (NULL-safe)
+    between two versions given as struct columns."""
+    flags = [F.when(~old.getField(c).eqNullSafe(new.getField(c)), F.lit(c)) for c in cols]
     return F.filter(F.array(*flags), lambda x: x.isNotNull())
 
 
 def diff_changed_columns(prev: DataFrame, cur: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """S4 over two copies: key and changed column names for keys in both."""
-    j = prev.alias("p").join(cur.alias("c"), key, "inner")
-    return (j.select(F.col(key), changed_columns("p", "c", cols).alias("changed_columns"))
+    pv = paired_versions(prev, cur, key, cols).where(F.col("p").isNotNull() & F.col("c").isNotNull())
+    return (pv.select(F.col("_k").alias(key), changed_columns(F.col("p"), F.col("c"), cols).alias("changed_columns"))
               .where(F.size("changed_columns") > 0))
 
 

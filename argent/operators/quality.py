@@ -152,8 +152,15 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_cond: Optional
 
 def references(child: DataFrame, parent: DataFrame, key: str, table: str, parent_cond: Optional[Column] = None,
                severity: str = "error", name: Optional[str] = None) -> DataFrame:
-    """Referential check as a result row."""
-    n = orphans(child, parent, key, parent_cond).agg(F.count(F.lit(1)).alias("f"))
+    """Referential check as a result row (failures = orphan child rows).
+
+    Child rows are first counted per key (partial aggregation map side, so a
+    key holding a large share of the rows becomes one row per task), then the
+    distinct keys are anti-joined with the parent and their counts summed.
+    """
+    p = parent.where(parent_cond) if parent_cond is not None else parent
+    per_key = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    n = per_key.join(p.select(key), key, "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("f"))
     return n.select(*_result(F.lit(name or f"references_{key}".lower()), table, F.lit(key),
                              F.lit(severity), F.col("f")))
 
