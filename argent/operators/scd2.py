@@ -179,14 +179,17 @@ def snapshot(spark, path: str, source: DataFrame, key: str, as_of, updated_col:
     no-op per key, so a run that fails half-way through the commit is repaired
     by running it again.
     """
-    from argent.sources.silver_table import BUCKET, bucket_expr, read_table
+    from argent.sources.silver_table import BUCKET, _with_bucket_meta, bucket_expr, read_table, stored_buckets
 
-    bucket = bucket_expr([key], num_buckets)
     history = read_table(spark, path, keep_bucket=True)
+    if history is not None:
+        num_buckets = stored_buckets(history, [key]) or num_buckets
+    bucket = bucket_expr([key], num_buckets)
     out = scd2_apply(history, source, key, as_of, updated_col, soft_delete_as_delete,
                      bucket_col=BUCKET, bucket=bucket)
     if history is None:
         out = out.repartition(BUCKET)
+    out = _with_bucket_meta(out, [key], num_buckets)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(path))
     return {"mode": "create" if history is None else "snapshot"}

@@ -32,6 +32,28 @@ from argent.session import work_dir
 
 BUCKET = "_bucket"
 DEFAULT_BUCKETS = 64
+BUCKETS_META = "argent.num_buckets"       # stored on the key column of every written file
+TARGET_BUCKET_BYTES = 512 * 1024 * 1024
+
+
+def buckets_for(total_bytes: int, target_bytes: int = TARGET_BUCKET_BYTES, minimum: int = 8) -> int:
+    """Bucket count for a table of ``total_bytes`` (one task and one file per
+    bucket per write): a power of two near ``total / target``. A 100 TB
+    table at 512 MB per bucket gets 2^18 buckets."""
+    n = max(minimum, -(-int(total_bytes) // int(target_bytes)))
+    return 1 << (n - 1).bit_length()
+
+
+def _with_bucket_meta(df: DataFrame, keys: Sequence[str], num_buckets: int) -> DataFrame:
+    meta = dict(df.schema[keys[0]].metadata or {})
+    meta[BUCKETS_META] = int(num_buckets)
+    return df.withMetadata(keys[0], meta)
+
+
+def stored_buckets(df: DataFrame, keys: Sequence[str]) -> Optional[int]:
+    """The bucket count a table was written with (``None`` if unknown)."""
+    v = (df.schema[keys[0]].metadata or {}).get(BUCKETS_META)
+    return int(v) if v is not None else None
 
 
 def bucket_expr(keys: Sequence[str], num_buckets: int, all_cols: Sequence[str] = ()) -> Column:
@@ -65,7 +87,7 @@ def write_table(df: DataFrame, path: str, keys: Union[str, Sequence[str]],
     file per write and a later merge reads whole buckets.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    out = df.withColumn(BUCKET, bucket_expr(keys, num_buckets, df.columns))
+    out = _with_bucket_meta(df.withColumn(BUCKET, bucket_expr(keys, num_buckets, df.columns)), keys, num_buckets)
     (out.repartition(BUCKET).write.mode("overwrite")
         .partitionBy(BUCKET).parquet(path))
 
@@ -94,6 +116,9 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
         write_table(create(batch) if create else batch, path, keys, num_buckets)
         return {"mode": "create", "buckets": num_buckets}
 
+    # The table's own bucket count wins: a different count would put a key
+    # into a second bucket.
+    num_buckets = stored_buckets(current, keys) or num_buckets
     target_cols = [c for c in current.columns if c != BUCKET]
     cols = evolve_append(target_cols, [c for c in batch.columns if not (create and c not in create(batch).columns)])
     staged = stage(batch.withColumn(BUCKET, bucket_expr(keys, num_buckets, batch.columns)), spark)
@@ -110,7 +135,7 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
     else:
         merged = merge_frames(target, staged, keys, exclude_update, match_cond, bucket_col=BUCKET,
                               guard_col=guard_col)
-    (merged.select(*cols, BUCKET).write.mode("overwrite")
+    (_with_bucket_meta(merged.select(*cols, BUCKET), keys, num_buckets).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(path))
     return {"mode": "merge", "rows": sum(r["count"] for r in stats),

@@ -76,3 +76,15 @@ def test_sink_rewrites_only_touched_buckets(spark):
     write_table(_batch(spark, 0, 1000, "base"), p, "k", 32)
     rep = merge_upsert(spark, p, _batch(spark, 5, 6, "upd"), "k", num_buckets=32)
     assert rep["buckets"] == 1
+
+
+def test_bucket_count_is_kept(spark):
+    from argent.sources.silver_table import buckets_for, stored_buckets
+    p = work_dir(spark, "t-merge-d")
+    write_table(_batch(spark, 0, 100, "base"), p, "k", 8)
+    merge_upsert(spark, p, _batch(spark, 50, 150, "upd"), "k", num_buckets=64)   # asks for another count
+    t = read_table(spark, p, keep_bucket=True)
+    assert stored_buckets(t, ["k"]) == 8
+    assert t.select("_bucket").distinct().count() <= 8
+    assert t.groupBy("k").count().where("count > 1").count() == 0 and t.count() == 150
+    assert buckets_for(100 * 1024 ** 4) == 1 << 18 and buckets_for(1) == 8
