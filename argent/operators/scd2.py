@@ -34,7 +34,7 @@ from argent.functions.exprs import OPEN_END_DATE, as_of_ts, lit_ts, scd_id
 from argent.operators.staging import DELETED, SYNCED, dedup_latest
 
 SCD_COLUMNS = ("scd_id", "valid_from", "valid_to", "updated_at", "is_current", "is_deleted")
-_H, _S = "_h", "_s"
+_H, _S, _K = "_h", "_s", "_key"
 
 
 def history_columns(source_cols: Sequence[str]) -> list:
@@ -89,6 +89,8 @@ def _paired(history_current: DataFrame, source: DataFrame, key: str, cols: Seque
     if bucket_col:
         u = u.repartition(num_partitions, bucket_col) if num_partitions else u.repartition(bucket_col)
         group = [bucket_col, "_k"]
+    # At most one non-NULL version per side and key; ``max`` stays
+    # deterministic even if a corrupt history held two current rows.
     return u.groupBy(*group).agg(F.max(_H).alias(_H), F.max(_S).alias(_S))
 
 
@@ -133,31 +135,34 @@ def scd2_apply(history: Optional[DataFrame], source: DataFrame, key: str, as_of=
     back_at = F.greatest(upd, h.getField("valid_from"))
     sentinel = lit_ts(OPEN_END_DATE)
 
-    def version(base: Column, from_: Column, to_: Column, deleted: bool, fresh: bool) -> Column:
-        """A history row as a struct: ``fresh`` = new version (new id and times)."""
-        fields = [base.getField(c).alias(c) for c in cols]
-        if fresh:
-            fields += [scd_id(base.getField(key), from_).alias("scd_id"), from_.alias("valid_from"),
-                       to_.alias("valid_to"), from_.alias("updated_at"),
-                       (to_ == sentinel).alias("is_current"), F.lit(deleted).alias("is_deleted")]
-        else:
-            fields += [base.getField("scd_id").alias("scd_id"), base.getField("valid_from").alias("valid_from"),
-                       to_.alias("valid_to"), base.getField("updated_at").alias("updated_at"),
-                       (to_ == sentinel).alias("is_current"), base.getField("is_deleted").alias("is_deleted")]
-        return F.struct(*fields)
-
-    keep = version(h, None, h.getField("valid_to"), False, False)
-    rows = (F.when(action == "insert", F.array(version(s, upd, sentinel, False, True)))
-             .when(action == "update", F.array(version(h, None, upd, False, False),
-                                               version(s, upd, sentinel, False, True)))
-             .when(action == "delete", F.array(version(h, None, now, False, False),
-                                               version(h, now, sentinel, True, True)))
-             .when(action == "return", F.array(version(h, None, back_at, False, False),
-                                               version(s, back_at, sentinel, False, True)))
-             .otherwise(F.array(keep)))
+    # Each key emits one or two versions; a small array of version kinds is
+    # exploded and every output column is one CASE on the kind (small
+    # expressions keep code generation cheap).
+    kinds = (F.when(action == "insert", F.array(F.lit("open")))
+              .when(action == "update", F.array(F.lit("close_upd"), F.lit("open")))
+              .when(action == "delete", F.array(F.lit("close_now"), F.lit("marker")))
+              .when(action == "return", F.array(F.lit("close_back"), F.lit("open_back")))
+              .otherwise(F.array(F.lit("keep"))))
     extra = [bucket_col] if bucket_col else []
-    out = p.select(*extra, F.explode(rows).alias("_v")).select(*extra, *[F.col("_v").getField(c).alias(c) for c in hcols])
-    return out.select(*hcols, *extra).unionByName(closed.select(*hcols, *extra))
+    e = p.select(*extra, _H, _S, back_at.alias("_back"), F.explode(kinds).alias("_kind"))
+    kind, back = F.col("_kind"), F.col("_back")
+    is_open = kind.isin("open", "open_back")
+    start_at = (F.when(kind == "open", upd).when(kind == "open_back", back)
+                 .when(kind == "marker", now).otherwise(h.getField("valid_from")))
+    end_at = (F.when(kind == "close_upd", upd).when(kind == "close_now", now).when(kind == "close_back", back)
+               .when(kind == "keep", h.getField("valid_to")).otherwise(sentinel))
+    out_cols = [F.when(is_open, s.getField(c)).otherwise(h.getField(c)).alias(c) for c in cols]
+    out_cols += [
+        F.when(is_open | (kind == "marker"), scd_id(F.col(_K), start_at)).otherwise(h.getField("scd_id")).alias("scd_id"),
+        start_at.alias("valid_from"),
+        end_at.alias("valid_to"),
+        F.when(is_open | (kind == "marker"), start_at).otherwise(h.getField("updated_at")).alias("updated_at"),
+        (end_at == sentinel).alias("is_current"),
+        F.when(kind == "marker", F.lit(True)).when(is_open, F.lit(False))
+         .otherwise(h.getField("is_deleted")).alias("is_deleted"),
+    ]
+    out = e.withColumn(_K, F.coalesce(s.getField(key), h.getField(key))).select(*out_cols, *extra)
+    return out.unionByName(closed.select(*hcols, *extra))
 
 
 def current_view(history: DataFrame, columns: Sequence[str]) -> DataFrame:
