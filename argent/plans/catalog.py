@@ -626,3 +626,9 @@ def _st2(spark, sf_dir):
 def _st4(spark, sf_dir):
     t = streamed_table(spark, sf_dir, "order_headers", [fx.orders_v1, fx.orders_v2])
     return t.agg(st.high_water(t).alias("high_water"))
+
+
+@query("f7_lit_ts")
+def _f7(spark, sf_dir):
+    d = fx.incidents(spark, sf_dir)
+    return d.select("INCIDENT_ID", F.coalesce(fn.try_ts("INCIDENT_DATE"), fn.lit_ts(fn.MIN_DATE)).alias("INCIDENT_AT"))

@@ -551,3 +551,6 @@ ORACLES.update({
     "st4_stream_high_water": f"""select coalesce(max(_bronze_sync_timestamp), {MIN_TS}) as high_water
         from ({model_build('order_headers')}) m""",
 })
+
+ORACLES["f7_lit_ts"] = f"""select INCIDENT_ID, coalesce(try_cast(INCIDENT_DATE as timestamp), {MIN_TS}) as INCIDENT_AT
+    from ({FIXTURES['incidents']}) i"""
