@@ -63,3 +63,14 @@ def _checkpoint_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str = "run") -> str:
     """A fresh folder under the checkpoint root for tables written by one job."""
     return f"{_checkpoint_root(spark)}/argent/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder this library wrote under the work folder (Hadoop
+    FileSystem of the path, so it works on any cluster store)."""
+    if "/argent/" not in path:
+        raise ValueError(f"refusing to delete a path outside the work folder: {path}")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from argent.operators.merge import evolve_append, merge_frames
 from argent.operators.staging import AUDIT_LOAD
-from argent.session import work_dir
+from argent.session import remove_path, work_dir
 
 BUCKET = "_bucket"
 DEFAULT_BUCKETS = 64
@@ -93,10 +93,13 @@ def write_table(df: DataFrame, path: str, keys: Union[str, Sequence[str]],
 
 
 def stage(df: DataFrame, spark: SparkSession, name: str = "stage") -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back."""
+    """Write ``df`` once to the shared checkpoint folder and read it back
+    (the read carries its folder as ``stage_path``)."""
     path = work_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.stage_path = path
+    return out
 
 
 def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[str, Sequence[str]],
@@ -124,6 +127,7 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
     staged = stage(batch.withColumn(BUCKET, bucket_expr(keys, num_buckets, batch.columns)), spark)
     stats = staged.groupBy(BUCKET).count().collect()          # <= num_buckets rows
     if not stats:
+        remove_path(spark, staged.stage_path)
         return {"mode": "merge", "rows": 0, "buckets": 0}
     new_columns = len(cols) > len(target_cols)
     touched = sorted(r[BUCKET] for r in stats)
@@ -138,5 +142,7 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
     (_with_bucket_meta(merged.select(*cols, BUCKET), keys, num_buckets).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(path))
+    # Committed: the staged batch is no longer needed for a repair run.
+    remove_path(spark, staged.stage_path)
     return {"mode": "merge", "rows": sum(r["count"] for r in stats),
             "buckets": num_buckets if new_columns else len(touched)}
