@@ -10,9 +10,21 @@ from __future__ import annotations
 from typing import Callable, Dict, Optional
 
 from pyspark.sql import DataFrame, SparkSession
-
-from argent.plans.models import MODELS, build_silver
+from pyspark.sql import functions as F
+
+from argent.functions import exprs as fn
+from argent.functions.exprs import lit_ts
+from argent.operators import cdc, scd2
+from argent.operators import governance as gov
+from argent.operators import quality as dq
+from argent.operators import staging as st
+from argent.plans.checks import FRESHNESS, SUITES
+from argent.plans.models import MODELS, build_silver, materialize
+from argent.session import cut_lineage, work_dir
 from argent.sources import fixtures as fx
+from argent.sources.bronze import SOURCES, project_bronze
+from argent.sources.silver_table import read_table, write_table
+from argent.streaming import run_incremental
 
 RUN1 = "run-0001"
 RUN2 = "run-0002"
@@ -22,9 +34,9 @@ QUERIES: Dict[str, Query] = {}
 
 
 def query(name: str):
-    def deco(fn):
-        QUERIES[name] = fn
-        return fn
+    def deco(f):
+        QUERIES[name] = f
+        return f
     return deco
 
 
@@ -44,14 +56,7 @@ for _id, _model in _M:
 # ---------------------------------------------------------------------------
 # Two-run incremental fixtures (P5, P6, A1, S6-S9, J3, J4, ST3)
 # ---------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
 
-from argent.functions.exprs import lit_ts  # noqa: E402
-from argent.operators import staging as st  # noqa: E402
-from argent.plans.models import materialize  # noqa: E402
-from argent.session import work_dir  # noqa: E402
-from argent.sources.bronze import project_bronze  # noqa: E402
-from argent.sources.silver_table import read_table  # noqa: E402
 
 ORDERS_CUT = "2000-01-01 00:00:00"
 EVENTS_CUT = "2024-01-20 00:00:00"
@@ -220,7 +225,6 @@ def _st3(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Type-2 history
 # ---------------------------------------------------------------------------
-from argent.operators import scd2  # noqa: E402
 
 CUSTOMER_VIEW_COLS = ["CUSTOMER_ID", "EMAIL", "PHONE", "FIRST_NAME", "LAST_NAME",
                       "REGISTRATION_DATE", "CUSTOMER_TYPE", "STATUS"]
@@ -239,9 +243,13 @@ def history_table(spark, sf_dir, snap: str, runs=(1, 2, 3)) -> DataFrame:
 
 
 def history_in_memory(spark, sf_dir, runs=(1, 2, 3)) -> DataFrame:
+    """The history as a DataFrame (no table); lineage is cut between runs so
+    run n does not recompute runs 1..n-1."""
     h = None
-    for r in runs:
+    for i, r in enumerate(runs):
         h = scd2.scd2_apply(h, fx.customers_run(spark, sf_dir, r), "CUSTOMER_ID", fx.HISTORY_RUNS[r])
+        if i < len(runs) - 1:
+            h = cut_lineage(h)
     return h
 
 
@@ -297,9 +305,6 @@ def _f17(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Data quality
 # ---------------------------------------------------------------------------
-from argent.operators import quality as dq  # noqa: E402
-from argent.plans.checks import FRESHNESS, SUITES  # noqa: E402
-from argent.sources.bronze import SOURCES  # noqa: E402
 
 
 @query("a2_duplicate_groups")
@@ -432,8 +437,6 @@ def _o1(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Change feeds (S2-S5), schema evolution (S9), docs
 # ---------------------------------------------------------------------------
-from argent.operators import cdc  # noqa: E402
-from argent.sources.silver_table import write_table  # noqa: E402
 
 CAMPAIGN_COLS = ["CAMPAIGN_NAME", "TOTAL_SPEND", "CUSTOMERS_ACQUIRED"]
 
@@ -492,8 +495,6 @@ def _s12(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Governance
 # ---------------------------------------------------------------------------
-from argent.functions import exprs as fn  # noqa: E402
-from argent.operators import governance as gov  # noqa: E402
 
 
 @query("g1_tag_pii")
@@ -590,7 +591,6 @@ def _f15(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Streaming (ST1, ST2, ST4)
 # ---------------------------------------------------------------------------
-from argent.streaming import run_incremental  # noqa: E402
 
 
 def _land(df: DataFrame, path: str) -> None:

@@ -74,3 +74,10 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.delete(p, True))
+
+
+def cut_lineage(df):
+    """Materialise ``df`` with a reliable checkpoint in the shared folder of
+    ``spark.checkpoint.dir`` (survives executor loss, unlike a local one)."""
+    _checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
