@@ -173,7 +173,7 @@ def current_view(history: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def snapshot(spark, path: str, source: DataFrame, key: str, as_of, updated_col: str = SYNCED,
-             soft_delete_as_delete: bool = False, num_buckets: int = 64) -> dict:
+             soft_delete_as_delete: bool = False, num_buckets: int = 64, pii: Optional[dict] = None) -> dict:
     """S10 sink: apply one snapshot run to the history table at ``path``.
 
     The table is partitioned by ``_bucket = pmod(xxhash64(key), N)``. The run
@@ -182,8 +182,10 @@ def snapshot(spark, path: str, source: DataFrame, key: str, as_of, updated_col:
     partition overwrite; closed versions of a bucket are rewritten with it, so
     a bucket always holds the whole history of its keys. Re-running a run is a
     no-op per key, so a run that fails half-way through the commit is repaired
-    by running it again.
+    by running it again. ``pii`` tags (G1) are re-applied on every write:
+    column expressions drop metadata.
     """
+    from argent.operators.governance import tag_pii
     from argent.sources.silver_table import BUCKET, _with_bucket_meta, bucket_expr, read_table, stored_buckets
 
     history = read_table(spark, path, keep_bucket=True)
@@ -195,6 +197,8 @@ def snapshot(spark, path: str, source: DataFrame, key: str, as_of, updated_col:
     if history is None:
         out = out.repartition(BUCKET)
     out = _with_bucket_meta(out, [key], num_buckets)
+    if pii:
+        out = tag_pii(out, pii)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(path))
     return {"mode": "create" if history is None else "snapshot"}

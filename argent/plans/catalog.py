@@ -238,7 +238,7 @@ def history_table(spark, sf_dir, snap: str, runs=(1, 2, 3)) -> DataFrame:
     path = work_dir(spark, f"history-{snap}")
     for r in runs:
         scd2.snapshot(spark, path, run_of(spark, sf_dir, r), spec.key, fx.HISTORY_RUNS[r],
-                      num_buckets=spec.num_buckets)
+                      num_buckets=spec.num_buckets, pii=dict(spec.pii))
     return read_table(spark, path)
 
 

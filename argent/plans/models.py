@@ -51,6 +51,7 @@ class SnapshotSpec:
     key: str
     columns: Tuple[str, ...]
     num_buckets: int = 64
+    pii: Tuple[Tuple[str, str], ...] = ()     # (column, PII class) tags written with the table
 
 
 MODELS: Dict[str, ModelSpec] = {m.name: m for m in [
@@ -80,7 +81,8 @@ MODELS: Dict[str, ModelSpec] = {m.name: m for m in [
 
 SNAPSHOTS: Dict[str, SnapshotSpec] = {s.name: s for s in [
     SnapshotSpec("customer_history", "customers", "CUSTOMER_ID",
-                 ("EMAIL", "PHONE", "FIRST_NAME", "LAST_NAME", "REGISTRATION_DATE", "CUSTOMER_TYPE", "STATUS")),
+                 ("EMAIL", "PHONE", "FIRST_NAME", "LAST_NAME", "REGISTRATION_DATE", "CUSTOMER_TYPE", "STATUS"),
+                 pii=(("EMAIL", "EMAIL"), ("PHONE", "PHONE"), ("FIRST_NAME", "FIRST_NAME"), ("LAST_NAME", "LAST_NAME"))),
     SnapshotSpec("item_history", "items", "ITEM_ID", ("STATUS", "CATEGORY_ID", "BRAND_ID")),
 ]}
 

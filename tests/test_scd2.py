@@ -41,3 +41,15 @@ def test_marker_and_return(spark):
     h = scd2.scd2_apply(h, spark.createDataFrame([(1, "b", d(25))], S), "k", "2024-01-30")
     cur = h.where("is_current").collect()
     assert len(cur) == 1 and cur[0].v == "b" and not cur[0].is_deleted and h.count() == 3
+
+
+def test_history_keeps_pii_tags(spark):
+    from argent.operators import governance as gov
+    path = work_dir(spark, "t-hist-tags")
+    tags = {"EMAIL": "EMAIL", "PHONE": "PHONE"}
+    for r in (1, 2):
+        scd2.snapshot(spark, path, fx.customers_run(spark, SF001, r), "CUSTOMER_ID", fx.HISTORY_RUNS[r],
+                      num_buckets=4, pii=tags)
+    h = read_table(spark, path)
+    assert gov.pii_columns(h) == tags
+    assert gov.masked_view(h).where("EMAIL <> '***MASKED***'").count() == 0
