@@ -134,11 +134,11 @@ def materialize(spark: SparkSession, spec: ModelSpec, bronze: DataFrame, path: s
     reference disables it).  ``use_window=None`` follows the spec's J4 flag;
     the default key-only match keeps the table unique (quirk Q3).
     """
-    from argent.sources.silver_table import merge_upsert, read_table
+    from argent.sources.silver_table import merge_upsert, table_high_water
 
     if full_refresh:
         raise ValueError(f"full refresh of {spec.name} is disabled")
-    target = read_table(spark, path)
-    batch = build_silver(bronze, spec, as_of, run_id, target=target, env=env, lookback_days=lookback_days)
+    hw = table_high_water(spark, path)          # None on the first run
+    batch = build_silver(bronze, spec, as_of, run_id, env=env, lookback_days=lookback_days, watermark=hw)
     return merge_upsert(spark, path, batch, spec.key, match_cond=match_condition(spec, as_of, use_window),
                         num_buckets=spec.num_buckets)

@@ -16,10 +16,19 @@ Write protocol of :func:`merge_upsert`:
 A re-run of step 3 with the same staged batch gives the same table (the merge
 is idempotent per key), so a failure half-way through the commit is repaired
 by running it again.
+
+High-water marks: a table with the sync audit column keeps, in the hidden
+folder ``<path>/_marks`` (ignored by table reads), one row per bucket with
+the bucket's maximum sync time. Before a commit the touched buckets' marks are
+set dirty; after it they are recomputed from the rewritten buckets (one
+column, partition-pruned). :func:`table_high_water` reads at most N small
+rows and scans only dirty buckets, instead of the whole table every run; the
+value is exactly ``max(sync)`` of the table.
 """
 
 from __future__ import annotations
 
+import datetime
 from typing import Optional, Sequence, Union
 
 from pyspark.errors import AnalysisException
@@ -27,7 +36,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from argent.operators.merge import evolve_append, merge_frames
-from argent.operators.staging import AUDIT_LOAD
+from argent.functions.exprs import MIN_DATE
+from argent.operators.staging import AUDIT_LOAD, AUDIT_SYNC, high_water_value
 from argent.session import remove_path, work_dir
 
 BUCKET = "_bucket"
@@ -56,6 +66,54 @@ def stored_buckets(df: DataFrame, keys: Sequence[str]) -> Optional[int]:
     return int(v) if v is not None else None
 
 
+MARKS = "_marks"
+
+
+def marks_path(path: str) -> str:
+    return f"{path.rstrip('/')}/{MARKS}"
+
+
+def _write_marks(marks: DataFrame, path: str) -> None:
+    (marks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy(BUCKET).parquet(marks_path(path)))
+
+
+def mark_dirty(spark: SparkSession, path: str, buckets: Sequence[int]) -> None:
+    """Before a commit: the marks of these buckets become unknown."""
+    rows = spark.createDataFrame([(int(b),) for b in buckets], f"{BUCKET} int")
+    _write_marks(rows.select(F.lit(None).cast("timestamp_ntz").alias("high_water"),
+                             F.lit(True).alias("dirty"), BUCKET), path)
+
+
+def mark_clean(spark: SparkSession, path: str, buckets: Optional[Sequence[int]] = None,
+               col: str = AUDIT_SYNC) -> None:
+    """After a commit: exact per-bucket maxima of the rewritten buckets."""
+    t = spark.read.parquet(path)
+    if buckets is not None:
+        t = t.where(F.col(BUCKET).isin([int(b) for b in buckets]))
+    _write_marks(t.groupBy(BUCKET).agg(F.max(col).alias("high_water"), F.lit(False).alias("dirty")), path)
+
+
+def table_high_water(spark: SparkSession, path: str, col: str = AUDIT_SYNC, min_date: str = MIN_DATE):
+    """A1 for a stored table: ``coalesce(max(col), min_date)`` from the marks,
+    rescanning only buckets whose mark is dirty; a table without marks is
+    scanned (one column). ``None`` when the table does not exist."""
+    table = read_table(spark, path, keep_bucket=True)
+    if table is None:
+        return None
+    try:
+        marks = spark.read.parquet(marks_path(path))
+    except AnalysisException:
+        return high_water_value(table, col, min_date)
+    m = marks.agg(F.max(F.when(~F.col("dirty"), F.col("high_water"))).alias("hw"),
+                  F.collect_set(F.when(F.col("dirty"), F.col(BUCKET))).alias("dirty")).first()  # <= N ints
+    hw, dirty = m["hw"], list(m["dirty"] or [])
+    if dirty:
+        rescan = table.where(F.col(BUCKET).isin(dirty)).agg(F.max(col).alias("m")).first()["m"]
+        hw = max([v for v in (hw, rescan) if v is not None], default=None)
+    return hw if hw is not None else datetime.datetime.fromisoformat(min_date)
+
+
 def bucket_expr(keys: Sequence[str], num_buckets: int, all_cols: Sequence[str] = ()) -> Column:
     """Storage bucket of a row: hash of the key; rows with a NULL key (they
     never match) are spread by the hash of the whole row instead of piling up
@@ -90,6 +148,13 @@ def write_table(df: DataFrame, path: str, keys: Union[str, Sequence[str]],
     out = _with_bucket_meta(df.withColumn(BUCKET, bucket_expr(keys, num_buckets, df.columns)), keys, num_buckets)
     (out.repartition(BUCKET).write.mode("overwrite")
         .partitionBy(BUCKET).parquet(path))
+    if AUDIT_SYNC in df.columns:
+        mark_clean(df.sparkSession, path)
+
+
+def _present_buckets(table: DataFrame) -> list:
+    """Bucket numbers present in a table (<= N small integers)."""
+    return [r[0] for r in table.select(BUCKET).distinct().collect()]
 
 
 def stage(df: DataFrame, spark: SparkSession, name: str = "stage") -> DataFrame:
@@ -139,9 +204,14 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
     else:
         merged = merge_frames(target, staged, keys, exclude_update, match_cond, bucket_col=BUCKET,
                               guard_col=guard_col)
+    marked = AUDIT_SYNC in cols
+    if marked:
+        mark_dirty(spark, path, _present_buckets(current) if new_columns else touched)
     (_with_bucket_meta(merged.select(*cols, BUCKET), keys, num_buckets).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(path))
+    if marked:
+        mark_clean(spark, path, None if new_columns else touched)
     # Committed: the staged batch is no longer needed for a repair run.
     remove_path(spark, staged.stage_path)
     return {"mode": "merge", "rows": sum(r["count"] for r in stats),

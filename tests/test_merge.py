@@ -88,3 +88,22 @@ def test_bucket_count_is_kept(spark):
     assert t.select("_bucket").distinct().count() <= 8
     assert t.groupBy("k").count().where("count > 1").count() == 0 and t.count() == 150
     assert buckets_for(100 * 1024 ** 4) == 1 << 18 and buckets_for(1) == 8
+
+
+def test_high_water_marks_exact_and_repair(spark):
+    from argent.sources.silver_table import mark_dirty, marks_path, table_high_water
+    p = work_dir(spark, "t-merge-hw")
+    base = _batch(spark, 0, 300, "base").withColumn(
+        "_bronze_sync_timestamp", F.timestamp_seconds(F.col("k")).cast("timestamp_ntz"))
+    write_table(base, p, "k", 8)
+    scan = lambda: read_table(spark, p).agg(F.max("_bronze_sync_timestamp")).first()[0]
+    assert table_high_water(spark, p) == scan()
+    newer = _batch(spark, 290, 320, "upd").withColumn(
+        "_bronze_sync_timestamp", F.timestamp_seconds(F.col("k") + 1000).cast("timestamp_ntz"))
+    merge_upsert(spark, p, newer, "k", num_buckets=8)
+    assert table_high_water(spark, p) == scan()
+    # a crash between the data commit and the marks leaves dirty marks: those buckets are rescanned
+    mark_dirty(spark, p, list(range(8)))
+    assert table_high_water(spark, p) == scan()
+    assert spark.read.parquet(marks_path(p)).count() == 8
+    assert read_table(spark, p).count() == 320          # the marks folder is not part of the table
