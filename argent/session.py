@@ -65,17 +65,44 @@ def work_dir(spark: SparkSession, name: str = "run") -> str:
     return f"{_checkpoint_root(spark)}/argent/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def remove_path(spark: SparkSession, path: str) -> bool:
-    """Delete a folder this library wrote under the work folder (Hadoop
-    FileSystem of the path, so it works on any cluster store)."""
-    if "/argent/" not in path:
-        raise ValueError(f"refusing to delete a path outside the work folder: {path}")
+def _fs_path(spark: SparkSession, path: str):
+    """Hadoop FileSystem and Path of ``path`` (works on any cluster store)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return bool(fs.exists(p))
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty flag file."""
+    fs, p = _fs_path(spark, path)
+    fs.create(p, True).close()
+
+
+def _owned(path: str) -> bool:
+    """Paths this library may delete or move: work folders and table side files."""
+    return "/argent/" in path or "/_marks" in path
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder or file this library wrote (work folder, table side files)."""
+    if not _owned(path):
+        raise ValueError(f"refusing to delete a path this library did not write: {path}")
+    fs, p = _fs_path(spark, path)
     return bool(fs.delete(p, True))
 
 
+def move_path(spark: SparkSession, src: str, dst: str) -> bool:
+    if not (_owned(src) and _owned(dst)):
+        raise ValueError(f"refusing to move {src} -> {dst}")
+    fs, p = _fs_path(spark, src)
+    return bool(fs.rename(p, _fs_path(spark, dst)[1]))
+
+
 def cut_lineage(df):
     """Materialise ``df`` with a reliable checkpoint in the shared folder of
     ``spark.checkpoint.dir`` (survives executor loss, unlike a local one)."""

@@ -19,11 +19,12 @@ by running it again.
 
 High-water marks: a table with the sync audit column keeps, in the hidden
 folder ``<path>/_marks`` (ignored by table reads), one row per bucket with
-the bucket's maximum sync time. Before a commit the touched buckets' marks are
-set dirty; after it they are recomputed from the rewritten buckets (one
-column, partition-pruned). :func:`table_high_water` reads at most N small
-rows and scans only dirty buckets, instead of the whole table every run; the
-value is exactly ``max(sync)`` of the table.
+the bucket's maximum sync time. A flag file is set before a commit; after it
+the marks of the rewritten buckets are recomputed (one column,
+partition-pruned) and the flag is cleared. :func:`table_high_water` reads at
+most N small rows instead of scanning the whole table every run; while the
+flag is set (a run died between its commits) it scans, and the next commit
+rebuilds all marks, so the value is always exactly ``max(sync)``.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from argent.operators.merge import evolve_append, merge_frames
 from argent.functions.exprs import MIN_DATE
 from argent.operators.staging import AUDIT_LOAD, AUDIT_SYNC, high_water_value
-from argent.session import remove_path, work_dir
+from argent.session import move_path, path_exists, remove_path, touch, work_dir
 
 BUCKET = "_bucket"
 DEFAULT_BUCKETS = 64
@@ -66,51 +67,58 @@ def stored_buckets(df: DataFrame, keys: Sequence[str]) -> Optional[int]:
     return int(v) if v is not None else None
 
 
-MARKS = "_marks"
+MARKS = "_marks"              # one row per bucket: the bucket's max sync time
+MARKS_DIRTY = "_marks_dirty"  # flag file: a commit is in progress, marks may be stale
 
 
 def marks_path(path: str) -> str:
     return f"{path.rstrip('/')}/{MARKS}"
 
 
-def _write_marks(marks: DataFrame, path: str) -> None:
-    (marks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(BUCKET).parquet(marks_path(path)))
+def _dirty_path(path: str) -> str:
+    return f"{path.rstrip('/')}/{MARKS_DIRTY}"
 
 
-def mark_dirty(spark: SparkSession, path: str, buckets: Sequence[int]) -> None:
-    """Before a commit: the marks of these buckets become unknown."""
-    rows = spark.createDataFrame([(int(b),) for b in buckets], f"{BUCKET} int")
-    _write_marks(rows.select(F.lit(None).cast("timestamp_ntz").alias("high_water"),
-                             F.lit(True).alias("dirty"), BUCKET), path)
+def begin_commit(spark: SparkSession, path: str) -> bool:
+    """Before rewriting buckets: flag the marks as unreliable. Returns whether
+    the flag was already set (a previous run died between its two commits)."""
+    was = path_exists(spark, _dirty_path(path))
+    touch(spark, _dirty_path(path))
+    return was
 
 
-def mark_clean(spark: SparkSession, path: str, buckets: Optional[Sequence[int]] = None,
+def end_commit(spark: SparkSession, path: str, buckets: Optional[Sequence[int]] = None,
                col: str = AUDIT_SYNC) -> None:
-    """After a commit: exact per-bucket maxima of the rewritten buckets."""
+    """After rewriting buckets: new marks = old marks of the other buckets +
+    exact maxima of the rewritten ones (one column, partition-pruned); then
+    clear the flag. ``buckets=None`` recomputes every bucket."""
+    mp = marks_path(path)
     t = spark.read.parquet(path)
-    if buckets is not None:
-        t = t.where(F.col(BUCKET).isin([int(b) for b in buckets]))
-    _write_marks(t.groupBy(BUCKET).agg(F.max(col).alias("high_water"), F.lit(False).alias("dirty")), path)
+    if buckets is None or not path_exists(spark, mp):
+        new = t.groupBy(BUCKET).agg(F.max(col).alias("high_water"))
+    else:
+        touched = [int(b) for b in buckets]
+        fresh = t.where(F.col(BUCKET).isin(touched)).groupBy(BUCKET).agg(F.max(col).alias("high_water"))
+        new = spark.read.parquet(mp).where(~F.col(BUCKET).isin(touched)).unionByName(fresh)
+    nxt = mp + "_next"
+    new.write.mode("overwrite").parquet(nxt)
+    if path_exists(spark, mp):
+        remove_path(spark, mp)
+    move_path(spark, nxt, mp)
+    remove_path(spark, _dirty_path(path))
 
 
 def table_high_water(spark: SparkSession, path: str, col: str = AUDIT_SYNC, min_date: str = MIN_DATE):
-    """A1 for a stored table: ``coalesce(max(col), min_date)`` from the marks,
-    rescanning only buckets whose mark is dirty; a table without marks is
-    scanned (one column). ``None`` when the table does not exist."""
-    table = read_table(spark, path, keep_bucket=True)
+    """A1 for a stored table: ``coalesce(max(col), min_date)`` read from the
+    marks (<= N small rows). Without reliable marks (none yet, or a run died
+    between its commits) the table's column is scanned, which is exact.
+    ``None`` when the table does not exist."""
+    table = read_table(spark, path)
     if table is None:
         return None
-    try:
-        marks = spark.read.parquet(marks_path(path))
-    except AnalysisException:
+    if path_exists(spark, _dirty_path(path)) or not path_exists(spark, marks_path(path)):
         return high_water_value(table, col, min_date)
-    m = marks.agg(F.max(F.when(~F.col("dirty"), F.col("high_water"))).alias("hw"),
-                  F.collect_set(F.when(F.col("dirty"), F.col(BUCKET))).alias("dirty")).first()  # <= N ints
-    hw, dirty = m["hw"], list(m["dirty"] or [])
-    if dirty:
-        rescan = table.where(F.col(BUCKET).isin(dirty)).agg(F.max(col).alias("m")).first()["m"]
-        hw = max([v for v in (hw, rescan) if v is not None], default=None)
+    hw = spark.read.parquet(marks_path(path)).agg(F.max("high_water")).first()[0]
     return hw if hw is not None else datetime.datetime.fromisoformat(min_date)
 
 
@@ -149,12 +157,7 @@ def write_table(df: DataFrame, path: str, keys: Union[str, Sequence[str]],
     (out.repartition(BUCKET).write.mode("overwrite")
         .partitionBy(BUCKET).parquet(path))
     if AUDIT_SYNC in df.columns:
-        mark_clean(df.sparkSession, path)
-
-
-def _present_buckets(table: DataFrame) -> list:
-    """Bucket numbers present in a table (<= N small integers)."""
-    return [r[0] for r in table.select(BUCKET).distinct().collect()]
+        end_commit(df.sparkSession, path)
 
 
 def stage(df: DataFrame, spark: SparkSession, name: str = "stage") -> DataFrame:
@@ -205,13 +208,12 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
         merged = merge_frames(target, staged, keys, exclude_update, match_cond, bucket_col=BUCKET,
                               guard_col=guard_col)
     marked = AUDIT_SYNC in cols
-    if marked:
-        mark_dirty(spark, path, _present_buckets(current) if new_columns else touched)
+    rebuild = begin_commit(spark, path) if marked else False
     (_with_bucket_meta(merged.select(*cols, BUCKET), keys, num_buckets).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(path))
     if marked:
-        mark_clean(spark, path, None if new_columns else touched)
+        end_commit(spark, path, None if (new_columns or rebuild) else touched)
     # Committed: the staged batch is no longer needed for a repair run.
     remove_path(spark, staged.stage_path)
     return {"mode": "merge", "rows": sum(r["count"] for r in stats),
