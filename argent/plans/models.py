@@ -33,6 +33,7 @@ class ModelSpec:
     date_limit: Optional[str] = None  # P8 column (outside production)
     tie_breakers: Tuple[str, ...] = ()
     num_buckets: int = 64
+    range_width: Optional[int] = None   # key-range buckets for keys that grow with time
 
     @property
     def column_names(self) -> list:
@@ -54,15 +55,19 @@ class SnapshotSpec:
     pii: Tuple[Tuple[str, str], ...] = ()     # (column, PII class) tags written with the table
 
 
+# Event-keyed CRM tables get ids in time order: key-range buckets keep an
+# incremental merge inside the newest few buckets. Width in ids per bucket.
+EVENT_ID_RANGE = 4096
+
 MODELS: Dict[str, ModelSpec] = {m.name: m for m in [
     ModelSpec("registration_source", "registration_source", "crm", "REGISTRATION_ID",
-              (("CUSTOMER_ID", None), ("CHANNEL", or_unknown))),
+              (("CUSTOMER_ID", None), ("CHANNEL", or_unknown)), range_width=EVENT_ID_RANGE),
     ModelSpec("incidents", "incidents", "crm", "INCIDENT_ID",
-              (("CUSTOMER_ID", None), ("INCIDENT_DATE", try_ts))),
+              (("CUSTOMER_ID", None), ("INCIDENT_DATE", try_ts)), range_width=EVENT_ID_RANGE),
     ModelSpec("interactions", "interactions", "crm", "INTERACTION_ID",
-              (("CUSTOMER_ID", None), ("INTERACTION_DATE", try_ts)), match_window=True),
+              (("CUSTOMER_ID", None), ("INTERACTION_DATE", try_ts)), match_window=True, range_width=EVENT_ID_RANGE),
     ModelSpec("surveys", "surveys", "crm", "SURVEY_ID",
-              (("CUSTOMER_ID", None), ("NPS_SCORE", whole), ("CSAT_SCORE", whole))),
+              (("CUSTOMER_ID", None), ("NPS_SCORE", whole), ("CSAT_SCORE", whole)), range_width=EVENT_ID_RANGE),
     ModelSpec("addresses", "addresses", "erp", "ADDRESS_ID",
               (("CITY", clean_upper), ("STATE", clean_upper))),
     ModelSpec("brands", "brands", "erp", "BRAND_ID", (("BRAND_NAME", or_unknown),)),
@@ -141,4 +146,4 @@ def materialize(spark: SparkSession, spec: ModelSpec, bronze: DataFrame, path: s
     hw = table_high_water(spark, path)          # None on the first run
     batch = build_silver(bronze, spec, as_of, run_id, env=env, lookback_days=lookback_days, watermark=hw)
     return merge_upsert(spark, path, batch, spec.key, match_cond=match_condition(spec, as_of, use_window),
-                        num_buckets=spec.num_buckets)
+                        num_buckets=spec.num_buckets, range_width=spec.range_width)

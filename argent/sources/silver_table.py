@@ -44,6 +44,8 @@ from argent.session import move_path, path_exists, remove_path, touch, work_dir
 BUCKET = "_bucket"
 DEFAULT_BUCKETS = 64
 BUCKETS_META = "argent.num_buckets"       # stored on the key column of every written file
+RANGE_META = "argent.range_width"         # set instead when buckets are key ranges
+NULL_KEY_SPREAD = 16                      # range buckets -1..-16 hold rows with a NULL key
 TARGET_BUCKET_BYTES = 512 * 1024 * 1024
 
 
@@ -55,18 +57,28 @@ def buckets_for(total_bytes: int, target_bytes: int = TARGET_BUCKET_BYTES, minim
     return 1 << (n - 1).bit_length()
 
 
-def _with_bucket_meta(df: DataFrame, keys: Sequence[str], num_buckets: int) -> DataFrame:
-    meta = dict(df.schema[keys[0]].metadata or {})
-    meta[BUCKETS_META] = int(num_buckets)
+def _with_bucket_meta(df: DataFrame, keys: Sequence[str], num_buckets: int,
+                      range_width: Optional[int] = None) -> DataFrame:
+    meta = {k: v for k, v in (df.schema[keys[0]].metadata or {}).items() if k not in (BUCKETS_META, RANGE_META)}
+    if range_width:
+        meta[RANGE_META] = int(range_width)
+    else:
+        meta[BUCKETS_META] = int(num_buckets)
     return df.withMetadata(keys[0], meta)
 
 
 def stored_buckets(df: DataFrame, keys: Sequence[str]) -> Optional[int]:
-    """The bucket count a table was written with (``None`` if unknown)."""
+    """The bucket count a hash-bucketed table was written with (``None`` if unknown)."""
     v = (df.schema[keys[0]].metadata or {}).get(BUCKETS_META)
     return int(v) if v is not None else None
 
 
+def stored_range_width(df: DataFrame, keys: Sequence[str]) -> Optional[int]:
+    """The key-range width of a range-bucketed table (``None`` if hash-bucketed)."""
+    v = (df.schema[keys[0]].metadata or {}).get(RANGE_META)
+    return int(v) if v is not None else None
+
+
 MARKS = "_marks"              # one row per bucket: the bucket's max sync time
 MARKS_DIRTY = "_marks_dirty"  # flag file: a commit is in progress, marks may be stale
 
@@ -122,18 +134,38 @@ def table_high_water(spark: SparkSession, path: str, col: str = AUDIT_SYNC, min_
     return hw if hw is not None else datetime.datetime.fromisoformat(min_date)
 
 
-def bucket_expr(keys: Sequence[str], num_buckets: int, all_cols: Sequence[str] = ()) -> Column:
-    """Storage bucket of a row: hash of the key; rows with a NULL key (they
-    never match) are spread by the hash of the whole row instead of piling up
-    in one bucket."""
+def bucket_expr(keys: Sequence[str], num_buckets: int, all_cols: Sequence[str] = (),
+                range_width: Optional[int] = None) -> Column:
+    """Storage bucket of a row.
+
+    * hash (default): ``pmod(xxhash64(key), N)`` - even spread, but a batch of
+      random keys touches most buckets;
+    * ``range_width``: ``floor(key / width)`` for one numeric key that grows
+      with time (event ids, sequence numbers) - new and recently changed keys
+      share a few buckets, so an incremental merge rewrites only those, and
+      the bucket count grows with the table.
+
+    Rows with a NULL key (they never match) are spread by the hash of the
+    whole row instead of piling up in one bucket (negative buckets in the
+    range scheme).
+    """
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
-    by_key = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(num_buckets))
+    if range_width:
+        if len(keys) != 1:
+            raise ValueError("range buckets need a single numeric key")
+        by_key = F.floor(F.col(keys[0]) / F.lit(int(range_width))).cast("long")
+        spread = NULL_KEY_SPREAD
+    else:
+        by_key = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(num_buckets))
+        spread = num_buckets
     if not all_cols:
-        return by_key.cast("int")
-    by_row = F.pmod(F.xxhash64(*[F.col(c) for c in all_cols]), F.lit(num_buckets))
-    return F.when(has_key, by_key).otherwise(by_row).cast("int")
+        return by_key.cast("long")
+    by_row = F.pmod(F.xxhash64(*[F.col(c) for c in all_cols]), F.lit(spread))
+    if range_width:
+        by_row = -1 - by_row
+    return F.when(has_key, by_key).otherwise(by_row).cast("long")
 
 
 def read_table(spark: SparkSession, path: str, keep_bucket: bool = False) -> Optional[DataFrame]:
@@ -146,14 +178,15 @@ def read_table(spark: SparkSession, path: str, keep_bucket: bool = False) -> Opt
 
 
 def write_table(df: DataFrame, path: str, keys: Union[str, Sequence[str]],
-                num_buckets: int = DEFAULT_BUCKETS) -> None:
+                num_buckets: int = DEFAULT_BUCKETS, range_width: Optional[int] = None) -> None:
     """First build: bucket every row and write one folder per bucket.
 
     ``repartition(bucket)`` puts each bucket in one task, so a bucket is one
     file per write and a later merge reads whole buckets.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    out = _with_bucket_meta(df.withColumn(BUCKET, bucket_expr(keys, num_buckets, df.columns)), keys, num_buckets)
+    out = _with_bucket_meta(df.withColumn(BUCKET, bucket_expr(keys, num_buckets, df.columns, range_width)),
+                            keys, num_buckets, range_width)
     (out.repartition(BUCKET).write.mode("overwrite")
         .partitionBy(BUCKET).parquet(path))
     if AUDIT_SYNC in df.columns:
@@ -173,7 +206,7 @@ def stage(df: DataFrame, spark: SparkSession, name: str = "stage") -> DataFrame:
 def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[str, Sequence[str]],
                  exclude_update: Sequence[str] = (AUDIT_LOAD,), match_cond: Optional[Column] = None,
                  num_buckets: int = DEFAULT_BUCKETS, combine=None, create=None,
-                 guard_col: Optional[str] = None) -> dict:
+                 guard_col: Optional[str] = None, range_width: Optional[int] = None) -> dict:
     """Upsert ``batch`` (one row per key) into the table at ``path``.
 
     ``combine(target_buckets, staged_batch)`` replaces the default merge
@@ -184,15 +217,16 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
     keys = [keys] if isinstance(keys, str) else list(keys)
     current = read_table(spark, path, keep_bucket=True)
     if current is None:
-        write_table(create(batch) if create else batch, path, keys, num_buckets)
+        write_table(create(batch) if create else batch, path, keys, num_buckets, range_width)
         return {"mode": "create", "buckets": num_buckets}
 
     # The table's own bucket count wins: a different count would put a key
     # into a second bucket.
     num_buckets = stored_buckets(current, keys) or num_buckets
+    range_width = stored_range_width(current, keys) or (None if stored_buckets(current, keys) else range_width)
     target_cols = [c for c in current.columns if c != BUCKET]
     cols = evolve_append(target_cols, [c for c in batch.columns if not (create and c not in create(batch).columns)])
-    staged = stage(batch.withColumn(BUCKET, bucket_expr(keys, num_buckets, batch.columns)), spark)
+    staged = stage(batch.withColumn(BUCKET, bucket_expr(keys, num_buckets, batch.columns, range_width)), spark)
     stats = staged.groupBy(BUCKET).count().collect()          # <= num_buckets rows
     if not stats:
         remove_path(spark, staged.stage_path)
@@ -209,7 +243,7 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
                               guard_col=guard_col)
     marked = AUDIT_SYNC in cols
     rebuild = begin_commit(spark, path) if marked else False
-    (_with_bucket_meta(merged.select(*cols, BUCKET), keys, num_buckets).write.mode("overwrite")
+    (_with_bucket_meta(merged.select(*cols, BUCKET), keys, num_buckets, range_width).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(path))
     if marked:
@@ -217,4 +251,4 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
     # Committed: the staged batch is no longer needed for a repair run.
     remove_path(spark, staged.stage_path)
     return {"mode": "merge", "rows": sum(r["count"] for r in stats),
-            "buckets": num_buckets if new_columns else len(touched)}
+            "buckets": "all" if new_columns else len(touched)}

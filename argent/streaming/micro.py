@@ -46,7 +46,7 @@ def stream_upsert(stream: DataFrame, spec: ModelSpec, target_path: str, checkpoi
         batch = build_silver(df, spec, as_of, run_id)
         merge_upsert(df.sparkSession, target_path, batch, spec.key,
                      match_cond=match_condition(spec, as_of, use_window),
-                     num_buckets=spec.num_buckets, guard_col=AUDIT_SYNC)
+                     num_buckets=spec.num_buckets, guard_col=AUDIT_SYNC, range_width=spec.range_width)
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if query_name:

@@ -112,3 +112,18 @@ def test_high_water_marks_exact_and_repair(spark):
     merge_upsert(spark, p, older, "k", num_buckets=8)
     assert table_high_water(spark, p) == scan()
     assert read_table(spark, p).count() == 320          # side files are not part of the table
+
+
+def test_range_buckets_confine_a_recent_batch(spark):
+    from argent.sources.silver_table import stored_range_width
+    p = work_dir(spark, "t-merge-range")
+    write_table(_batch(spark, 0, 10000, "base"), p, "k", range_width=1000)
+    t = read_table(spark, p, keep_bucket=True)
+    assert stored_range_width(t, ["k"]) == 1000 and t.select("_bucket").distinct().count() == 10
+    rep = merge_upsert(spark, p, _batch(spark, 9950, 10100, "new"), "k")      # newest keys only
+    assert rep["buckets"] == 2                                               # buckets 9 and 10
+    out = read_table(spark, p)
+    assert out.count() == 10100 and out.groupBy("k").count().where("count > 1").count() == 0
+    nulls = _batch(spark, 0, 3, "nul").withColumn("k", F.lit(None).cast("long"))
+    merge_upsert(spark, p, nulls, "k")
+    assert read_table(spark, p).where("k is null").count() == 3
