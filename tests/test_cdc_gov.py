@@ -34,3 +34,17 @@ def test_tags_validate_and_mask(spark):
     assert (r.email, r.dob, r.n) == ("***MASKED***", dt.date(1990, 1, 1), 1)
     assert gov.masked_view(t, ["ADMIN_ROLE"]).first().email == "x@y.z"
     assert gov.masked_view(t, layer="silver").first().email == "x@y.z"
+
+
+def test_docs_and_tags_survive_parquet_and_union(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from argent.operators.staging import with_docs
+    df = spark.createDataFrame([("x@y.z", 1)], "email string, n int")
+    t = with_docs(gov.tag_pii(df, {"email": "EMAIL"}), {"n": "a count"})
+    p = str(tmp_path / "t")
+    t.unionByName(t).write.parquet(p)
+    back = spark.read.parquet(p)
+    assert gov.pii_columns(back) == {"email": "EMAIL"}
+    assert back.schema["n"].metadata["comment"] == "a count"
+    # column functions drop the tag: re-apply from the spec after transforms
+    assert gov.pii_columns(back.select(F.upper("email").alias("email"))) == {}
