@@ -1,8 +1,11 @@
-"""Silver table sink: a Parquet directory partitioned by a key-hash bucket.
-
-Layout: ``<path>/_bucket=<b>/part-*.parquet`` with ``b = pmod(xxhash64(key), N)``.
-A merge rewrites only the buckets its batch touches, with Spark's dynamic
-partition overwrite (``MERGE INTO`` needs a table format we do not have).
+"""Silver table sink: a Parquet directory partitioned by a storage bucket.
+
+Layout: ``<path>/_bucket=<b>/part-*.parquet`` with ``b = pmod(xxhash64(key), N)``
+(or ``floor(key / width)`` for keys that grow with time, see
+:func:`bucket_expr`). The bucketing is stored in the key column's metadata
+and reused by every later write. A merge rewrites only the buckets its batch
+touches, with Spark's dynamic partition overwrite (``MERGE INTO`` needs a
+table format we do not have).
 
 Write protocol of :func:`merge_upsert`:
 
