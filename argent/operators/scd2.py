@@ -172,33 +172,73 @@ def current_view(history: DataFrame, columns: Sequence[str]) -> DataFrame:
                    .select(*columns, "valid_from", "valid_to", "updated_at"))
 
 
-def snapshot(spark, path: str, source: DataFrame, key: str, as_of, updated_col: str = SYNCED,
+def run_tag(as_of) -> str:
+    """Partition tag of the versions closed by one run (from its ``as_of``)."""
+    digits = "".join(ch for ch in str(as_of) if ch.isdigit())
+    return "r" + digits[:14].ljust(14, "0")
+
+
+def snapshot(spark, path: str, source: DataFrame, key: str, as_of=None, updated_col: str = SYNCED,
              soft_delete_as_delete: bool = False, num_buckets: int = 64, pii: Optional[dict] = None) -> dict:
     """S10 sink: apply one snapshot run to the history table at ``path``.
 
-    The table is partitioned by ``_bucket = pmod(xxhash64(key), N)``. The run
-    reads the table, pairs current versions with the source inside each bucket
-    (one shuffle by bucket) and overwrites the buckets with Spark's dynamic
-    partition overwrite; closed versions of a bucket are rewritten with it, so
-    a bucket always holds the whole history of its keys. Re-running a run is a
-    no-op per key, so a run that fails half-way through the commit is repaired
-    by running it again. ``pii`` tags (G1) are re-applied on every write:
-    column expressions drop metadata.
+    Layout: ``_part=c<bucket>`` holds the current version of every key
+    (bucket = ``pmod(xxhash64(key), N)``); ``_part=r<run>`` holds the versions
+    closed by that run. A run reads only the current partitions, pairs them
+    with the source inside each bucket (one shuffle by bucket), stages the
+    result once, then commits in two jobs:
+
+    1. this run's closed versions, unioned with any already committed for the
+       same run and exact duplicates dropped (dynamic overwrite of one
+       partition);
+    2. the current partitions (dynamic overwrite of the buckets).
+
+    Closed history is never read or rewritten again, so a run costs the size
+    of the current set, not of the whole history. Whatever point a run dies
+    at, re-running it gives the same table: keys already moved to their new
+    version are unchanged on the re-run, and the closed versions of the run
+    are merged, not replaced. ``pii`` tags (G1) are re-applied on every write
+    (column expressions drop metadata).
     """
+    import datetime as _dt
+
     from argent.operators.governance import tag_pii
-    from argent.sources.silver_table import BUCKET, _with_bucket_meta, bucket_expr, read_table, stored_buckets
+    from argent.sources.silver_table import (
+        BUCKET, PART, _with_bucket_meta, bucket_expr, read_table, remove_path, stage, stored_buckets,
+    )
+
+    if as_of is None:
+        as_of = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")   # one value for the run
+    table = read_table(spark, path, keep_bucket=True) and spark.read.parquet(path)
 
-    history = read_table(spark, path, keep_bucket=True)
-    if history is not None:
-        num_buckets = stored_buckets(history, [key]) or num_buckets
+    def finish(df: DataFrame) -> DataFrame:
+        df = _with_bucket_meta(df, [key], num_buckets)
+        return tag_pii(df, pii) if pii else df
+
+    def write(df: DataFrame) -> None:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(PART).parquet(path))
+
+    if table is None:
+        out = scd2_apply(None, source, key, as_of, updated_col, soft_delete_as_delete,
+                         bucket_col=BUCKET, bucket=bucket_expr([key], num_buckets))
+        out = out.withColumn(PART, F.concat(F.lit("c"), F.col(BUCKET).cast("string")))
+        write(finish(out.repartition(PART).drop(BUCKET)))
+        return {"mode": "create"}
+
+    num_buckets = stored_buckets(table, [key]) or num_buckets
     bucket = bucket_expr([key], num_buckets)
-    out = scd2_apply(history, source, key, as_of, updated_col, soft_delete_as_delete,
+    current = table.where(F.col(PART).startswith("c")).drop(PART).withColumn(BUCKET, bucket)
+    hcols = [c for c in current.columns if c != BUCKET]
+    out = scd2_apply(current, source, key, as_of, updated_col, soft_delete_as_delete,
                      bucket_col=BUCKET, bucket=bucket)
-    if history is None:
-        out = out.repartition(BUCKET)
-    out = _with_bucket_meta(out, [key], num_buckets)
-    if pii:
-        out = tag_pii(out, pii)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET).parquet(path))
-    return {"mode": "create" if history is None else "snapshot"}
+    staged = stage(out, spark, "snapshot")
+    tag = run_tag(as_of)
+    closed = staged.where(~F.col("is_current")).select(*hcols)
+    before = table.where(F.col(PART) == F.lit(tag)).select(*hcols)
+    write(finish(closed.unionByName(before).dropDuplicates().withColumn(PART, F.lit(tag))))
+    cur = staged.where(F.col("is_current"))
+    write(finish(cur.withColumn(PART, F.concat(F.lit("c"), F.col(BUCKET).cast("string")))
+                 .repartition(PART).select(*hcols, PART)))
+    remove_path(spark, staged.stage_path)
+    return {"mode": "snapshot", "closed_partition": tag}

@@ -45,6 +45,7 @@ from argent.operators.staging import AUDIT_LOAD, AUDIT_SYNC, high_water_value
 from argent.session import move_path, path_exists, remove_path, touch, work_dir
 
 BUCKET = "_bucket"
+PART = "_part"                 # history tables: c<bucket> = current versions, r<run> = closed by a run
 DEFAULT_BUCKETS = 64
 BUCKETS_META = "argent.num_buckets"       # stored on the key column of every written file
 RANGE_META = "argent.range_width"         # set instead when buckets are key ranges
@@ -177,6 +178,8 @@ def read_table(spark: SparkSession, path: str, keep_bucket: bool = False) -> Opt
         df = spark.read.parquet(path)
     except AnalysisException:
         return None
+    if PART in df.columns:
+        df = df.drop(PART)
     return df if keep_bucket else df.drop(BUCKET)
 
 
