@@ -185,8 +185,8 @@ def snapshot(spark, path: str, source: DataFrame, key: str, as_of=None, updated_
     Layout: ``_part=c<bucket>`` holds the current version of every key
     (bucket = ``pmod(xxhash64(key), N)``); ``_part=r<run>`` holds the versions
     closed by that run. A run reads only the current partitions, pairs them
-    with the source inside each bucket (one shuffle by bucket), stages the
-    result once, then commits in two jobs:
+    with the source inside each bucket (one shuffle by bucket), then commits
+    in two jobs:
 
     1. this run's closed versions, unioned with any already committed for the
        same run and exact duplicates dropped (dynamic overwrite of one
@@ -204,7 +204,7 @@ def snapshot(spark, path: str, source: DataFrame, key: str, as_of=None, updated_
 
     from argent.operators.governance import tag_pii
     from argent.sources.silver_table import (
-        BUCKET, PART, _with_bucket_meta, bucket_expr, read_table, remove_path, stage, stored_buckets,
+        BUCKET, PART, _with_bucket_meta, bucket_expr, read_table, stored_buckets,
     )
 
     if as_of is None:
@@ -232,13 +232,13 @@ def snapshot(spark, path: str, source: DataFrame, key: str, as_of=None, updated_
     hcols = [c for c in current.columns if c != BUCKET]
     out = scd2_apply(current, source, key, as_of, updated_col, soft_delete_as_delete,
                      bucket_col=BUCKET, bucket=bucket)
-    staged = stage(out, spark, "snapshot")
+    # ``out`` is computed once per job. It is deterministic, and job 1 writes
+    # only this run's closed partition, which the pairing never reads. Job 2
+    # writes straight from the pairing's bucket partitioning (no extra shuffle).
     tag = run_tag(as_of)
-    closed = staged.where(~F.col("is_current")).select(*hcols)
+    closed = out.where(~F.col("is_current")).select(*hcols)
     before = table.where(F.col(PART) == F.lit(tag)).select(*hcols)
     write(finish(closed.unionByName(before).dropDuplicates().withColumn(PART, F.lit(tag))))
-    cur = staged.where(F.col("is_current"))
-    write(finish(cur.withColumn(PART, F.concat(F.lit("c"), F.col(BUCKET).cast("string")))
-                 .repartition(PART).select(*hcols, PART)))
-    remove_path(spark, staged.stage_path)
+    cur = out.where(F.col("is_current"))
+    write(finish(cur.select(*hcols, F.concat(F.lit("c"), F.col(BUCKET).cast("string")).alias(PART))))
     return {"mode": "snapshot", "closed_partition": tag}
