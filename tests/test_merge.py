@@ -127,3 +127,29 @@ def test_range_buckets_confine_a_recent_batch(spark):
     nulls = _batch(spark, 0, 3, "nul").withColumn("k", F.lit(None).cast("long"))
     merge_upsert(spark, p, nulls, "k")
     assert read_table(spark, p).where("k is null").count() == 3
+
+
+def test_rerun_repairs_a_half_committed_merge(spark):
+    import os
+    import shutil
+    from argent.session import touch
+    from argent.sources.silver_table import MARKS_DIRTY, table_high_water
+
+    def local(p):
+        return p[len("file:"):] if p.startswith("file:") else p
+
+    a, b = work_dir(spark, "t-merge-ra"), work_dir(spark, "t-merge-rb")
+    base = _batch(spark, 0, 400, "base")
+    write_table(base, a, "k", 8)
+    shutil.copytree(local(a), local(b))
+    batch = _batch(spark, 300, 500, "upd").withColumn(
+        "_bronze_sync_timestamp", F.timestamp_seconds(F.col("k") + 10 ** 9).cast("timestamp_ntz"))
+    merge_upsert(spark, a, batch, "k")
+    # b = the same merge died after moving half of its buckets, before its marks
+    for d in sorted(x for x in os.listdir(local(a)) if x.startswith("_bucket="))[:4]:
+        shutil.rmtree(os.path.join(local(b), d), ignore_errors=True)
+        shutil.copytree(os.path.join(local(a), d), os.path.join(local(b), d))
+    touch(spark, f"{b}/{MARKS_DIRTY}")
+    merge_upsert(spark, b, batch, "k")
+    assert rows(read_table(spark, b)) == rows(read_table(spark, a))
+    assert table_high_water(spark, b) == table_high_water(spark, a)
