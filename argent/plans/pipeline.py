@@ -108,3 +108,24 @@ def source_freshness(spark: SparkSession, bronze_root: str, as_of=None,
         f = dq.freshness(read_bronze(spark, bronze_root, name, [SYNCED]), name, SYNCED, FRESHNESS[src.group], as_of)
         out = f if out is None else out.unionByName(f)
     return out
+
+
+def register_views(spark: SparkSession, silver_root: str) -> list:
+    """Expose every existing silver and history table, and the current
+    customers view, as temp views for ``spark.sql`` (names = model names)."""
+    names = []
+    for name in MODELS:
+        df = read_table(spark, silver_path(silver_root, name))
+        if df is not None:
+            df.createOrReplaceTempView(name)
+            names.append(name)
+    for name in SNAPSHOTS:
+        df = read_table(spark, history_path(silver_root, name))
+        if df is not None:
+            df.createOrReplaceTempView(name)
+            names.append(name)
+    cur = current_customers(spark, silver_root)
+    if cur is not None:
+        cur.createOrReplaceTempView("current_customers")
+        names.append("current_customers")
+    return names

@@ -32,6 +32,10 @@ def test_pipeline_end_to_end(spark):
 
     pipeline.run_snapshots(spark, bronze, silver, AS_OF)
     assert pipeline.current_customers(spark, silver).count() > 0
+    views = pipeline.register_views(spark, silver)
+    assert "order_lines" in views and "current_customers" in views
+    n = spark.sql("select count(*) from order_headers o join current_customers c using (CUSTOMER_ID)").first()[0]
+    assert n > 0
 
     res = {(r.table, r.check): r for r in pipeline.run_tests(spark, silver, AS_OF).collect()}
     assert res[("order_headers", "unique_order_id")].status == "pass"
