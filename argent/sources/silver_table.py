@@ -174,6 +174,8 @@ def bucket_expr(keys: Sequence[str], num_buckets: int, all_cols: Sequence[str] =
 
 def read_table(spark: SparkSession, path: str, keep_bucket: bool = False) -> Optional[DataFrame]:
     """Read a silver table, or ``None`` when it does not exist yet."""
+    if not path_exists(spark, path):
+        return None
     try:
         df = spark.read.parquet(path)
     except AnalysisException:
