@@ -12,7 +12,8 @@ Write protocol of :func:`merge_upsert`:
 1. the batch is computed once and written to a staging folder under the
    cluster's checkpoint folder (cuts lineage; survives executor loss; a failed
    merge is re-run from it);
-2. the touched bucket numbers are collected (at most N small integers);
+2. the touched bucket numbers (at most N small integers) are observed while
+   the batch is staged;
 3. the touched buckets of the target are read (partition pruning), merged with
    the batch in one shuffle partitioned by bucket, and overwritten.
 
@@ -36,7 +37,7 @@ import datetime
 from typing import Optional, Sequence, Union
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from argent.operators.merge import evolve_append, merge_frames
@@ -234,13 +235,18 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
     range_width = stored_range_width(current, keys) or (None if stored_buckets(current, keys) else range_width)
     target_cols = [c for c in current.columns if c != BUCKET]
     cols = evolve_append(target_cols, [c for c in batch.columns if not (create and c not in create(batch).columns)])
-    staged = stage(batch.withColumn(BUCKET, bucket_expr(keys, num_buckets, batch.columns, range_width)), spark)
-    stats = staged.groupBy(BUCKET).count().collect()          # <= num_buckets rows
-    if not stats:
+    # The touched buckets (<= N small integers) and the row count are gathered
+    # while the batch is staged (an observation), not by another pass.
+    obs = Observation("staged_batch")
+    bucketed = batch.withColumn(BUCKET, bucket_expr(keys, num_buckets, batch.columns, range_width))
+    staged = stage(bucketed.observe(obs, F.collect_set(BUCKET).alias("buckets"), F.count(F.lit(1)).alias("rows")),
+                   spark)
+    seen = obs.get
+    touched, n_rows = sorted(seen["buckets"] or []), seen["rows"]
+    if not n_rows:
         remove_path(spark, staged.stage_path)
         return {"mode": "merge", "rows": 0, "buckets": 0}
     new_columns = len(cols) > len(target_cols)
-    touched = sorted(r[BUCKET] for r in stats)
     target = current if new_columns else current.where(F.col(BUCKET).isin(touched))
     # A new column is written into every bucket so that all files agree
     # on the schema and readers never need ``mergeSchema``.
@@ -258,5 +264,5 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
         end_commit(spark, path, None if (new_columns or rebuild) else touched)
     # Committed: the staged batch is no longer needed for a repair run.
     remove_path(spark, staged.stage_path)
-    return {"mode": "merge", "rows": sum(r["count"] for r in stats),
+    return {"mode": "merge", "rows": n_rows,
             "buckets": "all" if new_columns else len(touched)}
