@@ -17,7 +17,8 @@ window per key, so the merge costs a single shuffle. With ``bucket_col`` the
 union is hash-partitioned by the storage bucket, which also satisfies the
 per-key window (bucket is a function of the key) and leaves every bucket in
 exactly one task for the write that follows. Keys are unique in the target and
-in the batch, so no window group is large; NULL keys bypass the window.
+in the batch, so no window group is large. Rows with a NULL key get their own
+window groups (spread by a row hash) in the same pass and come out unchanged.
 """
 
 from __future__ import annotations

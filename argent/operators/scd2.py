@@ -20,7 +20,8 @@ so ids stay unique per key. Re-running a run changes nothing.
 
 Physical shape: current rows and source rows are unioned, hash-partitioned by
 the storage bucket and grouped per key (one shuffle; a group holds at most two
-rows). Closed versions pass through untouched.
+rows). Closed versions pass through untouched; the table sink
+(:func:`snapshot`) does not even read them.
 """
 
 from __future__ import annotations
