@@ -63,7 +63,11 @@ def apply_change_batch(target: Optional[DataFrame], batch: DataFrame, key: str,
     u = t.unionByName(b)
     if bucket_col:
         u = u.repartition(bucket_col)
-    w = Window.partitionBy(*extra, key)
+    # A NULL key matches nothing: each such row gets its own window group
+    # (spread by a row hash), so many of them never form one hot group.
+    nk = F.when(F.col(key).isNotNull(), F.lit(0)).otherwise(F.xxhash64(*[F.col(c) for c in cols], F.col("_side")))
+    u = u.withColumn("_nk", nk)
+    w = Window.partitionBy(*extra, key, "_nk")
     chg = F.max(F.when(F.col("_side") == 1, F.struct(*[F.col(c) for c in cols], F.col(OP)))).over(w)
     has_t = F.max(F.col("_side") == 0).over(w)
     u = u.withColumn("_c", chg).withColumn("_has_t", has_t)

@@ -50,7 +50,7 @@ PART = "_part"                 # history tables: c<bucket> = current versions, r
 DEFAULT_BUCKETS = 64
 BUCKETS_META = "argent.num_buckets"       # stored on the key column of every written file
 RANGE_META = "argent.range_width"         # set instead when buckets are key ranges
-NULL_KEY_SPREAD = 16                      # range buckets -1..-16 hold rows with a NULL key
+NULL_KEY_SPREAD = 1024                    # range buckets -1..-1024 hold rows with a NULL key
 TARGET_BUCKET_BYTES = 512 * 1024 * 1024
 
 

@@ -48,3 +48,12 @@ def test_docs_and_tags_survive_parquet_and_union(spark, tmp_path):
     assert back.schema["n"].metadata["comment"] == "a count"
     # column functions drop the tag: re-apply from the spec after transforms
     assert gov.pii_columns(back.select(F.upper("email").alias("email"))) == {}
+
+
+def test_apply_changes_null_keys_never_match(spark):
+    T = dt.datetime(2024, 1, 1)
+    tgt = spark.createDataFrame([(None, "t1", T, False), (None, "t2", T, False), (1, "a", T, False)],
+                                "k long, v string, _synced timestamp_ntz, _deleted boolean")
+    ch = spark.createDataFrame([(None, "c", 1, "U")], "k long, v string, seq int, _op string")
+    got = sorted(((r.k, r.v) for r in cdc.apply_changes(tgt, ch, "k", "seq", as_of="2024-01-02").collect()), key=repr)
+    assert got == sorted([(None, "t1"), (None, "t2"), (None, "c"), (1, "a")], key=repr)
