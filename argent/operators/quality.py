@@ -147,7 +147,9 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_cond: Optional
     rewritten to an anti join by the optimizer).
     """
     p = parent.where(parent_cond) if parent_cond is not None else parent
-    return child.where(F.col(key).isNotNull()).join(p.select(key), key, "left_anti")
+    # Distinct parent keys: repeats collapse map-side (partial aggregation)
+    # and the join reuses the aggregate's partitioning by key.
+    return child.where(F.col(key).isNotNull()).join(p.select(key).distinct(), key, "left_anti")
 
 
 def references(child: DataFrame, parent: DataFrame, key: str, table: str, parent_cond: Optional[Column] = None,
@@ -160,7 +162,7 @@ def references(child: DataFrame, parent: DataFrame, key: str, table: str, parent
     """
     p = parent.where(parent_cond) if parent_cond is not None else parent
     per_key = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    n = per_key.join(p.select(key), key, "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("f"))
+    n = per_key.join(p.select(key).distinct(), key, "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("f"))
     return n.select(*_result(F.lit(name or f"references_{key}".lower()), table, F.lit(key),
                              F.lit(severity), F.col("f")))
 
