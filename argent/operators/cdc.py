@@ -106,16 +106,24 @@ def paired_versions(prev: DataFrame, cur: DataFrame, key: str, cols: Sequence[st
     """One row per key with the previous (``p``) and current (``c``) version
     as structs (NULL when absent).
 
-    Both copies are unioned and grouped by key: one shuffle, and a key that
-    (wrongly) repeats in an extract collapses to one version instead of
-    multiplying into all pairs as a join would.
+    Both copies are unioned and grouped by key: one shuffle with map-side
+    partial aggregation, and a key that (wrongly) repeats in an extract
+    collapses to one version instead of multiplying into all pairs as a join
+    would. A NULL key matches nothing, as in a join: such rows keep their own
+    groups (spread by a row hash) and their multiplicity.
     """
     fields = [key, *cols]
     st_p = prev.select(F.struct(*fields)).schema[0].dataType
     st_c = cur.select(F.struct(*fields)).schema[0].dataType
-    a = prev.select(F.col(key).alias("_k"), F.struct(*fields).alias("p"), F.lit(None).cast(st_c).alias("c"))
-    b = cur.select(F.col(key).alias("_k"), F.lit(None).cast(st_p).alias("p"), F.struct(*fields).alias("c"))
-    return a.unionByName(b).groupBy("_k").agg(F.max("p").alias("p"), F.max("c").alias("c"))
+    a = prev.select(F.col(key).alias("_k"), F.struct(*fields).alias("p"), F.lit(None).cast(st_c).alias("c"),
+                    F.lit(0).alias("_side"))
+    b = cur.select(F.col(key).alias("_k"), F.lit(None).cast(st_p).alias("p"), F.struct(*fields).alias("c"),
+                   F.lit(1).alias("_side"))
+    u = a.unionByName(b)
+    u = u.withColumn("_nk", F.when(F.col("_k").isNotNull(), F.lit(0)).otherwise(F.xxhash64("p", "c", "_side")))
+    g = u.groupBy("_k", "_nk").agg(F.max("p").alias("p"), F.max("c").alias("c"), F.count(F.lit(1)).alias("_n"))
+    times = F.when(F.col("_k").isNull(), F.col("_n")).otherwise(F.lit(1)).cast("int")
+    return g.select("_k", "p", "c", F.explode(F.array_repeat(F.lit(0), times)).alias("_rep")).drop("_rep")
 
 
 def snapshot_diff(prev: DataFrame, cur: DataFrame, key: str, compare_cols: Optional[Sequence[str]] = None,

@@ -57,3 +57,11 @@ def test_apply_changes_null_keys_never_match(spark):
     ch = spark.createDataFrame([(None, "c", 1, "U")], "k long, v string, seq int, _op string")
     got = sorted(((r.k, r.v) for r in cdc.apply_changes(tgt, ch, "k", "seq", as_of="2024-01-02").collect()), key=repr)
     assert got == sorted([(None, "t1"), (None, "t2"), (None, "c"), (1, "a")], key=repr)
+
+
+def test_snapshot_diff_null_keys_like_a_join(spark):
+    prev = spark.createDataFrame([(None, "x"), (None, "x"), (1, "a")], "k long, v string")
+    cur = spark.createDataFrame([(None, "x"), (1, "b")], "k long, v string")
+    got = sorted(((r.k, r.op, r.v) for r in cdc.snapshot_diff(prev, cur, "k").collect()), key=repr)
+    want = sorted([(None, "delete", "x"), (None, "delete", "x"), (None, "insert", "x"), (1, "update", "b")], key=repr)
+    assert got == want
