@@ -17,9 +17,11 @@ def spark():
     b = SparkSession.builder.master("local[*]").appName("argent-tests").config("spark.sql.shuffle.partitions", "8")
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
-    # Tests set their own checkpoint folder; a cluster names it in the session.
-    b = b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="argent-test-ckpt-"))
     s = b.getOrCreate()
+    # A cluster names the shared folder in spark.checkpoint.dir; only when the
+    # session has none do the tests make their own.
+    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir", None)):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="argent-test-ckpt-"))
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
