@@ -148,6 +148,15 @@ def snapshot_diff(prev: DataFrame, cur: DataFrame, key: str, compare_cols: Optio
     return pv.select(op.alias(op_col), *vals).where(F.col(op_col).isNotNull())
 
 
+def diff_as_changes(diff: DataFrame, op_col: str = "op", seq_col: str = "_seq") -> DataFrame:
+    """A full-compare diff as a change log (insert -> I, update -> U,
+    delete -> D), so that a source without a change log is applied to bronze
+    by the same sink: deleted keys keep their row with the soft-delete flag."""
+    op = (F.when(F.col(op_col) == "insert", F.lit(OP_INSERT))
+           .when(F.col(op_col) == "update", F.lit(OP_UPDATE)).otherwise(F.lit(OP_DELETE)))
+    return diff.withColumn(OP, op).withColumn(seq_col, F.lit(0)).drop(op_col)
+
+
 def changed_columns(old: Column, new: Column, cols: Sequence[str]) -> Column:
     """Array of the names of ``cols`` whose values differ (NULL-safe)
     between two versions given as struct columns."""

@@ -461,6 +461,19 @@ def _s3o(spark, sf_dir):
     return cdc.snapshot_diff(fx.orders_extract(spark, sf_dir, 1), fx.orders_extract(spark, sf_dir, 2), "ORDER_ID")
 
 
+@query("s3_full_compare_apply")
+def _s3a(spark, sf_dir):
+    """The marketing source has no change log: diff the new extract against
+    the previous one and apply it to bronze (inserts, updates, soft deletes)."""
+    prev = fx.campaigns_extract(spark, sf_dir, 1)
+    path = work_dir(spark, "bronze-campaigns")
+    write_table(prev.select("*", lit_ts("2024-01-30 00:00:00").alias(st.SYNCED), F.lit(False).alias(st.DELETED)),
+                path, "CAMPAIGN_ID")
+    d = cdc.snapshot_diff(prev, fx.campaigns_extract(spark, sf_dir, 2), "CAMPAIGN_ID", CAMPAIGN_COLS)
+    cdc.apply_changes_to_table(spark, path, cdc.diff_as_changes(d), "CAMPAIGN_ID", "_seq", as_of=fx.EVENTS_AS_OF)
+    return read_table(spark, path)
+
+
 @query("s4_changed_columns")
 def _s4(spark, sf_dir):
     d = cdc.diff_changed_columns(fx.campaigns_extract(spark, sf_dir, 1), fx.campaigns_extract(spark, sf_dir, 2),

@@ -554,3 +554,12 @@ ORACLES.update({
 
 ORACLES["f7_lit_ts"] = f"""select INCIDENT_ID, coalesce(try_cast(INCIDENT_DATE as timestamp), {MIN_TS}) as INCIDENT_AT
     from ({FIXTURES['incidents']}) i"""
+
+_DIFF_C = _diff_sql("campaigns", "CAMPAIGN_ID", _CAMP)
+ORACLES["s3_full_compare_apply"] = f"""with t as (select *, timestamp '2024-01-30 00:00:00' as _synced, false as _deleted
+        from ({_extract_sql('campaigns', 1)}) p), d as ({_DIFF_C})
+    select coalesce(t.CAMPAIGN_ID, d.CAMPAIGN_ID) as CAMPAIGN_ID,
+        {', '.join(f"case when d.CAMPAIGN_ID is not null and (d.op <> 'delete' or t.CAMPAIGN_ID is null) then d.{c} else t.{c} end as {c}" for c in _CAMP)},
+        case when d.CAMPAIGN_ID is not null then timestamp '{EVENTS_AS_OF}' else t._synced end as _synced,
+        case when d.CAMPAIGN_ID is not null then d.op = 'delete' else t._deleted end as _deleted
+    from t full outer join d on t.CAMPAIGN_ID = d.CAMPAIGN_ID"""
