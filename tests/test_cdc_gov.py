@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from argent.operators import cdc, governance as gov
 
@@ -65,3 +66,14 @@ def test_snapshot_diff_null_keys_like_a_join(spark):
     got = sorted(((r.k, r.op, r.v) for r in cdc.snapshot_diff(prev, cur, "k").collect()), key=repr)
     want = sorted([(None, "delete", "x"), (None, "delete", "x"), (None, "insert", "x"), (1, "update", "b")], key=repr)
     assert got == want
+
+
+def test_full_compare_applied_as_soft_deletes(spark):
+    T = dt.datetime(2024, 1, 1)
+    prev = spark.createDataFrame([(1, "a"), (2, "b"), (5, "e")], "k long, v string")
+    cur = spark.createDataFrame([(1, "a"), (2, "c"), (4, "d")], "k long, v string")
+    bronze = prev.select("*", F.lit(T).cast("timestamp_ntz").alias("_synced"), F.lit(False).alias("_deleted"))
+    changes = cdc.diff_as_changes(cdc.snapshot_diff(prev, cur, "k"))
+    out = {r.k: (r.v, r._deleted, r._synced == T) for r in
+           cdc.apply_changes(bronze, changes, "k", "_seq", as_of="2024-01-02").collect()}
+    assert out == {1: ("a", False, True), 2: ("c", False, False), 4: ("d", False, False), 5: ("e", True, False)}
