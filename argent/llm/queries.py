@@ -22,7 +22,28 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_plan(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules, op7_mixing)}
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    from argent.llm.bpe import bpe_decode, bpe_encode
+    path = vocabulary or _vocabulary("word_bpe_49k.json")
+    ids = bpe_encode(_table(spark, sf_dir, "documents", "doc_id", "text"), path).select("doc_id", "token_ids")
+    out = bpe_decode(ids, path)
+    return out.select("doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    from argent.llm.token_counts import token_counts
+    out = token_counts(_table(spark, sf_dir, "documents", "doc_id", "text"), model or _vocabulary("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+QUERIES = {f.__name__: f for f in (op4_quality_rules, op7_mixing, op8_bpe, op10_token_counts)}
 
 ORACLES = {
     "op7_mixing": r"""
