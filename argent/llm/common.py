@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from argent.session import cut_lineage
+from argent.session import stored
 
 #: A word is a maximal run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -91,29 +91,29 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     Each round every vertex hooks to its smallest neighbour, chains of hooks
     are shortened by pointer jumping, and the links between what remains go to
     the next round. All steps are joins and map-side combined minima; what a
-    round made is checkpointed, so that joins start from stored rows and a hot
+    round made is stored, so that joins start from stored rows and a hot
     vertex can be split.
     """
-    edges = cut_lineage(edges.select("a", "b").where("a <> b").distinct())
+    edges = stored(edges.select("a", "b").where("a <> b").distinct())
     labels = None
     for _ in range(rounds):
         if edges.isEmpty():
             break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hook = cut_lineage(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("p")).select("v", F.least("v", "p").alias("p")))
+        hook = stored(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("p")).select("v", F.least("v", "p").alias("p")))
         while True:
             up = hook.select(F.col("v").alias("p"), F.col("p").alias("q"))
-            nxt = cut_lineage(hook.join(up, "p", "left").select("v", F.coalesce("q", "p").alias("p"), (F.coalesce("q", "p") != F.col("p")).alias("moved")))
+            nxt = stored(hook.join(up, "p", "left").select("v", F.coalesce("q", "p").alias("p"), (F.coalesce("q", "p") != F.col("p")).alias("moved")))
             hook = nxt.select("v", "p")
             if nxt.where("moved").isEmpty():
                 break
         if labels is None:
             labels = hook.select("v", F.col("p").alias("component"))
         else:
-            labels = cut_lineage(labels.join(hook.select(F.col("v").alias("component"), "p"), "component", "left")
+            labels = stored(labels.join(hook.select(F.col("v").alias("component"), "p"), "component", "left")
                                  .select("v", F.coalesce("p", "component").alias("component")))
         pa_, pb = (hook.select(F.col("v").alias(c), F.col("p").alias(f"p{c}")) for c in "ab")
-        edges = cut_lineage(edges.join(pa_, "a").join(pb, "b").select(F.greatest("pa", "pb").alias("a"), F.least("pa", "pb").alias("b"))
+        edges = stored(edges.join(pa_, "a").join(pb, "b").select(F.greatest("pa", "pb").alias("a"), F.least("pa", "pb").alias("b"))
                             .where("a <> b").distinct())
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")

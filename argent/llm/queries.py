@@ -9,6 +9,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from argent.llm.line_dedup import line_dedup
+    return line_dedup(_table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "text", "n_lines", "n_removed_lines")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from argent.llm.quality_rules import quality_rules
     out = quality_rules(_table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -37,15 +42,36 @@ def op8_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) ->
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from argent.llm.html_extract import extract_main_text
+    out = extract_main_text(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return out.select("page_id", "url", "text", "n_chars")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     from argent.llm.token_counts import token_counts
     out = token_counts(_table(spark, sf_dir, "documents", "doc_id", "text"), model or _vocabulary("piece_bpe_32k.model"))
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules, op7_mixing, op8_bpe, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_line_dedup, op4_quality_rules, op7_mixing, op8_bpe, op9_html_extract, op10_token_counts)}
 
 ORACLES = {
+    "op3_line_dedup": r"""
+        WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+                   FROM documents),
+        f AS (SELECT *, line SIMILAR TO '[\x20\x09-\x0D]*' AS blank FROM l),
+        n AS (SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p FROM f WHERE NOT blank),
+        w AS (SELECT a.doc_id, a.p, md5(a.line) || md5(b.line) || md5(c.line) AS h FROM n a
+              JOIN n b ON a.doc_id = b.doc_id AND b.p = a.p + 1 JOIN n c ON a.doc_id = c.doc_id AND c.p = a.p + 2),
+        r AS (SELECT doc_id, p FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, p) AS k FROM w) WHERE k > 1),
+        g AS (SELECT DISTINCT n.doc_id, n.i FROM n JOIN r ON n.doc_id = r.doc_id AND n.p BETWEEN r.p AND r.p + 2),
+        k AS (SELECT f.doc_id, string_agg(f.line, chr(10) ORDER BY f.i) FILTER (g.i IS NULL) AS text,
+                     count(*) FILTER (NOT blank) AS n_lines, count(g.i) AS n_removed_lines
+              FROM f LEFT JOIN g ON f.doc_id = g.doc_id AND f.i = g.i GROUP BY f.doc_id)
+        SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+               coalesce(k.n_lines, 0)::BIGINT AS n_lines, coalesce(k.n_removed_lines, 0)::BIGINT AS n_removed_lines
+        FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id""",
     "op7_mixing": r"""
         WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
         s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
