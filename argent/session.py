@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on. Timestamps are kept without zone and the
 # session zone is pinned so literal parsing is the same on every executor.
@@ -46,13 +46,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def _checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) do we create one.
+    A cluster must name it; only a local master (tests) gets a temporary one.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         root = tempfile.mkdtemp(prefix="argent-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -61,8 +63,20 @@ def _checkpoint_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str = "run") -> str:
-    """A fresh folder under the checkpoint root for tables written by one job."""
-    return f"{_checkpoint_root(spark)}/argent/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under the checkpoint root for tables written by one job;
+    it goes when the driver's JVM ends."""
+    path = f"{_checkpoint_root(spark)}/argent/{name}-{uuid.uuid4().hex[:12]}"
+    fs, p = _fs_path(spark, path)
+    fs.deleteOnExit(p)
+    return path
+
+
+def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+    """``df`` written as Parquet to the shared work folder and read again: a cut
+    in the lineage that survives lost executors and has a known size."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _fs_path(spark: SparkSession, path: str):
