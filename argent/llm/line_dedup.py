@@ -41,18 +41,20 @@ def line_dedup(docs: DataFrame, text: str = "text", order: str = "doc_id", windo
     null texts stay as they are. Rows equal in ``order`` and text count as one.
     Input columns named like the two counts are replaced.
 
-    Only hashes, keys and line numbers are shuffled to find the windows; the
-    repeated ones are stored, so that a hot window can be split in the join.
+    Only hashes, keys and line numbers are shuffled to find the windows; they
+    and the repeated ones are stored, so that the texts are read once for them
+    and a hot window can be split in the join. The texts meet their removed
+    lines by a merge join at any size.
     """
     cols = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed_lines")]
     keyed = row_key(without(docs, "n_lines", "n_removed_lines"), order, text)
-    found = _windows(keyed, text, order, window)
+    found = stored(_windows(keyed, text, order, window), "windows")
     repeated = stored(found.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.max("place").alias("last"))
-                      .where("first <> last").select("h1", "h2", "first"), "windows")
+                      .where("first <> last").select("h1", "h2", "first"), "repeated")
     gone = (found.join(repeated, ["h1", "h2"]).where("place <> first").select(*KEY, F.explode("idx").alias("i"))
             .groupBy(*KEY).agg(F.collect_set("i").alias("_gone")))
     # the lines are a column of their own, so that they are split once per row
-    out = keyed.join(stored(gone, "gone"), list(KEY), "left").withColumn("_lines", F.split(F.col(text), "\n"))
+    out = keyed.hint("merge").join(stored(gone, "gone"), list(KEY), "left").withColumn("_lines", F.split(F.col(text), "\n"))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone")), lambda i: F.get("_lines", i))
     return out.withColumns({
         "n_lines": F.greatest(F.size(F.filter("_lines", _has_word)), F.lit(0)).cast("bigint"),
