@@ -118,3 +118,52 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return edges.select(F.col("a").alias("v"), F.col("b").alias("component")) if labels is None else labels
+
+
+def block_pairs(rows: DataFrame, sizes: DataFrame, key: str, id: str, block: int = 256) -> DataFrame:
+    """Deal the rows of each bucket over pairs of blocks (_i <= _j), so that a
+    task gets about two blocks whatever the size of the bucket.
+
+    ``sizes`` has ``key`` and the bucket's number of rows ``m``. A row of block
+    s goes to every pair with s; ``_s`` says which block it is of.
+    """
+    n = F.ceil(F.col("m") / F.lit(block)).cast("int")
+    dealt = (rows.join(sizes.select(key, n.alias("_n")), key)
+             .withColumn("_s", F.pmod(F.xxhash64(F.lit(3), id), F.col("_n")).cast("int"))
+             .withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))))
+    return dealt.withColumns({"_i": F.least("_s", "_j"), "_j": F.greatest("_s", "_j")}).drop("_n")
+
+
+def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """Apply ``fn`` to the rows of each group. One shuffle by the keys, then a
+    sorted stream per task, so that small groups cost no call to Spark each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def done(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if parts and (out := fn(pa.Table.from_batches(parts))) is not None:
+                yield out
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
+            change = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols])) + 1
+            edges = [0, *change.tolist(), batch.num_rows]
+            if held and last != tuple(c[0] for c in cols):
+                yield from done(held)
+                held = []
+            for a, b in zip(edges, edges[1:]):
+                if a:
+                    yield from done(held)
+                    held = []
+                held.append(batch.slice(a, b - a))
+            last = tuple(c[-1] for c in cols)
+        yield from done(held)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def fixed_rows(table: pa.Table, name: str, dtype) -> np.ndarray:
+    """A column of equally long arrays as a matrix."""
+    c = table.column(name).combine_chunks()
+    return c.flatten().to_numpy(zero_copy_only=False).astype(dtype, copy=False).reshape(len(c), -1)

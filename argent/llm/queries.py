@@ -14,6 +14,11 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), words=2)
 
 
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from argent.llm.embeddings import near_vectors
+    return near_vectors(_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from argent.llm.line_dedup import line_dedup
     return line_dedup(_table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "text", "n_lines", "n_removed_lines")
@@ -59,7 +64,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op3_line_dedup, op4_quality_rules, op7_mixing, op8_bpe, op9_html_extract, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_embeddings, op3_line_dedup, op4_quality_rules, op7_mixing, op8_bpe, op9_html_extract, op10_token_counts)}
 
 ORACLES = {
     "op3_line_dedup": r"""
