@@ -31,6 +31,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "kept", "n_lines", "n_removed_lines", "n_lost_words")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from argent.llm.lm_score import lm_scores
+    good = _table(spark, sf_dir, "labels", "doc_id", "quality").where("quality = 1").select(F.col("doc_id").alias("id"))
+    return lm_scores(_table(spark, sf_dir, "documents", "doc_id", "text"), good)
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from argent.llm.suffix_dedup import drop_repeats
     return drop_repeats(_table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -69,7 +75,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_embeddings, op3_line_dedup, op4_quality_rules, op6_suffix_dedup, op7_mixing, op8_bpe, op9_html_extract, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_embeddings, op3_line_dedup, op4_quality_rules, op5_lm_scoring, op6_suffix_dedup, op7_mixing, op8_bpe, op9_html_extract, op10_token_counts)}
 
 ORACLES = {
     "op3_line_dedup": r"""
