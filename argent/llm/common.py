@@ -72,7 +72,7 @@ def column(batch: pa.RecordBatch, name: str) -> list:
 class Hashes(dict):
     """64-bit hashes of words, kept for the task up to ``limit`` words."""
 
-    limit = 400_000
+    limit = 200_000
 
     def __missing__(self, word: bytes) -> int:
         h = self[word] = xxhash.xxh64_intdigest(word)
@@ -120,7 +120,7 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     return edges.select(F.col("a").alias("v"), F.col("b").alias("component")) if labels is None else labels
 
 
-def block_pairs(rows: DataFrame, sizes: DataFrame, key: str, id: str, block: int = 256) -> DataFrame:
+def block_pairs(rows: DataFrame, sizes: DataFrame, key: str, id: str, block: int = 1024) -> DataFrame:
     """Deal the rows of each bucket over pairs of blocks (_i <= _j), so that a
     task gets about two blocks whatever the size of the bucket.
 

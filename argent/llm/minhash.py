@@ -9,13 +9,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from argent.llm.common import Hashes, add_columns, column, components, without
+from argent.llm.common import Hashes, add_columns, block_pairs, column, components, fixed_rows, map_groups
 from argent.session import stored
 
 #: Bits kept of each minimum, and standard deviations of the estimate by which
 #: a candidate may fall short before it is dropped (the chance to lose a pair
-#: at the threshold is under one in a million).
-BITS, SLACK = 4, 5.0
+#: at the threshold is a few in a million).
+BITS, SLACK = 4, 4.5
+#: Minima of the longer signatures of documents that share a bucket, and their bits.
+LONG, LONG_BITS = 1024, 2
 
 
 def shingle_set(text: str | None, words: int, hashes: Hashes) -> np.ndarray:
@@ -54,10 +56,22 @@ class Signer:
         """(band hashes, packed low bits of the minima)."""
         m = self.minima(x)
         bands = [xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(m.reshape(self.bands, self.rows))]
-        m ^= m >> np.uint64(32)
-        m *= np.uint64(0xD6E8FEB86659FD93)
-        low = (m >> np.uint64(60)).reshape(-1, 64 // BITS) << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS))
-        return np.array(bands, np.uint64).view(np.int64).tolist(), np.bitwise_or.reduce(low, axis=1).view(np.int64).tolist()
+        return np.array(bands, np.uint64).view(np.int64).tolist(), pack(m, BITS).tolist()
+
+
+def pack(minima: np.ndarray, bits: int) -> np.ndarray:
+    """The low ``bits`` bits of the (mixed) minima, packed in 64-bit words."""
+    m = (minima ^ (minima >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    low = (m >> np.uint64(64 - bits)).reshape(-1, 64 // bits) << (np.arange(64 // bits, dtype=np.uint64) * np.uint64(bits))
+    return np.bitwise_or.reduce(low, axis=1).view(np.int64)
+
+
+def least_estimate(similarity: float, minima: int, bits: int) -> float:
+    """The estimate that a pair of this similarity falls short of by SLACK
+    standard deviations."""
+    chance = 2.0 ** -bits
+    agree = similarity * (1 - chance) + chance
+    return similarity - SLACK * (agree * (1 - agree) / minima) ** 0.5 / (1 - chance)
 
 
 def signatures(docs: DataFrame, id: str, text: str, words: int, bands: int, rows: int, seed: int) -> DataFrame:
@@ -86,6 +100,35 @@ def estimate(a: Column, b: Column, hashes: int) -> Column:
     return (same - 2.0 ** -BITS) / (1 - 2.0 ** -BITS)
 
 
+def _across(rows: pa.Table, percent: int) -> pa.RecordBatch | None:
+    """Pairs of two blocks of a bucket that may be linked: in different
+    components, of near enough size and estimate, not met in an earlier band."""
+    c = rows.column("c").to_numpy()
+    if (c == c[0]).all():
+        return None
+    s, i, j, n, ids = (rows.column(x).to_numpy() for x in ("_s", "_i", "_j", "n", "id"))
+    left, right = np.flatnonzero(s == i[0]), np.flatnonzero(s == j[0])
+    sig, bands, t = fixed_rows(rows, "long", np.int64).view(np.uint64), fixed_rows(rows, "bands", np.int64), int(rows.column("t")[0].as_py())
+    least, ones = least_estimate(0.01 * percent, LONG, LONG_BITS), np.uint64(int("1" * (64 // LONG_BITS), 1 << LONG_BITS))
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    for a in left:
+        b = right[(c[right] != c[a]) & (100 * np.minimum(n[right], n[a]) >= percent * np.maximum(n[right], n[a]))]
+        if i[0] == j[0]:
+            b = b[ids[b] > ids[a]]
+        if not len(b):
+            continue
+        d = sig[b] ^ sig[a]
+        for x in range(1, LONG_BITS):
+            d |= d >> np.uint64(x)
+        same = 1 - np.bitwise_count(d & ones).sum(axis=1) / LONG
+        b = b[(same - 2.0 ** -LONG_BITS) / (1 - 2.0 ** -LONG_BITS) >= least]
+        b = b[~(bands[b, :t] == bands[a, :t]).any(axis=1)]
+        out.append((np.full(len(b), ids[a]), ids[b]))
+    if not sum(len(x) for x, _ in out):
+        return None
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["a", "b"])
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80,
                     bands: int = 32, rows: int = 4, star_rounds: int = 3, seed: int = 7) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row of ``docs``.
@@ -102,13 +145,14 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     than one component, each member is paired with one member picked by hash,
     and goes on with the best of its pairs by the b-bit estimate; the pair is
     confirmed on the full sets, components are merged. Then all pairs that
-    share a bucket and are still in different components are estimated and
-    confirmed. So a large group of near copies is not expanded into its pairs,
-    and no link between components stays untried.
+    share a bucket and are still in different components are estimated, in
+    pairs of blocks and by longer signatures (LONG minima, LONG_BITS bits each),
+    in the first bucket that they share; those near the threshold are confirmed.
+    So a large group of near copies is not expanded into its pairs, and no link
+    between components stays untried.
     """
     k = bands * rows
-    sd = (0.01 * percent * (1 - 0.01 * percent) / k) ** 0.5 / (1 - 2.0 ** -BITS)
-    least = 0.01 * percent - SLACK * max(sd, (0.25 / k) ** 0.5 / 2)
+    least = least_estimate(0.01 * percent, k, BITS)
     base = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     sign = stored(signatures(base, "id", "text", words, bands, rows, seed), "signatures")
     filled = sign.where("n > 0 and id is not null")
@@ -116,16 +160,18 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     member = stored(filled.select("id", "s1", "s2").join(classes, ["s1", "s2"]).select("id", "rep").distinct(), "members")
     one = filled.join(classes.withColumnRenamed("rep", "id"), ["s1", "s2", "id"], "left_semi").dropDuplicates(["id"])
 
-    shelf = one.select("id", F.explode("bands").alias("bucket"))
+    shelf = one.select("id", F.posexplode("bands").alias("t", "bucket"))
     shared = stored(shelf.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("bucket"), "buckets")
     rows_ = stored(shelf.join(shared, "bucket"), "shelves")
     ids = stored(rows_.select("id").distinct(), "candidates")
-    signs = stored(one.join(ids, "id", "left_semi").select("id", "n", "sig"), "candidate-signatures")
+    signs = stored(one.join(ids, "id", "left_semi").select("id", "n", "sig", "bands"), "candidate-signatures")
 
-    def sets(batch, hashes):
-        return [pa.array([shingle_set(t, words, hashes).view(np.int64) for t in column(batch, "text")], pa.list_(pa.int64()))]
-    full = stored(add_columns(base.join(ids, "id", "left_semi"), sets, [("x", "array<bigint>")], Hashes).drop("text")
-                  .dropDuplicates(["id"]), "sets")
+    def sets(batch, s):
+        x = [shingle_set(t, words, s.hashes) for t in column(batch, "text")]
+        return [pa.array([a.view(np.int64) for a in x], pa.list_(pa.int64())),
+                pa.array([pack(s.minima(a), LONG_BITS) for a in x], pa.list_(pa.int64()))]
+    full = stored(add_columns(base.join(ids, "id", "left_semi"), sets, [("x", "array<bigint>"), ("long", "array<bigint>")],
+                              lambda: Signer(1, LONG, seed + 1)).drop("text").dropDuplicates(["id"]), "sets")
 
     def side(df: DataFrame, name: str, *cols: str) -> DataFrame:
         return df.select(F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in cols])
@@ -145,7 +191,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     links, labels = None, None
     for r in range(star_rounds + 1):
         placed = rows_ if labels is None else rows_.join(side(labels, "id", "c").withColumnRenamed("c_id", "c"), "id", "left")
-        placed = placed.select("bucket", "id", F.coalesce(F.col("c"), F.col("id")).alias("c") if labels is not None else F.col("id").alias("c"))
+        placed = placed.select("bucket", "t", "id", F.coalesce(F.col("c"), F.col("id")).alias("c") if labels is not None else F.col("id").alias("c"))
         placed = stored(placed, "placed")
         mixed = stored(placed.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"),
                                                     F.min_by("id", F.xxhash64("id", F.lit(r))).alias("b"),
@@ -157,8 +203,10 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
             pairs = likely(pairs).groupBy("a").agg(F.max_by("b", F.struct("near", "b")).alias("b"))
         else:
             open_ = stored(placed.join(mixed.select("bucket"), "bucket"), "open")
-            other = open_.select("bucket", F.col("id").alias("b"), F.col("c").alias("cb"))
-            pairs = likely(open_.withColumnRenamed("id", "a").join(other, "bucket").where("a < b and c <> cb").select("a", "b").distinct())
+            sizes = stored(open_.groupBy("bucket").agg(F.count("*").alias("m")), "open-buckets")
+            dealt = stored(block_pairs(open_, sizes, "bucket", "id", 2048), "open-blocks")
+            dealt = dealt.join(signs.select("id", "n", "bands"), "id").join(full.select("id", "long"), "id")
+            pairs = stored(map_groups(dealt, ["bucket", "t", "_i", "_j"], lambda g: _across(g, percent), "a bigint, b bigint"), "pairs")
         new = stored(confirmed(pairs), "links")
         links = new if links is None else links.unionByName(new)
         labels = components(links).select(F.col("v").alias("id"), F.col("component").alias("c"))
