@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import heapq
 import json
+from array import array
 from collections.abc import Iterable
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from argent.llm.common import add_columns, column
 
-#: Chunks (runs between spaces) whose ids a worker remembers.
-CACHE = 500_000
+#: Chunks (runs between spaces) whose ids a task remembers.
+CACHE = 200_000
+#: Words merged together; bounds the arrays of the index.
+TOGETHER = 10_000
 
 
 def byte_letters() -> list[str]:
@@ -136,45 +141,73 @@ class Bpe:
 
 
 class Encoder:
-    """Encodes texts and remembers the ids of chunks between calls."""
+    """Encodes texts and remembers the ids of chunks, as 32-bit bytes, between calls."""
 
     def __init__(self, path: str):
-        self.bpe = Bpe(path)
-        self.known: dict[str, list[int]] = {"": []}
+        self.bpe = _bpe(path)
+        self.known: dict[str, bytes] = {"": b""}
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def encode(self, texts: list[str | None]) -> list[bytes]:
         chunks = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        new = {c for doc in chunks for c in doc if c not in self.known}
+        new = {c for doc in chunks for c in doc} - self.known.keys()
         if len(self.known) + len(new) > CACHE:
-            self.known = {"": []}
+            self.known = {"": b""}
             new = {c for doc in chunks for c in doc} - {""}
         pieces = {c: self.bpe.split(c) for c in new}
-        words = self.bpe.encode_words({w for ws in pieces.values() for w in ws if isinstance(w, str)})
+        spelled = list({w for ws in pieces.values() for w in ws if isinstance(w, str)})
+        words: dict[str, list[int]] = {}
+        for i in range(0, len(spelled), TOGETHER):
+            words |= self.bpe.encode_words(spelled[i:i + TOGETHER])
         for c, ws in pieces.items():
-            self.known[c] = [i for w in ws for i in ([w] if isinstance(w, int) else words[w])]
-        known = self.known
-        return [[i for c in doc for i in known[c]] for doc in chunks]
+            self.known[c] = array("i", [i for w in ws for i in ([w] if isinstance(w, int) else words[w])]).tobytes()
+        get = self.known.__getitem__
+        return [b"".join(map(get, doc)) for doc in chunks]
+
+
+def _lists(rows: list[bytes]) -> pa.Array:
+    """Rows of 32-bit ids as an Arrow list array."""
+    ends = np.cumsum([0, *(len(r) // 4 for r in rows)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+
+
+@lru_cache(1)
+def _tokens(path: str) -> pa.Array:
+    """Token strings by id, null where there is none."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    found = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    out: list[str | None] = [None] * (max(found.values()) + 1)
+    for t, i in found.items():
+        out[i] = t
+    return pa.array(out, pa.large_string())
 
 
 @lru_cache(1)
-def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+def _bpe(path: str) -> Bpe:
+    return Bpe(path)
 
 
 def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """``docs`` with the token ids of the whole text, in a column named ``ids``
-    (replaced if there). Null and empty texts have no tokens. Map-only; a worker
+    (replaced if there). Null and empty texts have no tokens. Map-only; a task
     remembers the ids of at most CACHE chunks. ``vocabulary`` is a tokenizer
     file that every executor has (or gets through ``spark.files``)."""
-    return add_columns(docs, lambda b, e: [pa.array(e.encode(column(b, text)), pa.list_(pa.int32()))], [(ids, "array<int>")],
-                       lambda: _encoder(vocabulary))
+    return add_columns(docs, lambda b, e: [_lists(e.encode(column(b, text)))], [(ids, "array<int>")], lambda: Encoder(vocabulary))
 
 
 def bpe_decode(df: DataFrame, vocabulary: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
     """``df`` with the text of ``ids``: the tokens joined by spaces, special
     ones kept, as the file names no decoder. Null ids give an empty text; ids
     outside the vocabulary are left out."""
-    def run(b, bpe):
-        tokens = bpe.tokens
-        return [pa.array([" ".join([tokens[i] for i in x if i in tokens]) if x else "" for x in column(b, ids)], pa.string())]
-    return add_columns(df, run, [(text, "string")], lambda: _encoder(vocabulary).bpe)
+    def run(b, tokens):
+        x = b.column(b.schema.get_field_index(ids))
+        n = pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False)
+        flat = x.flatten()
+        inside = pc.and_kleene(pc.greater_equal(flat, 0), pc.less(flat, len(tokens)))
+        words = tokens.take(pc.if_else(inside, flat, None))
+        if words.null_count:
+            owner = np.repeat(np.arange(len(n)), n)[pc.is_valid(words).to_numpy(zero_copy_only=False)]
+            n, words = np.bincount(owner, minlength=len(n)), words.drop_null()
+        ends = pa.array(np.cumsum([0, *n], dtype=np.int32))
+        return [pc.binary_join(pa.ListArray.from_arrays(ends, words), pa.scalar(" ", pa.large_string())).cast(pa.string())]
+    return add_columns(df, run, [(text, "string")], lambda: _tokens(vocabulary))
