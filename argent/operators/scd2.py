@@ -26,6 +26,7 @@ rows). Closed versions pass through untouched; the table sink
 
 from __future__ import annotations
 
+import uuid
 from typing import Optional, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -60,7 +61,8 @@ def _prepare_source(source: DataFrame, key: str, updated_col: str, soft_delete_a
     if soft_delete_as_delete and DELETED in source.columns:
         d = F.col(DELETED)
         source = source.where(~d | d.isNull())
-    return dedup_latest(source, key, updated_col)
+    others = [c for c in source.columns if c not in (key, updated_col)]
+    return dedup_latest(source, key, updated_col, others)
 
 
 def classify(h: Column, s: Column, updated_col: str) -> Column:
@@ -174,9 +176,10 @@ def current_view(history: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def run_tag(as_of) -> str:
-    """Partition tag of the versions closed by one run (from its ``as_of``)."""
+    """Partition tag of the versions closed by one run: its ``as_of`` and an own
+    suffix, so that a second run at the same time replaces nothing."""
     digits = "".join(ch for ch in str(as_of) if ch.isdigit())
-    return "r" + digits[:14].ljust(14, "0")
+    return f"r{digits[:14].ljust(14, '0')}x{uuid.uuid4().hex[:8]}"
 
 
 def snapshot(spark, path: str, source: DataFrame, key: str, as_of=None, updated_col: str = SYNCED,
@@ -186,45 +189,35 @@ def snapshot(spark, path: str, source: DataFrame, key: str, as_of=None, updated_
     Layout: ``_part=c<bucket>`` holds the current version of every key
     (bucket = ``pmod(xxhash64(key), N)``); ``_part=r<run>`` holds the versions
     closed by that run. A run reads only the current partitions, pairs them
-    with the source inside each bucket (one shuffle by bucket), then commits
-    in two jobs:
-
-    1. this run's closed versions, unioned with any already committed for the
-       same run and exact duplicates dropped (dynamic overwrite of one
-       partition);
-    2. the current partitions (dynamic overwrite of the buckets).
-
-    Closed history is never read or rewritten again, so a run costs the size
-    of the current set, not of the whole history. Whatever point a run dies
-    at, re-running it gives the same table: keys already moved to their new
-    version are unchanged on the re-run, and the closed versions of the run
-    are merged, not replaced. ``pii`` tags (G1) are re-applied on every write
+    with the source inside each bucket (one shuffle by bucket) and writes this
+    run's closed versions and the current partitions in one job, as one commit
+    (``silver_table.commit``). Closed history is never read or rewritten again,
+    so a run costs the size of the current set, not of the whole history. A run
+    that dies in its commit is finished, with its own ``as_of``, before the
+    next one starts; one that dies earlier has changed nothing. ``pii`` tags (G1) are re-applied on every write
     (column expressions drop metadata).
     """
     import datetime as _dt
 
     from argent.operators.governance import tag_pii
     from argent.sources.silver_table import (
-        BUCKET, PART, _with_bucket_meta, bucket_expr, read_table, stored_buckets,
+        BUCKET, PART, _with_bucket_meta, bucket_expr, commit, read_table, recover, stored_buckets,
     )
 
     if as_of is None:
         as_of = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")   # one value for the run
+    recover(spark, path)
     table = read_table(spark, path, keep_bucket=True) and spark.read.parquet(path)
 
     def finish(df: DataFrame) -> DataFrame:
         df = _with_bucket_meta(df, [key], num_buckets)
         return tag_pii(df, pii) if pii else df
 
-    def write(df: DataFrame) -> None:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(PART).parquet(path))
-
     if table is None:
         out = scd2_apply(None, source, key, as_of, updated_col, soft_delete_as_delete,
                          bucket_col=BUCKET, bucket=bucket_expr([key], num_buckets))
         out = out.withColumn(PART, F.concat(F.lit("c"), F.col(BUCKET).cast("string")))
-        write(finish(out.repartition(PART).drop(BUCKET)))
+        commit(finish(out.repartition(PART).drop(BUCKET)), path, PART, replace=True)
         return {"mode": "create"}
 
     num_buckets = stored_buckets(table, [key]) or num_buckets
@@ -233,13 +226,8 @@ def snapshot(spark, path: str, source: DataFrame, key: str, as_of=None, updated_
     hcols = [c for c in current.columns if c != BUCKET]
     out = scd2_apply(current, source, key, as_of, updated_col, soft_delete_as_delete,
                      bucket_col=BUCKET, bucket=bucket)
-    # ``out`` is computed once per job. It is deterministic, and job 1 writes
-    # only this run's closed partition, which the pairing never reads. Job 2
-    # writes straight from the pairing's bucket partitioning (no extra shuffle).
+    # Written straight from the pairing's bucket partitioning (no extra shuffle).
     tag = run_tag(as_of)
-    closed = out.where(~F.col("is_current")).select(*hcols)
-    before = table.where(F.col(PART) == F.lit(tag)).select(*hcols)
-    write(finish(closed.unionByName(before).dropDuplicates().withColumn(PART, F.lit(tag))))
-    cur = out.where(F.col("is_current"))
-    write(finish(cur.select(*hcols, F.concat(F.lit("c"), F.col(BUCKET).cast("string")).alias(PART))))
+    part = F.when(F.col("is_current"), F.concat(F.lit("c"), F.col(BUCKET).cast("string"))).otherwise(F.lit(tag))
+    commit(finish(out.select(*hcols, part.alias(PART))), path, PART)
     return {"mode": "snapshot", "closed_partition": tag}

@@ -39,6 +39,12 @@ class ModelSpec:
     def column_names(self) -> list:
         return [c for c, _ in self.columns]
 
+    @property
+    def ties(self) -> list:
+        """Order of rows with one key and sync time: the tie-breakers, then every
+        other column of the model, so that only equal rows are left to chance."""
+        return list(dict.fromkeys([*self.tie_breakers, *self.column_names, DELETED]))
+
     @property
     def scan_columns(self) -> list:
         extra = [t for t in self.tie_breakers if t not in self.column_names and t != self.key]
@@ -79,7 +85,7 @@ MODELS: Dict[str, ModelSpec] = {m.name: m for m in [
                ("ORDER_STATUS", clean_upper)), match_window=True, date_limit="ORDER_DATE"),
     ModelSpec("order_lines", "order_lines", "erp", "LINE_ID",
               (("ORDER_ID", None), ("ITEM_ID", None), ("QUANTITY", whole), ("UNIT_PRICE", money)),
-              match_window=True, tie_breakers=("ITEM_ID", "TIE")),
+              match_window=True, tie_breakers=("ITEM_ID",)),
     ModelSpec("campaigns", "campaigns", "marketing", "CAMPAIGN_ID",
               (("CAMPAIGN_NAME", to_text), ("TOTAL_SPEND", whole), ("CUSTOMERS_ACQUIRED", whole))),
 ]}
@@ -117,9 +123,9 @@ def build_silver(bronze: DataFrame, spec: ModelSpec, as_of, run_id: str,
     if spec.date_limit:
         df = limit_dates(df, spec.date_limit, as_of=as_of, env=env)
     if propagate_deletes:
-        df = dedup_latest(df, spec.key, SYNCED, spec.tie_breakers)
+        df = dedup_latest(df, spec.key, SYNCED, spec.ties)
     else:
-        df = dedup_latest(active_only(df), spec.key, SYNCED, spec.tie_breakers)
+        df = dedup_latest(active_only(df), spec.key, SYNCED, spec.ties)
     return df.transform(lambda d: clean(d, spec)).transform(lambda d: add_audit(d, run_id, as_of))
 
 
@@ -132,18 +138,26 @@ def match_condition(spec: ModelSpec, as_of, use_window: Optional[bool] = None,
 
 def materialize(spark: SparkSession, spec: ModelSpec, bronze: DataFrame, path: str, as_of, run_id: str,
                 env: str = "prod", use_window: Optional[bool] = False, full_refresh: bool = False,
-                lookback_days: int = LOOKBACK_DAYS) -> dict:
+                lookback_days: int = LOOKBACK_DAYS, propagate_deletes: bool = False,
+                num_buckets: Optional[int] = None, range_width: Optional[int] = None) -> dict:
     """First run creates the table, later runs merge incrementally.
 
     ``full_refresh`` is refused: silver tables are never rebuilt (the
     reference disables it).  ``use_window=None`` follows the spec's J4 flag;
     the default key-only match keeps the table unique (quirk Q3).
+    ``propagate_deletes`` lets deletes reach the table (quirk Q2).
+    ``num_buckets`` (see ``silver_table.buckets_for``) or ``range_width``
+    replace the spec's for the first build; a stored table keeps its own.
+    A commit that an earlier run died in is finished first.
     """
-    from argent.sources.silver_table import merge_upsert, table_high_water
+    from argent.sources.silver_table import merge_upsert, recover, table_high_water
 
     if full_refresh:
         raise ValueError(f"full refresh of {spec.name} is disabled")
+    recover(spark, path)
     hw = table_high_water(spark, path)          # None on the first run
-    batch = build_silver(bronze, spec, as_of, run_id, env=env, lookback_days=lookback_days, watermark=hw)
+    batch = build_silver(bronze, spec, as_of, run_id, env=env, lookback_days=lookback_days,
+                         propagate_deletes=propagate_deletes, watermark=hw)
     return merge_upsert(spark, path, batch, spec.key, match_cond=match_condition(spec, as_of, use_window),
-                        num_buckets=spec.num_buckets, range_width=spec.range_width)
+                        num_buckets=num_buckets or spec.num_buckets,
+                        range_width=None if num_buckets else range_width or spec.range_width)

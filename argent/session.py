@@ -97,9 +97,15 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none when there is no such folder."""
+    fs, p = _fs_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def _owned(path: str) -> bool:
-    """Paths this library may delete or move: work folders and table side files."""
-    return "/argent/" in path or "/_marks" in path
+    """Paths this library may delete or move: work folders, table side files and storage partitions."""
+    return any(x in path for x in ("/argent/", "/_marks", "/_commit", "/_bucket=", "/_part="))
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:
@@ -114,7 +120,9 @@ def move_path(spark: SparkSession, src: str, dst: str) -> bool:
     if not (_owned(src) and _owned(dst)):
         raise ValueError(f"refusing to move {src} -> {dst}")
     fs, p = _fs_path(spark, src)
-    return bool(fs.rename(p, _fs_path(spark, dst)[1]))
+    if not fs.rename(p, _fs_path(spark, dst)[1]):
+        raise OSError(f"could not move {src} to {dst}")
+    return True
 
 
 def cut_lineage(df):

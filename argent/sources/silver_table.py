@@ -4,31 +4,33 @@ Layout: ``<path>/_bucket=<b>/part-*.parquet`` with ``b = pmod(xxhash64(key), N)`
 (or ``floor(key / width)`` for keys that grow with time, see
 :func:`bucket_expr`). The bucketing is stored in the key column's metadata
 and reused by every later write. A merge rewrites only the buckets its batch
-touches, with Spark's dynamic partition overwrite (``MERGE INTO`` needs a
-table format we do not have).
+touches (``MERGE INTO`` needs a table format we do not have).
 
 Write protocol of :func:`merge_upsert`:
 
 1. the batch is computed once and written to a staging folder under the
-   cluster's checkpoint folder (cuts lineage; survives executor loss; a failed
-   merge is re-run from it);
+   cluster's checkpoint folder (cuts lineage; survives executor loss);
 2. the touched bucket numbers (at most N small integers) are observed while
    the batch is staged;
-3. the touched buckets of the target are read (partition pruning), merged with
-   the batch in one shuffle partitioned by bucket, and overwritten.
-
-A re-run of step 3 with the same staged batch gives the same table (the merge
-is idempotent per key), so a failure half-way through the commit is repaired
-by running it again.
+3. the touched buckets of the target are read (partition pruning) and merged
+   with the batch in one shuffle partitioned by bucket; the result goes to the
+   hidden folder ``<path>/_commit`` and does not touch the table;
+4. :func:`commit` flags ``_commit`` as whole and moves its bucket folders into
+   the table, one rename each.
+
+A run that dies before the flag leaves the table as it was. A run that dies
+after it has its whole result in ``_commit`` and the table: :func:`recover`,
+called at the start of every write, moves what is left. A bucket is deleted
+only while its new content stands in ``_commit``, so no row is lost at any
+point, and the next run starts from a finished commit.
 
 High-water marks: a table with the sync audit column keeps, in the hidden
 folder ``<path>/_marks`` (ignored by table reads), one row per bucket with
-the bucket's maximum sync time. A flag file is set before a commit; after it
-the marks of the rewritten buckets are recomputed (one column,
-partition-pruned) and the flag is cleared. :func:`table_high_water` reads at
-most N small rows instead of scanning the whole table every run; while the
-flag is set (a run died between its commits) it scans, and the next commit
-rebuilds all marks, so the value is always exactly ``max(sync)``.
+the bucket's maximum sync time, brought up to date before the flag of a commit
+is cleared. :func:`table_high_water` reads at most N small rows instead of
+scanning the whole table every run. While a commit is unfinished it gives the
+mark of the last finished one, so an incremental filter never skips rows that
+did not reach the table.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ from pyspark.sql import functions as F
 from argent.operators.merge import evolve_append, merge_frames
 from argent.functions.exprs import MIN_DATE
 from argent.operators.staging import AUDIT_LOAD, AUDIT_SYNC, high_water_value
-from argent.session import move_path, path_exists, remove_path, touch, work_dir
+from argent.session import child_names, move_path, path_exists, remove_path, touch, work_dir
 
 BUCKET = "_bucket"
 PART = "_part"                 # history tables: c<bucket> = current versions, r<run> = closed by a run
@@ -84,33 +86,62 @@ def stored_range_width(df: DataFrame, keys: Sequence[str]) -> Optional[int]:
     return int(v) if v is not None else None
 
 
-MARKS = "_marks"              # one row per bucket: the bucket's max sync time
-MARKS_DIRTY = "_marks_dirty"  # flag file: a commit is in progress, marks may be stale
+MARKS = "_marks"                     # one row per bucket: the bucket's max sync time
+COMMIT = "_commit"                   # new content of partition folders on its way into the table
+COMMIT_READY = "_commit_ready"       # flag file: _commit is whole, its folders are being moved
+COMMIT_REPLACES = "_commit_replaces"  # flag file: the old folders all go before the move starts
 
 
 def marks_path(path: str) -> str:
     return f"{path.rstrip('/')}/{MARKS}"
 
 
-def _dirty_path(path: str) -> str:
-    return f"{path.rstrip('/')}/{MARKS_DIRTY}"
-
-
-def begin_commit(spark: SparkSession, path: str) -> bool:
-    """Before rewriting buckets: flag the marks as unreliable. Returns whether
-    the flag was already set (a previous run died between its two commits)."""
-    was = path_exists(spark, _dirty_path(path))
-    touch(spark, _dirty_path(path))
-    return was
-
-
-def end_commit(spark: SparkSession, path: str, buckets: Optional[Sequence[int]] = None,
-               col: str = AUDIT_SYNC) -> None:
-    """After rewriting buckets: new marks = old marks of the other buckets +
-    exact maxima of the rewritten ones (one column, partition-pruned); then
-    clear the flag. ``buckets=None`` recomputes every bucket."""
+def commit(df: DataFrame, path: str, part: str = BUCKET, buckets: Optional[Sequence[int]] = None,
+           replace: bool = False) -> None:
+    """Put ``df`` in place of the partition folders it has rows for (of all
+    folders with ``replace``). ``buckets`` are the rewritten ones; without them
+    the marks of every bucket are rebuilt. ``df`` may read the table."""
+    spark, root = df.sparkSession, path.rstrip("/")
+    remove_path(spark, f"{root}/{COMMIT}")      # of a run that died while writing it
+    df.write.partitionBy(part).parquet(f"{root}/{COMMIT}")
+    touch(spark, f"{root}/{COMMIT_REPLACES if replace else COMMIT_READY}")
+    _finish_commit(spark, root, buckets)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish the commit that an earlier run died in; returns whether there was one."""
+    root = path.rstrip("/")
+    if not any(path_exists(spark, f"{root}/{flag}") for flag in (COMMIT_READY, COMMIT_REPLACES)):
+        return False
+    _finish_commit(spark, root, None)
+    return True
+
+
+def _finish_commit(spark: SparkSession, root: str, buckets: Optional[Sequence[int]]) -> None:
+    """Every step can be repeated. One rename per rewritten folder on the
+    driver, as Spark's own committer does for dynamic overwrites."""
+    if path_exists(spark, f"{root}/{COMMIT_REPLACES}"):
+        for name in child_names(spark, root):
+            if "=" in name:
+                remove_path(spark, f"{root}/{name}")
+        touch(spark, f"{root}/{COMMIT_READY}")
+        remove_path(spark, f"{root}/{COMMIT_REPLACES}")
+    for name in child_names(spark, f"{root}/{COMMIT}"):
+        if "=" in name:
+            remove_path(spark, f"{root}/{name}")
+            move_path(spark, f"{root}/{COMMIT}/{name}", f"{root}/{name}")
+    _write_marks(spark, root, buckets)
+    remove_path(spark, f"{root}/{COMMIT_READY}")
+    remove_path(spark, f"{root}/{COMMIT}")
+
+
+def _write_marks(spark: SparkSession, path: str, buckets: Optional[Sequence[int]], col: str = AUDIT_SYNC) -> None:
+    """New marks = old marks of the other buckets + exact maxima of the
+    rewritten ones (one column, partition-pruned); all of them without ``buckets``."""
+    t = read_table(spark, path, keep_bucket=True)
+    if t is None or col not in t.columns or BUCKET not in t.columns:
+        return
     mp = marks_path(path)
-    t = spark.read.parquet(path)
     if buckets is None or not path_exists(spark, mp):
         new = t.groupBy(BUCKET).agg(F.max(col).alias("high_water"))
     else:
@@ -118,25 +149,27 @@ def end_commit(spark: SparkSession, path: str, buckets: Optional[Sequence[int]]
         fresh = t.where(F.col(BUCKET).isin(touched)).groupBy(BUCKET).agg(F.max(col).alias("high_water"))
         new = spark.read.parquet(mp).where(~F.col(BUCKET).isin(touched)).unionByName(fresh)
     nxt = mp + "_next"
-    new.write.mode("overwrite").parquet(nxt)
-    if path_exists(spark, mp):
-        remove_path(spark, mp)
+    remove_path(spark, nxt)
+    new.write.parquet(nxt)
+    remove_path(spark, mp)
     move_path(spark, nxt, mp)
-    remove_path(spark, _dirty_path(path))
 
 
 def table_high_water(spark: SparkSession, path: str, col: str = AUDIT_SYNC, min_date: str = MIN_DATE):
     """A1 for a stored table: ``coalesce(max(col), min_date)`` read from the
-    marks (<= N small rows). Without reliable marks (none yet, or a run died
-    between its commits) the table's column is scanned, which is exact.
-    ``None`` when the table does not exist."""
+    marks (<= N small rows) as of the last finished commit; ``min_date`` while
+    a first build is unfinished, so that everything is read again. ``None``
+    when the table does not exist."""
+    root = path.rstrip("/")
+    unfinished = any(path_exists(spark, f"{root}/{flag}") for flag in (COMMIT_READY, COMMIT_REPLACES))
     table = read_table(spark, path)
-    if table is None:
+    if table is None and not unfinished:
         return None
-    if path_exists(spark, _dirty_path(path)) or not path_exists(spark, marks_path(path)):
-        return high_water_value(table, col, min_date)
+    lowest = datetime.datetime.fromisoformat(min_date)
+    if not path_exists(spark, marks_path(path)):
+        return lowest if unfinished else high_water_value(table, col, min_date)
     hw = spark.read.parquet(marks_path(path)).agg(F.max("high_water")).first()[0]
-    return hw if hw is not None else datetime.datetime.fromisoformat(min_date)
+    return hw if hw is not None else lowest
 
 
 def bucket_expr(keys: Sequence[str], num_buckets: int, all_cols: Sequence[str] = (),
@@ -188,18 +221,17 @@ def read_table(spark: SparkSession, path: str, keep_bucket: bool = False) -> Opt
 
 def write_table(df: DataFrame, path: str, keys: Union[str, Sequence[str]],
                 num_buckets: int = DEFAULT_BUCKETS, range_width: Optional[int] = None) -> None:
-    """First build: bucket every row and write one folder per bucket.
+    """First build: bucket every row and write one folder per bucket, in place
+    of all that an earlier table at ``path`` held.
 
-    ``repartition(bucket)`` puts each bucket in one task, so a bucket is one
-    file per write and a later merge reads whole buckets.
+    ``repartition(bucket)`` puts each bucket in one task, so a later merge
+    reads whole buckets.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     out = _with_bucket_meta(df.withColumn(BUCKET, bucket_expr(keys, num_buckets, df.columns, range_width)),
                             keys, num_buckets, range_width)
-    (out.repartition(BUCKET).write.mode("overwrite")
-        .partitionBy(BUCKET).parquet(path))
-    if AUDIT_SYNC in df.columns:
-        end_commit(df.sparkSession, path)
+    recover(df.sparkSession, path)
+    commit(out.repartition(BUCKET), path, replace=True)
 
 
 def stage(df: DataFrame, spark: SparkSession, name: str = "stage") -> DataFrame:
@@ -224,6 +256,7 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
     batch and buckets rewritten.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    recover(spark, path)
     current = read_table(spark, path, keep_bucket=True)
     if current is None:
         write_table(create(batch) if create else batch, path, keys, num_buckets, range_width)
@@ -255,14 +288,9 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
     else:
         merged = merge_frames(target, staged, keys, exclude_update, match_cond, bucket_col=BUCKET,
                               guard_col=guard_col)
-    marked = AUDIT_SYNC in cols
-    rebuild = begin_commit(spark, path) if marked else False
-    (_with_bucket_meta(merged.select(*cols, BUCKET), keys, num_buckets, range_width).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET).parquet(path))
-    if marked:
-        end_commit(spark, path, None if (new_columns or rebuild) else touched)
-    # Committed: the staged batch is no longer needed for a repair run.
+    commit(_with_bucket_meta(merged.select(*cols, BUCKET), keys, num_buckets, range_width), path,
+           buckets=None if new_columns else touched)
+    # Committed: the staged batch is no longer needed.
     remove_path(spark, staged.stage_path)
     return {"mode": "merge", "rows": n_rows,
             "buckets": "all" if new_columns else len(touched)}

@@ -92,7 +92,8 @@ MODEL_SQL = {
     "order_headers": ("ORDER_ID", "CUSTOMER_ID, try_cast(ORDER_DATE as timestamp) as ORDER_DATE, "
                       "cast(TOTAL_AMOUNT as decimal(18,2)) as TOTAL_AMOUNT, upper(trim(ORDER_STATUS)) as ORDER_STATUS", ""),
     "order_lines": ("LINE_ID", "ORDER_ID, ITEM_ID, cast(QUANTITY as decimal(38,0)) as QUANTITY, "
-                    "cast(UNIT_PRICE as decimal(18,2)) as UNIT_PRICE", ", ITEM_ID asc nulls first, TIE asc nulls first"),
+                    "cast(UNIT_PRICE as decimal(18,2)) as UNIT_PRICE",
+                    ", ITEM_ID asc nulls first, ORDER_ID asc nulls first, QUANTITY asc nulls first, UNIT_PRICE asc nulls first"),
     "campaigns": ("CAMPAIGN_ID", "cast(CAMPAIGN_NAME as varchar) as CAMPAIGN_NAME, "
                   "cast(TOTAL_SPEND as decimal(38,0)) as TOTAL_SPEND, "
                   "cast(CUSTOMERS_ACQUIRED as decimal(38,0)) as CUSTOMERS_ACQUIRED", ""),

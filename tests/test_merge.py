@@ -92,7 +92,7 @@ def test_bucket_count_is_kept(spark):
 
 def test_high_water_marks_exact_and_repair(spark):
     from argent.session import touch
-    from argent.sources.silver_table import MARKS_DIRTY, marks_path, table_high_water
+    from argent.sources.silver_table import COMMIT_READY, marks_path, recover, table_high_water
     p = work_dir(spark, "t-merge-hw")
     base = _batch(spark, 0, 300, "base").withColumn(
         "_bronze_sync_timestamp", F.timestamp_seconds(F.col("k")).cast("timestamp_ntz"))
@@ -104,10 +104,14 @@ def test_high_water_marks_exact_and_repair(spark):
     merge_upsert(spark, p, newer, "k", num_buckets=8)
     assert table_high_water(spark, p) == scan()
     assert spark.read.parquet(marks_path(p)).count() == 8
-    # a run that died between the data commit and the marks leaves the flag: readers scan,
-    # and the next commit rebuilds every mark
-    touch(spark, f"{p}/{MARKS_DIRTY}")
-    assert table_high_water(spark, p) == scan()
+    # while a commit is unfinished the mark is that of the last finished one; recovering rebuilds every mark
+    before = table_high_water(spark, p)
+    newest = _batch(spark, 0, 8, "new").withColumn(
+        "_bronze_sync_timestamp", F.timestamp_seconds(F.col("k") + 10 ** 9).cast("timestamp_ntz"))
+    _half_commit(spark, p, newest, moved=4)
+    assert table_high_water(spark, p) == before
+    assert recover(spark, p) and not recover(spark, p)
+    assert table_high_water(spark, p) == scan() > before
     older = _batch(spark, 0, 5, "old")          # lowers the max of some buckets
     merge_upsert(spark, p, older, "k", num_buckets=8)
     assert table_high_water(spark, p) == scan()
@@ -129,27 +133,85 @@ def test_range_buckets_confine_a_recent_batch(spark):
     assert read_table(spark, p).where("k is null").count() == 3
 
 
-def test_rerun_repairs_a_half_committed_merge(spark):
+def _half_commit(spark, p, batch, moved, gap=False):
+    """Merge ``batch`` into the table at ``p`` and die after ``moved`` folders
+    (with ``gap``, also between the delete and the rename of one more)."""
     import os
-    import shutil
-    from argent.session import touch
-    from argent.sources.silver_table import MARKS_DIRTY, table_high_water
 
-    def local(p):
-        return p[len("file:"):] if p.startswith("file:") else p
+    from argent.sources import silver_table as sink
+
+    class Died(Exception):
+        pass
+
+    left, real = [moved], sink.move_path
+
+    def move(sp, src, dst):
+        if "/_commit/" in src:
+            if not left[0]:
+                assert gap or not os.path.exists(dst)
+                raise Died
+            left[0] -= 1
+        return real(sp, src, dst)
+
+    sink.move_path = move
+    try:
+        merge_upsert(spark, p, batch, "k")
+        raise AssertionError("the run was meant to die")
+    except Died:
+        pass
+    finally:
+        sink.move_path = real
 
+
+def test_rerun_repairs_a_half_committed_merge(spark):
+    from argent.sources.silver_table import table_high_water
     a, b = work_dir(spark, "t-merge-ra"), work_dir(spark, "t-merge-rb")
     base = _batch(spark, 0, 400, "base")
-    write_table(base, a, "k", 8)
-    shutil.copytree(local(a), local(b))
+    for p in (a, b):
+        write_table(base, p, "k", 8)
     batch = _batch(spark, 300, 500, "upd").withColumn(
         "_bronze_sync_timestamp", F.timestamp_seconds(F.col("k") + 10 ** 9).cast("timestamp_ntz"))
     merge_upsert(spark, a, batch, "k")
-    # b = the same merge died after moving half of its buckets, before its marks
-    for d in sorted(x for x in os.listdir(local(a)) if x.startswith("_bucket="))[:4]:
-        shutil.rmtree(os.path.join(local(b), d), ignore_errors=True)
-        shutil.copytree(os.path.join(local(a), d), os.path.join(local(b), d))
-    touch(spark, f"{b}/{MARKS_DIRTY}")
+    _half_commit(spark, b, batch, moved=4, gap=True)
     merge_upsert(spark, b, batch, "k")
     assert rows(read_table(spark, b)) == rows(read_table(spark, a))
     assert table_high_water(spark, b) == table_high_water(spark, a)
+
+
+def test_materialize_after_a_half_commit_and_a_half_first_build(spark):
+    from argent.plans.models import MODELS, materialize
+    from argent.sources import fixtures as fx
+    from argent.sources import silver_table as sink
+    from tests.conftest import SF001
+    spec = MODELS["order_headers"]
+    v1, v2 = fx.orders_v1(spark, SF001), fx.order_headers(spark, SF001)
+    a, b = work_dir(spark, "t-mat-a"), work_dir(spark, "t-mat-b")
+    for bronze in (v1, v2):
+        materialize(spark, spec, bronze, a, fx.ORDERS_AS_OF, "r")
+    real = sink.move_path
+    for bronze in (v1, v2):           # each run dies after 5 of its folders and is run again
+        left = [5]
+
+        def move(sp, src, dst):
+            if "/_commit/" in src:
+                left[0] -= 1
+                if left[0] < 0:
+                    raise RuntimeError("died")
+            return real(sp, src, dst)
+        sink.move_path = move
+        try:
+            materialize(spark, spec, bronze, b, fx.ORDERS_AS_OF, "r")
+        except RuntimeError:
+            pass
+        finally:
+            sink.move_path = real
+        assert left[0] < 0
+        materialize(spark, spec, bronze, b, fx.ORDERS_AS_OF, "r")
+    assert rows(read_table(spark, b)) == rows(read_table(spark, a))
+
+
+def test_build_replaces_an_earlier_table(spark):
+    p = work_dir(spark, "t-merge-replace")
+    write_table(_batch(spark, 0, 200, "base"), p, "k", 16)
+    write_table(_batch(spark, 0, 3, "new"), p, "k", 4)
+    assert read_table(spark, p).count() == 3
