@@ -17,8 +17,10 @@ from tokenizers import Tokenizer
 
 from argent.llm.common import add_columns, column
 
-#: Chunks (runs between spaces) whose ids a task remembers.
-CACHE = 200_000
+#: Chunks (runs between spaces) and words whose ids a task remembers.
+CHUNKS, WORDS = 100_000, 200_000
+#: Texts encoded together.
+TEXTS = 250
 #: Words merged together; bounds the arrays of the index.
 TOGETHER = 10_000
 
@@ -140,27 +142,44 @@ class Bpe:
         return out
 
 
+class Recent(dict):
+    """What was looked up lately, at most ``limit`` entries besides those of one
+    call, in two halves: when the newer is full, it becomes the older one."""
+
+    def __init__(self, limit: int):
+        self.limit, self.older = limit, {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """The keys that are not known; the others are from now on in the newer half."""
+        if len(self) > self.limit // 2:
+            self.older = dict(self)
+            self.clear()
+        keys = keys - self.keys()
+        again = keys & self.older.keys()
+        self.update((k, self.older[k]) for k in again)
+        return keys - again
+
+
 class Encoder:
-    """Encodes texts and remembers the ids of chunks, as 32-bit bytes, between calls."""
+    """Encodes texts and remembers the ids of chunks and words, as 32-bit bytes, between calls."""
 
     def __init__(self, path: str):
         self.bpe = _bpe(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.chunks, self.words = Recent(CHUNKS), Recent(WORDS)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        return [x for i in range(0, len(texts), TEXTS) for x in self._encode(texts[i:i + TEXTS])]
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         chunks = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        new = {c for doc in chunks for c in doc} - self.known.keys()
-        if len(self.known) + len(new) > CACHE:
-            self.known = {"": b""}
-            new = {c for doc in chunks for c in doc} - {""}
-        pieces = {c: self.bpe.split(c) for c in new}
-        spelled = list({w for ws in pieces.values() for w in ws if isinstance(w, str)})
-        words: dict[str, list[int]] = {}
-        for i in range(0, len(spelled), TOGETHER):
-            words |= self.bpe.encode_words(spelled[i:i + TOGETHER])
+        pieces = {c: self.bpe.split(c) for c in self.chunks.missing({c for doc in chunks for c in doc})}
+        words = self.words
+        new = list(words.missing({w for ws in pieces.values() for w in ws if isinstance(w, str)}))
+        for i in range(0, len(new), TOGETHER):
+            words.update((w, array("i", ids).tobytes()) for w, ids in self.bpe.encode_words(new[i:i + TOGETHER]).items())
         for c, ws in pieces.items():
-            self.known[c] = array("i", [i for w in ws for i in ([w] if isinstance(w, int) else words[w])]).tobytes()
-        get = self.known.__getitem__
+            self.chunks[c] = b"".join([words[w] if isinstance(w, str) else array("i", [w]).tobytes() for w in ws])
+        get = self.chunks.__getitem__
         return [b"".join(map(get, doc)) for doc in chunks]
 
 
