@@ -5,7 +5,6 @@ from __future__ import annotations
 import heapq
 import json
 from array import array
-from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -51,12 +50,20 @@ class Bpe:
         self.tokens = {i: t for t, i in [*self.vocab.items(), *self.special.items()]}
         letters = byte_letters()
         self.spelled = dict(enumerate(letters[:128]))
-        self.first = {c: self.vocab[c] for c in letters}
-        self.last = {c: self.vocab[c + self.end] for c in letters}
         merges = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         #: by rank: the two symbols and what they make; and the rank by pair
         self.pairs = [(self.vocab[a], self.vocab[b], self.vocab[a + b]) for a, b in merges]
         self.ranks = {a << 20 | b: r for r, (a, b, _) in enumerate(self.pairs)}
+        #: symbols of the bytes within a word, then at its end; the byte of a letter; ranks of pairs of them
+        symbols = [self.vocab[c + e] for e in ("", self.end) for c in letters]
+        self.byte_symbols = np.array(symbols)
+        self.byte_of = np.zeros(512, np.int64)
+        self.byte_of[[ord(c) for c in letters]] = np.arange(256)
+        index = {x: i for i, x in enumerate(symbols)}
+        self.byte_ranks = np.full((512, 512), -1)
+        for r, (a, b, _) in enumerate(self.pairs):
+            if a in index and b in index:
+                self.byte_ranks[index[a], index[b]] = r
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pieces = regex.compile(split["pattern"]["Regex"]).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split
@@ -78,50 +85,35 @@ class Bpe:
                 out += [x for x, _ in self.rules.pre_tokenizer.pre_tokenize_str(self.rules.normalizer.normalize_str(part))]
         return out
 
-    def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Ids of distinct words, all merged together.
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of distinct words as 32-bit bytes, all merged together.
 
         The words lie one after another in one array of symbols, linked within
         each word. An index holds, for the rank of every mergeable pair, all
         positions of the pair; the active ranks are applied in ascending order,
         each at all its positions from left to right, and the lists of the
-        pairs that a merge makes are extended.
+        pairs that a merge makes are extended. A symbol that was merged into
+        the one before it is marked -1.
         """
-        words = list(words)
-        sym: list[int] = []
-        left: list[int] = []
-        right: list[int] = []
-        starts = []
-        first, last = self.first, self.last
-        for w in words:
-            at, n = len(sym), len(w)
-            starts.append(at)
-            sym += [first[c] for c in w]
-            sym[-1] = last[w[-1]]
-            left += range(at - 1, at + n - 1)
-            right += range(at + 1, at + n + 1)
-            left[at] = right[-1] = -1
-        rank_of, pairs, where = self.ranks.get, self.pairs, {}
-        for p, q in enumerate(right):
-            if q >= 0 and (r := rank_of(sym[p] << 20 | sym[q])) is not None:
-                if r in where:
-                    where[r].append(p)
-                else:
-                    where[r] = [p]
-        active = list(where)
-        heapq.heapify(active)
-
-        def note(r: int, p: int) -> None:
-            if r in where:
-                where[r].append(p)
-            else:
-                where[r] = [p]
-                heapq.heappush(active, r)
-
-        while active:
-            rank = heapq.heappop(active)
-            a, b, new = pairs[rank]
-            for p in sorted(where.pop(rank)):
+        n = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(n)
+        at = self.byte_of[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        at[ends - 1] += 256
+        left, right = np.arange(-1, len(at) - 1), np.arange(1, len(at) + 1)
+        left[ends - n] = right[ends - 1] = -1
+        rank = np.full(len(at), -1)
+        rank[:-1] = self.byte_ranks[at[:-1], at[1:]]
+        spots = np.flatnonzero(rank >= 0)
+        spots = spots[np.argsort(rank[spots], kind="stable")]
+        ranks, starts = np.unique(rank[spots], return_index=True)
+        active, cuts, spots = ranks.tolist(), [*starts.tolist(), len(spots)], spots.tolist()
+        where = {r: spots[cuts[i]:cuts[i + 1]] for i, r in enumerate(active)}
+        sym, left, right = self.byte_symbols[at].tolist(), left.tolist(), right.tolist()
+        rank_of, pairs, push, pop = self.ranks.get, self.pairs, heapq.heappush, heapq.heappop
+        while active:  # in ascending order from the start: a heap
+            r = pop(active)
+            a, b, new = pairs[r]
+            for p in sorted(where.pop(r)):
                 q = right[p]
                 if sym[p] != a or q < 0 or sym[q] != b:
                     continue  # an earlier merge took one of the two
@@ -130,16 +122,22 @@ class Bpe:
                 if q >= 0:
                     left[q] = p
                     if (r := rank_of(new << 20 | sym[q])) is not None:
-                        note(r, p)
-                if (k := left[p]) >= 0 and (r := rank_of(sym[k] << 20 | new)) is not None:
-                    note(r, k)
-        out = {}
-        for w, p in zip(words, starts):
-            ids = [sym[p]]
-            while (p := right[p]) >= 0:
-                ids.append(sym[p])
-            out[w] = ids
-        return out
+                        if r in where:
+                            where[r].append(p)
+                        else:
+                            where[r] = [p]
+                            push(active, r)
+                k = left[p]
+                if k >= 0 and (r := rank_of(sym[k] << 20 | new)) is not None:
+                    if r in where:
+                        where[r].append(k)
+                    else:
+                        where[r] = [k]
+                        push(active, r)
+        ids = np.array(sym, np.int32)
+        kept = ids >= 0
+        data, ends = ids[kept].tobytes(), (4 * np.cumsum(kept)[ends - 1]).tolist()
+        return {w: data[i:j] for w, i, j in zip(words, [0, *ends], ends)}
 
 
 class Recent(dict):
@@ -176,7 +174,7 @@ class Encoder:
         words = self.words
         new = list(words.missing({w for ws in pieces.values() for w in ws if isinstance(w, str)}))
         for i in range(0, len(new), TOGETHER):
-            words.update((w, array("i", ids).tobytes()) for w, ids in self.bpe.encode_words(new[i:i + TOGETHER]).items())
+            words.update(self.bpe.encode_words(new[i:i + TOGETHER]))
         for c, ws in pieces.items():
             self.chunks[c] = b"".join([words[w] if isinstance(w, str) else array("i", [w]).tobytes() for w in ws])
         get = self.chunks.__getitem__
