@@ -37,8 +37,8 @@ __all__ = [
     "EMAIL_PATTERN_MACRO", "EMAIL_PATTERN_TEST", "EMAIL_PATTERN_COLUMN",
     "col_of", "or_unknown", "clean_upper", "money", "whole", "to_text", "try_ts",
     "lit_ts", "lit_date", "days_ago", "as_of_ts", "full_match", "is_email",
-    "type_name", "year_floor", "upper_differs", "open_end", "scd_id",
-    "mask_string", "mask_date", "is_privileged",
+    "type_name", "type_of", "year_floor", "upper_differs", "open_end", "scd_id",
+    "mask_string", "mask_by_role", "mask_date", "is_privileged",
 ]
 
 
@@ -127,6 +127,11 @@ def type_name(dtype) -> str:
     return dtype.simpleString()
 
 
+def type_of(c: ColumnOrName) -> Column:
+    """F12 on a table: the name of a column's type, upper case."""
+    return F.upper(F.typeof(col_of(c)))
+
+
 def year_floor(c: ColumnOrName) -> Column:
     """1 January of the value's year; NULL stays NULL."""
     c = col_of(c)
@@ -162,6 +167,12 @@ def mask_string(c: ColumnOrName, roles=()) -> Column:
     return col_of(c) if is_privileged(roles) else F.lit(MASK_TEXT)
 
 
+def mask_by_role(c: ColumnOrName, role: ColumnOrName) -> Column:
+    """F13 / G2 on data: the value where the row's reader role is a privileged
+    one, else the mask text; a NULL role sees the mask."""
+    return F.when(F.upper(col_of(role)).isin(*PRIVILEGED_ROLES), col_of(c)).otherwise(F.lit(MASK_TEXT))
+
+
 def mask_date(c: ColumnOrName, roles=()) -> Column:
     """Value for privileged readers, else 1 January of its year."""
     return col_of(c) if is_privileged(roles) else year_floor(c)

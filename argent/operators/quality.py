@@ -9,8 +9,8 @@ Physical shape of :func:`run_checks`: all row-level checks of a table
 aggregate over one scan (``count_if`` per check; partial aggregation in every
 scan task, a single-row exchange). Uniqueness needs a shuffle by the checked
 column (partial counts per value first, so a hot value is pre-aggregated map
-side); referential checks are a left-anti join. Type checks read only the
-schema. Nothing is collected: the result is a small DataFrame.
+side); referential checks are a left-anti join. Type checks read one
+row. Nothing is collected: the result is a small DataFrame.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from argent.functions.exprs import (
-    EMAIL_PATTERN_TEST, full_match, lit_ts,
+    EMAIL_PATTERN_TEST, full_match, lit_ts, type_of,
 )
 
 ROW_KINDS = ("not_null", "in_range", "not_after", "matches", "positive", "valid_email")
@@ -134,7 +134,7 @@ def unique_check(df: DataFrame, check: Check, table: str) -> DataFrame:
 def type_check(df: DataFrame, check: Check, table: str) -> DataFrame:
     """Compare the column's type name case-insensitively on one row of
     the table; an empty table passes."""
-    bad = F.upper(F.typeof(F.col(check.column))) != F.lit(str(check.expected_type).upper())
+    bad = type_of(check.column) != F.lit(str(check.expected_type).upper())
     one = df.select(bad.alias("bad")).limit(1).agg(F.count_if("bad").alias("f"))
     return one.select(*_result(F.lit(check.name), table, F.lit(check.column), F.lit(check.severity), F.col("f")))
 

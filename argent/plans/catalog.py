@@ -291,6 +291,28 @@ def _j5(spark, sf_dir):
     return scd2.changes(h, fx.customers_run(spark, sf_dir, 3), "CUSTOMER_ID")
 
 
+@query("f9_as_of")
+def _f9(spark, sf_dir):
+    return fx.interactions(spark, sf_dir).select(
+        "INTERACTION_ID", fn.as_of_ts(fx.EVENTS_AS_OF).alias("AS_OF"),
+        (F.col(st.SYNCED) <= fn.as_of_ts(fx.EVENTS_AS_OF)).alias("BEFORE_AS_OF"),
+        (F.col(st.SYNCED) <= fn.as_of_ts()).alias("BEFORE_NOW"))
+
+
+@query("f12_type_name")
+def _f12(spark, sf_dir):
+    return full_build(spark, sf_dir, "order_headers").select(
+        "ORDER_ID", fn.type_of("ORDER_ID").alias("ID_TYPE"), fn.type_of("TOTAL_AMOUNT").alias("AMOUNT_TYPE"))
+
+
+@query("f13_case_when")
+def _f13(spark, sf_dir):
+    k = F.col("CUSTOMER_ID")
+    role = (F.when(k % 4 == 0, F.lit("compliance_role")).when(k % 4 == 1, F.lit("ADMIN_ROLE"))
+            .when(k % 4 == 2, F.lit("ANALYST_ROLE")))
+    return fx.customers(spark, sf_dir).select("CUSTOMER_ID", fn.mask_by_role("EMAIL", role).alias("EMAIL"))
+
+
 @query("f16_open_end")
 def _f16(spark, sf_dir):
     h = history_in_memory(spark, sf_dir, runs=(1, 2))

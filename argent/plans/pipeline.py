@@ -5,8 +5,8 @@ Bronze tables live at ``<bronze_root>/<group>/<table>``; silver tables at
 tables at ``<silver_root>/snapshots/<name>``.
 
 Models are independent, so ``threads`` > 1 submits several of them to Spark at
-once from a driver thread pool (Spark schedules concurrent jobs fairly); the
-reference runs 4 at once in production and 2 in development.
+once from a driver thread pool (in Spark's default order, first come first
+served, unless the session sets spark.scheduler.mode); the reference runs 4 at once in production and 2 in development.
 """
 
 from __future__ import annotations

@@ -39,13 +39,18 @@ def bronze_stream(spark: SparkSession, path: str, schema, max_files_per_trigger:
 def stream_upsert(stream: DataFrame, spec: ModelSpec, target_path: str, checkpoint: str, as_of, run_id: str,
                   trigger: Optional[dict] = None, use_window: Optional[bool] = False,
                   query_name: Optional[str] = None) -> StreamingQuery:
-    """ST2: keyed upsert of every micro-batch into the silver table."""
+    """ST2: keyed upsert of every micro-batch into the silver table.
+
+    ``as_of`` is a time, None (the time of each micro-batch) or a function that
+    gives it; ``run_id`` is a text or a function of the batch number.
+    """
     from argent.sources.silver_table import merge_upsert
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        batch = build_silver(df, spec, as_of, run_id)
+        now = as_of() if callable(as_of) else as_of
+        batch = build_silver(df, spec, now, run_id(batch_id) if callable(run_id) else run_id)
         merge_upsert(df.sparkSession, target_path, batch, spec.key,
-                     match_cond=match_condition(spec, as_of, use_window),
+                     match_cond=match_condition(spec, now, use_window),
                      num_buckets=spec.num_buckets, guard_col=AUDIT_SYNC, range_width=spec.range_width)
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)

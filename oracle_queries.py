@@ -564,3 +564,10 @@ ORACLES["s3_full_compare_apply"] = f"""with t as (select *, timestamp '2024-01-3
         case when d.CAMPAIGN_ID is not null then timestamp '{EVENTS_AS_OF}' else t._synced end as _synced,
         case when d.CAMPAIGN_ID is not null then d.op = 'delete' else t._deleted end as _deleted
     from t full outer join d on t.CAMPAIGN_ID = d.CAMPAIGN_ID"""
+
+ORACLES["f9_as_of"] = f"""select INTERACTION_ID, timestamp '{EVENTS_AS_OF}' as AS_OF, _synced <= timestamp '{EVENTS_AS_OF}' as BEFORE_AS_OF,
+    _synced <= cast(now() as timestamp) as BEFORE_NOW from ({FIXTURES['interactions']}) i"""
+ORACLES["f12_type_name"] = f"""select ORDER_ID, upper(typeof(ORDER_ID)) as ID_TYPE, upper(typeof(TOTAL_AMOUNT)) as AMOUNT_TYPE
+    from ({model_build('order_headers')}) m"""
+ORACLES["f13_case_when"] = f"""select CUSTOMER_ID, case when CUSTOMER_ID % 4 in (0, 1) then EMAIL else '***MASKED***' end as EMAIL
+    from ({FIXTURES['customers']}) c"""
