@@ -207,7 +207,7 @@ def _bpe(path: str) -> Bpe:
 def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """``docs`` with the token ids of the whole text, in a column named ``ids``
     (replaced if there). Null and empty texts have no tokens. Map-only; a task
-    remembers the ids of at most CACHE chunks. ``vocabulary`` is a tokenizer
+    remembers the ids of about CHUNKS chunks and WORDS words. ``vocabulary`` is a tokenizer
     file that every executor has (or gets through ``spark.files``)."""
     return add_columns(docs, lambda b, e: [_lists(e.encode(column(b, text)))], [(ids, "array<int>")], lambda: Encoder(vocabulary))
 
