@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from argent.llm.common import add_columns, column
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+ATTRIBUTE = re.compile(r"""\b(class|id|role|href)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?(?:false|until))|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 PUNCTUATION = re.compile(r"[,.;:!?…。，、！？]")
 SPACES = re.compile(r"\s+")
@@ -20,7 +20,9 @@ SPACES = re.compile(r"\s+")
 #: Fixed lists of element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math object select option button".split())
-AWAY = frozenset("nav footer aside form menu dialog head".split()) | RAW
+AWAY = frozenset(["head"])
+#: Not text of the article.
+ASIDE = frozenset("nav footer aside form menu dialog header".split())
 BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -28,7 +30,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A start tag of the first ends an open element of the second (up to a container).
 ENDS = ({t: frozenset({"p"}) for t in BLOCKS} | {t: frozenset({"p"}) | HEADINGS for t in HEADINGS}
         | {"li": frozenset({"li", "p"}), "dt": frozenset({"dt", "dd", "p"}), "dd": frozenset({"dt", "dd", "p"}),
-           "tr": frozenset({"tr", "td", "th", "p"}), "td": frozenset({"td", "th", "p"}), "th": frozenset({"td", "th", "p"})})
+           "tr": frozenset({"tr", "td", "th", "p"}), "td": frozenset({"td", "th", "p"}), "th": frozenset({"td", "th", "p"}),
+           "a": frozenset({"a"})})
 CONTAINERS = frozenset("article aside blockquote body div dl fieldset footer form header html main menu nav ol section table ul".split())
 #: Words in class, id or role that mark page furniture.
 FURNITURE = frozenset(
@@ -36,57 +39,85 @@ FURNITURE = frozenset(
     " cookies disclaimer disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices notification"
     " pagination popup promo promoted reader-comments recommended related replies respond share sharing sidebar signup skip social"
     " sponsor sponsored subscribe toc toolbar widget alert complementary contentinfo search".split())
+#: Weights in a path's score: furniture by name, text in links, the best container.
+MARKED, LINKED, HELD = 0.1, 0.9, 4.0
 
 
-def _furniture(attributes: str) -> bool:
-    if HIDDEN.search(attributes):
-        return True
-    for found in MARKS.finditer(attributes):
-        for name in (found[1] or found[2] or found[3] or "").lower().split():
-            if name in FURNITURE or any(x in FURNITURE for x in re.split(r"[-_]+", name)):
-                return True
-    return False
+def _names(attributes: str) -> tuple[bool, bool, bool]:
+    """Whether an element is hidden, has a name of furniture, and has a link."""
+    marked = link = False
+    for m in ATTRIBUTE.finditer(attributes):
+        if m[1].lower() == "href":
+            link = True
+            continue
+        for word in (m[2] or m[3] or m[4] or "").lower().split():
+            marked |= word in FURNITURE or any(x in FURNITURE for x in re.split(r"[-_]+", word))
+    return bool(HIDDEN.search(attributes)), marked, link
+
+
+class Element:
+    """An element of a page: its tag, whether the tag or a name speaks against it, and the text it holds."""
+
+    __slots__ = ("tag", "aside", "marked", "inside", "link", "size")
 
+    def __init__(self, tag: str, aside: bool, marked: bool, inside: bool, link: bool):
+        self.tag, self.aside, self.marked, self.inside, self.link = tag, aside, marked, inside, link
+        self.size = 0
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
-    """(path of block tags, text) of each block outside the furniture, in page order."""
-    out: list[tuple[tuple[str, ...], str]] = []
-    stack: list[tuple[str, bool]] = []  # open elements; whether they are furniture
-    parts: list[str] = []
+
+def blocks(page: str) -> list[tuple[list[Element], str, int]]:
+    """(open elements, text, characters in links) of each block that is shown, in page order.
+
+    The text of an inline element with a name of furniture is a block of its own."""
+    out: list[tuple[list[Element], str, int]] = []
+    stack: list[tuple[Element, bool]] = []  # open elements; whether their text goes
+    parts: list[tuple[str, bool, tuple[Element, ...]]] = []
     away = 0
 
+    def add(text: str) -> None:
+        if not away:
+            inline = tuple(e for e, _ in stack if e.marked and e.tag not in BLOCKS)
+            parts.append((text, any(e.link for e, _ in stack), inline))
+
     def flush() -> None:
-        text = SPACES.sub(" ", html.unescape("".join(parts))).strip()
+        if not parts:
+            return
+        groups: dict[tuple[Element, ...], list[tuple[str, bool]]] = {}
+        for text, link, inline in parts:
+            groups.setdefault(inline, []).append((text, link))
         parts.clear()
-        if text:
-            out.append((tuple(t for t, _ in stack if t in BLOCKS and t not in ("html", "body")), text))
+        open_ = [e for e, _ in stack if e.tag in BLOCKS and e.tag not in ("html", "body")]
+        for inline, some in groups.items():
+            text = SPACES.sub(" ", html.unescape("".join(t for t, _ in some))).strip()
+            if text:
+                out.append(([*open_, *inline], text, len(SPACES.sub(" ", html.unescape("".join(t for t, k in some if k))).strip())))
 
     def close(n: int) -> None:
         nonlocal away
         while len(stack) > n:
-            if stack[-1][0] in BLOCKS:
+            if stack[-1][0].tag in BLOCKS:
                 flush()
             away -= stack.pop()[1]
 
-    at, raw = 0, None
+    at = 0
     for m in TOKEN.finditer(page):
         if m.start() < at:
             continue
-        if m.start() > at and not away:
-            parts.append(page[at:m.start()])
+        if m.start() > at:
+            add(page[at:m.start()])
         at = m.end()
         tag = (m[2] or "").lower()
         if not tag:
             continue
         if m[1]:
-            n = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            n = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0].tag == tag), None)
             # an end tag does not reach out of the block that holds it
-            if n is not None and (tag in BLOCKS or not any(t in CONTAINERS for t, _ in stack[n + 1:])):
+            if n is not None and (tag in BLOCKS or not any(e.tag in CONTAINERS for e, _ in stack[n + 1:])):
                 close(n)
             continue
         if tag in VOID:
-            if tag in ("br", "hr") and not away:
-                parts.append(" ")
+            if tag in ("br", "hr"):
+                add(" ")
             continue
         if tag in RAW:  # what it holds is not markup; without an end tag it is the rest
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
@@ -94,28 +125,30 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
             continue
         if tag in ENDS:
             n = len(stack)
-            while n and stack[n - 1][0] not in CONTAINERS:
+            while n and stack[n - 1][0].tag not in CONTAINERS:
                 n -= 1
-                if stack[n][0] in ENDS[tag]:
+                if stack[n][0].tag in ENDS[tag]:
                     close(n)
-        if tag in BLOCKS and not away:
+        if tag in BLOCKS:
             flush()
-        inside = any(t in ("article", "main") for t, _ in stack)
-        gone = tag in AWAY or (tag == "header" and not inside) or (tag not in ("html", "body", "article", "main") and _furniture(m[3] or ""))
-        stack.append((tag, gone))
+        if tag == "body":  # the end tag of head may be left out
+            close(next((i for i, (e, _) in enumerate(stack) if e.tag == "head"), len(stack)))
+        inside = any(e.tag in ("article", "main") for e, _ in stack)
+        hidden, marked, link = _names(m[3]) if m[3] else (False, False, False)
+        if tag in ("html", "body", "article", "main"):
+            hidden = marked = False
+        gone = hidden or tag in AWAY
+        stack.append((Element(tag, tag in ASIDE and not (tag == "header" and inside), marked, inside, link and tag == "a"), gone))
         away += gone
-    if not away:
-        parts.append(page[at:])
-    stack_end = len(stack)
-    if stack_end:
-        close(0)
+    if at < len(page):
+        add(page[at:])
     flush()
     return out
 
 
 def _smooth(x: np.ndarray) -> np.ndarray:
     """Each value with half of its neighbours in page order."""
-    if len(x) < 3:
+    if len(x) < 2:
         return x
     p = np.pad(x, 1, mode="edge")
     return (p[:-2] / 2 + p[1:-1] + p[2:] / 2) / 2
@@ -126,34 +159,49 @@ def main_text(page: str | None) -> str:
 
     Text length and punctuation are summed per root-to-leaf tag path and
     divided by the path's number of text nodes; both ratios are smoothed over
-    the paths in page order and fused into one score. The container (the path
-    without its leaf) with the most score-weighted text sets the threshold:
-    paths in an <article> or <main>, or below that container, are content, and
-    so are other paths whose score reaches half of the page's mean score
-    weighted by text.
+    the paths in page order and fused into one score. Names of furniture and
+    text in links lower it. Paths are content whose score reaches half of the
+    page's mean score weighted by text; for that, the score is raised by the
+    share of the page's text in the <article> or <main> around it, and for
+    paths in the container (the path without its leaf) with the most
+    score-weighted text (not through an <article> below it, as of a teaser);
+    what has a name of furniture is not raised, nor is text in links.
     """
     if not page:
         return ""
     found = blocks(page)
+    for elements, text, _ in found:
+        for e in elements:
+            e.size += len(text)
+    found = [x for x in found if not any(e.aside for e in x[0])]
     if not found:
         return ""
-    marked = [x for x in found if "article" in x[0] or "main" in x[0]]
-    found = marked or found
+    whole = sum(len(text) for _, text, _ in found)
     paths: dict[tuple[str, ...], list[float]] = {}
-    for path, text in found:
-        s = paths.setdefault(path, [0.0, 0.0, 0.0])
-        s[0] += len(text)
-        s[1] += len(PUNCTUATION.findall(text))
-        s[2] += 1
+    at = []
+    for elements, text, linked in found:
+        path = tuple(e.tag + "!" if e.marked else e.tag for e in elements)
+        share = max((e.size for e in elements if e.tag in ("article", "main")), default=0) / whole
+        s = paths.setdefault(path, [0.0] * 5)
+        for i, v in enumerate((len(text), len(PUNCTUATION.findall(text)), 1, linked, len(text) * min(1.0, share))):
+            s[i] += v
+        at.append(path)
     a = np.array(list(paths.values()))
     score = np.log1p(_smooth(a[:, 0] / a[:, 2])) * (1 + np.log1p(_smooth(a[:, 1] / a[:, 2])))
+    marked = np.array([any(t.endswith("!") for t in p) for p in paths])
+    score *= np.where(marked, MARKED, 1.0)
+    linked = np.where([p[-1:] == ("h1",) for p in paths], 0.0, a[:, 3] / a[:, 0])
+    score *= 1 - LINKED * linked
+    limit = float((score * a[:, 0]).sum() / a[:, 0].sum()) / 2
     weight: dict[tuple[str, ...], float] = {}
     for (path, s), v in zip(paths.items(), score):
         weight[path[:-1]] = weight.get(path[:-1], 0.0) + v * s[0]
     best = max(weight, key=lambda k: (weight[k], -len(k)))
-    limit = float((score * a[:, 0]).sum() / max(1.0, a[:, 0].sum())) / 2
-    content = {p for p, v in zip(paths, score) if marked or (best and p[:len(best)] == best) or v >= limit}
-    return "\n".join(text for path, text in found if path in content)
+    held = np.array([bool(best) and p[:len(best)] == best and "article" not in p[len(best):] for p in paths])
+    raised = (1 + a[:, 4] / a[:, 0]) * np.where(held, HELD, 1.0)
+    score *= np.where(marked, 1.0, 1 + (raised - 1) * (1 - linked))
+    content = {p for p, v in zip(paths, score) if v >= limit}
+    return "\n".join(text for (_, text, _), p in zip(found, at) if p in content)
 
 
 def extract_main_text(pages: DataFrame, source: str = "html", text: str = "text") -> DataFrame:

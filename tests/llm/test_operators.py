@@ -215,6 +215,20 @@ def test_main_text(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in rows.values())
 
 
+BODY = "".join(f"<p>This is a sentence, with a comma and more words in it. It goes on, number {i}, for a while; then it ends.</p>" for i in range(6))
+CARDS = "".join(f"<article class='card'><h3><a href='/{i}'>Teaser title {i}</a></h3><p>A short teaser of it {i}</p></article>" for i in range(5))
+LINKS = "<ul><li><a href='/a'>Other page</a></li><li><a href='/b'>Third page here</a></li></ul>"
+
+
+@pytest.mark.parametrize("page", [
+    "<article>{}</article>", "<main>{}</main>", "<div>{}</div>", "<div>{}</div>" + CARDS, "<div>{}" + CARDS + "</div>",
+    "<main>{}" + LINKS + "</main>", "<article>{}</article>" + LINKS, "<div><div>{}</div>" + LINKS + "</div>"])
+def test_main_text_by_score(page):
+    from argent.llm.html_extract import main_text
+    want = re.findall(r"<p>(.*?)</p>", BODY)
+    assert main_text(page.format("<h1>The title</h1>" + BODY)).split("\n") == ["The title", *want]
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
     from argent.llm.mixing import mixing_plan
