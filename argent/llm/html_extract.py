@@ -12,17 +12,21 @@ from pyspark.sql import DataFrame
 from argent.llm.common import add_columns, column
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|href)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?(?:false|until))|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 PUNCTUATION = re.compile(r"[,.;:!?…。，、！？]")
 SPACES = re.compile(r"\s+")
 
 #: Fixed lists of element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object select option button".split())
-AWAY = frozenset(["head"])
-#: Not text of the article.
+#: Their text is not markup and, as in a browser, without an end tag the rest of the page is theirs.
+RAW = frozenset("script style textarea title iframe".split())
+#: Never text of the page.
+AWAY = frozenset("head noscript template svg math object select datalist option optgroup button".split())
+#: Not text of the article, unless they hold it.
 ASIDE = frozenset("nav footer aside form menu dialog header".split())
+#: A block's start tag ends an open one of these.
+INLINE = frozenset("svg math select datalist option optgroup".split())
 BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -31,38 +35,52 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ENDS = ({t: frozenset({"p"}) for t in BLOCKS} | {t: frozenset({"p"}) | HEADINGS for t in HEADINGS}
         | {"li": frozenset({"li", "p"}), "dt": frozenset({"dt", "dd", "p"}), "dd": frozenset({"dt", "dd", "p"}),
            "tr": frozenset({"tr", "td", "th", "p"}), "td": frozenset({"td", "th", "p"}), "th": frozenset({"td", "th", "p"}),
-           "a": frozenset({"a"})})
-CONTAINERS = frozenset("article aside blockquote body div dl fieldset footer form header html main menu nav ol section table ul".split())
+           "option": frozenset({"option"}), "optgroup": frozenset({"option", "optgroup"}), "a": frozenset({"a"})})
+CONTAINERS = frozenset("article aside blockquote body datalist div dl fieldset footer form header html main menu nav ol section select table ul".split())
 #: Words in class, id or role that mark page furniture.
 FURNITURE = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comment-list consent cookie"
     " cookies disclaimer disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices notification"
     " pagination popup promo promoted reader-comments recommended related replies respond share sharing sidebar signup skip social"
     " sponsor sponsored subscribe toc toolbar widget alert complementary contentinfo search".split())
+#: A name that starts with one of the first says what the page has; with one of the second, "header" is the article's own.
+TELLS = frozenset("no has with without hide show is".split())
+OWN = frozenset("article body content entry main page post story title".split())
 #: Weights in a path's score: furniture by name, text in links, the best container.
 MARKED, LINKED, HELD = 0.1, 0.9, 4.0
 
 
 def _names(attributes: str) -> tuple[bool, bool, bool]:
     """Whether an element is hidden, has a name of furniture, and has a link."""
-    marked = link = False
+    hidden = marked = link = False
     for m in ATTRIBUTE.finditer(attributes):
-        if m[1].lower() == "href":
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name == "hidden":
+            hidden |= not value.startswith(("false", "until"))
+        elif name == "aria-hidden":
+            hidden |= value.strip() == "true"
+        elif name == "style":
+            hidden |= bool(NOT_SHOWN.search(value))
+        elif name == "href":
             link = True
-            continue
-        for word in (m[2] or m[3] or m[4] or "").lower().split():
-            marked |= word in FURNITURE or any(x in FURNITURE for x in re.split(r"[-_]+", word))
-    return bool(HIDDEN.search(attributes)), marked, link
+        elif name in ("class", "id", "role"):
+            for word in value.split():
+                parts = re.split(r"[-_]+", word)
+                found = {x for x in (word, *parts) if x in FURNITURE}
+                if OWN.intersection(parts):
+                    found.discard("header")
+                marked |= bool(found) and parts[0] not in TELLS
+    return hidden, marked, link
 
 
 class Element:
-    """An element of a page: its tag, whether the tag or a name speaks against it, and the text it holds."""
+    """An element of a page: its tag, whether the tag or a name speaks against it, and what it holds."""
 
-    __slots__ = ("tag", "aside", "marked", "inside", "link", "size")
+    __slots__ = ("tag", "aside", "marked", "inside", "link", "size", "holds", "h1")
 
     def __init__(self, tag: str, aside: bool, marked: bool, inside: bool, link: bool):
         self.tag, self.aside, self.marked, self.inside, self.link = tag, aside, marked, inside, link
-        self.size = 0
+        self.size, self.holds, self.h1 = 0, False, False
 
 
 def blocks(page: str) -> list[tuple[list[Element], str, int]]:
@@ -119,10 +137,19 @@ def blocks(page: str) -> list[tuple[list[Element], str, int]]:
             if tag in ("br", "hr"):
                 add(" ")
             continue
-        if tag in RAW:  # what it holds is not markup; without an end tag it is the rest
+        foreign = next((e.tag for e, _ in reversed(stack) if e.tag in ("svg", "math", "foreignobject")), "foreignobject") != "foreignobject"
+        if (foreign or tag in ("svg", "math")) and m[3].endswith("/"):
+            continue
+        if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
+        if tag in BLOCKS:
+            for n in range(len(stack) - 1, -1, -1):
+                if stack[n][0].tag in CONTAINERS and stack[n][0].tag not in INLINE or stack[n][0].tag == "foreignobject":
+                    break
+                if stack[n][0].tag in INLINE:
+                    close(n)
         if tag in ENDS:
             n = len(stack)
             while n and stack[n - 1][0].tag not in CONTAINERS:
@@ -137,6 +164,10 @@ def blocks(page: str) -> list[tuple[list[Element], str, int]]:
         hidden, marked, link = _names(m[3]) if m[3] else (False, False, False)
         if tag in ("html", "body", "article", "main"):
             hidden = marked = False
+        if tag in ("article", "main", "h1"):
+            for e, _ in stack:
+                e.holds |= tag != "h1"
+                e.h1 |= tag == "h1"
         gone = hidden or tag in AWAY
         stack.append((Element(tag, tag in ASIDE and not (tag == "header" and inside), marked, inside, link and tag == "a"), gone))
         away += gone
@@ -166,21 +197,34 @@ def main_text(page: str | None) -> str:
     paths in the container (the path without its leaf) with the most
     score-weighted text (not through an <article> below it, as of a teaser);
     what has a name of furniture is not raised, nor is text in links.
+
+    A nav, footer, aside, form, menu, dialog or page header is left out, and a
+    name of furniture counts, unless the element holds an article or main; but
+    for nav and footer also unless it holds over half of the text of a page
+    that has no article or main. A name of furniture does not count either
+    within the article or main for an element that holds the h1.
     """
     if not page:
         return ""
     found = blocks(page)
+    whole = 0
     for elements, text, _ in found:
+        whole += len(text)
         for e in elements:
             e.size += len(text)
-    found = [x for x in found if not any(e.aside for e in x[0])]
+    plain = not any(e.tag in ("article", "main") for elements, _, _ in found for e in elements)
+
+    def against(e: Element, by_tag: bool) -> bool:
+        most = plain and 2 * e.size > whole and not (by_tag and e.tag in ("nav", "footer"))
+        return not (e.holds or most or (not by_tag and e.inside and e.h1))
+    found = [x for x in found if not any(e.aside and against(e, True) for e in x[0])]
     if not found:
         return ""
     whole = sum(len(text) for _, text, _ in found)
     paths: dict[tuple[str, ...], list[float]] = {}
     at = []
     for elements, text, linked in found:
-        path = tuple(e.tag + "!" if e.marked else e.tag for e in elements)
+        path = tuple(e.tag + "!" if e.marked and against(e, False) else e.tag for e in elements)
         share = max((e.size for e in elements if e.tag in ("article", "main")), default=0) / whole
         s = paths.setdefault(path, [0.0] * 5)
         for i, v in enumerate((len(text), len(PUNCTUATION.findall(text)), 1, linked, len(text) * min(1.0, share))):

@@ -229,6 +229,21 @@ def test_main_text_by_score(page):
     assert main_text(page.format("<h1>The title</h1>" + BODY)).split("\n") == ["The title", *want]
 
 
+@pytest.mark.parametrize("page", [
+    "<div style='overflow:hidden' class='overflow-hidden'><article>{}</article></div>", "<div class='layout has-sidebar'><article>{}</article></div>",
+    "<div class='no-banner'><article>{}</article></div>", "<div class='widget'><article>{}</article></div>", "<div class='widget'>{}</div>",
+    "<form action=x><div>{}</div></form>", "<article><header class='entry-header'>{}</header></article>", "<article><svg viewBox='0 0 1 1'/>{}</article>",
+    "<article><math/>{}</article>", "<datalist><option>a<option>b</datalist><article>{}</article>", "<datalist><option>a<article>{}</article>",
+    "<article><div><button>Press</div>{}</article>", "<article><select><option>a<option>b</select>{}</article>",
+    "<article>{}<p hidden>Not shown, and long enough to count. Not shown.</p></article>"])
+def test_main_text_keeps_articles_in_furniture(page):
+    from argent.llm.html_extract import main_text
+    want = re.findall(r"<p>(.*?)</p>", BODY)
+    title = "<h1>The title</h1>"
+    page = page.format(title).replace("</header>", "</header>" + BODY) if "entry-header" in page else page.format(title + BODY)
+    assert main_text(page).split("\n") == ["The title", *want]
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
     from argent.llm.mixing import mixing_plan
