@@ -4,144 +4,192 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from argent.llm.common import Hashes, column, split
 from argent.session import stored
 
-#: A word of the shared vocabulary has at least this share of all words, so
-#: there are at most 1 / SHARE of them, whatever the corpus.
-SHARE = 1e-5
+#: A word of the shared vocabulary occurs at least so often, whatever the corpus.
+LEAST = 2
 #: Weight of the unigram estimate in a bigram's, and of the even one in a unigram's.
 MU, ALPHA = 100.0, 1.0
+#: A block of documents is closed when it has so many tokens.
+BLOCK = 2_000_000
+#: Words are 64-bit hashes; these stand for the rare words and the start of a text.
+RARE, START = np.uint64(0x9D39247E33776D41), np.uint64(0x2AF7398005AAA5C7)
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+COUNTS = ("nt", "nb", "ct", "cb")
 
 
 def _words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def vocabulary(docs: DataFrame, text: str, share: float = SHARE) -> np.ndarray:
-    """64-bit hashes of the frequent words, sorted; counted over all texts."""
-    def run(batches):
-        hashes = Hashes()
-        for batch in batches:
-            for part in split(batch):
-                words = [w for t in column(part, text) for w in _words(t)]
-                if words:
-                    w, n = np.unique(hashes.of(words), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n.astype(np.int64))], names=["w", "n"])
-    counts = stored(docs.select(text).mapInArrow(run, "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n")), "words")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    found = counts.where(F.col("n") >= max(2, share * total)).select("w").toPandas()["w"].to_numpy(np.int64)
-    return np.sort(found.view(np.uint64))
+def _firsts(n: np.ndarray) -> np.ndarray:
+    """Places of the first tokens of the texts with n tokens."""
+    return (np.cumsum(n) - n)[n > 0]
+
+
+def _bigrams(words: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """64-bit codes of the bigrams that end at each token; words are hashes."""
+    left = np.empty_like(words)
+    left[1:] = words[:-1]
+    left[_firsts(n)] = START
+    return left * FACTOR + words
+
+
+def _sums(codes: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(codes in order, place of each token's, target count, count)."""
+    g, at = np.unique(codes, return_inverse=True)
+    return g, at, np.bincount(at, weights=flags, minlength=len(g)).astype(np.int64), np.bincount(at, minlength=len(g)).astype(np.int64)
+
+
+def _found(own: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the sorted own of the keys found there, and which these are."""
+    at = np.searchsorted(own, keys)
+    ok = (own[np.minimum(at, len(own) - 1)] == keys) if len(own) else np.zeros(len(keys), bool)
+    return at[ok], ok
+
 
+class _Block:
+    """The documents and words of a block, with the counts of words over all blocks."""
 
-def lm_scores(docs: DataFrame, target: DataFrame, id: str = "doc_id", text: str = "text", share: float = SHARE) -> DataFrame:
+    def __init__(self, left: pa.Table, right: pa.Table, least: int):
+        head = left.column("words").is_valid().to_numpy()
+        docs = left.filter(pa.array(~head))
+        head = left.filter(pa.array(head))
+        self.words = head.column("words").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        counts = {c: head.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).copy() for c in COUNTS}
+        kind = right.column("kind").to_numpy()
+        key = right.column("k").to_numpy().view(np.uint64)
+        at, ok = _found(self.words, key[kind == 0])
+        for c in COUNTS:  # a word of this block alone has its counts here
+            counts[c][at] = right.column(c).to_numpy()[kind == 0][ok]
+        self.counts, self.known = counts, counts["nb"] >= least
+        self.id, tokens = docs.column("id"), docs.column("tokens").combine_chunks()
+        self.n = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.tokens = tokens.flatten().to_numpy(zero_copy_only=False)
+        flags = docs.column("is_target").to_numpy().astype(np.float64)
+        coded = np.where(self.known, self.words, RARE)[self.tokens]
+        self.g, self.at, self.nt, self.nb = _sums(_bigrams(coded, self.n), np.repeat(flags, self.n))
+
+
+def lm_scores(docs: DataFrame, target: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
     """(id, n_tokens, target_loss, background_loss, score) of every row.
 
     The target model is trained on the documents whose id is in ``target`` (a
     column ``id``), the background model on all documents; both are bigram
     models with the same smoothing over one vocabulary, the words (A-Z lower
-    case) of at least ``share`` of all words and one symbol for the rest. The
+    case) that occur at least ``least`` times and one symbol for the rest. The
     losses are mean negative logarithms of the probabilities per token; score
     is their difference, lower for documents more like the target. A null or
     empty text has no tokens and null losses; with no target documents the
     target model is the smoothed even one. Rows are scored each for itself.
 
-    All bigrams of all documents are counted. The counts go back to the blocks
-    of documents (stored partitions) in which the bigram occurs, once per block,
-    so that neither a text nor a row per token is shuffled for them, and no task
-    holds more than the bigrams of its block.
+    All words and bigrams of all documents are counted, and the counts are
+    stored tables that grow with the corpus; the driver gets a few sums. Texts
+    become blocks of about BLOCK tokens (one text at least), each with a list
+    of its words. A count that more than one block adds to goes back to these
+    blocks, once per block; other counts are the block's own. So neither a text
+    nor a row per token is shuffled for them, and no task holds more than the
+    words and bigrams of its block. Words and bigrams are told apart by 64-bit
+    hashes.
     """
-    spark = docs.sparkSession
     base = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    words = spark.sparkContext.broadcast(vocabulary(base, "text", share))
-    size = len(words.value)
-    unknown, start, width = size, size + 1, size + 2
+    kind = base.schema["id"].dataType.simpleString()
+    marked = target.select(F.col("id").alias("id")).where("id is not null").distinct().withColumn("is_target", F.lit(True))
+    flagged = base.hint("merge").join(marked, "id", "left").select("id", "text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
+    lists = ", ".join(f"{c} array<bigint>" for c in COUNTS)
 
     def encode(batches):
-        vocab, hashes = words.value, Hashes()
+        hashes, number = Hashes(), TaskContext.get().partitionId() << 32
+        ids, flags, found, held = [], [], [], 0
+
+        def block():
+            n = np.array([len(x) for x in found], np.int64)
+            flat = np.concatenate(found)
+            target = np.repeat(np.array(flags, np.float64), n)
+            words, at, nt, nb = _sums(flat, target)
+            last = np.zeros(len(flat), bool)
+            last[(np.cumsum(n) - 1)[n > 0]] = True
+            ct = nt - np.bincount(at[last], weights=target[last], minlength=len(words)).astype(np.int64)
+            cb = nb - np.bincount(at[last], minlength=len(words)).astype(np.int64)
+            tokens = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), pa.array(at.astype(np.int32)))
+            rows = pa.concat_arrays([tokens, pa.nulls(1, tokens.type)])
+            heads = [pa.array([None] * len(n) + [v], pa.list_(pa.int64())) for v in (words.view(np.int64), nt, nb, ct, cb)]
+            size = len(n) + 1
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(size, number, np.int64)), pa.concat_arrays([*ids, pa.nulls(1, ids[0].type)]),
+                 pa.array([*flags, False]), rows, *heads], names=["block", "id", "is_target", "tokens", "words", *COUNTS])
         for batch in batches:
             for part in split(batch):
-                out = []
-                for t in column(part, "text"):
-                    x = hashes.of(_words(t))
-                    i = np.searchsorted(vocab, x) if size else np.zeros(len(x), np.int64)
-                    ok = (vocab[np.minimum(i, size - 1)] == x) if size else np.zeros(len(x), bool)
-                    out.append(np.where(ok, i, unknown).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("id")), pa.array(out, pa.list_(pa.int32()))], names=["id", "tokens"])
-    kind = base.schema["id"].dataType.simpleString()
-    marked = target.select(F.col("id").alias("id")).where("id is not null").distinct().withColumn("is_target", F.lit(True))
-    tokens = base.mapInArrow(encode, f"id {kind}, tokens array<int>").hint("merge").join(marked, "id", "left")
-    tokens = stored(tokens.select("id", "tokens", F.coalesce("is_target", F.lit(False)).alias("is_target"), F.spark_partition_id().alias("block")), "tokens")
-
-    def grams(toks: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-        """(bigram codes in order, tokens per document)."""
-        toks = toks.combine_chunks() if isinstance(toks, pa.ChunkedArray) else toks
-        flat = toks.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        n = toks.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        left = np.empty_like(flat)
-        left[1:] = flat[:-1]
-        left[(np.cumsum(n) - n)[n > 0]] = start
-        return left * width + flat, n
-
-    def count(batches):
-        def flush(block, codes, marks):
-            g, at = np.unique(np.concatenate(codes), return_inverse=True)
-            t = np.bincount(at, weights=np.concatenate(marks), minlength=len(g)).astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(g), block, np.int32)), pa.array(g), pa.array(t), pa.array(np.bincount(at, minlength=len(g)))],
-                                              names=["block", "g", "nt", "nb"])
-        block, codes, marks, held = None, [], [], 0
-        for batch in batches:
-            blocks = batch.column(batch.schema.get_field_index("block")).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), batch.num_rows]
-            for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                if held and (blocks[a] != block or held > 8_000_000):
-                    yield flush(block, codes, marks)
-                    codes, marks, held = [], [], 0
-                block = blocks[a]
-                c, n = grams(batch.column(batch.schema.get_field_index("tokens")).slice(a, b - a))
-                flags = batch.column(batch.schema.get_field_index("is_target")).slice(a, b - a).to_numpy(zero_copy_only=False)
-                codes.append(c)
-                marks.append(np.repeat(flags.astype(np.float64), n))
-                held += len(c)
-        if held:
-            yield flush(block, codes, marks)
-    counted = tokens.select("block", "tokens", "is_target").mapInArrow(count, "block int, g bigint, nt bigint, nb bigint")
-    model = stored(counted.groupBy("g").agg(F.sum("nt").alias("nt"), F.sum("nb").alias("nb"), F.collect_set("block").alias("blocks")), "bigrams")
-
-    def totals(code) -> np.ndarray:
-        """(target, background) counts by word: at most 1 / share + 2 rows."""
-        out = np.zeros((2, width))
-        for r in model.groupBy(code.alias("w")).agg(F.sum("nt").alias("nt"), F.sum("nb").alias("nb")).toLocalIterator():
-            out[:, r["w"]] = r["nt"], r["nb"]
-        return out
-    before, own = totals(F.floor(F.col("g") / width).cast("bigint")), totals(F.pmod("g", F.lit(width)))
-    single = (own + ALPHA) / (own.sum(axis=1, keepdims=True) + ALPHA * width)
-    tables = spark.sparkContext.broadcast((before, single))
+                new = [hashes.of(_words(t)) for t in column(part, "text")]
+                cuts, size = [0], held
+                for i, x in enumerate(new):  # a long text ends a block
+                    size += len(x)
+                    if size >= BLOCK:
+                        cuts.append(i + 1)
+                        size = 0
+                cuts.append(len(new))
+                for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                    if b > a:
+                        ids.append(part.column(part.schema.get_field_index("id")).slice(a, b - a))
+                        flags += column(part.slice(a, b - a), "is_target")
+                        found += new[a:b]
+                    if k < len(cuts) - 2:
+                        yield block()
+                        number, ids, flags, found = number + 1, [], [], []
+                held = size
+        if found:
+            yield block()
+    tokens = stored(flagged.mapInArrow(encode, f"block bigint, id {kind}, is_target boolean, tokens array<int>, words array<bigint>, {lists}"), "tokens")
+
+    heads = tokens.where("words is not null").select("block", F.explode(F.arrays_zip("words", *COUNTS)).alias("x"))
+    lexicon = heads.select("block", F.col("x.words").alias("k"), *[f"x.{c}" for c in COUNTS])
+    lexicon = stored(lexicon.groupBy("k").agg(*[F.sum(c).alias(c) for c in COUNTS], F.collect_set("block").alias("blocks")), "words")
+    rare = F.col("nb") < least
+    total = lexicon.agg(F.count_if(~rare).alias("size"), *[F.sum(c).alias(c) for c in COUNTS], *[F.sum(F.when(rare, F.col(c))).alias(f"r{c}") for c in COUNTS]).first()
+    size, of = total["size"], {c: total[c] or 0 for c in COUNTS}
+    of_rare = {c: total[f"r{c}"] or 0 for c in COUNTS}
+    width = size + 2
+    # a text with tokens has one that no other follows
+    starts = {"nt": of["nt"] - of["ct"], "nb": of["nb"] - of["cb"]}
+    shared = lexicon.where(~rare & (F.size("blocks") > 1)).select(F.explode("blocks").alias("block"), F.lit(0).alias("kind"), "k", *COUNTS)
+
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return pa.table({c: pa.array([], pa.int64()) for c in ("block", "k", "nt", "nb")})
+        b = _Block(left, right, least)
+        return pa.table({"block": np.full(len(b.g), left.column("block")[0].as_py(), np.int64), "k": b.g.view(np.int64), "nt": b.nt, "nb": b.nb})
+    counted = tokens.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(count, "block bigint, k bigint, nt bigint, nb bigint")
+    model = counted.groupBy("k").agg(F.sum("nt").alias("nt"), F.sum("nb").alias("nb"), F.collect_set("block").alias("blocks")).where(F.size("blocks") > 1)
+    model = stored(model, "bigrams")
+    zero = F.lit(0).cast("bigint")
+    route = shared.unionByName(model.select(F.explode("blocks").alias("block"), F.lit(1).alias("kind"), "k", "nt", "nb", zero.alias("ct"), zero.alias("cb")))
     schema = f"id {kind}, n_tokens bigint, target_loss double, background_loss double"
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        before, single = tables.value
         if not left.num_rows:
-            return pa.table({"id": left.column("id") if "id" in left.column_names else pa.array([], pa.int64()), "n_tokens": pa.array([], pa.int64()),
-                             "target_loss": pa.array([], pa.float64()), "background_loss": pa.array([], pa.float64())})
-        codes, n = grams(left.column("tokens"))
-        g = right.column("g").to_numpy()
-        order = np.argsort(g)
-        at = order[np.searchsorted(g, codes, sorter=order)] if len(codes) else np.zeros(0, np.int64)
+            return pa.table({"id": pa.nulls(0, left.schema.field("id").type) if "id" in left.column_names else pa.array([], pa.int64()),
+                             "n_tokens": pa.array([], pa.int64()), "target_loss": pa.array([], pa.float64()), "background_loss": pa.array([], pa.float64())})
+        b = _Block(left, right, least)
+        of_bigrams = right.filter(pa.array(right.column("kind").to_numpy() == 1))
+        at, ok = _found(b.g, of_bigrams.column("k").to_numpy().view(np.uint64))
+        first = _firsts(b.n)
         losses = []
-        for k, name in enumerate(("nt", "nb")):
-            c = right.column(name).to_numpy()[at] if len(codes) else np.zeros(0)
-            w1, w2 = codes // width, codes % width
-            loss = -np.log((c + MU * single[k][w2]) / (before[k][w1] + MU))
+        for own, n, c in ((b.nt, "nt", "ct"), (b.nb, "nb", "cb")):
+            own[at] = of_bigrams.column(n).to_numpy()[ok]
+            single = (np.where(b.known, b.counts[n], of_rare[n]) + ALPHA) / (of[n] + ALPHA * width)
+            context = np.where(b.known, b.counts[c], of_rare[c])[b.tokens]
+            before = np.empty(len(context))
+            before[1:] = context[:-1]
+            before[first] = starts[n]
+            loss = -np.log((own[b.at] + MU * single[b.tokens]) / (before + MU))
             total = np.concatenate([[0.0], np.cumsum(loss)])
-            ends = np.cumsum(n)
-            losses.append(np.where(n > 0, (total[ends] - total[ends - n]) / np.maximum(n, 1), np.nan))
-        return pa.table({"id": left.column("id"), "n_tokens": pa.array(n.astype(np.int64)),
+            ends = np.cumsum(b.n)
+            losses.append(np.where(b.n > 0, (total[ends] - total[ends - b.n]) / np.maximum(b.n, 1), np.nan))
+        return pa.table({"id": b.id, "n_tokens": pa.array(b.n),
                          **{f"{k}_loss": pa.array(v, from_pandas=True) for k, v in zip(("target", "background"), losses)}})
-    route = model.select(F.explode("blocks").alias("block"), "g", "nt", "nb")
-    scored = tokens.select("block", "id", "tokens").groupBy("block").cogroup(route.groupBy("block")).applyInArrow(score, schema)
+    scored = tokens.groupBy("block").cogroup(route.groupBy("block")).applyInArrow(score, schema)
     return scored.select(F.col("id").alias(id), "n_tokens", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))

@@ -131,6 +131,36 @@ def test_lm_scores(spark, docs):
         assert r["n_tokens"] == n and (r["score"] is None if s is None else abs(r["score"] - s) < 1e-9)
 
 
+def test_lm_scores_keep_rare_words_of_a_large_corpus(spark, monkeypatch):
+    from argent.llm import lm_score
+    monkeypatch.setattr(lm_score, "BLOCK", 20_000)  # many blocks, and counts that go back to several
+    texts = [(i, "the of and to " * 2500 + f"word{i % 7} " * 2 + f"term{i % 15} once{i}") for i in range(40)] + [(None, "the of"), (99, ""), (98, None)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    rows = got(lm_score.lm_scores(df, df.where("doc_id < 10").select(F.col("doc_id").alias("id"))))
+    count = Counter(w for _, t in texts for w in (t or "").split())
+    assert 1e-5 * sum(count.values()) > 3 and min(n for w, n in count.items() if w.startswith("term")) < 4
+    coded = [(i, [w if count[w] >= 2 else 0 for w in (t or "").split()]) for i, t in texts]
+    size = sum(n >= 2 for n in count.values())
+
+    def model(keep):
+        two, ctx, one = Counter(), Counter(), Counter()
+        for i, x in coded:
+            if keep(i):
+                two.update(zip([1, *x], x))
+                ctx.update([1, *x][:-1] if x else [])
+                one.update(x)
+        n = sum(one.values())
+        return lambda a, b: math.log((two[a, b] + 100 * (one[b] + 1) / (n + size + 2)) / (ctx[a] + 100))
+    t, b = model(lambda i: i is not None and i < 10), model(lambda i: True)
+    want = {i: (len(x), [-sum(m(p, q) for p, q in zip([1, *x], x)) / len(x) if x else None for m in (t, b)]) for i, x in coded}
+    assert len(rows) == len(texts)
+    for r in rows:
+        n, losses = want[r["doc_id"]]
+        assert r["n_tokens"] == n
+        for name, v in zip(("target_loss", "background_loss"), losses):
+            assert r[name] is None if v is None else abs(r[name] - v) < 1e-9
+
+
 @pytest.mark.parametrize("ranges", [None, 17])
 def test_drop_repeats(spark, docs, ranges):
     from argent.llm.suffix_dedup import drop_repeats
