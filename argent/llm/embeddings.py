@@ -53,7 +53,9 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     counts the other rows linked directly; component_id is the smallest id
     reachable, itself included; kept is component_id = id. Null, empty, zero
     or non-finite vectors, null labels and null ids are linked with nothing;
-    vectors of different lengths neither. ids are taken as unique.
+    vectors of different lengths neither. Rows with the same id are one row,
+    and each of them gets its result; if their vectors or labels differ, the
+    one with the smallest hash among those that can be linked stands for them.
 
     Unit vectors are hashed in ``tables`` tables; with the defaults a pair at
     the threshold meets in one of them with a chance over 0.99, a closer one
@@ -77,23 +79,36 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
         return [pa.array(unit, pa.list_(pa.float64())), pa.array(key, pa.list_(pa.int64()))]
     signed = add_columns(base.where("g is not null and id is not null"), sign, [("u", "array<double>"), ("keys", "array<bigint>")],
                          lambda: Tables(tables, k, width, seed)).where("keys is not null").drop("v")
-    signed = stored(signed.withColumns({"s1": F.xxhash64(F.lit(1), "g", "u"), "s2": F.xxhash64(F.lit(2), "u", "g")}), "vectors")
-    classes = stored(signed.groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.count("*").alias("n")), "vector-classes")
-    member = stored(signed.select("id", "s1", "s2").join(classes, ["s1", "s2"]).select("id", "rep", "n"), "vector-members")
-    one = stored(signed.join(classes.withColumnRenamed("rep", "id"), ["s1", "s2", "id"]).select("id", "n", "g", "u", "keys"), "unique-vectors")
-
-    shelf = one.select("id", F.posexplode("keys").alias("t", "key"), "g").select("id", "t", F.xxhash64("g", "t", "key").alias("bucket"))
+    signed = stored(signed.withColumns({"s1": F.xxhash64(F.lit(1), "g", "u"), "s2": F.xxhash64(F.lit(2), "u", "g"),
+                                        "row": F.monotonically_increasing_id()}), "vectors")
+    # s1, s2 before the row: which vector stands does not depend on the order of rows
+    firsts = stored(signed.groupBy("id").agg(F.min(F.struct("s1", "s2", "row")).alias("f")).select("id", "f.*"), "vector-ids")
+    classes = firsts.groupBy("s1", "s2").agg(F.min(F.struct("id", "row")).alias("f"), F.count("*").alias("n"))
+    classes = stored(classes.select("s1", "s2", F.col("f.id").alias("rep"), F.col("f.row").alias("row"), "n"), "vector-classes")
+    member = stored(firsts.select("id", "s1", "s2").join(classes, ["s1", "s2"]).select("id", "rep", "n"), "vector-members")
+    one = stored(signed.join(classes.select("row", "n"), "row").select("id", "n", "g", "u", "keys"), "unique-vectors")
+
+    shelf = (one.select("id", F.posexplode("keys").alias("t", "key"), "g", F.size("u").alias("d"))
+             .select("id", "t", F.xxhash64("g", "t", "d", "key").alias("bucket")))
     sizes = stored(shelf.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1"), "vector-buckets")
     placed = stored(block_pairs(shelf, sizes, "bucket", "id"), "vector-shelves")
     dealt = placed.join(one.select("id", "n", "u", "keys"), "id")
 
     def compare(rows: pa.Table) -> pa.RecordBatch | None:
+        u = rows.column("u").to_pylist()
+        size = np.array([len(x) for x in u])
+        found = []
+        for d in np.unique(size):  # different lengths meet only by a chance of 64 bits
+            at = np.flatnonzero(size == d)
+            out = linked(rows.take(pa.array(at)) if len(at) < len(u) else rows, np.array([u[i] for i in at]))
+            if out is not None:
+                found.append(out)
+        return pa.Table.from_batches(found).combine_chunks().to_batches()[0] if found else None
+
+    def linked(rows: pa.Table, x: np.ndarray) -> pa.RecordBatch | None:
         s, i, j = (rows.column(c).to_numpy() for c in ("_s", "_i", "_j"))
         left, right = np.flatnonzero(s == i[0]), np.flatnonzero(s == j[0])
-        u, keys = rows.column("u").to_pylist(), rows.column("keys").to_pylist()
-        if len({len(x) for x in u}) > 1:  # a chance meeting of different lengths
-            return None
-        x, key = np.array(u), np.array(keys, np.int64)
+        key = np.array(rows.column("keys").to_pylist(), np.int64)
         ids, n, t = rows.column("id").to_numpy(), rows.column("n").to_numpy(), int(rows.column("t")[0].as_py())
         hit = x[left] @ x[right].T >= threshold
         a, b = (p[q] for p, q in zip((left, right), np.nonzero(hit)))

@@ -94,6 +94,27 @@ def test_near_vectors(spark):
     assert all(rows[x["vec_id"]]["n_links"] == links[x["vec_id"]] for x in data)
 
 
+def test_near_vectors_of_mixed_lengths(spark):
+    from argent.llm.embeddings import near_vectors
+    rows = [(i, [1.0, 0.01 * i, 0.0] if i % 2 else [1.0, 0.0, 0.01 * i, 0.02, 0.0], 1) for i in range(1, 21)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    # every vector of a label in one cell: both lengths would share each bucket
+    for r in got(near_vectors(df, tables=2, k=1, width=1e6)):
+        assert (r["n_links"], r["component_id"], r["kept"]) == (9, 2 - r["vec_id"] % 2, r["vec_id"] < 3)
+
+
+def test_near_vectors_of_repeated_ids(spark):
+    from argent.llm.embeddings import near_vectors
+    rows = [(1, [1.0, 0.0], 1)] * 5 + [(2, [1.0, 0.01], 1)] * 3 + [(3, [2.0, 0.0], 1)] + [(4, [0.0, 1.0], 1), (4, None, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = Counter((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got(near_vectors(df)))
+    assert found == {(1, 2, 1, True): 5, (2, 2, 1, False): 3, (3, 2, 1, False): 1, (4, 0, 4, True): 2}
+    both = spark.createDataFrame([(5, [1.0, 0.0], 1), (5, [0.0, 1.0], 1), (6, [1.0, 0.0], 1), (7, [0.0, 1.0], 1)],
+                                 "vec_id long, embedding array<double>, label int")
+    found = [Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got(near_vectors(x))) for x in (both, both.orderBy(F.desc("vec_id")))]
+    assert found[0] == found[1] and found[0][5, 1, 5] == 2
+
+
 def test_line_dedup(spark, docs):
     from argent.llm.line_dedup import line_dedup
     rows = {r["doc_id"]: r for r in got(line_dedup(docs))}
