@@ -15,6 +15,9 @@ Rules per key, comparing the current version ``h`` with the source row ``s``
 6. both, ``h`` is a marker           -> the key came back: close the marker and open
                                         a version at ``greatest(updated, h.valid_from)``.
 
+Columns: those of the history, then those new in the source (null in older
+versions); a column the source no longer has is null in its new versions.
+
 In every new version ``updated_at = valid_from`` and ``scd_id = md5(key|updated_at)``,
 so ids stay unique per key. Re-running a run changes nothing.
 
@@ -33,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from argent.functions.exprs import OPEN_END_DATE, as_of_ts, lit_ts, scd_id
+from argent.operators.merge import _align, evolve_append
 from argent.operators.staging import DELETED, SYNCED, dedup_latest
 
 SCD_COLUMNS = ("scd_id", "valid_from", "valid_to", "updated_at", "is_current", "is_deleted")
@@ -43,6 +47,15 @@ def history_columns(source_cols: Sequence[str]) -> list:
     return [*source_cols, *SCD_COLUMNS]
 
 
+def _same_columns(history: DataFrame, source: DataFrame, skip: Sequence[str] = ()) -> tuple:
+    """(source columns of both, history and source with all of them)."""
+    own = [c for c in history.columns if c not in SCD_COLUMNS and c not in skip]
+    cols = evolve_append(own, source.columns)
+    types = {f.name: f.dataType for df in (source, history) for f in df.schema.fields}
+    rest = [c for c in history.columns if c in SCD_COLUMNS or c in skip]
+    return cols, _align(history, [*cols, *rest], types), _align(source, cols, types)
+
+
 def open_versions(source: DataFrame, key: str, updated_col: str = SYNCED) -> DataFrame:
     """First run: every source row opens a version."""
     u = F.col(updated_col)
@@ -100,8 +113,8 @@ def _paired(history_current: DataFrame, source: DataFrame, key: str, cols: Seque
 def changes(history: DataFrame, source: DataFrame, key: str, as_of=None, updated_col: str = SYNCED,
             soft_delete_as_delete: bool = False) -> DataFrame:
     """Full compare of current history and source -> (key, action)."""
-    cols = [c for c in history.columns if c not in SCD_COLUMNS and c != "_bucket"]
-    src = _prepare_source(source.select(*cols), key, updated_col, soft_delete_as_delete)
+    cols, history, source = _same_columns(history, source, ["_bucket"])
+    src = _prepare_source(source, key, updated_col, soft_delete_as_delete)
     cur = history.where(F.col("is_current"))
     p = _paired(cur, src, key, cols, None, None)
     return p.select(F.col("_k").alias(key), classify(F.col(_H), F.col(_S), updated_col).alias("action"))
@@ -122,9 +135,9 @@ def scd2_apply(history: Optional[DataFrame], source: DataFrame, key: str, as_of=
         out = open_versions(_prepare_source(source, key, updated_col, soft_delete_as_delete), key, updated_col)
         return out.withColumn(bucket_col, bucket) if bucket_col else out
 
-    cols = [c for c in history.columns if c not in SCD_COLUMNS and c != bucket_col]
+    cols, history, source = _same_columns(history, source, [bucket_col] if bucket_col else [])
     hcols = history_columns(cols)
-    src = _prepare_source(source.select(*cols), key, updated_col, soft_delete_as_delete)
+    src = _prepare_source(source, key, updated_col, soft_delete_as_delete)
     if bucket_col:
         src = src.withColumn(bucket_col, bucket)
     cur = history.where(F.col("is_current"))
@@ -201,13 +214,13 @@ def snapshot(spark, path: str, source: DataFrame, key: str, as_of=None, updated_
 
     from argent.operators.governance import tag_pii
     from argent.sources.silver_table import (
-        BUCKET, PART, _with_bucket_meta, bucket_expr, commit, read_table, recover, stored_buckets,
+        BUCKET, PART, _with_bucket_meta, bucket_expr, commit, read_parts, read_table, recover, stored_buckets,
     )
 
     if as_of is None:
         as_of = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")   # one value for the run
     recover(spark, path)
-    table = read_table(spark, path, keep_bucket=True) and spark.read.parquet(path)
+    table = read_table(spark, path, keep_bucket=True) and read_parts(spark, path)
 
     def finish(df: DataFrame) -> DataFrame:
         df = _with_bucket_meta(df, [key], num_buckets)
@@ -223,11 +236,11 @@ def snapshot(spark, path: str, source: DataFrame, key: str, as_of=None, updated_
     num_buckets = stored_buckets(table, [key]) or num_buckets
     bucket = bucket_expr([key], num_buckets)
     current = table.where(F.col(PART).startswith("c")).drop(PART).withColumn(BUCKET, bucket)
-    hcols = [c for c in current.columns if c != BUCKET]
     out = scd2_apply(current, source, key, as_of, updated_col, soft_delete_as_delete,
                      bucket_col=BUCKET, bucket=bucket)
     # Written straight from the pairing's bucket partitioning (no extra shuffle).
     tag = run_tag(as_of)
     part = F.when(F.col("is_current"), F.concat(F.lit("c"), F.col(BUCKET).cast("string"))).otherwise(F.lit(tag))
+    hcols = [c for c in out.columns if c != BUCKET]
     commit(finish(out.select(*hcols, part.alias(PART))), path, PART)
     return {"mode": "snapshot", "closed_partition": tag}

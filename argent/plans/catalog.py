@@ -258,6 +258,16 @@ def _s10(spark, sf_dir):
     return history_in_memory(spark, sf_dir)
 
 
+@query("s10_history_evolve")
+def _s10_evolve(spark, sf_dir):
+    """PHONE appears in the source with run 2."""
+    path = work_dir(spark, "history-evolve")
+    for r in (1, 2, 3):
+        source = fx.customers_run(spark, sf_dir, r)
+        scd2.snapshot(spark, path, source.drop("PHONE") if r == 1 else source, "CUSTOMER_ID", fx.HISTORY_RUNS[r])
+    return read_table(spark, path)
+
+
 @query("m12_customer_history")
 def _m12(spark, sf_dir):
     return history_table(spark, sf_dir, "customer_history")

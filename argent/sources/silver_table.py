@@ -215,10 +215,21 @@ def read_table(spark: SparkSession, path: str, keep_bucket: bool = False) -> Opt
     except AnalysisException:
         return None
     if PART in df.columns:
-        df = df.drop(PART)
+        df = read_parts(spark, path).drop(PART)
     return df if keep_bucket else df.drop(BUCKET)
 
 
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    """A history table with its parts. Every run rewrites the current parts, so
+    one of them has all columns; closed parts that are older than a column
+    read as null there."""
+    root = path.rstrip("/")
+    name = next((n for n in child_names(spark, root) if n.startswith(f"{PART}=c")), None)
+    if name is None:
+        return spark.read.parquet(root)
+    return spark.read.schema(spark.read.parquet(f"{root}/{name}").schema.add(PART, "string")).parquet(root)
+
+
 def write_table(df: DataFrame, path: str, keys: Union[str, Sequence[str]],
                 num_buckets: int = DEFAULT_BUCKETS, range_width: Optional[int] = None) -> None:
     """First build: bucket every row and write one folder per bucket, in place

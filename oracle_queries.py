@@ -307,10 +307,15 @@ CUST_HIST = history_sql(FIXTURES["customers"], "CUSTOMER_ID", CUSTOMER_COLS)
 CUST_HIST2 = history_sql(FIXTURES["customers"], "CUSTOMER_ID", CUSTOMER_COLS, runs=(1, 2))
 ITEM_HIST = history_sql(FIXTURES["items"], "ITEM_ID", ITEM_COLS)
 ITEM_HIST2 = history_sql(FIXTURES["items"], "ITEM_ID", ITEM_COLS, runs=(1, 2))
+# PHONE is not in the source of run 1; it comes last of the source columns.
+_EVOLVED = [c for c in CUSTOMER_COLS if c != "PHONE"] + ["PHONE"]
+CUST_EVOLVE = history_sql(FIXTURES["customers"], "CUSTOMER_ID", _EVOLVED).replace(
+    f"s1 as (select {', '.join(_EVOLVED)} from", f"s1 as (select {', '.join(_EVOLVED[:-1])}, cast(null as varchar) as PHONE from", 1)
 _CUR = "is_current and (is_deleted = false or is_deleted is null)"
 
 ORACLES.update({
     "s10_scd2_apply": f"{CUST_HIST} select * from h3",
+    "s10_history_evolve": f"{CUST_EVOLVE} select * from h3",
     "m12_customer_history": f"{CUST_HIST} select * from h3",
     "m13_item_history": f"{ITEM_HIST} select * from h3",
     "m14_current_customers": f"""{CUST_HIST} select CUSTOMER_ID, EMAIL, PHONE, FIRST_NAME, LAST_NAME,

@@ -43,6 +43,26 @@ def test_marker_and_return(spark):
     assert len(cur) == 1 and cur[0].v == "b" and not cur[0].is_deleted and h.count() == 3
 
 
+def test_new_source_columns_reach_the_history(spark):
+    import datetime as dt
+    d = lambda day: dt.datetime(2024, 1, day)
+    path = work_dir(spark, "t-hist-evolve")
+    runs = [(10, [(1, "a", d(5)), (2, "b", d(5)), (3, "c", d(5))], "k long, v string, _synced timestamp_ntz"),
+            (20, [(1, "a", d(15)), (2, "b", d(5)), (3, "c", d(15))], "k long, v string, _synced timestamp_ntz"),
+            (30, [(1, "a", d(25), "x"), (2, "b", d(5), "y"), (4, "d", d(25), "z")], "k long, v string, _synced timestamp_ntz, w string"),
+            (31, [(1, d(25), "x"), (2, d(5), "y"), (4, d(30), "zz")], "k long, _synced timestamp_ntz, w string")]
+    for day, data, schema in runs:
+        source = spark.createDataFrame(data, schema)
+        scd2.snapshot(spark, path, source, "k", f"2024-01-{day}", num_buckets=4)
+    h = read_table(spark, path)
+    assert h.columns == ["k", "v", "_synced", "w", *scd2.SCD_COLUMNS]
+    got = sorted(((r.k, r.valid_from.day, r.v, r.w, r.is_current) for r in h.where("not is_deleted").collect()))
+    assert got == [(1, 5, "a", None, False), (1, 15, "a", None, False), (1, 25, "a", "x", True), (2, 5, "b", None, True),
+                   (3, 5, "c", None, False), (3, 15, "c", None, False), (4, 25, "d", "z", False), (4, 30, None, "zz", True)]
+    actions = {r.k: r.action for r in scd2.changes(h, spark.createDataFrame([(4, d(31), "zz", 1)], "k long, _synced timestamp_ntz, w string, n int"), "k").collect()}
+    assert actions == {1: "delete", 2: "delete", 3: "deleted", 4: "update"}
+
+
 def test_history_keeps_pii_tags(spark):
     from argent.operators import governance as gov
     path = work_dir(spark, "t-hist-tags")
