@@ -75,9 +75,49 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_embeddings, op3_line_dedup, op4_quality_rules, op5_lm_scoring, op6_suffix_dedup, op7_mixing, op8_bpe, op9_html_extract, op10_token_counts)}
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from argent.llm.warc import archive_pages
+    out = archive_pages(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from argent.llm.spelling import near_words, word_counts
+    return near_words(word_counts(_table(spark, sf_dir, "documents", "doc_id", "text"), drop_one_in=199))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from argent.llm.negatives import hard_negatives
+    vectors = _table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", shifted), F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_embeddings, op3_line_dedup, op4_quality_rules, op5_lm_scoring, op6_suffix_dedup, op7_mixing, op8_bpe, op9_html_extract, op10_token_counts,
+                                  op11_warc, op12_spelling, op13_negatives)}
 
 ORACLES = {
+    "op11_warc": r"""
+        WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM f""",
+    "op13_negatives": r"""
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                     list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2]))::BIGINT AS score
+              FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+        n AS (SELECT p.*, s.other AS negative_id, s.score AS negative_score,
+                     row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other) AS rank
+              FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+                AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+        SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
     "op3_line_dedup": r"""
         WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
                    FROM documents),
