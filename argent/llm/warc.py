@@ -22,7 +22,8 @@ LEAST = 100
 #: An archive is closed when it has so many bytes; capture lines of one index block.
 ARCHIVE_BYTES, BLOCK_LINES = 1 << 30, 3000
 #: Records of one stretch of an archive are read by one task; gaps up to NEAR bytes are read over.
-STRETCH, NEAR = 8 << 20, 64 << 10
+#: A task reads about TASK bytes of archives.
+STRETCH, NEAR, TASK = 8 << 20, 64 << 10, 256 << 20
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CAPTURE = "key string, id string, record_type string, payload_bytes bigint, payload_digest string, archive string, offset bigint, length bigint"
@@ -295,8 +296,8 @@ def read_captures(places: DataFrame, root: str, payload: bool = True) -> DataFra
     refers_to, payload_bytes, payload_digest and, with ``payload``, the html
     (null for a revisit).
 
-    Places are dealt by stretch of an archive and read in order, neighbours in
-    one read. Digest and size of a response are taken from its payload, those
+    Places are dealt by stretch of an archive, over as many tasks as the bytes
+    they name ask for, and read in order, neighbours in one read. Digest and size of a response are taken from its payload, those
     of a revisit from its headers; a payload that differs from the digest in
     its header is an error.
     """
@@ -327,7 +328,9 @@ def read_captures(places: DataFrame, root: str, payload: bool = True) -> DataFra
                 out = [_capture(data[o - start:o - start + n], payload) for o, n in found]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i == 4 else pa.string()) for i, c in enumerate(zip(*out))],
                                                  names=[f.split()[0] for f in schema.split(", ")])
-    dealt = places.select("archive", "offset", "length").repartition("archive", F.floor(F.col("offset") / STRETCH))
+    # rows of places are short, so the number of tasks follows the bytes they stand for
+    n = max(int(places.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(places.agg(F.sum("length")).first()[0] or 0) // TASK))
+    dealt = places.select("archive", "offset", "length").repartition(n, "archive", F.floor(F.col("offset") / STRETCH))
     return dealt.sortWithinPartitions("archive", "offset").mapInArrow(read, schema)
 
 
