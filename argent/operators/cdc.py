@@ -91,7 +91,7 @@ def apply_changes(target: Optional[DataFrame], changes: DataFrame, key: str, seq
 
 
 def apply_changes_to_table(spark, path: str, changes: DataFrame, key: str, seq_col: str, op_col: str = OP,
-                           as_of=None, num_buckets: int = 64) -> dict:
+                           as_of=None, num_buckets: Optional[int] = None) -> dict:
     """S2 sink: apply a change log to the bucketed bronze table at ``path``,
     rewriting only the buckets the log touches (same protocol as the merge)."""
     from argent.sources.silver_table import BUCKET, merge_upsert

@@ -61,7 +61,7 @@ def merge_frames(target: DataFrame, batch: DataFrame, keys: Union[str, Sequence[
     ``guard_col`` (a sequence column such as the sync time) makes the merge
     safe to replay and order-independent: a matched target row is updated
     only when the batch value is not older than the stored one; an older
-    batch row is dropped.
+    batch row is dropped. A NULL value is the newest, as in the dedup (W1).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     types = {f.name: f.dataType for f in target.schema.fields}
@@ -100,7 +100,7 @@ def merge_frames(target: DataFrame, batch: DataFrame, keys: Union[str, Sequence[
     updated = is_t & F.col(_ELIG) & F.col("_m_haskey") & F.col("_m_src").isNotNull()
     if guard_col:
         g_new, g_old = F.col("_m_src").getField(guard_col), F.col(guard_col)
-        updated = updated & (g_old.isNull() | (g_new >= g_old))
+        updated = updated & (g_new.isNull() | F.coalesce(g_new >= g_old, F.lit(False)))
     keep = is_t | (F.col("_m_nelig") == 0) | ~F.col("_m_haskey")
     out_cols = [F.when(updated, F.col("_m_src").getField(c)).otherwise(F.col(c)).alias(c)
                 if c in update_cols else F.col(c) for c in cols]

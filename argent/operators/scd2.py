@@ -21,38 +21,39 @@ versions); a column the source no longer has is null in its new versions.
 In every new version ``updated_at = valid_from`` and ``scd_id = md5(key|updated_at)``,
 so ids stay unique per key. Re-running a run changes nothing.
 
-Physical shape: current rows and source rows are unioned, hash-partitioned by
-the storage bucket and grouped per key (one shuffle; a group holds at most two
-rows). Closed versions pass through untouched; the table sink
-(:func:`snapshot`) does not even read them.
+Physical shape: the source's newest row per key and the current versions meet
+in one full outer join on the key, whose partitioning the two sides already
+have or get in one shuffle. Closed versions pass through untouched; the table
+sink (:func:`snapshot`) does not even read them.
 """
 
 from __future__ import annotations
 
-import uuid
+import datetime as _dt
 from typing import Optional, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from argent.functions.exprs import OPEN_END_DATE, as_of_ts, lit_ts, scd_id
 from argent.operators.merge import _align, evolve_append
 from argent.operators.staging import DELETED, SYNCED, dedup_latest
 
 SCD_COLUMNS = ("scd_id", "valid_from", "valid_to", "updated_at", "is_current", "is_deleted")
-_H, _S, _K = "_h", "_s", "_key"
+_H, _S, _K, _VALUE, _NULL = "_h", "_s", "_key", "_k_value", "_k_null"
 
 
 def history_columns(source_cols: Sequence[str]) -> list:
     return [*source_cols, *SCD_COLUMNS]
 
 
-def _same_columns(history: DataFrame, source: DataFrame, skip: Sequence[str] = ()) -> tuple:
+def _same_columns(history: DataFrame, source: DataFrame) -> tuple:
     """(source columns of both, history and source with all of them)."""
-    own = [c for c in history.columns if c not in SCD_COLUMNS and c not in skip]
+    own = [c for c in history.columns if c not in SCD_COLUMNS]
     cols = evolve_append(own, source.columns)
     types = {f.name: f.dataType for df in (source, history) for f in df.schema.fields}
-    rest = [c for c in history.columns if c in SCD_COLUMNS or c in skip]
+    rest = [c for c in history.columns if c in SCD_COLUMNS]
     return cols, _align(history, [*cols, *rest], types), _align(source, cols, types)
 
 
@@ -70,12 +71,25 @@ def open_versions(source: DataFrame, key: str, updated_col: str = SYNCED) -> Dat
     )
 
 
-def _prepare_source(source: DataFrame, key: str, updated_col: str, soft_delete_as_delete: bool) -> DataFrame:
+def _active(source: DataFrame, soft_delete_as_delete: bool) -> DataFrame:
     if soft_delete_as_delete and DELETED in source.columns:
         d = F.col(DELETED)
-        source = source.where(~d | d.isNull())
+        return source.where(~d | d.isNull())
+    return source
+
+
+def _keyed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with the key as two columns that are never null, so that a NULL key
+    is a key like others for grouping and joining alike."""
+    kind = df.schema[key].dataType
+    empty = "" if isinstance(kind, T.StringType) else "1970-01-01" if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else "0"
+    return df.withColumns({_NULL: F.col(key).isNull(), _VALUE: F.coalesce(F.col(key), F.lit(empty).cast(kind))})
+
+
+def _prepare_source(source: DataFrame, key: str, updated_col: str, soft_delete_as_delete: bool) -> DataFrame:
+    """The newest row per key, with the key columns of :func:`_keyed`."""
     others = [c for c in source.columns if c not in (key, updated_col)]
-    return dedup_latest(source, key, updated_col, others)
+    return dedup_latest(_keyed(_active(source, soft_delete_as_delete), key), [_VALUE, _NULL], updated_col, others)
 
 
 def classify(h: Column, s: Column, updated_col: str) -> Column:
@@ -89,60 +103,43 @@ def classify(h: Column, s: Column, updated_col: str) -> Column:
              .otherwise(F.lit("unchanged")))
 
 
-def _paired(history_current: DataFrame, source: DataFrame, key: str, cols: Sequence[str],
-            bucket_col: Optional[str], num_partitions: Optional[int]) -> DataFrame:
-    """One row per key with the current version ``_h`` and the source row ``_s`` as structs."""
-    hcols = history_columns(cols)
-    h = history_current.select(F.col(key).alias("_k"), F.struct(*hcols).alias(_H),
-                               F.lit(None).cast(source.select(F.struct(*cols)).schema[0].dataType).alias(_S),
-                               *([F.col(bucket_col)] if bucket_col else []))
-    s = source.select(F.col(key).alias("_k"),
-                      F.lit(None).cast(history_current.select(F.struct(*hcols)).schema[0].dataType).alias(_H),
-                      F.struct(*cols).alias(_S),
-                      *([F.col(bucket_col)] if bucket_col else []))
-    u = h.unionByName(s)
-    group = ["_k"]
-    if bucket_col:
-        u = u.repartition(num_partitions, bucket_col) if num_partitions else u.repartition(bucket_col)
-        group = [bucket_col, "_k"]
-    # At most one non-NULL version per side and key; ``max`` stays
-    # deterministic even if a corrupt history held two current rows.
-    return u.groupBy(*group).agg(F.max(_H).alias(_H), F.max(_S).alias(_S))
+def _paired(current: DataFrame, source: DataFrame, key: str, hcols: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """One row per key with the current version ``_h`` and the source row ``_s``
+    as structs (NULL when absent). ``source`` has one row per key and the key
+    columns; the current versions are unique by the rules above."""
+    h = _keyed(current, key).select(_VALUE, _NULL, F.struct(*hcols).alias(_H))
+    s = source.select(_VALUE, _NULL, F.struct(*cols).alias(_S))
+    return h.join(s, [_VALUE, _NULL], "full_outer")
 
 
 def changes(history: DataFrame, source: DataFrame, key: str, as_of=None, updated_col: str = SYNCED,
             soft_delete_as_delete: bool = False) -> DataFrame:
-    """Full compare of current history and source -> (key, action)."""
-    cols, history, source = _same_columns(history, source, ["_bucket"])
-    src = _prepare_source(source, key, updated_col, soft_delete_as_delete)
-    cur = history.where(F.col("is_current"))
-    p = _paired(cur, src, key, cols, None, None)
-    return p.select(F.col("_k").alias(key), classify(F.col(_H), F.col(_S), updated_col).alias("action"))
+    """Full compare of current history and source -> (key, action).
+
+    Only keys, times and delete flags take part: the newest time per key is a
+    hash aggregate with partial sums in every scan task (a NULL time is the
+    newest, as in the dedup), so what is shuffled does not grow with the width
+    of the rows."""
+    u = F.col(updated_col)
+    newest = F.when(F.count_if(u.isNull()) > 0, F.lit(None)).otherwise(F.max(u)).cast(source.schema[updated_col].dataType)
+    src = _keyed(_active(source, soft_delete_as_delete).select(key, updated_col), key).groupBy(_VALUE, _NULL).agg(newest.alias(updated_col))
+    cur = history.where(F.col("is_current")).select(key, "valid_from", "is_deleted")
+    p = _paired(cur, src, key, ["valid_from", "is_deleted"], [updated_col])
+    return p.select(F.when(~F.col(_NULL), F.col(_VALUE)).alias(key), classify(F.col(_H), F.col(_S), updated_col).alias("action"))
 
 
 def scd2_apply(history: Optional[DataFrame], source: DataFrame, key: str, as_of=None,
-               updated_col: str = SYNCED, soft_delete_as_delete: bool = False,
-               bucket_col: Optional[str] = None, bucket: Optional[Column] = None,
-               num_partitions: Optional[int] = None) -> DataFrame:
-    """The history after one snapshot run.
-
-    ``history=None`` is the first run. With ``bucket_col``/``bucket`` (an
-    expression of the key), the work is partitioned by storage bucket so the
-    result can be written bucket by bucket; the output then carries the column.
-    """
+               updated_col: str = SYNCED, soft_delete_as_delete: bool = False) -> DataFrame:
+    """The history after one snapshot run. ``history=None`` is the first run."""
     if history is None:
-        cols = list(source.columns)
-        out = open_versions(_prepare_source(source, key, updated_col, soft_delete_as_delete), key, updated_col)
-        return out.withColumn(bucket_col, bucket) if bucket_col else out
+        return open_versions(_prepare_source(source, key, updated_col, soft_delete_as_delete).drop(_VALUE, _NULL), key, updated_col)
 
-    cols, history, source = _same_columns(history, source, [bucket_col] if bucket_col else [])
+    cols, history, source = _same_columns(history, source)
     hcols = history_columns(cols)
     src = _prepare_source(source, key, updated_col, soft_delete_as_delete)
-    if bucket_col:
-        src = src.withColumn(bucket_col, bucket)
     cur = history.where(F.col("is_current"))
     closed = history.where(~F.col("is_current"))
-    p = _paired(cur, src, key, cols, bucket_col, num_partitions)
+    p = _paired(cur, src, key, hcols, cols)
 
     h, s = F.col(_H), F.col(_S)
     now = as_of_ts(as_of)
@@ -159,8 +156,7 @@ def scd2_apply(history: Optional[DataFrame], source: DataFrame, key: str, as_of=
               .when(action == "delete", F.array(F.lit("close_now"), F.lit("marker")))
               .when(action == "return", F.array(F.lit("close_back"), F.lit("open_back")))
               .otherwise(F.array(F.lit("keep"))))
-    extra = [bucket_col] if bucket_col else []
-    e = p.select(*extra, _H, _S, back_at.alias("_back"), F.explode(kinds).alias("_kind"))
+    e = p.select(_H, _S, back_at.alias("_back"), F.explode(kinds).alias("_kind"))
     kind, back = F.col("_kind"), F.col("_back")
     is_open = kind.isin("open", "open_back")
     start_at = (F.when(kind == "open", upd).when(kind == "open_back", back)
@@ -177,8 +173,8 @@ def scd2_apply(history: Optional[DataFrame], source: DataFrame, key: str, as_of=
         F.when(kind == "marker", F.lit(True)).when(is_open, F.lit(False))
          .otherwise(h.getField("is_deleted")).alias("is_deleted"),
     ]
-    out = e.withColumn(_K, F.coalesce(s.getField(key), h.getField(key))).select(*out_cols, *extra)
-    return out.unionByName(closed.select(*hcols, *extra))
+    out = e.withColumn(_K, F.coalesce(s.getField(key), h.getField(key))).select(*out_cols)
+    return out.unionByName(closed.select(*hcols))
 
 
 def current_view(history: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -188,59 +184,74 @@ def current_view(history: DataFrame, columns: Sequence[str]) -> DataFrame:
                    .select(*columns, "valid_from", "valid_to", "updated_at"))
 
 
-def run_tag(as_of) -> str:
-    """Partition tag of the versions closed by one run: its ``as_of`` and an own
-    suffix, so that a second run at the same time replaces nothing."""
-    digits = "".join(ch for ch in str(as_of) if ch.isdigit())
-    return f"r{digits[:14].ljust(14, '0')}x{uuid.uuid4().hex[:8]}"
+#: Partition values of a history table: the current versions of a bucket, and
+#: the versions that runs closed.
+CLOSED = "closed"
 
 
 def snapshot(spark, path: str, source: DataFrame, key: str, as_of=None, updated_col: str = SYNCED,
-             soft_delete_as_delete: bool = False, num_buckets: int = 64, pii: Optional[dict] = None) -> dict:
+             soft_delete_as_delete: bool = False, num_buckets: Optional[int] = None, pii: Optional[dict] = None,
+             docs: Optional[dict] = None) -> dict:
     """S10 sink: apply one snapshot run to the history table at ``path``.
 
     Layout: ``_part=c<bucket>`` holds the current version of every key
-    (bucket = ``pmod(xxhash64(key), N)``); ``_part=r<run>`` holds the versions
-    closed by that run. A run reads only the current partitions, pairs them
-    with the source inside each bucket (one shuffle by bucket) and writes this
-    run's closed versions and the current partitions in one job, as one commit
-    (``silver_table.commit``). Closed history is never read or rewritten again,
-    so a run costs the size of the current set, not of the whole history. A run
-    that dies in its commit is finished, with its own ``as_of``, before the
-    next one starts; one that dies earlier has changed nothing. ``pii`` tags (G1) are re-applied on every write
-    (column expressions drop metadata).
+    (bucket = ``pmod(xxhash64(key), N)``), ``_part=closed`` of each commit the
+    versions it closed. A run first compares keys and times (:func:`changes`)
+    to learn the buckets that hold a change; it then pairs the rows of these
+    buckets with the source and writes them and the versions it closed as one
+    commit (``silver_table.commit``). Buckets without a change and closed
+    history are neither read nor rewritten, and a run without changes commits
+    nothing. ``pii`` tags (G1) and ``docs`` (S12) are kept with the table.
     """
-    import datetime as _dt
-
     from argent.operators.governance import tag_pii
+    from argent.operators.staging import with_docs
     from argent.sources.silver_table import (
-        BUCKET, PART, _with_bucket_meta, bucket_expr, commit, read_parts, read_table, recover, stored_buckets,
+        PART, bucket_expr, commit, conformed, first_buckets, hashed_keys, open_table, read_folders, reconciled,
     )
 
     if as_of is None:
         as_of = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")   # one value for the run
-    recover(spark, path)
-    table = read_table(spark, path, keep_bucket=True) and read_parts(spark, path)
+    table = open_table(spark, path)
 
-    def finish(df: DataFrame) -> DataFrame:
-        df = _with_bucket_meta(df, [key], num_buckets)
-        return tag_pii(df, pii) if pii else df
+    def described(schema: T.StructType) -> T.StructType:
+        if not (pii or docs):
+            return schema
+        empty = spark.createDataFrame([], schema)
+        return with_docs(tag_pii(empty, pii or {}), docs or {}).schema
 
     if table is None:
-        out = scd2_apply(None, source, key, as_of, updated_col, soft_delete_as_delete,
-                         bucket_col=BUCKET, bucket=bucket_expr([key], num_buckets))
-        out = out.withColumn(PART, F.concat(F.lit("c"), F.col(BUCKET).cast("string")))
-        commit(finish(out.repartition(PART).drop(BUCKET)), path, PART, replace=True)
-        return {"mode": "create"}
-
-    num_buckets = stored_buckets(table, [key]) or num_buckets
-    bucket = bucket_expr([key], num_buckets)
-    current = table.where(F.col(PART).startswith("c")).drop(PART).withColumn(BUCKET, bucket)
-    out = scd2_apply(current, source, key, as_of, updated_col, soft_delete_as_delete,
-                     bucket_col=BUCKET, bucket=bucket)
-    # Written straight from the pairing's bucket partitioning (no extra shuffle).
-    tag = run_tag(as_of)
-    part = F.when(F.col("is_current"), F.concat(F.lit("c"), F.col(BUCKET).cast("string"))).otherwise(F.lit(tag))
-    hcols = [c for c in out.columns if c != BUCKET]
-    commit(finish(out.select(*hcols, part.alias(PART))), path, PART)
-    return {"mode": "snapshot", "closed_partition": tag}
+        layout = {"keys": [key], "buckets": int(num_buckets or first_buckets(source))}
+        out = scd2_apply(None, source, key, as_of, updated_col, soft_delete_as_delete)
+        schema = described(out.schema)
+        bucket = bucket_expr(hashed_keys(schema, [key]), layout["buckets"])
+        out = out.withColumn(PART, F.concat(F.lit("c"), bucket.cast("string")))
+        commit(out.repartition(PART), path, None, schema, layout, PART)
+        return {"mode": "create", "buckets": layout["buckets"]}
+
+    # the source columns of the table after this run, with types that hold both
+    own = [f for f in table.schema.fields if f.name not in SCD_COLUMNS]
+    columns = reconciled(T.StructType(own), source.schema, [key])
+    source = conformed(source, columns)
+    versions = T.StructType([f for f in table.schema.fields if f.name in SCD_COLUMNS])
+    table.schema = described(T.StructType([*columns.fields, *versions.fields]))
+    buckets = table.layout["buckets"]
+
+    def bucket_of(schema: T.StructType) -> Column:
+        return bucket_expr(hashed_keys(schema, [key]), buckets)
+    current = read_folders(spark, table, lambda p: p != CLOSED).drop(PART)
+    act = changes(current, source, key, as_of, updated_col, soft_delete_as_delete).where(~F.col("action").isin("unchanged", "deleted"))
+    # at most as many small integers as the table has buckets
+    touched = act.agg(F.collect_set(bucket_of(act.schema)).alias("b")).first()["b"]
+    if not touched:
+        return {"mode": "snapshot", "buckets": 0}
+    if len(touched) < buckets:
+        source = source.where(bucket_of(source.schema).isin([int(b) for b in touched]))
+    parts = {f"c{b}" for b in touched}
+    current = read_folders(spark, table, parts.__contains__).drop(PART)
+    out = scd2_apply(current, source, key, as_of, updated_col, soft_delete_as_delete)
+    part = F.when(F.col("is_current"), F.concat(F.lit("c"), bucket_of(out.schema).cast("string"))).otherwise(F.lit(CLOSED))
+    # a bucket's versions in one task; a bucket is as large as the first build's size allows
+    out = out.withColumn(_K, bucket_of(out.schema)).repartition(_K).drop(_K)
+    commit(out.withColumn(PART, part).select(*table.schema.fieldNames(), PART), path, table, table.schema, table.layout, PART,
+           replaces=parts.__contains__)
+    return {"mode": "snapshot", "buckets": len(touched)}

@@ -70,18 +70,15 @@ def run1_input(bronze: DataFrame, cut: str, early_from: str | None = None) -> Da
     return bronze.where(cond)
 
 
-def two_runs(spark, sf_dir, model: str, use_window=False, early_from=None, num_buckets=None) -> DataFrame:
+def two_runs(spark, sf_dir, model: str, use_window=False, early_from=None) -> DataFrame:
     """Run 1 builds the table from rows before the cut; run 2 loads the whole
     bronze table incrementally and merges. Returns the table after run 2."""
     spec = MODELS[model]
-    if num_buckets:
-        from dataclasses import replace
-        spec = replace(spec, num_buckets=num_buckets)
     bronze = fx.bronze(spark, sf_dir, spec.source)
     orders = spec.source in ("order_headers", "order_lines")
     cut = ORDERS_CUT if orders else EVENTS_CUT
     path = work_dir(spark, f"silver-{model}")
-    materialize(spark, spec, run1_input(bronze, cut, early_from), path, cut, RUN1)
+    materialize(spark, spec, run1_input(bronze, cut, early_from), path, cut, RUN1, use_window=use_window)
     materialize(spark, spec, bronze, path, fx.fixture_as_of(spec.source), RUN2, use_window=use_window)
     return read_table(spark, path)
 
@@ -237,8 +234,7 @@ def history_table(spark, sf_dir, snap: str, runs=(1, 2, 3)) -> DataFrame:
     run_of = fx.customers_run if spec.source == "customers" else fx.items_run
     path = work_dir(spark, f"history-{snap}")
     for r in runs:
-        scd2.snapshot(spark, path, run_of(spark, sf_dir, r), spec.key, fx.HISTORY_RUNS[r],
-                      num_buckets=spec.num_buckets, pii=dict(spec.pii))
+        scd2.snapshot(spark, path, run_of(spark, sf_dir, r), spec.key, fx.HISTORY_RUNS[r], pii=dict(spec.pii))
     return read_table(spark, path)
 
 

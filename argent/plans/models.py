@@ -7,7 +7,8 @@ cleaning -> audit columns (P2-P4) -> create or merge (S8 / S6).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import datetime as _dt
+from dataclasses import dataclass
 from typing import Callable, Dict, Optional, Sequence, Tuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,8 +33,7 @@ class ModelSpec:
     match_window: bool = False       # J4: only recent target rows may match
     date_limit: Optional[str] = None  # P8 column (outside production)
     tie_breakers: Tuple[str, ...] = ()
-    num_buckets: int = 64
-    range_width: Optional[int] = None   # key-range buckets for keys that grow with time
+    growing_key: bool = False        # ids come in time order: key-range buckets
 
     @property
     def column_names(self) -> list:
@@ -57,23 +57,20 @@ class SnapshotSpec:
     source: str
     key: str
     columns: Tuple[str, ...]
-    num_buckets: int = 64
     pii: Tuple[Tuple[str, str], ...] = ()     # (column, PII class) tags written with the table
 
 
 # Event-keyed CRM tables get ids in time order: key-range buckets keep an
-# incremental merge inside the newest few buckets. Width in ids per bucket.
-EVENT_ID_RANGE = 4096
-
+# incremental merge inside the newest few buckets.
 MODELS: Dict[str, ModelSpec] = {m.name: m for m in [
     ModelSpec("registration_source", "registration_source", "crm", "REGISTRATION_ID",
-              (("CUSTOMER_ID", None), ("CHANNEL", or_unknown)), range_width=EVENT_ID_RANGE),
+              (("CUSTOMER_ID", None), ("CHANNEL", or_unknown)), growing_key=True),
     ModelSpec("incidents", "incidents", "crm", "INCIDENT_ID",
-              (("CUSTOMER_ID", None), ("INCIDENT_DATE", try_ts)), range_width=EVENT_ID_RANGE),
+              (("CUSTOMER_ID", None), ("INCIDENT_DATE", try_ts)), growing_key=True),
     ModelSpec("interactions", "interactions", "crm", "INTERACTION_ID",
-              (("CUSTOMER_ID", None), ("INTERACTION_DATE", try_ts)), match_window=True, range_width=EVENT_ID_RANGE),
+              (("CUSTOMER_ID", None), ("INTERACTION_DATE", try_ts)), match_window=True, growing_key=True),
     ModelSpec("surveys", "surveys", "crm", "SURVEY_ID",
-              (("CUSTOMER_ID", None), ("NPS_SCORE", whole), ("CSAT_SCORE", whole)), range_width=EVENT_ID_RANGE),
+              (("CUSTOMER_ID", None), ("NPS_SCORE", whole), ("CSAT_SCORE", whole)), growing_key=True),
     ModelSpec("addresses", "addresses", "erp", "ADDRESS_ID",
               (("CITY", clean_upper), ("STATE", clean_upper))),
     ModelSpec("brands", "brands", "erp", "BRAND_ID", (("BRAND_NAME", or_unknown),)),
@@ -136,6 +133,16 @@ def match_condition(spec: ModelSpec, as_of, use_window: Optional[bool] = None,
     return recent_match(lookback_days, as_of) if on else None
 
 
+def utc_now() -> str:
+    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+
+
+def window_start(as_of, lookback_days: int = LOOKBACK_DAYS) -> _dt.datetime:
+    """The time from which the match window of a run matches."""
+    at = as_of if isinstance(as_of, _dt.datetime) else _dt.datetime.fromisoformat(str(as_of))
+    return at - _dt.timedelta(days=lookback_days)
+
+
 def materialize(spark: SparkSession, spec: ModelSpec, bronze: DataFrame, path: str, as_of, run_id: str,
                 env: str = "prod", use_window: Optional[bool] = False, full_refresh: bool = False,
                 lookback_days: int = LOOKBACK_DAYS, propagate_deletes: bool = False,
@@ -144,20 +151,26 @@ def materialize(spark: SparkSession, spec: ModelSpec, bronze: DataFrame, path: s
 
     ``full_refresh`` is refused: silver tables are never rebuilt (the
     reference disables it).  ``use_window=None`` follows the spec's J4 flag;
-    the default key-only match keeps the table unique (quirk Q3).
+    the default key-only match keeps the table unique (quirk Q3). A table whose
+    first run has the match window is laid out by sync time, so that later runs
+    read and rewrite only the folders in it.
     ``propagate_deletes`` lets deletes reach the table (quirk Q2).
-    ``num_buckets`` (see ``silver_table.buckets_for``) or ``range_width``
-    replace the spec's for the first build; a stored table keeps its own.
-    A commit that an earlier run died in is finished first.
+    ``num_buckets`` or ``range_width`` set the layout of a first build; without
+    them it comes from the size of the bronze table (and the span of its keys,
+    for a key that grows with time). A stored table keeps its own.
     """
-    from argent.sources.silver_table import merge_upsert, recover, table_high_water
+    from argent.sources.silver_table import day_unit_for, merge_upsert, range_width_for, table_high_water
 
     if full_refresh:
         raise ValueError(f"full refresh of {spec.name} is disabled")
-    recover(spark, path)
+    as_of = as_of or utc_now()                  # one value for the run
     hw = table_high_water(spark, path)          # None on the first run
+    window = match_condition(spec, as_of, use_window, lookback_days)
+    if hw is None and window is None and spec.growing_key and not (num_buckets or range_width):
+        range_width = range_width_for(bronze.select(*spec.scan_columns), spec.key)
+    day_unit = day_unit_for(bronze.select(*spec.scan_columns), SYNCED) if hw is None and window is not None else "day"
     batch = build_silver(bronze, spec, as_of, run_id, env=env, lookback_days=lookback_days,
                          propagate_deletes=propagate_deletes, watermark=hw)
-    return merge_upsert(spark, path, batch, spec.key, match_cond=match_condition(spec, as_of, use_window),
-                        num_buckets=num_buckets or spec.num_buckets,
-                        range_width=None if num_buckets else range_width or spec.range_width)
+    return merge_upsert(spark, path, batch, spec.key, match_cond=window, num_buckets=num_buckets,
+                        range_width=range_width, day_unit=day_unit,
+                        window_from=window_start(as_of, lookback_days) if window is not None else None)

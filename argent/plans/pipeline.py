@@ -63,8 +63,7 @@ def run_snapshots(spark: SparkSession, bronze_root: str, silver_root: str, as_of
     def one(name):
         spec = SNAPSHOTS[name]
         src = read_bronze(spark, bronze_root, spec.source)
-        return name, scd2.snapshot(spark, history_path(silver_root, name), src, spec.key, as_of,
-                                   num_buckets=spec.num_buckets, pii=dict(spec.pii))
+        return name, scd2.snapshot(spark, history_path(silver_root, name), src, spec.key, as_of, pii=dict(spec.pii))
 
     return dict(_pool_map(one, names, threads))
 

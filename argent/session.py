@@ -91,10 +91,42 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    """Create an empty flag file."""
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or None when there is none."""
     fs, p = _fs_path(spark, path)
-    fs.create(p, True).close()
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file in one step: readers see the old text or the new.
+
+    Written beside it and renamed over it; on an object store, where a rename
+    is a copy, put there at once.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs, target = _fs_path(spark, path)
+    scheme = fs.getUri().getScheme()
+    direct = scheme in ("s3", "s3a", "s3n", "gs", "oss", "cos")
+    if scheme == "file":
+        fs = fs.getRawFileSystem()      # a checksum file of its own would be renamed later
+    beside = target if direct else jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:12]}")
+    out = fs.create(beside, True)
+    out.write(text.encode())
+    out.close()
+    if scheme == "file":
+        if not fs.rename(beside, target):
+            raise OSError(f"could not replace {path}")
+    elif not direct:
+        rename = jvm.org.apache.hadoop.fs.Options.Rename
+        over = spark.sparkContext._gateway.new_array(rename, 1)
+        over[0] = rename.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(beside, target, over)
 
 
 def child_names(spark: SparkSession, path: str) -> list[str]:
@@ -104,27 +136,18 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def _owned(path: str) -> bool:
-    """Paths this library may delete or move: work folders, table side files and storage partitions."""
-    return any(x in path for x in ("/argent/", "/_marks", "/_commit", "/_bucket=", "/_part="))
+    """Paths this library may delete: work folders and folders of commits."""
+    return "/argent/" in path or "/data/_commit=" in path
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:
-    """Delete a folder or file this library wrote (work folder, table side files)."""
+    """Delete a folder this library wrote (a work folder or what a commit wrote)."""
     if not _owned(path):
         raise ValueError(f"refusing to delete a path this library did not write: {path}")
     fs, p = _fs_path(spark, path)
     return bool(fs.delete(p, True))
 
 
-def move_path(spark: SparkSession, src: str, dst: str) -> bool:
-    if not (_owned(src) and _owned(dst)):
-        raise ValueError(f"refusing to move {src} -> {dst}")
-    fs, p = _fs_path(spark, src)
-    if not fs.rename(p, _fs_path(spark, dst)[1]):
-        raise OSError(f"could not move {src} to {dst}")
-    return True
-
-
 def cut_lineage(df):
     """Materialise ``df`` with a reliable checkpoint in the shared folder of
     ``spark.checkpoint.dir`` (survives executor loss, unlike a local one)."""

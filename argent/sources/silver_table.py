@@ -1,61 +1,72 @@
-"""Silver table sink: a Parquet directory partitioned by a storage bucket.
-
-Layout: ``<path>/_bucket=<b>/part-*.parquet`` with ``b = pmod(xxhash64(key), N)``
-(or ``floor(key / width)`` for keys that grow with time, see
-:func:`bucket_expr`). The bucketing is stored in the key column's metadata
-and reused by every later write. A merge rewrites only the buckets its batch
-touches (``MERGE INTO`` needs a table format we do not have).
-
-Write protocol of :func:`merge_upsert`:
-
-1. the batch is computed once and written to a staging folder under the
-   cluster's checkpoint folder (cuts lineage; survives executor loss);
-2. the touched bucket numbers (at most N small integers) are observed while
-   the batch is staged;
-3. the touched buckets of the target are read (partition pruning) and merged
-   with the batch in one shuffle partitioned by bucket; the result goes to the
-   hidden folder ``<path>/_commit`` and does not touch the table;
-4. :func:`commit` flags ``_commit`` as whole and moves its bucket folders into
-   the table, one rename each.
-
-A run that dies before the flag leaves the table as it was. A run that dies
-after it has its whole result in ``_commit`` and the table: :func:`recover`,
-called at the start of every write, moves what is left. A bucket is deleted
-only while its new content stands in ``_commit``, so no row is lost at any
-point, and the next run starts from a finished commit.
-
-High-water marks: a table with the sync audit column keeps, in the hidden
-folder ``<path>/_marks`` (ignored by table reads), one row per bucket with
-the bucket's maximum sync time, brought up to date before the flag of a commit
-is cleared. :func:`table_high_water` reads at most N small rows instead of
-scanning the whole table every run. While a commit is unfinished it gives the
-mark of the last finished one, so an incremental filter never skips rows that
-did not reach the table.
+"""Keyed Parquet tables: fresh folders per commit and one pointer file.
+
+Layout of a table::
+
+    <path>/_current                              the pointer, a small JSON file
+    <path>/data/_commit=<id>/<part>=<value>/...  what one commit wrote
+
+A commit writes its rows with Spark's own committer to a folder of its own and
+then replaces the pointer, which names the live partition folders of every
+commit, the schema (with column descriptions and tags), the layout and the
+newest sync time. Readers follow the pointer. So a reader sees the table before
+a commit or after it, whole, wherever the writer stops; what a stopped writer
+left is named by no pointer and goes with the next commit's clean-up, which
+keeps the folders of the version before for readers on their way. One writer
+per table at a time: a commit that finds another pointer than the one it
+started from raises.
+
+Partition folders are
+
+* ``_bucket`` = ``pmod(xxhash64(key), N)``, or ``floor(key / width)`` for a
+  numeric key that grows with time (:func:`bucket_expr`); a merge rewrites only
+  the buckets that its batch touches;
+* ``_day``, the day of the sync time (the first of its month or year where a
+  day holds little), for tables whose merge matches only recent rows: the match
+  window selects folders, so a merge reads and rewrites only the days in it;
+* ``_part`` for history tables (:mod:`argent.operators.scd2`).
+
+Columns may be added and widened (:func:`reconciled`); files keep the type
+they were written with and Spark's reader promotes them to the type in the
+pointer, so neither rewrites old files. (``MERGE INTO`` needs a table format we
+do not have.)
 """
 
 from __future__ import annotations
 
 import datetime
-from typing import Optional, Sequence, Union
+import json
+import re
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+from typing import Callable, Dict, Iterable, List, Optional, Sequence, Union
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from argent.operators.merge import evolve_append, merge_frames
-from argent.functions.exprs import MIN_DATE
-from argent.operators.staging import AUDIT_LOAD, AUDIT_SYNC, high_water_value
-from argent.session import child_names, move_path, path_exists, remove_path, touch, work_dir
+from argent.functions.exprs import MIN_DATE, col_of
+from argent.operators.merge import merge_frames
+from argent.operators.staging import AUDIT_LOAD, AUDIT_SYNC, SYNCED
+from argent.session import child_names, read_text, remove_path, replace_text, work_dir
 
+POINTER = "_current"
+COMMIT = "_commit"
 BUCKET = "_bucket"
-PART = "_part"                 # history tables: c<bucket> = current versions, r<run> = closed by a run
-DEFAULT_BUCKETS = 64
-BUCKETS_META = "argent.num_buckets"       # stored on the key column of every written file
-RANGE_META = "argent.range_width"         # set instead when buckets are key ranges
+DAY = "_day"
+PART = "_part"                 # history tables: c<bucket> = current versions, closed = closed by a run
+DEFAULT_BUCKETS = 64           # when nothing is known of the size
+BUCKETS_META = "argent.num_buckets"       # on the key column of a table that is read
+RANGE_META = "argent.range_width"
 NULL_KEY_SPREAD = 1024                    # range buckets -1..-1024 hold rows with a NULL key
 TARGET_BUCKET_BYTES = 512 * 1024 * 1024
+DAY_BYTES = 64 * 1024 * 1024
+UNKNOWN_BYTES = 1 << 60                   # Spark's estimate for a plan it knows nothing of is beyond
 
 
+# ---------------------------------------------------------------------------
+# Bucket counts
+# ---------------------------------------------------------------------------
 def buckets_for(total_bytes: int, target_bytes: int = TARGET_BUCKET_BYTES, minimum: int = 8) -> int:
     """Bucket count for a table of ``total_bytes`` (one task and one file per
     bucket per write): a power of two near ``total / target``. A 100 TB
@@ -64,115 +75,319 @@ def buckets_for(total_bytes: int, target_bytes: int = TARGET_BUCKET_BYTES, minim
     return 1 << (n - 1).bit_length()
 
 
-def _with_bucket_meta(df: DataFrame, keys: Sequence[str], num_buckets: int,
-                      range_width: Optional[int] = None) -> DataFrame:
-    meta = {k: v for k, v in (df.schema[keys[0]].metadata or {}).items() if k not in (BUCKETS_META, RANGE_META)}
-    if range_width:
-        meta[RANGE_META] = int(range_width)
-    else:
-        meta[BUCKETS_META] = int(num_buckets)
-    return df.withMetadata(keys[0], meta)
+def input_bytes(df: DataFrame) -> Optional[int]:
+    """Bytes of the sources under ``df`` by the optimizer's statistics (no job);
+    None when a source does not know."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return None if any(s >= UNKNOWN_BYTES for s in sizes) else sum(sizes)
+
+
+def first_buckets(df: DataFrame) -> int:
+    """Bucket count of a first build, from the size of what it reads."""
+    size = input_bytes(df)
+    return DEFAULT_BUCKETS if size is None else buckets_for(size)
+
+
+def range_width_for(df: DataFrame, key: str) -> Optional[int]:
+    """Keys per range bucket of a first build: the span of the keys over the
+    bucket count for its size (one pass over the key column; None without keys)."""
+    lo, hi = df.agg(F.min(key), F.max(key)).first()
+    return None if lo is None else max(1, -(-(int(hi) - int(lo) + 1) // first_buckets(df)))
+
+
+def day_unit_for(df: DataFrame, sync: str) -> str:
+    """``day``, ``month`` or ``year``: the shortest that holds DAY_BYTES of what
+    ``df`` reads (one pass over the sync column)."""
+    size = input_bytes(df)
+    lo, hi = df.agg(F.min(sync), F.max(sync)).first()
+    if size is None or lo is None:
+        return "day"
+    per_day = size / max(1, (hi - lo).days + 1)
+    return next((unit for unit, days in (("day", 1), ("month", 30)) if per_day * days >= DAY_BYTES), "year")
+
+
+# ---------------------------------------------------------------------------
+# The pointer
+# ---------------------------------------------------------------------------
+def _packed(parts: Iterable[str]) -> list:
+    """Partition values, runs of whole numbers as [first, last]."""
+    parts = list(parts)
+    numbers = sorted(int(p) for p in parts if re.fullmatch(r"-?\d+", p))
+    out: list = sorted(p for p in parts if not re.fullmatch(r"-?\d+", p))
+    for n in numbers:
+        if out and isinstance(out[-1], list) and out[-1][1] == n - 1:
+            out[-1][1] = n
+        else:
+            out.append([n, n])
+    return out
+
+
+def _unpacked(parts: list) -> set:
+    return {v for p in parts for v in ([p] if isinstance(p, str) else map(str, range(p[0], p[1] + 1)))}
+
+
+@dataclass
+class Table:
+    """What the pointer of a table says."""
+
+    path: str
+    version: int = 0
+    part: str = BUCKET
+    schema: T.StructType = field(default_factory=T.StructType)
+    layout: Dict = field(default_factory=dict)            # keys, and buckets or range_width or day
+    live: Dict[str, set] = field(default_factory=dict)    # commit -> its live partition values
+    whole: set = field(default_factory=set)               # commits all of whose folders are live
+    dropped: Dict[str, set] = field(default_factory=dict)  # folders that the version before still named
+    high_water: Optional[str] = None
+    applied: Dict[str, int] = field(default_factory=dict)  # stream -> its last micro-batch
+
+    @property
+    def keys(self) -> List[str]:
+        return self.layout["keys"]
+
+    def text(self) -> str:
+        return json.dumps({
+            "version": self.version, "part": self.part, "schema": json.loads(self.schema.json()), "layout": self.layout,
+            "live": {c: _packed(v) for c, v in self.live.items()}, "whole": sorted(self.whole),
+            "dropped": {c: _packed(v) for c, v in self.dropped.items()}, "high_water": self.high_water, "applied": self.applied})
+
+    def folders(self, only: Optional[Callable[[str], bool]] = None) -> List[str]:
+        """The live folders (of the partitions that ``only`` takes)."""
+        root = f"{self.path}/data"
+        out = []
+        for commit, parts in self.live.items():
+            some = parts if only is None else {p for p in parts if only(p)}
+            if some and some == parts and commit in self.whole:
+                out.append(f"{root}/{COMMIT}={commit}")
+            else:
+                out += [f"{root}/{COMMIT}={commit}/{self.part}={p}" for p in sorted(some)]
+        return out
+
+
+def open_table(spark: SparkSession, path: str) -> Optional[Table]:
+    """The table at ``path`` as its pointer names it, or None."""
+    root = path.rstrip("/")
+    text = read_text(spark, f"{root}/{POINTER}")
+    if text is None:
+        return None
+    p = json.loads(text)
+    return Table(root, p["version"], p["part"], T.StructType.fromJson(p["schema"]), p["layout"], {c: _unpacked(v) for c, v in p["live"].items()},
+                 set(p["whole"]), {c: _unpacked(v) for c, v in p["dropped"].items()}, p["high_water"], p["applied"])
+
+
+def read_folders(spark: SparkSession, table: Table, only: Optional[Callable[[str], bool]] = None) -> DataFrame:
+    """The rows of the live folders of ``table`` with the partition column.
+
+    ``only`` selects partition values before anything is listed; the schema is
+    the pointer's, so no file is opened for it.
+    """
+    meta = {}
+    if "buckets" in table.layout:
+        meta = {BUCKETS_META: table.layout["buckets"]}
+    elif "range_width" in table.layout:
+        meta = {RANGE_META: table.layout["range_width"]}
+    fields = [T.StructField(f.name, f.dataType, True, {**(f.metadata or {}), **(meta if f.name == table.keys[0] else {})}) for f in table.schema.fields]
+    kind = T.LongType() if table.part == BUCKET else T.DateType() if table.part == DAY else T.StringType()
+    schema = T.StructType([*fields, T.StructField(table.part, kind)])
+    folders = table.folders(only)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    full = T.StructType([*schema.fields, T.StructField(COMMIT, T.StringType())])
+    return spark.read.schema(full).option("basePath", f"{table.path}/data").parquet(*folders).drop(COMMIT)
+
+
+def read_table(spark: SparkSession, path: str, keep_bucket: bool = False) -> Optional[DataFrame]:
+    """Read a table as of its last commit, or ``None`` when it does not exist yet."""
+    table = open_table(spark, path)
+    if table is None:
+        return None
+    df = read_folders(spark, table)
+    return df if keep_bucket else df.drop(table.part)
 
 
 def stored_buckets(df: DataFrame, keys: Sequence[str]) -> Optional[int]:
-    """The bucket count a hash-bucketed table was written with (``None`` if unknown)."""
+    """The bucket count of a hash-bucketed table that was read (``None`` if not one)."""
     v = (df.schema[keys[0]].metadata or {}).get(BUCKETS_META)
     return int(v) if v is not None else None
 
 
 def stored_range_width(df: DataFrame, keys: Sequence[str]) -> Optional[int]:
-    """The key-range width of a range-bucketed table (``None`` if hash-bucketed)."""
+    """The key-range width of a range-bucketed table (``None`` if not one)."""
     v = (df.schema[keys[0]].metadata or {}).get(RANGE_META)
     return int(v) if v is not None else None
 
 
-MARKS = "_marks"                     # one row per bucket: the bucket's max sync time
-COMMIT = "_commit"                   # new content of partition folders on its way into the table
-COMMIT_READY = "_commit_ready"       # flag file: _commit is whole, its folders are being moved
-COMMIT_REPLACES = "_commit_replaces"  # flag file: the old folders all go before the move starts
+def commit(df: DataFrame, path: str, before: Optional[Table], schema: T.StructType, layout: Dict, part: str = BUCKET,
+           replaces: Optional[Callable[[str], bool]] = None, high_water: Optional[Callable[[object], Optional[str]]] = None,
+           applied: Optional[tuple] = None) -> Table:
+    """Write ``df`` (with the column ``part``) to a fresh folder and publish it.
 
+    The live folders whose partition value ``replaces`` takes go (all of them
+    when it is None); others stay beside what ``df`` wrote. ``df`` may read the
+    table. ``high_water`` gets the newest sync time written (seen while
+    writing) and gives that of the table. ``applied`` is a stream and its
+    micro-batch.
+    """
+    spark, root = df.sparkSession, path.rstrip("/")
+    name = f"{(before.version if before else 0) + 1:08d}-{uuid.uuid4().hex[:8]}"
+    folder = f"{root}/data/{COMMIT}={name}"
+    sync = _sync_column(df.columns)
+    seen = Observation(f"commit-{name}")
+    out = df.observe(seen, F.max(sync).alias("m")) if sync else df
+    out.write.partitionBy(part).parquet(folder)
+    written = {n.split("=", 1)[1] for n in child_names(spark, folder) if n.startswith(f"{part}=")}
+    newest = seen.get["m"] if sync else None
+    new = Table(root, (before.version if before else 0) + 1, part, _plain(schema), layout)
+    if before:
+        new.applied = dict(before.applied)
+        if replaces is not None:
+            new.live = {c: kept for c, parts in before.live.items() if (kept := {p for p in parts if not replaces(p)})}
+            new.whole = {c for c in before.whole if len(new.live.get(c, ())) == len(before.live[c])}
+        new.dropped = {c: gone for c, parts in before.live.items() if (gone := parts - new.live.get(c, set()))}
+    if written:
+        new.live[name] = written
+        new.whole.add(name)
+    new.high_water = high_water(newest) if high_water else _iso(newest)
+    if applied:
+        new.applied[applied[0]] = int(applied[1])
+    publish(spark, new, before)
+    clean_up(spark, new, before)
+    return new
+
+
+def publish(spark: SparkSession, new: Table, before: Optional[Table]) -> None:
+    """Replace the pointer, if it is still the one the commit started from."""
+    now = open_table(spark, new.path)
+    if (now.version if now else 0) != (before.version if before else 0):
+        raise RuntimeError(f"{new.path} was written by another commit meanwhile")
+    replace_text(spark, f"{new.path}/{POINTER}", new.text())
+
+
+def clean_up(spark: SparkSession, table: Table, before: Optional[Table], threads: int = 16) -> None:
+    """Delete the folders that neither this version nor the one before names.
+
+    Whole commits by one call; single partitions, where part of a commit is
+    still live, from a few threads. Nothing waits for it and nothing is lost
+    if it stops.
+    """
+    root = f"{table.path}/data/{COMMIT}="
+    named = {*table.live, *table.dropped}
+    gone = [f"{table.path}/data/{n}" for n in child_names(spark, f"{table.path}/data") if n.startswith(f"{COMMIT}=") and n.split("=", 1)[1] not in named]
+    for c, parts in (before.dropped if before else {}).items():
+        if c in named:
+            gone += [f"{root}{c}/{before.part}={p}" for p in parts]
+    if gone:
+        with ThreadPoolExecutor(min(threads, len(gone))) as pool:
+            list(pool.map(lambda f: remove_path(spark, f), gone))
 
-def marks_path(path: str) -> str:
-    return f"{path.rstrip('/')}/{MARKS}"
 
+def _sync_column(columns: Sequence[str]) -> Optional[str]:
+    return next((c for c in (AUDIT_SYNC, SYNCED) if c in columns), None)
 
-def commit(df: DataFrame, path: str, part: str = BUCKET, buckets: Optional[Sequence[int]] = None,
-           replace: bool = False) -> None:
-    """Put ``df`` in place of the partition folders it has rows for (of all
-    folders with ``replace``). ``buckets`` are the rewritten ones; without them
-    the marks of every bucket are rebuilt. ``df`` may read the table."""
-    spark, root = df.sparkSession, path.rstrip("/")
-    remove_path(spark, f"{root}/{COMMIT}")      # of a run that died while writing it
-    df.write.partitionBy(part).parquet(f"{root}/{COMMIT}")
-    touch(spark, f"{root}/{COMMIT_REPLACES if replace else COMMIT_READY}")
-    _finish_commit(spark, root, buckets)
 
+def _iso(value) -> Optional[str]:
+    return None if value is None else value.isoformat(sep=" ")
 
-def recover(spark: SparkSession, path: str) -> bool:
-    """Finish the commit that an earlier run died in; returns whether there was one."""
-    root = path.rstrip("/")
-    if not any(path_exists(spark, f"{root}/{flag}") for flag in (COMMIT_READY, COMMIT_REPLACES)):
-        return False
-    _finish_commit(spark, root, None)
-    return True
-
-
-def _finish_commit(spark: SparkSession, root: str, buckets: Optional[Sequence[int]]) -> None:
-    """Every step can be repeated. One rename per rewritten folder on the
-    driver, as Spark's own committer does for dynamic overwrites."""
-    if path_exists(spark, f"{root}/{COMMIT_REPLACES}"):
-        for name in child_names(spark, root):
-            if "=" in name:
-                remove_path(spark, f"{root}/{name}")
-        touch(spark, f"{root}/{COMMIT_READY}")
-        remove_path(spark, f"{root}/{COMMIT_REPLACES}")
-    for name in child_names(spark, f"{root}/{COMMIT}"):
-        if "=" in name:
-            remove_path(spark, f"{root}/{name}")
-            move_path(spark, f"{root}/{COMMIT}/{name}", f"{root}/{name}")
-    _write_marks(spark, root, buckets)
-    remove_path(spark, f"{root}/{COMMIT_READY}")
-    remove_path(spark, f"{root}/{COMMIT}")
-
-
-def _write_marks(spark: SparkSession, path: str, buckets: Optional[Sequence[int]], col: str = AUDIT_SYNC) -> None:
-    """New marks = old marks of the other buckets + exact maxima of the
-    rewritten ones (one column, partition-pruned); all of them without ``buckets``."""
-    t = read_table(spark, path, keep_bucket=True)
-    if t is None or col not in t.columns or BUCKET not in t.columns:
-        return
-    mp = marks_path(path)
-    if buckets is None or not path_exists(spark, mp):
-        new = t.groupBy(BUCKET).agg(F.max(col).alias("high_water"))
-    else:
-        touched = [int(b) for b in buckets]
-        fresh = t.where(F.col(BUCKET).isin(touched)).groupBy(BUCKET).agg(F.max(col).alias("high_water"))
-        new = spark.read.parquet(mp).where(~F.col(BUCKET).isin(touched)).unionByName(fresh)
-    nxt = mp + "_next"
-    remove_path(spark, nxt)
-    new.write.parquet(nxt)
-    remove_path(spark, mp)
-    move_path(spark, nxt, mp)
-
-
-def table_high_water(spark: SparkSession, path: str, col: str = AUDIT_SYNC, min_date: str = MIN_DATE):
-    """A1 for a stored table: ``coalesce(max(col), min_date)`` read from the
-    marks (<= N small rows) as of the last finished commit; ``min_date`` while
-    a first build is unfinished, so that everything is read again. ``None``
-    when the table does not exist."""
-    root = path.rstrip("/")
-    unfinished = any(path_exists(spark, f"{root}/{flag}") for flag in (COMMIT_READY, COMMIT_REPLACES))
-    table = read_table(spark, path)
-    if table is None and not unfinished:
-        return None
-    lowest = datetime.datetime.fromisoformat(min_date)
-    if not path_exists(spark, marks_path(path)):
-        return lowest if unfinished else high_water_value(table, col, min_date)
-    hw = spark.read.parquet(marks_path(path)).agg(F.max("high_water")).first()[0]
-    return hw if hw is not None else lowest
+
+def _plain(schema: T.StructType) -> T.StructType:
+    """A schema as it is kept: nullable, without the layout marks."""
+    return T.StructType([T.StructField(f.name, f.dataType, True, {k: v for k, v in (f.metadata or {}).items() if k not in (BUCKETS_META, RANGE_META)})
+                         for f in schema.fields])
 
 
-def bucket_expr(keys: Sequence[str], num_buckets: int, all_cols: Sequence[str] = (),
+def table_high_water(spark: SparkSession, path: str, min_date: str = MIN_DATE):
+    """A1 for a stored table: ``coalesce(max(sync), min_date)`` from the
+    pointer, without a job. ``None`` when the table does not exist."""
+    table = open_table(spark, path)
+    if table is None:
+        return None
+    return datetime.datetime.fromisoformat(table.high_water or min_date)
+
+
+def _merged_high_water(spark: SparkSession, table: Table, replaced: Callable[[str], bool]) -> Callable:
+    """The newest sync time after a merge: what was written, unless folders
+    that stay hold a newer one. They can only if the batch brought nothing as
+    new as the table had; then their one column is read."""
+    def of(newest) -> Optional[str]:
+        new, old = _iso(newest), table.high_water
+        if old is None or (new is not None and datetime.datetime.fromisoformat(new) >= datetime.datetime.fromisoformat(old)):
+            return new
+        rest = read_folders(spark, table, lambda p: not replaced(p))
+        sync = _sync_column(rest.columns)
+        kept = rest.agg(F.max(sync)).first()[0] if sync else None
+        return max((v for v in (new, _iso(kept)) if v is not None), default=None, key=datetime.datetime.fromisoformat)
+    return of
+
+
+# ---------------------------------------------------------------------------
+# Types (S9)
+# ---------------------------------------------------------------------------
+_WHOLE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}      # digits a decimal needs
+_ORDER = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+
+
+def common_type(a: T.DataType, b: T.DataType) -> Optional[T.DataType]:
+    """The narrowest type that holds every value of both without loss and that
+    Spark's Parquet reader promotes to; None when there is none."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    ka, kb = type(a), type(b)
+    if ka in _WHOLE and kb in _WHOLE:
+        return a if _ORDER.index(ka) >= _ORDER.index(kb) else b
+    for x, y in ((a, b), (b, a)):
+        if isinstance(y, T.DoubleType) and type(x) in (T.ByteType, T.ShortType, T.IntegerType, T.FloatType):
+            return y
+        if isinstance(y, T.DecimalType) and type(x) in _WHOLE:
+            digits = max(_WHOLE[type(x)], y.precision - y.scale) + y.scale
+            return T.DecimalType(digits, y.scale) if digits <= 38 else None
+        if isinstance(y, T.TimestampNTZType) and isinstance(x, T.DateType):
+            return y
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        digits = max(a.precision - a.scale, b.precision - b.scale) + scale
+        return T.DecimalType(digits, scale) if digits <= 38 else None
+    return None
+
+
+def reconciled(stored: T.StructType, batch: T.StructType, keys: Sequence[str] = ()) -> T.StructType:
+    """The schema of a table after a batch: the stored columns, then the new
+    ones. A type that differs becomes the type that holds both without loss;
+    where there is none, or where a key would change its hash, TypeError.
+    Metadata: the stored, with the batch's on top."""
+    by_name = {f.name.lower(): f for f in batch.fields}
+    out = []
+    for f in stored.fields:
+        g = by_name.pop(f.name.lower(), None)
+        if g is None:
+            out.append(f)
+            continue
+        kind = common_type(f.dataType, g.dataType)
+        if kind is None:
+            raise TypeError(f"column {f.name} is {f.dataType.simpleString()} in the table and {g.dataType.simpleString()} in the batch; no type holds both without loss")
+        if f.name in keys and kind != f.dataType and not (type(kind) in _WHOLE and type(f.dataType) in _WHOLE):
+            raise TypeError(f"key {f.name} cannot change from {f.dataType.simpleString()} to {kind.simpleString()}")
+        out.append(T.StructField(f.name, kind, True, {**(f.metadata or {}), **(g.metadata or {})}))
+    return _plain(T.StructType([*out, *by_name.values()]))
+
+
+def conformed(df: DataFrame, schema: T.StructType, extra: Sequence[str] = ()) -> DataFrame:
+    """``df`` with the types of ``schema`` (lossless casts); other columns as they are."""
+    want = {f.name.lower(): f for f in schema.fields}
+    cols = []
+    for f in df.schema.fields:
+        g = want.get(f.name.lower())
+        cols.append(F.col(f"`{f.name}`") if g is None or f.name in extra else
+                    (F.col(f"`{f.name}`") if f.dataType == g.dataType else F.col(f"`{f.name}`").cast(g.dataType)).alias(g.name))
+    return df.select(*cols)
+
+
+# ---------------------------------------------------------------------------
+# Partition values
+# ---------------------------------------------------------------------------
+def bucket_expr(keys: Sequence[Union[str, Column]], num_buckets: int, all_cols: Sequence[str] = (),
                 range_width: Optional[int] = None) -> Column:
     """Storage bucket of a row.
 
@@ -187,16 +402,17 @@ def bucket_expr(keys: Sequence[str], num_buckets: int, all_cols: Sequence[str] =
     whole row instead of piling up in one bucket (negative buckets in the
     range scheme).
     """
+    keys = [col_of(k) for k in keys]
     has_key = F.lit(True)
     for k in keys:
-        has_key = has_key & F.col(k).isNotNull()
+        has_key = has_key & k.isNotNull()
     if range_width:
         if len(keys) != 1:
             raise ValueError("range buckets need a single numeric key")
-        by_key = F.floor(F.col(keys[0]) / F.lit(int(range_width))).cast("long")
+        by_key = F.floor(keys[0] / F.lit(int(range_width))).cast("long")
         spread = NULL_KEY_SPREAD
     else:
-        by_key = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(num_buckets))
+        by_key = F.pmod(F.xxhash64(*keys), F.lit(num_buckets))
         spread = num_buckets
     if not all_cols:
         return by_key.cast("long")
@@ -206,43 +422,51 @@ def bucket_expr(keys: Sequence[str], num_buckets: int, all_cols: Sequence[str] =
     return F.when(has_key, by_key).otherwise(by_row).cast("long")
 
 
-def read_table(spark: SparkSession, path: str, keep_bucket: bool = False) -> Optional[DataFrame]:
-    """Read a silver table, or ``None`` when it does not exist yet."""
-    if not path_exists(spark, path):
-        return None
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException:
-        return None
-    if PART in df.columns:
-        df = read_parts(spark, path).drop(PART)
-    return df if keep_bucket else df.drop(BUCKET)
+def hashed_keys(schema: T.StructType, keys: Sequence[str]) -> List[Column]:
+    """The keys as they are hashed: whole numbers as bigint, so that a key
+    that is widened keeps its bucket."""
+    return [F.col(k).cast("bigint") if type(schema[k].dataType) in _WHOLE else F.col(k) for k in keys]
 
 
-def read_parts(spark: SparkSession, path: str) -> DataFrame:
-    """A history table with its parts. Every run rewrites the current parts, so
-    one of them has all columns; closed parts that are older than a column
-    read as null there."""
-    root = path.rstrip("/")
-    name = next((n for n in child_names(spark, root) if n.startswith(f"{PART}=c")), None)
-    if name is None:
-        return spark.read.parquet(root)
-    return spark.read.schema(spark.read.parquet(f"{root}/{name}").schema.add(PART, "string")).parquet(root)
+def with_bucket(df: DataFrame, keys: Sequence[str], layout: Dict) -> DataFrame:
+    """``df`` with the storage bucket of each row."""
+    return df.withColumn(BUCKET, bucket_expr(hashed_keys(df.schema, keys), layout.get("buckets", DEFAULT_BUCKETS),
+                                             [c for c in df.columns if c != BUCKET], layout.get("range_width")))
+
 
+def day_of(layout: Dict) -> Column:
+    """The ``_day`` of a row."""
+    day = F.to_date(layout["day"])
+    return day if layout["unit"] == "day" else F.trunc(day, layout["unit"]).cast("date")
 
-def write_table(df: DataFrame, path: str, keys: Union[str, Sequence[str]],
-                num_buckets: int = DEFAULT_BUCKETS, range_width: Optional[int] = None) -> None:
-    """First build: bucket every row and write one folder per bucket, in place
-    of all that an earlier table at ``path`` held.
 
-    ``repartition(bucket)`` puts each bucket in one task, so a later merge
-    reads whole buckets.
+# ---------------------------------------------------------------------------
+# Writes
+# ---------------------------------------------------------------------------
+def _first_layout(df: DataFrame, keys: List[str], num_buckets: Optional[int], range_width: Optional[int], day_unit: Optional[str]) -> Dict:
+    if day_unit:
+        return {"keys": keys, "day": AUDIT_SYNC, "unit": day_unit}
+    if range_width:
+        return {"keys": keys, "range_width": int(range_width)}
+    return {"keys": keys, "buckets": int(num_buckets or first_buckets(df))}
+
+
+def write_table(df: DataFrame, path: str, keys: Union[str, Sequence[str]], num_buckets: Optional[int] = None,
+                range_width: Optional[int] = None, day_unit: Optional[str] = None, applied: Optional[tuple] = None) -> Table:
+    """First build: one commit in place of all that an earlier table at
+    ``path`` held, with one folder per bucket (or day).
+
+    The bucket count comes from the size of what ``df`` reads unless given.
+    ``repartition(bucket)`` puts each bucket in one task; days are dealt by
+    Spark's rebalancing, so a large day is split.
     """
+    spark = df.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
-    out = _with_bucket_meta(df.withColumn(BUCKET, bucket_expr(keys, num_buckets, df.columns, range_width)),
-                            keys, num_buckets, range_width)
-    recover(df.sparkSession, path)
-    commit(out.repartition(BUCKET), path, replace=True)
+    before = open_table(spark, path)
+    layout = _first_layout(df, keys, num_buckets, range_width, day_unit)
+    if day_unit:
+        return commit(df.withColumn(DAY, day_of(layout)).hint("rebalance", DAY), path, before, df.schema, layout, DAY, applied=applied)
+    return commit(with_bucket(df, keys, layout).repartition(BUCKET), path, before, df.schema, layout, applied=applied)
 
 
 def stage(df: DataFrame, spark: SparkSession, name: str = "stage") -> DataFrame:
@@ -250,58 +474,87 @@ def stage(df: DataFrame, spark: SparkSession, name: str = "stage") -> DataFrame:
     (the read carries its folder as ``stage_path``)."""
     path = work_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
     out.stage_path = path
     return out
 
 
 def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[str, Sequence[str]],
                  exclude_update: Sequence[str] = (AUDIT_LOAD,), match_cond: Optional[Column] = None,
-                 num_buckets: int = DEFAULT_BUCKETS, combine=None, create=None,
-                 guard_col: Optional[str] = None, range_width: Optional[int] = None) -> dict:
+                 num_buckets: Optional[int] = None, combine=None, create=None, guard_col: Optional[str] = None,
+                 range_width: Optional[int] = None, window_from=None, day_unit: str = "day", applied: Optional[tuple] = None) -> dict:
     """Upsert ``batch`` (one row per key) into the table at ``path``.
 
     ``combine(target_buckets, staged_batch)`` replaces the default merge
     (both carry the bucket column; the result must too); ``create(batch)``
-    shapes the batch of a first write. Returns a small report: rows in the
-    batch and buckets rewritten.
+    shapes the batch of a first write. ``window_from`` is the time from which
+    ``match_cond`` matches: a first build then lays the table out by sync time,
+    a folder for each ``day_unit`` (:func:`day_unit_for`), and a merge into such
+    a table reads and rewrites the folders from it on and adds older rows of
+    the batch beside what their folder holds. ``applied`` is a
+    stream and its micro-batch: one that the table holds already is skipped.
+    Returns a small report.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    recover(spark, path)
-    current = read_table(spark, path, keep_bucket=True)
-    if current is None:
-        write_table(create(batch) if create else batch, path, keys, num_buckets, range_width)
-        return {"mode": "create", "buckets": num_buckets}
-
-    # The table's own bucket count wins: a different count would put a key
-    # into a second bucket.
-    num_buckets = stored_buckets(current, keys) or num_buckets
-    range_width = stored_range_width(current, keys) or (None if stored_buckets(current, keys) else range_width)
-    target_cols = [c for c in current.columns if c != BUCKET]
-    cols = evolve_append(target_cols, [c for c in batch.columns if not (create and c not in create(batch).columns)])
-    # The touched buckets (<= N small integers) and the row count are gathered
-    # while the batch is staged (an observation), not by another pass.
+    table = open_table(spark, path)
+    if table is None:
+        first = create(batch) if create else batch
+        new = write_table(first, path, keys, num_buckets, range_width, day_unit=day_unit if window_from is not None else None, applied=applied)
+        return {"mode": "create", "buckets": new.layout.get("buckets"), "layout": new.layout}
+    if applied and table.applied.get(applied[0], -1) >= int(applied[1]):
+        return {"mode": "skipped", "rows": 0, "buckets": 0}
+    own = batch.schema if create is None else create(batch).schema
+    schema = reconciled(table.schema, own, keys)
+    batch = conformed(batch, schema)
+    table.schema = schema              # files of a narrower type are promoted as they are read
+    if table.part == DAY:
+        return _merge_days(spark, table, batch, keys, exclude_update, match_cond, guard_col, window_from, applied)
+
+    # The touched buckets (small integers, no more than the table has or the
+    # batch makes) and the row count are gathered while the batch is staged.
     obs = Observation("staged_batch")
-    bucketed = batch.withColumn(BUCKET, bucket_expr(keys, num_buckets, batch.columns, range_width))
-    staged = stage(bucketed.observe(obs, F.collect_set(BUCKET).alias("buckets"), F.count(F.lit(1)).alias("rows")),
-                   spark)
+    bucketed = with_bucket(batch, keys, table.layout)
+    staged = stage(bucketed.observe(obs, F.collect_set(BUCKET).alias("buckets"), F.count(F.lit(1)).alias("rows")), spark)
     seen = obs.get
-    touched, n_rows = sorted(seen["buckets"] or []), seen["rows"]
-    if not n_rows:
-        remove_path(spark, staged.stage_path)
-        return {"mode": "merge", "rows": 0, "buckets": 0}
-    new_columns = len(cols) > len(target_cols)
-    target = current if new_columns else current.where(F.col(BUCKET).isin(touched))
-    # A new column is written into every bucket so that all files agree
-    # on the schema and readers never need ``mergeSchema``.
-    if combine is not None:
-        merged = combine(target, staged)
-    else:
-        merged = merge_frames(target, staged, keys, exclude_update, match_cond, bucket_col=BUCKET,
-                              guard_col=guard_col)
-    commit(_with_bucket_meta(merged.select(*cols, BUCKET), keys, num_buckets, range_width), path,
-           buckets=None if new_columns else touched)
-    # Committed: the staged batch is no longer needed.
+    touched, n_rows = {str(b) for b in seen["buckets"] or []}, seen["rows"]
+    if n_rows:
+        target = read_folders(spark, table, touched.__contains__)
+        if combine is not None:
+            merged = combine(target, staged)
+        else:
+            merged = merge_frames(target, staged, keys, exclude_update, match_cond, bucket_col=BUCKET, guard_col=guard_col)
+        commit(merged.select(*schema.fieldNames(), BUCKET), path, table, schema, table.layout, replaces=touched.__contains__,
+               high_water=_merged_high_water(spark, table, touched.__contains__), applied=applied)
+    remove_path(spark, staged.stage_path)
+    return {"mode": "merge", "rows": n_rows, "buckets": len(touched)}
+
+
+def _merge_days(spark: SparkSession, table: Table, batch: DataFrame, keys: Sequence[str], exclude_update: Sequence[str],
+                match_cond: Optional[Column], guard_col: Optional[str], window_from, applied: Optional[tuple]) -> dict:
+    """The merge of a table laid out by sync day.
+
+    With a match window only its days are read and replaced; without one any
+    day may hold a match, so all are.
+    """
+    staged = stage(batch, spark)
+    n_rows = staged.count()
+    if n_rows:
+        start = None if match_cond is None or window_from is None else _first_of(window_from, table.layout["unit"])
+        inside = (lambda p: True) if start is None else (lambda p: re.match(r"\d", p) is not None and datetime.date.fromisoformat(p) >= start)
+        # the window as a partition filter as well: Spark prunes by it, whatever the folders given
+        target = read_folders(spark, table, inside)
+        if start is not None:
+            target = target.where(F.col(DAY) >= F.lit(start))
+        merged = merge_frames(target.drop(DAY), staged, keys, exclude_update, match_cond, guard_col=guard_col)
+        merged = merged.select(*table.schema.fieldNames(), day_of(table.layout).alias(DAY)).hint("rebalance", DAY)
+        commit(merged, table.path, table, table.schema, table.layout, DAY, replaces=inside,
+               high_water=_merged_high_water(spark, table, inside), applied=applied)
     remove_path(spark, staged.stage_path)
-    return {"mode": "merge", "rows": n_rows,
-            "buckets": "all" if new_columns else len(touched)}
+    return {"mode": "merge", "rows": n_rows, "days": None}
+
+
+def _first_of(value, unit: str) -> datetime.date:
+    if not isinstance(value, datetime.date):
+        value = datetime.datetime.fromisoformat(str(value))
+    day = value.date() if isinstance(value, datetime.datetime) else value
+    return day if unit == "day" else day.replace(day=1) if unit == "month" else day.replace(month=1, day=1)

@@ -4,14 +4,15 @@
   files become new micro-batches (the stream checkpoint records which).
 * :func:`stream_upsert` - ST2: every micro-batch is staged like a batch run
   (active rows, newest per key, cleaning, audit columns) and merged into the
-  bucketed silver table with a sequence guard, so a replayed or late batch
-  never overwrites a newer row (ST3) and the result equals the batch build.
+  bucketed silver table with a sequence guard, so a late batch never overwrites
+  a newer row (ST3) and the result equals the batch build. The commit records
+  the micro-batch's number, so one that is delivered again is not applied again.
 * :func:`run_incremental` - ST1: the scheduled load. ``trigger`` is
   ``{"availableNow": True}`` (drain what is there, then stop; run it from a
   scheduler every 15 minutes) or ``{"processingTime": "15 minutes"}``.
 
-The high-water mark of the batch path (ST4) stays derivable from the target
-(:func:`argent.operators.staging.high_water_value`); the stream checkpoint is
+The high-water mark of the batch path (ST4) stands in the table's pointer
+(:func:`argent.sources.silver_table.table_high_water`); the stream checkpoint is
 an independent second position.
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from argent.operators.staging import AUDIT_SYNC
-from argent.plans.models import ModelSpec, build_silver, match_condition
+from argent.plans.models import ModelSpec, build_silver, match_condition, utc_now, window_start
 
 DEFAULT_TRIGGER = {"availableNow": True}
 
@@ -47,11 +48,11 @@ def stream_upsert(stream: DataFrame, spec: ModelSpec, target_path: str, checkpoi
     from argent.sources.silver_table import merge_upsert
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        now = as_of() if callable(as_of) else as_of
+        now = (as_of() if callable(as_of) else as_of) or utc_now()
         batch = build_silver(df, spec, now, run_id(batch_id) if callable(run_id) else run_id)
-        merge_upsert(df.sparkSession, target_path, batch, spec.key,
-                     match_cond=match_condition(spec, now, use_window),
-                     num_buckets=spec.num_buckets, guard_col=AUDIT_SYNC, range_width=spec.range_width)
+        window = match_condition(spec, now, use_window)
+        merge_upsert(df.sparkSession, target_path, batch, spec.key, match_cond=window, guard_col=AUDIT_SYNC,
+                     window_from=window_start(now) if window is not None else None, applied=(checkpoint, batch_id))
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if query_name:

@@ -64,12 +64,12 @@ def main() -> None:
     def first_build_lines():
         p = work_dir(spark, "bench-lines")
         b = build_silver(lines_bronze, lines_spec, fx.ORDERS_AS_OF, "bench-1")
-        write_table(b, p, lines_spec.key, lines_spec.num_buckets)
+        write_table(b, p, lines_spec.key)
 
     def incremental_merge_lines():
         p = work_dir(spark, "bench-lines-inc")
         write_table(build_silver(lines_bronze.where(F.col(st.SYNCED) < F.lit(cut).cast("timestamp_ntz")),
-                                 lines_spec, cut, "bench-1"), p, lines_spec.key, lines_spec.num_buckets)
+                                 lines_spec, cut, "bench-1"), p, lines_spec.key)
         t0 = time.perf_counter()
         materialize(spark, lines_spec, lines_bronze, p, run2_as_of, "bench-2")
         return time.perf_counter() - t0

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from argent.operators.merge import merge_by_joins, merge_frames, recent_match
@@ -90,32 +91,26 @@ def test_bucket_count_is_kept(spark):
     assert buckets_for(100 * 1024 ** 4) == 1 << 18 and buckets_for(1) == 8
 
 
-def test_high_water_marks_exact_and_repair(spark):
-    from argent.session import touch
-    from argent.sources.silver_table import COMMIT_READY, marks_path, recover, table_high_water
+def _at(seconds):
+    return F.timestamp_seconds(F.col("k") + seconds).cast("timestamp_ntz")
+
+
+def test_high_water_is_exact_without_a_job(spark):
+    from argent.sources.silver_table import table_high_water
     p = work_dir(spark, "t-merge-hw")
-    base = _batch(spark, 0, 300, "base").withColumn(
-        "_bronze_sync_timestamp", F.timestamp_seconds(F.col("k")).cast("timestamp_ntz"))
-    write_table(base, p, "k", 8)
+    write_table(_batch(spark, 0, 300, "base").withColumn("_bronze_sync_timestamp", _at(0)), p, "k", 8)
     scan = lambda: read_table(spark, p).agg(F.max("_bronze_sync_timestamp")).first()[0]
     assert table_high_water(spark, p) == scan()
-    newer = _batch(spark, 290, 320, "upd").withColumn(
-        "_bronze_sync_timestamp", F.timestamp_seconds(F.col("k") + 1000).cast("timestamp_ntz"))
-    merge_upsert(spark, p, newer, "k", num_buckets=8)
+    merge_upsert(spark, p, _batch(spark, 290, 320, "upd").withColumn("_bronze_sync_timestamp", _at(1000)), "k")
     assert table_high_water(spark, p) == scan()
-    assert spark.read.parquet(marks_path(p)).count() == 8
-    # while a commit is unfinished the mark is that of the last finished one; recovering rebuilds every mark
-    before = table_high_water(spark, p)
-    newest = _batch(spark, 0, 8, "new").withColumn(
-        "_bronze_sync_timestamp", F.timestamp_seconds(F.col("k") + 10 ** 9).cast("timestamp_ntz"))
-    _half_commit(spark, p, newest, moved=4)
-    assert table_high_water(spark, p) == before
-    assert recover(spark, p) and not recover(spark, p)
-    assert table_high_water(spark, p) == scan() > before
-    older = _batch(spark, 0, 5, "old")          # lowers the max of some buckets
-    merge_upsert(spark, p, older, "k", num_buckets=8)
+    # batches that lower the newest time of some buckets, of all, and of none
+    merge_upsert(spark, p, _batch(spark, 319, 320, "old").withColumn("_bronze_sync_timestamp", _at(-5000)), "k")
     assert table_high_water(spark, p) == scan()
-    assert read_table(spark, p).count() == 320          # side files are not part of the table
+    merge_upsert(spark, p, _batch(spark, 0, 320, "old").withColumn("_bronze_sync_timestamp", _at(-9000)), "k")
+    assert table_high_water(spark, p) == scan()
+    merge_upsert(spark, p, _batch(spark, 0, 320, "nul").withColumn("_bronze_sync_timestamp", F.lit(None).cast("timestamp_ntz")), "k")
+    assert scan() is None and table_high_water(spark, p) == dt.datetime(2000, 1, 1)
+    assert table_high_water(spark, work_dir(spark, "t-none")) is None
 
 
 def test_range_buckets_confine_a_recent_batch(spark):
@@ -133,79 +128,125 @@ def test_range_buckets_confine_a_recent_batch(spark):
     assert read_table(spark, p).where("k is null").count() == 3
 
 
-def _half_commit(spark, p, batch, moved, gap=False):
-    """Merge ``batch`` into the table at ``p`` and die after ``moved`` folders
-    (with ``gap``, also between the delete and the rename of one more)."""
-    import os
+class Died(Exception):
+    pass
 
-    from argent.sources import silver_table as sink
 
-    class Died(Exception):
-        pass
+def _dies(monkeypatch, where):
+    """The writer stops at ``where``: in the rows' write, before the pointer is
+    written, between its file and its rename, or before the clean-up."""
+    from pyspark.sql import DataFrameWriter
+
+    from argent.sources import silver_table as sink
 
-    left, real = [moved], sink.move_path
+    def die(*a, **k):
+        raise Died
+    if where == "rows":
+        real = DataFrameWriter.parquet
 
-    def move(sp, src, dst):
-        if "/_commit/" in src:
-            if not left[0]:
-                assert gap or not os.path.exists(dst)
+        def write(self, path, *a, **k):
+            real(self, path, *a, **k)
+            if "/data/_commit=" in path:
                 raise Died
-            left[0] -= 1
-        return real(sp, src, dst)
+        monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    elif where == "pointer":
+        monkeypatch.setattr(sink, "publish", die)
+    elif where == "rename":
+        from argent import session
 
-    sink.move_path = move
-    try:
-        merge_upsert(spark, p, batch, "k")
-        raise AssertionError("the run was meant to die")
-    except Died:
-        pass
-    finally:
-        sink.move_path = real
+        def half(spark, path, text):
+            session.replace_text(spark, path + ".half", text)
+            raise Died
+        monkeypatch.setattr(sink, "replace_text", half)
+    else:
+        monkeypatch.setattr(sink, "clean_up", die)
 
 
-def test_rerun_repairs_a_half_committed_merge(spark):
+POINTS = ["rows", "pointer", "rename", "clean-up"]
+
+
+@pytest.mark.parametrize("where", POINTS)
+@pytest.mark.parametrize("unit", [None, "day"])
+def test_readers_see_whole_tables_wherever_a_merge_stops(spark, monkeypatch, where, unit):
     from argent.sources.silver_table import table_high_water
     a, b = work_dir(spark, "t-merge-ra"), work_dir(spark, "t-merge-rb")
-    base = _batch(spark, 0, 400, "base")
+    base = _batch(spark, 0, 400, "base").withColumn("_bronze_sync_timestamp", _at(0))
     for p in (a, b):
-        write_table(base, p, "k", 8)
-    batch = _batch(spark, 300, 500, "upd").withColumn(
-        "_bronze_sync_timestamp", F.timestamp_seconds(F.col("k") + 10 ** 9).cast("timestamp_ntz"))
+        write_table(base, p, "k", 8, day_unit=unit)
+    batch = _batch(spark, 300, 500, "upd").withColumn("_bronze_sync_timestamp", _at(10 ** 6))
     merge_upsert(spark, a, batch, "k")
-    _half_commit(spark, b, batch, moved=4, gap=True)
+    before, after, marks = rows(base), rows(read_table(spark, a)), table_high_water(spark, b)
+    with monkeypatch.context() as m:
+        _dies(m, where)
+        with pytest.raises(Died):
+            merge_upsert(spark, b, batch, "k")
+    done = where == "clean-up"
+    assert rows(read_table(spark, b)) == (after if done else before)
+    assert table_high_water(spark, b) == (table_high_water(spark, a) if done else marks)
     merge_upsert(spark, b, batch, "k")
-    assert rows(read_table(spark, b)) == rows(read_table(spark, a))
+    assert rows(read_table(spark, b)) == after
     assert table_high_water(spark, b) == table_high_water(spark, a)
 
 
-def test_materialize_after_a_half_commit_and_a_half_first_build(spark):
+@pytest.mark.parametrize("where", POINTS)
+def test_a_first_build_is_there_whole_or_not(spark, monkeypatch, where):
+    p = work_dir(spark, "t-merge-first")
+    base = _batch(spark, 0, 100, "base")
+    with monkeypatch.context() as m:
+        _dies(m, where)
+        with pytest.raises(Died):
+            write_table(base, p, "k", 8)
+    t = read_table(spark, p)
+    assert (rows(t) == rows(base)) if where == "clean-up" else t is None
+    write_table(base, p, "k", 8)
+    assert rows(read_table(spark, p)) == rows(base)
+
+
+def test_a_reader_on_its_way_keeps_its_version_and_old_folders_go(spark):
+    from argent.session import child_names
+    from argent.sources.silver_table import open_table
+    p = work_dir(spark, "t-merge-reader")
+    write_table(_batch(spark, 0, 300, "base"), p, "k", 8)
+    reader = read_table(spark, p)
+    merge_upsert(spark, p, _batch(spark, 0, 300, "upd"), "k")
+    assert reader.where("v = 'base'").count() == 300
+    assert len(child_names(spark, f"{p}/data")) == 2
+    merge_upsert(spark, p, _batch(spark, 5, 6, "one"), "k")        # one bucket
+    table = open_table(spark, p)
+    assert len(child_names(spark, f"{p}/data")) == 2 and len(table.live) == 2
+    merge_upsert(spark, p, _batch(spark, 5, 6, "two"), "k")
+    merge_upsert(spark, p, _batch(spark, 5, 6, "three"), "k")
+    table = open_table(spark, p)
+    held = {c: {n.split("=")[1] for n in child_names(spark, f"{p}/data/_commit={c}") if "=" in n} for c in table.live}
+    assert held == table.live and sum(map(len, held.values())) == 8
+    assert read_table(spark, p).groupBy("v").count().collect() == read_table(spark, p).groupBy("v").count().collect()
+    assert {r.v: r["count"] for r in read_table(spark, p).groupBy("v").count().collect()} == {"upd": 299, "three": 1}
+
+
+def test_two_writers_of_one_version(spark):
+    from argent.sources import silver_table as sink
+    p = work_dir(spark, "t-merge-two")
+    write_table(_batch(spark, 0, 50, "base"), p, "k", 8)
+    old = sink.open_table(spark, p)
+    merge_upsert(spark, p, _batch(spark, 0, 10, "first"), "k")
+    with pytest.raises(RuntimeError, match="another commit"):
+        sink.commit(read_table(spark, p, keep_bucket=True), p, old, old.schema, old.layout)
+    assert read_table(spark, p).where("v = 'first'").count() == 10
+
+
+def test_materialize_after_a_run_that_died(spark, monkeypatch):
     from argent.plans.models import MODELS, materialize
     from argent.sources import fixtures as fx
-    from argent.sources import silver_table as sink
     from tests.conftest import SF001
     spec = MODELS["order_headers"]
     v1, v2 = fx.orders_v1(spark, SF001), fx.order_headers(spark, SF001)
     a, b = work_dir(spark, "t-mat-a"), work_dir(spark, "t-mat-b")
     for bronze in (v1, v2):
         materialize(spark, spec, bronze, a, fx.ORDERS_AS_OF, "r")
-    real = sink.move_path
-    for bronze in (v1, v2):           # each run dies after 5 of its folders and is run again
-        left = [5]
-
-        def move(sp, src, dst):
-            if "/_commit/" in src:
-                left[0] -= 1
-                if left[0] < 0:
-                    raise RuntimeError("died")
-            return real(sp, src, dst)
-        sink.move_path = move
-        try:
-            materialize(spark, spec, bronze, b, fx.ORDERS_AS_OF, "r")
-        except RuntimeError:
-            pass
-        finally:
-            sink.move_path = real
-        assert left[0] < 0
+        with monkeypatch.context() as m:
+            _dies(m, "pointer")
+            with pytest.raises(Died):
+                materialize(spark, spec, bronze, b, fx.ORDERS_AS_OF, "r")
         materialize(spark, spec, bronze, b, fx.ORDERS_AS_OF, "r")
     assert rows(read_table(spark, b)) == rows(read_table(spark, a))
 
@@ -215,3 +256,143 @@ def test_build_replaces_an_earlier_table(spark):
     write_table(_batch(spark, 0, 200, "base"), p, "k", 16)
     write_table(_batch(spark, 0, 3, "new"), p, "k", 4)
     assert read_table(spark, p).count() == 3
+
+
+# -- types (S9) --------------------------------------------------------------
+
+
+def _typed(spark, kind, ids, expr="k"):
+    return spark.createDataFrame([(i, L1) for i in ids], "k long, _bronze_sync_timestamp timestamp_ntz").withColumn("x", F.expr(f"cast({expr} as {kind})"))
+
+
+@pytest.mark.parametrize("first, second, third", [
+    ("int", "bigint", "bigint"), ("bigint", "int", "bigint"), ("tinyint", "smallint", "smallint"), ("int", "double", "double"), ("float", "double", "double"),
+    ("int", "decimal(12,2)", "decimal(12,2)"), ("bigint", "decimal(5,2)", "decimal(22,2)"), ("decimal(10,2)", "decimal(12,4)", "decimal(12,4)"),
+    ("decimal(10,0)", "decimal(10,4)", "decimal(14,4)")])
+def test_types_widen_without_rewriting_old_files(spark, first, second, third):
+    p = work_dir(spark, "t-types")
+    write_table(_typed(spark, first, range(60)), p, "k", 8)
+    rep = merge_upsert(spark, p, _typed(spark, second, [5, 70]), "k")
+    assert rep["buckets"] <= 2                       # the other buckets keep their files
+    t = read_table(spark, p)
+    assert t.schema["x"].dataType.simpleString() == third
+    for vectorized in ("true", "false"):
+        spark.conf.set("spark.sql.parquet.enableVectorizedReader", vectorized)
+        try:
+            assert sorted((r.k, int(r.x)) for r in t.collect()) == [(i, i) for i in [*range(60), 70]]
+            assert t.where("x = 70").count() == 1 and t.where("x = 7").count() == 1
+        finally:
+            spark.conf.unset("spark.sql.parquet.enableVectorizedReader")
+    merge_upsert(spark, p, _typed(spark, first, range(60)), "k")
+    assert read_table(spark, p).count() == 61
+
+
+@pytest.mark.parametrize("first, second", [("int", "string"), ("bigint", "double"), ("decimal(38,0)", "decimal(38,2)"), ("date", "int"), ("timestamp", "timestamp_ntz"), ("smallint", "float")])
+def test_types_that_lose_are_refused(spark, first, second):
+    p = work_dir(spark, "t-types-bad")
+    write_table(_typed(spark, first, range(9), "k" if first not in ("date", "timestamp") else "date'2020-01-01'"), p, "k", 8)
+    before = rows(read_table(spark, p))
+    with pytest.raises(TypeError, match="column x"):
+        merge_upsert(spark, p, _typed(spark, second, [5], "k" if second != "timestamp_ntz" else "date'2020-01-01'"), "k")
+    assert rows(read_table(spark, p)) == before
+
+
+def test_a_widened_key_keeps_its_bucket(spark):
+    p = work_dir(spark, "t-types-key")
+    narrow = _batch(spark, 0, 50, "base").withColumn("k", F.col("k").cast("int"))
+    write_table(narrow, p, "k", 8)
+    merge_upsert(spark, p, _batch(spark, 0, 60, "upd"), "k")
+    t = read_table(spark, p)
+    assert t.schema["k"].dataType.simpleString() == "bigint" and t.count() == 60 and t.where("v = 'upd'").count() == 60
+    with pytest.raises(TypeError, match="key k"):
+        merge_upsert(spark, p, _batch(spark, 0, 3, "dec").withColumn("k", F.col("k").cast("decimal(20,0)")), "k")
+
+
+def test_new_columns_rewrite_only_touched_buckets_and_metadata_stays(spark):
+    from argent.operators.staging import with_docs
+    p = work_dir(spark, "t-evolve")
+    write_table(with_docs(_batch(spark, 0, 200, "base"), {"v": "a value"}), p, "k", 16)
+    rep = merge_upsert(spark, p, _batch(spark, 5, 6, "upd").withColumn("extra", F.lit("x")), "k")
+    assert rep["buckets"] == 1
+    merge_upsert(spark, p, with_docs(_batch(spark, 7, 8, "upd"), {"k": "the key"}), "k")
+    t = read_table(spark, p)
+    assert t.schema["v"].metadata == {"comment": "a value"} and t.schema["k"].metadata["comment"] == "the key"
+    assert t.where("extra = 'x'").count() == 1 and t.where("extra is null").count() == 199
+
+
+# -- layouts -------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("unit", ["day", "month", "year"])
+def test_the_window_prunes_the_days_of_the_target(spark, capsys, unit):
+    from argent.sources.silver_table import open_table, read_folders
+    day = lambda d: F.lit(dt.datetime(2024, 1, d, 7))
+    at = lambda lo, hi, tag, d: _batch(spark, lo, hi, tag).withColumn("_bronze_sync_timestamp", day(d))
+    base = _batch(spark, 50, 60, "z").withColumn("_bronze_sync_timestamp", F.lit(dt.datetime(2023, 5, 5))).unionByName(at(0, 10, "a", 1)).unionByName(at(10, 20, "b", 18)).unionByName(at(20, 30, "c", 20))
+    base = base.unionByName(_batch(spark, 30, 33, "n").withColumn("_bronze_sync_timestamp", F.lit(None).cast("timestamp_ntz")))
+    as_of = "2024-01-20 12:00:00"
+    by_day, by_key = work_dir(spark, "t-day"), work_dir(spark, "t-key")
+    kw = {"match_cond": recent_match(3, as_of), "window_from": dt.datetime(2024, 1, 17, 12), "day_unit": unit}
+    merge_upsert(spark, by_day, base, "k", **kw)
+    write_table(base, by_key, "k", 8)
+    assert open_table(spark, by_day).layout["day"] == "_bronze_sync_timestamp"
+    old = open_table(spark, by_day)
+    batch = at(5, 7, "late", 3).unionByName(at(15, 25, "new", 21)).unionByName(at(40, 42, "ins", 2))
+    merge_upsert(spark, by_day, batch, "k", **kw)
+    merge_upsert(spark, by_key, batch, "k", match_cond=kw["match_cond"])
+    assert rows(read_table(spark, by_day)) == rows(read_table(spark, by_key))
+    table = open_table(spark, by_day)
+    first = next(iter(old.live))
+    older = {"day": {"2023-05-05", "2024-01-01"}, "month": {"2023-05-01"}, "year": {"2023-01-01"}}[unit]
+    assert table.live[first] == older | {"__HIVE_DEFAULT_PARTITION__"}      # older folders were not rewritten
+    recent = read_folders(spark, table).where(F.col("_day") >= F.lit(dt.date(2024, 1, 17)))
+    recent.explain(mode="formatted")
+    assert "PartitionFilters: [isnotnull(_day" in capsys.readouterr().out
+    # without a window any folder may match
+    merge_upsert(spark, by_day, at(0, 3, "key", 25), "k")
+    assert read_table(spark, by_day).where("k < 3").count() == 3
+
+
+def test_day_unit_comes_from_the_size(spark, monkeypatch):
+    from argent.sources import silver_table as sink
+    src = work_dir(spark, "t-unit-src")
+    _batch(spark, 0, 3000, "base").withColumn("_bronze_sync_timestamp", F.timestamp_seconds(F.col("k") * 86400).cast("timestamp_ntz")).write.parquet(src)
+    df = spark.read.parquet(src)
+    size = sink.input_bytes(df)
+    for least, unit in ((size / 4000, "day"), (size / 200, "month"), (size, "year")):
+        monkeypatch.setattr(sink, "DAY_BYTES", least)
+        assert sink.day_unit_for(df, "_bronze_sync_timestamp") == unit
+    assert sink.day_unit_for(df.where("k < 0"), "_bronze_sync_timestamp") == "day"
+
+
+def test_bucket_count_comes_from_the_size(spark, monkeypatch):
+    from argent.sources import silver_table as sink
+    src = work_dir(spark, "t-size-src")
+    _batch(spark, 0, 20000, "base").write.parquet(src)
+    monkeypatch.setattr(sink, "TARGET_BUCKET_BYTES", 1000)
+    monkeypatch.setattr(sink.buckets_for, "__defaults__", (1000, 8))
+    df = spark.read.parquet(src)
+    n = sink.first_buckets(df)
+    assert n == sink.buckets_for(sink.input_bytes(df), 1000) > 8
+    assert sink.first_buckets(spark.createDataFrame(df.rdd, df.schema)) == sink.DEFAULT_BUCKETS
+    assert sink.range_width_for(df, "k") == -(-20000 // n)
+    p = work_dir(spark, "t-size")
+    write_table(df, p, "k")
+    assert sink.open_table(spark, p).layout["buckets"] == n
+
+
+def test_a_micro_batch_is_applied_once(spark):
+    p = work_dir(spark, "t-once")
+    merge_upsert(spark, p, _batch(spark, 0, 10, "zero"), "k", applied=("s", 0))
+    assert merge_upsert(spark, p, _batch(spark, 0, 10, "again"), "k", applied=("s", 0))["mode"] == "skipped"
+    assert merge_upsert(spark, p, _batch(spark, 5, 12, "one"), "k", applied=("s", 1))["mode"] == "merge"
+    assert merge_upsert(spark, p, _batch(spark, 5, 12, "again"), "k", applied=("s", 1))["mode"] == "skipped"
+    assert merge_upsert(spark, p, _batch(spark, 0, 1, "other"), "k", applied=("t", 0))["mode"] == "merge"
+    assert {r.v: r["count"] for r in read_table(spark, p).groupBy("v").count().collect()} == {"zero": 4, "one": 7, "other": 1}
+
+
+def test_guard_treats_a_null_time_as_the_newest(spark):
+    tgt = spark.createDataFrame([(1, "timed", L1, L0), (2, "null", None, L0), (3, "null", None, L0)], S)
+    src = spark.createDataFrame([(1, "null", None, L1), (2, "timed", L1, L1), (3, "null2", None, L1)], S)
+    out = merge_frames(tgt, src, "k", guard_col="_bronze_sync_timestamp")
+    assert rows(out, "k", "v") == [(1, "null"), (2, "null"), (3, "null2")]

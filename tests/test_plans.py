@@ -57,18 +57,20 @@ def test_row_checks_are_one_scan_one_exchange(spark, capsys, tmp_path):
     assert t.count("Scan parquet") == 1 and t.count("Exchange") == 1
 
 
-def test_snapshot_pairs_within_buckets(spark, capsys):
+def test_history_compare_is_a_join_of_hash_aggregates(spark, capsys):
     path = work_dir(spark, "t-plan-h")
     src = _bronze(spark).dropDuplicates(["k"])
     scd2.snapshot(spark, path, src, "k", "2024-01-10", num_buckets=8)
-    h = spark.read.parquet(path)
-    cur = h.where(F.col("_part").startswith("c")).drop("_part").withColumn(BUCKET, bucket_expr(["k"], 8))
-    out = scd2.scd2_apply(cur, src, "k", "2024-01-20", bucket_col=BUCKET, bucket=bucket_expr(["k"], 8))
-    full = plan(out, capsys)
+    from argent.sources.silver_table import open_table, read_folders
+    cur = read_folders(spark, open_table(spark, path), lambda p: p != scd2.CLOSED)
+    full = plan(scd2.changes(cur, _bronze(spark), "k"), capsys)
     t = tree(full)
-    assert "hashpartitioning(_bucket" in full
-    assert t.count("Exchange") == 2              # source dedup + pairing by bucket
-    assert "PartitionFilters: [isnotnull(_part" in full and "StartsWith(_part" in full  # closed history not read
+    assert "FullOuter" in full and ("SortMergeJoin" in t or "ShuffledHashJoin" in t)
+    assert "SortAggregate" not in t and "HashAggregate" in t
+    assert t.count("Exchange") == 2              # one per side, the aggregate's is the join's
+    assert "ReadSchema: struct<k:bigint,valid_from:timestamp_ntz,is_current:boolean,is_deleted:boolean>" in full
+    out = plan(scd2.scd2_apply(cur.drop("_part"), _bronze(spark), "k", "2024-01-20"), capsys)
+    assert "SortAggregate" not in out and tree(out).count("Exchange") == 2
 
 
 def test_no_forced_broadcast(spark, capsys, tmp_path):

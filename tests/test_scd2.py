@@ -75,47 +75,87 @@ def test_history_keeps_pii_tags(spark):
     assert gov.masked_view(h).where("EMAIL <> '***MASKED***'").count() == 0
 
 
+def _folders(spark, path):
+    """Live partition folders and the commits that wrote them."""
+    from argent.sources.silver_table import open_table
+    return {(c, p) for c, parts in open_table(spark, path).live.items() for p in parts}
+
+
 def test_runs_never_rewrite_closed_history(spark):
     path = work_dir(spark, "t-hist-parts")
+    closed = []
     for r in (1, 2, 3):
         scd2.snapshot(spark, path, fx.customers_run(spark, SF001, r), "CUSTOMER_ID", fx.HISTORY_RUNS[r],
                       num_buckets=4)
-    parts = {r[0]: r[1] for r in spark.read.parquet(path).groupBy("_part").count().collect()}
-    assert sorted(p.split("x")[0] for p in parts if p.startswith("r")) == ["r20240120000000", "r20240130000000"]
-    assert sum(v for p, v in parts.items() if p.startswith("c")) == 1492      # one current row per key
-    closed_before = rows(spark.read.parquet(path).where("_part like 'r20240120000000%'"))
-    # the same run again changes nothing
-    scd2.snapshot(spark, path, fx.customers_run(spark, SF001, 3), "CUSTOMER_ID", fx.HISTORY_RUNS[3], num_buckets=4)
-    assert rows(spark.read.parquet(path).where("_part like 'r20240120000000%'")) == closed_before
-    assert read_table(spark, path).count() == 1887
-
-
-def test_rerun_later_repairs_a_half_committed_run(spark):
-    from argent.sources import silver_table as sink
-
-    a, b = work_dir(spark, "t-hist-a"), work_dir(spark, "t-hist-b")
-    for p in (a, b):
-        for r in (1, 2):
-            scd2.snapshot(spark, p, fx.customers_run(spark, SF001, r), "CUSTOMER_ID", fx.HISTORY_RUNS[r], num_buckets=8)
+        closed.append({f for f in _folders(spark, path) if f[1] == scd2.CLOSED})
+    assert [len(c) for c in closed] == [0, 1, 2] and closed[1] < closed[2]
+    assert read_table(spark, path).where("is_current").count() == 1492      # one current row per key
+    # the same run again commits nothing
+    before = _folders(spark, path)
+    assert scd2.snapshot(spark, path, fx.customers_run(spark, SF001, 3), "CUSTOMER_ID", fx.HISTORY_RUNS[3])["buckets"] == 0
+    assert _folders(spark, path) == before and read_table(spark, path).count() == 1887
+
+
+def test_a_run_rewrites_only_buckets_with_a_change(spark):
+    import datetime as dt
+    path = work_dir(spark, "t-hist-few")
+    base = spark.range(500).select(F.col("id").alias("k"), F.lit("a").alias("v"), F.lit(dt.datetime(2024, 1, 5)).alias("_synced"))
+    scd2.snapshot(spark, path, base, "k", "2024-01-10", num_buckets=16)
+    first = _folders(spark, path)
+    one = base.withColumns({"v": F.when(F.col("k") == 7, "b").otherwise(F.col("v")),
+                            "_synced": F.when(F.col("k") == 7, F.lit(dt.datetime(2024, 1, 15))).otherwise(F.col("_synced"))})
+    assert scd2.snapshot(spark, path, one, "k", "2024-01-20") == {"mode": "snapshot", "buckets": 1}
+    now = _folders(spark, path)
+    assert len(first & now) == 15 and {p for _, p in now - first} == {next(iter(first - now))[1], scd2.CLOSED}
+    assert scd2.snapshot(spark, path, one, "k", "2024-01-21") == {"mode": "snapshot", "buckets": 0}
+    assert _folders(spark, path) == now
+    want = scd2.scd2_apply(scd2.scd2_apply(None, base, "k", "2024-01-10"), one, "k", "2024-01-20")
+    assert rows(read_table(spark, path)) == rows(want)
+
+
+def test_null_keys_and_null_times(spark):
+    import datetime as dt
+    S = "k string, v string, _synced timestamp_ntz"
+    d = lambda day: dt.datetime(2024, 1, day)
+    path = work_dir(spark, "t-hist-null")
+    first = spark.createDataFrame([(None, "a", d(5)), ("", "e", d(5)), ("x", "b", d(5)), ("y", "c", None)], S)
+    second = spark.createDataFrame([(None, "a2", d(6)), ("", "e", d(5)), ("x", "b2", None), ("x", "b3", d(9)), ("y", "c", d(7))], S)
+    scd2.snapshot(spark, path, first, "k", "2024-01-10", num_buckets=4)
+    scd2.snapshot(spark, path, second, "k", "2024-01-20")
+    h = read_table(spark, path)
+    assert rows(h.where("is_current"), "k", "v") == sorted([(None, "a2"), ("", "e"), ("x", "b"), ("y", "c")], key=repr)
+    assert {(r.k, r.action) for r in scd2.changes(h, second, "k").collect()} == {(None, "unchanged"), ("", "unchanged"), ("x", "unchanged"), ("y", "unchanged")}
+
+
+def test_source_types_widen_in_the_history(spark):
+    import datetime as dt
+    path = work_dir(spark, "t-hist-types")
+    make = lambda kind, t, n: spark.range(n).select("id", F.col("id").cast(kind).alias("x"), F.lit(dt.datetime(2024, 1, t)).alias("_synced"))
+    scd2.snapshot(spark, path, make("int", 5, 40), "id", "2024-01-10", num_buckets=4)
+    scd2.snapshot(spark, path, make("bigint", 15, 3).unionByName(make("bigint", 5, 40).where("id >= 3")), "id", "2024-01-20")
+    h = read_table(spark, path)
+    assert h.schema["x"].dataType.simpleString() == "bigint" and h.count() == 43
+    import pytest
+    with pytest.raises(TypeError, match="column x"):
+        scd2.snapshot(spark, path, make("string", 25, 40), "id", "2024-01-30")
+
+
+def test_readers_see_whole_histories_wherever_a_run_stops(spark, monkeypatch):
+    import pytest
+
+    from tests.test_merge import Died, POINTS, _dies
+    a = work_dir(spark, "t-hist-a")
+    for r in (1, 2):
+        scd2.snapshot(spark, a, fx.customers_run(spark, SF001, r), "CUSTOMER_ID", fx.HISTORY_RUNS[r], num_buckets=8)
+    before = rows(read_table(spark, a))
     source = fx.customers_run(spark, SF001, 3)
-    scd2.snapshot(spark, a, source, "CUSTOMER_ID", fx.HISTORY_RUNS[3], num_buckets=8)
-    real, left = sink.move_path, [4]
-
-    def move(sp, src, dst):
-        if "/_commit/" in src:
-            left[0] -= 1
-            if left[0] < 0:
-                raise RuntimeError("died")
-        return real(sp, src, dst)
-    sink.move_path = move
-    try:
-        scd2.snapshot(spark, b, source, "CUSTOMER_ID", fx.HISTORY_RUNS[3], num_buckets=8)
-    except RuntimeError:
-        pass
-    finally:
-        sink.move_path = real
-    assert left[0] < 0
-    scd2.snapshot(spark, b, source, "CUSTOMER_ID", "2024-01-30 01:00:00", num_buckets=8)   # an hour later
-    h = read_table(spark, b)
-    assert rows(h) == rows(read_table(spark, a))
-    assert h.select("scd_id").distinct().count() == h.count()
+    for where in POINTS:
+        with monkeypatch.context() as m:
+            _dies(m, where)
+            with pytest.raises(Died):
+                scd2.snapshot(spark, a, source, "CUSTOMER_ID", fx.HISTORY_RUNS[3])
+        if where != "clean-up":
+            assert rows(read_table(spark, a)) == before
+    h = read_table(spark, a)
+    assert h.count() == 1887 and h.select("scd_id").distinct().count() == 1887
+    assert scd2.snapshot(spark, a, source, "CUSTOMER_ID", "2024-01-30 01:00:00")["buckets"] == 0     # an hour later
