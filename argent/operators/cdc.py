@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from argent.functions.exprs import CHANGE_RETENTION_DAYS, as_of_ts, days_ago
 from argent.operators.staging import DELETED, SYNCED, dedup_latest
+from argent.session import stored
 
 OP = "_op"                  # I / U / D
 OP_INSERT, OP_UPDATE, OP_DELETE = "I", "U", "D"
@@ -102,28 +103,41 @@ def apply_changes_to_table(spark, path: str, changes: DataFrame, key: str, seq_c
                         create=lambda b: b.drop(OP))
 
 
-def paired_versions(prev: DataFrame, cur: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """One row per key with the previous (``p``) and current (``c``) version
-    as structs (NULL when absent).
+def _same_types(prev: DataFrame, cur: DataFrame, cols: Sequence[str]) -> tuple:
+    """Both copies with the types that Spark unites them to, so that equal
+    values have equal hashes."""
+    kinds = prev.select(*cols).limit(0).unionByName(cur.select(*cols).limit(0)).schema
+    return tuple(df.select(*[F.col(c).cast(kinds[c].dataType).alias(c) for c in cols]) for df in (prev, cur))
 
-    Both copies are unioned and grouped by key: one shuffle with map-side
-    partial aggregation, and a key that (wrongly) repeats in an extract
-    collapses to one version instead of multiplying into all pairs as a join
-    would. A NULL key matches nothing, as in a join: such rows keep their own
-    groups (spread by a row hash) and their multiplicity.
+
+def _digest(cols: Sequence[str]) -> tuple:
+    """128 hashed bits of a row, nulls told apart from values."""
+    parts = [x for c in cols for x in (F.col(c).isNull(), F.col(c))]
+    return F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *reversed(parts))
+
+
+def _compared(prev: DataFrame, cur: DataFrame, key: str, extra: Sequence[Column] = ()) -> DataFrame:
+    """One row per key that is not NULL: the digests of the previous (p1, p2)
+    and the current (c1, c2) row, NULL when absent, and of ``extra`` (bigint
+    columns of the row) the arrays p and c.
+
+    Only the key and bigints are shuffled, whatever the width of the rows, and
+    they meet in one hash aggregate that starts in every scan task. A key that
+    (wrongly) repeats in an extract counts as its row of largest digest.
     """
-    fields = [key, *cols]
-    st_p = prev.select(F.struct(*fields)).schema[0].dataType
-    st_c = cur.select(F.struct(*fields)).schema[0].dataType
-    a = prev.select(F.col(key).alias("_k"), F.struct(*fields).alias("p"), F.lit(None).cast(st_c).alias("c"),
-                    F.lit(0).alias("_side"))
-    b = cur.select(F.col(key).alias("_k"), F.lit(None).cast(st_p).alias("p"), F.struct(*fields).alias("c"),
-                   F.lit(1).alias("_side"))
-    u = a.unionByName(b)
-    u = u.withColumn("_nk", F.when(F.col("_k").isNotNull(), F.lit(0)).otherwise(F.xxhash64("p", "c", "_side")))
-    g = u.groupBy("_k", "_nk").agg(F.max("p").alias("p"), F.max("c").alias("c"), F.count(F.lit(1)).alias("_n"))
-    times = F.when(F.col("_k").isNull(), F.col("_n")).otherwise(F.lit(1)).cast("int")
-    return g.select("_k", "p", "c", F.explode(F.array_repeat(F.lit(0), times)).alias("_rep")).drop("_rep")
+    cols = [c for c in prev.columns if c != key]
+
+    def side(df: DataFrame, n: int) -> DataFrame:
+        d1, d2 = _digest(cols)
+        return df.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.lit(n).alias("_side"), d1.alias("_d1"), d2.alias("_d2"),
+                                                       *[x.alias(f"_x{i}") for i, x in enumerate(extra)])
+    u = side(prev, 0).unionByName(side(cur, 1))
+    aggs = []
+    for n, name in ((0, "p"), (1, "c")):
+        mine = F.when(F.col("_side") == n, F.col("_d1"))
+        aggs += [F.max(mine).alias(f"{name}1"), F.max_by("_d2", mine).alias(f"{name}2"),
+                 *[F.max_by(f"_x{i}", mine).alias(f"{name}_x{i}") for i in range(len(extra))]]
+    return u.groupBy("_k").agg(*aggs)
 
 
 def snapshot_diff(prev: DataFrame, cur: DataFrame, key: str, compare_cols: Optional[Sequence[str]] = None,
@@ -132,20 +146,32 @@ def snapshot_diff(prev: DataFrame, cur: DataFrame, key: str, compare_cols: Optio
     ``delete`` (unchanged keys are dropped). NULL-safe column compare.
 
     Output: ``op``, the key and the columns of the current copy (of the
-    previous copy for deletes).
+    previous copy for deletes). A NULL key matches nothing: such rows are
+    inserts and deletes, each for itself.
+
+    Keys and 128-bit digests are compared first (:func:`_compared`) and the
+    changed keys stored; then their rows are fetched from the copies. Spark
+    knows the size of the stored keys: few are broadcast and no row is
+    shuffled, many are joined by key.
     """
-    compare_cols = list(compare_cols or [c for c in cur.columns if c != key])
-    pv = paired_versions(prev, cur, key, compare_cols)
-    in_p, in_c = F.col("p").isNotNull(), F.col("c").isNotNull()
-    differs = F.lit(False)
-    for col in compare_cols:
-        differs = differs | ~F.col("p").getField(col).eqNullSafe(F.col("c").getField(col))
-    op = (F.when(in_c & ~in_p, F.lit("insert"))
-           .when(in_p & ~in_c, F.lit("delete"))
-           .when(differs, F.lit("update")))
-    vals = [F.when(in_c, F.col("c").getField(x)).otherwise(F.col("p").getField(x)).alias(x)
-            for x in [key, *compare_cols]]
-    return pv.select(op.alias(op_col), *vals).where(F.col(op_col).isNotNull())
+    cols = [key, *(compare_cols or [c for c in cur.columns if c != key])]
+    prev, cur = _same_types(prev, cur, cols)
+    both = _compared(prev, cur, key)
+    in_p, in_c = F.col("p1").isNotNull(), F.col("c1").isNotNull()
+    op = (F.when(in_c & ~in_p, F.lit("insert")).when(in_p & ~in_c, F.lit("delete"))
+           .when((F.col("p1") != F.col("c1")) | (F.col("p2") != F.col("c2")), F.lit("update")))
+    changed = stored(both.select("_k", op.alias(op_col), F.when(in_c, F.lit(1)).otherwise(F.lit(0)).alias("_side"), F.coalesce("c1", "p1").alias("_d1"),
+                                 F.coalesce("c2", "p2").alias("_d2")).where(F.col(op_col).isNotNull()), "diff-keys")
+    d1, d2 = _digest(cols[1:])
+
+    def side(df: DataFrame, n: int) -> DataFrame:
+        return df.withColumns({"_side": F.lit(n), "_d1": d1, "_d2": d2, "_k": F.col(key)})
+    rows = side(prev, 0).unionByName(side(cur, 1)).join(changed, ["_k", "_side", "_d1", "_d2"])
+    # equal rows of an extract: one of them
+    one = F.row_number().over(Window.partitionBy("_k", "_side", "_d1", "_d2").orderBy(F.lit(0)))
+    rows = rows.withColumn("_n", one).where("_n = 1").select(op_col, *cols)
+    alone = prev.where(F.col(key).isNull()).select(F.lit("delete").alias(op_col), *cols)
+    return rows.unionByName(alone).unionByName(cur.where(F.col(key).isNull()).select(F.lit("insert").alias(op_col), *cols))
 
 
 def diff_as_changes(diff: DataFrame, op_col: str = "op", seq_col: str = "_seq") -> DataFrame:
@@ -165,10 +191,15 @@ def changed_columns(old: Column, new: Column, cols: Sequence[str]) -> Column:
 
 
 def diff_changed_columns(prev: DataFrame, cur: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """S4 over two copies: key and changed column names for keys in both."""
-    pv = paired_versions(prev, cur, key, cols).where(F.col("p").isNotNull() & F.col("c").isNotNull())
-    return (pv.select(F.col("_k").alias(key), changed_columns(F.col("p"), F.col("c"), cols).alias("changed_columns"))
-              .where(F.size("changed_columns") > 0))
+    """S4 over two copies: key and changed column names for keys in both.
+
+    A 64-bit hash per column is shuffled beside the digest, no values."""
+    cols = list(cols)
+    prev, cur = _same_types(prev, cur, [key, *cols])
+    both = _compared(prev, cur, key, [F.xxhash64(F.lit(3), F.col(c).isNull(), F.col(c)) for c in cols])
+    both = both.where("p1 is not null and c1 is not null and (p1 <> c1 or p2 <> c2)")
+    flags = [F.when(F.col(f"p_x{i}") != F.col(f"c_x{i}"), F.lit(c)) for i, c in enumerate(cols)]
+    return both.select(F.col("_k").alias(key), F.filter(F.array(*flags), lambda x: x.isNotNull()).alias("changed_columns"))
 
 
 def retain_changes(changes: DataFrame, ts_col: str = SYNCED, days: int = CHANGE_RETENTION_DAYS,

@@ -4,13 +4,13 @@ Result schema of every check: ``check, table, column, severity, failures,
 status`` with ``status`` = ``pass`` or the check's severity (``warn`` /
 ``error``) when it finds failures.
 
-Physical shape of :func:`run_checks`: all row-level checks of a table
-(not null, range, not-after, regex, positive, e-mail) are counted in **one**
-aggregate over one scan (``count_if`` per check; partial aggregation in every
-scan task, a single-row exchange). Uniqueness needs a shuffle by the checked
-column (partial counts per value first, so a hot value is pre-aggregated map
-side); referential checks are a left-anti join. Type checks read one
-row. Nothing is collected: the result is a small DataFrame.
+Physical shape of :func:`run_checks`: all checks of a table come from **one**
+scan. A row gives one value per unique column and one mark per check that it
+fails; these are counted by value in one hash aggregate that starts in every
+scan task (a hot value and all marks of a check collapse there), and the counts
+become one row. Without unique columns ``count_if`` per check is enough: a
+single-row exchange. Referential checks are a left-anti join. Nothing is
+collected: the result is a small DataFrame.
 """
 
 from __future__ import annotations
@@ -108,6 +108,12 @@ def _result(check_name: Column, table: str, column: Column, severity: Column, fa
             F.when(failures > 0, severity).otherwise(F.lit("pass")).alias("status")]
 
 
+def _fails(check: Check, as_of=None) -> Column:
+    if check.kind == "has_type":
+        return type_of(check.column) != F.lit(str(check.expected_type).upper())
+    return failure_condition(check, as_of)
+
+
 def row_checks(df: DataFrame, checks: Sequence[Check], table: str, as_of=None) -> DataFrame:
     """All row-level checks of one table in a single aggregate pass."""
     checks = [c for c in checks if c.kind in ROW_KINDS]
@@ -167,16 +173,28 @@ def references(child: DataFrame, parent: DataFrame, key: str, table: str, parent
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check], table: str, as_of=None) -> DataFrame:
-    """A4: every check of one table -> result rows (one pass for row checks)."""
-    parts = []
-    if any(c.kind in ROW_KINDS for c in checks):
-        parts.append(row_checks(df, checks, table, as_of))
-    parts += [unique_check(df, c, table) for c in checks if c.kind == "unique"]
-    parts += [type_check(df, c, table) for c in checks if c.kind == "has_type"]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """A4: every check of one table -> result rows, from one scan.
+
+    Type checks count as failed once, and pass on an empty table."""
+    row = [c for c in checks if c.kind != "unique"]
+    keys = list(dict.fromkeys(c.column for c in checks if c.kind == "unique"))
+    if not keys:
+        failed = [F.count_if(F.coalesce(_fails(c, as_of), F.lit(False))) for c in row]
+        counts = df.agg(*[(F.least(f, F.lit(1)) if c.kind == "has_type" else f).alias(f"_c{i}") for i, (c, f) in enumerate(zip(row, failed))])
+    else:
+        def mark(number: int, key: Optional[str] = None) -> Column:
+            return F.struct(F.lit(number).alias("g"), *[(F.col(k) if k == key else F.lit(None).cast(df.schema[k].dataType)).alias(f"u{j}") for j, k in enumerate(keys)])
+        marks = [F.when(_fails(c, as_of), mark(i)) for i, c in enumerate(row)]
+        marks += [F.when(F.col(k).isNotNull(), mark(len(row) + j, k)) for j, k in enumerate(keys)]
+        found = df.select(F.explode(F.array(*marks)).alias("m")).where("m is not null").select("m.*")
+        found = found.groupBy("g", *[f"u{j}" for j in range(len(keys))]).agg(F.count(F.lit(1)).alias("n"))
+        g, n = F.col("g"), F.col("n")
+        sums = [F.coalesce(F.sum(F.when(g == i, F.least(n, F.lit(1)) if c.kind == "has_type" else n)), F.lit(0)).alias(f"_c{i}") for i, c in enumerate(row)]
+        counts = found.agg(*sums, *[F.count_if((g == len(row) + j) & (n > 1)).alias(f"_u{j}") for j in range(len(keys))])
+    slot = {id(c): f"_c{i}" for i, c in enumerate(row)}
+    out = [F.struct(F.lit(c.name).alias("n"), F.lit(c.column).alias("c"), F.lit(c.severity).alias("s"),
+                    F.col(slot.get(id(c)) or f"_u{keys.index(c.column)}").cast("long").alias("f")) for c in checks]
+    return counts.select(F.inline(F.array(*out))).select(*_result(F.col("n"), table, F.col("c"), F.col("s"), F.col("f")))
 
 
 def run_status(results: DataFrame) -> DataFrame:
@@ -203,14 +221,20 @@ class Freshness:
 def freshness(df: DataFrame, source: str, loaded_at: str, rule: Freshness, as_of=None) -> DataFrame:
     """A3 + D10: newest load time of a source, its age in minutes and status.
 
-    A partial ``max`` in every scan task, one row out.
+    A partial ``max`` in every scan task, one row out. For a stored table
+    ``silver_table.newest`` gives the same row from the files' footers:
+    :func:`freshness_of`.
     """
+    return freshness_of(df.agg(F.max(loaded_at).alias("max_loaded_at")), source, rule, as_of)
+
+
+def freshness_of(newest: DataFrame, source: str, rule: Freshness, as_of=None) -> DataFrame:
+    """Age and status of a source from its newest load time (one row, ``max_loaded_at``)."""
     from argent.functions.exprs import as_of_ts
     now = as_of_ts(as_of)
-    m = df.agg(F.max(loaded_at).alias("max_loaded_at"))
     micros = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now)
     age = micros / 60_000_000.0
-    return m.select(F.lit(source).alias("source"), "max_loaded_at", age.alias("age_minutes")).select(
+    return newest.select(F.lit(source).alias("source"), "max_loaded_at", age.alias("age_minutes")).select(
         "source", "max_loaded_at", "age_minutes",
         F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
          .when(F.col("age_minutes") > rule.error_minutes, F.lit("error"))

@@ -217,7 +217,8 @@ def snapshot(spark, path: str, source: DataFrame, key: str, as_of=None, updated_
         if not (pii or docs):
             return schema
         empty = spark.createDataFrame([], schema)
-        return with_docs(tag_pii(empty, pii or {}), docs or {}).schema
+        have = {c: t for c, t in (docs or {}).items() if c in empty.columns}
+        return with_docs(tag_pii(empty, pii or {}), have).schema
 
     if table is None:
         layout = {"keys": [key], "buckets": int(num_buckets or first_buckets(source))}

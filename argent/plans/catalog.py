@@ -18,12 +18,13 @@ from argent.operators import cdc, scd2
 from argent.operators import governance as gov
 from argent.operators import quality as dq
 from argent.operators import staging as st
+from argent.plans import pipeline
 from argent.plans.checks import FRESHNESS, SUITES
 from argent.plans.models import MODELS, build_silver, materialize
 from argent.session import cut_lineage, work_dir
 from argent.sources import fixtures as fx
-from argent.sources.bronze import SOURCES, project_bronze
-from argent.sources.silver_table import read_table, write_table
+from argent.sources.bronze import SOURCES, project_bronze, source_path
+from argent.sources.silver_table import newest, read_table, write_table
 from argent.streaming import run_incremental
 
 RUN1 = "run-0001"
@@ -394,8 +395,9 @@ def _d8(spark, sf_dir):
 
 
 def _orders_vs_history(spark, sf_dir):
+    """Orders against the history after run 1, which the late customers are not in yet."""
     orders = full_build(spark, sf_dir, "order_headers")
-    hist = history_in_memory(spark, sf_dir, runs=(1, 2))
+    hist = history_in_memory(spark, sf_dir, runs=(1,))
     return orders, hist
 
 
@@ -411,23 +413,24 @@ def _d9(spark, sf_dir):
     return dq.references(orders, hist, "CUSTOMER_ID", "order_headers", F.col("is_current") == F.lit(True))
 
 
-def _freshness_all(spark, sf_dir, as_of):
-    out = None
-    for name, src in SOURCES.items():
-        f = dq.freshness(fx.bronze(spark, sf_dir, name), name, st.SYNCED, FRESHNESS[src.group], as_of)
-        out = f if out is None else out.unionByName(f)
-    return out
+def _bronze_tables(spark, sf_dir, *sources) -> str:
+    """The bronze tables as the ingest keeps them; gives their root."""
+    root = work_dir(spark, "bronze")
+    for name in sources:
+        write_table(fx.bronze(spark, sf_dir, name), source_path(root, name), SOURCES[name].key)
+    return root
 
 
 @query("a3_freshness")
 def _a3(spark, sf_dir):
-    return dq.freshness(fx.interactions(spark, sf_dir), "interactions", st.SYNCED, FRESHNESS["crm"],
-                        "2024-01-31 01:30:00")
+    root = _bronze_tables(spark, sf_dir, "interactions")
+    return dq.freshness_of(newest(spark, source_path(root, "interactions"), st.SYNCED), "interactions", FRESHNESS["crm"],
+                           "2024-01-31 01:30:00")
 
 
 @query("d10_freshness")
 def _d10(spark, sf_dir):
-    return _freshness_all(spark, sf_dir, "2024-01-31 03:00:00")
+    return pipeline.source_freshness(spark, _bronze_tables(spark, sf_dir, *SOURCES), "2024-01-31 03:00:00")
 
 
 @query("a4_run_checks")
@@ -466,6 +469,7 @@ def _o1(spark, sf_dir):
 # Change feeds (S2-S5), schema evolution (S9), docs
 # ---------------------------------------------------------------------------
 
+CHANGE_COLS = ["ORDER_ID", "CUSTOMER_ID", "ORDER_DATE", "TOTAL_AMOUNT", "ORDER_STATUS"]
 CAMPAIGN_COLS = ["CAMPAIGN_NAME", "TOTAL_SPEND", "CUSTOMERS_ACQUIRED"]
 
 
@@ -478,6 +482,27 @@ def _s2(spark, sf_dir):
     return read_table(spark, path)
 
 
+@query("s2_ingest_runs")
+def _s2i(spark, sf_dir):
+    """Two deliveries of the order headers' change log through the ingest."""
+    landing, bronze = work_dir(spark, "landing"), work_dir(spark, "bronze-erp")
+    first = fx.orders_bronze_base(spark, sf_dir).select(*CHANGE_COLS, F.col(st.SYNCED).alias(fx.SEQ), F.lit("I").alias(cdc.OP))
+    for n, (delivery, as_of) in enumerate([(first, "2001-08-02 00:00:00"), (fx.order_changes(spark, sf_dir), fx.ORDERS_AS_OF)]):
+        delivery.write.parquet(source_path(f"{landing}/{n}", "order_headers"))
+        pipeline.run_ingest(spark, f"{landing}/{n}", bronze, as_of, groups=["erp"])
+    return read_table(spark, source_path(bronze, "order_headers"))
+
+
+@query("s3_ingest_compare")
+def _s3i(spark, sf_dir):
+    """Two full extracts of the campaigns through the ingest."""
+    landing, bronze = work_dir(spark, "landing"), work_dir(spark, "bronze-marketing")
+    for n, as_of in ((1, "2024-01-30 00:00:00"), (2, fx.EVENTS_AS_OF)):
+        fx.campaigns_extract(spark, sf_dir, n).write.parquet(source_path(f"{landing}/{n}", "campaigns"))
+        pipeline.run_ingest(spark, f"{landing}/{n}", bronze, as_of, groups=["marketing"])
+    return read_table(spark, source_path(bronze, "campaigns"))
+
+
 @query("s3_snapshot_diff")
 def _s3(spark, sf_dir):
     return cdc.snapshot_diff(fx.campaigns_extract(spark, sf_dir, 1), fx.campaigns_extract(spark, sf_dir, 2),
@@ -527,6 +552,18 @@ def _s9(spark, sf_dir):
     return read_table(spark, path)
 
 
+@query("s9_type_widen")
+def _s9w(spark, sf_dir):
+    """CUSTOMER_ID is an int in the source of run 1 and a bigint in run 2."""
+    spec = MODELS["order_headers"]
+    bronze = fx.order_headers(spark, sf_dir)
+    path = work_dir(spark, "silver-headers-widen")
+    narrow = run1_input(bronze, ORDERS_CUT).withColumn("CUSTOMER_ID", F.col("CUSTOMER_ID").cast("int"))
+    materialize(spark, spec, narrow, path, ORDERS_CUT, RUN1)
+    materialize(spark, spec, bronze.withColumn("CUSTOMER_ID", F.col("CUSTOMER_ID").cast("bigint")), path, fx.ORDERS_AS_OF, RUN2)
+    return read_table(spark, path)
+
+
 @query("s12_with_docs")
 def _s12(spark, sf_dir):
     docs = {"BRAND_ID": "Brand key", "BRAND_NAME": "Brand name, 'Unknown' when missing"}

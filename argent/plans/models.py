@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from argent.functions.exprs import LOOKBACK_DAYS, clean_upper, money, or_unknown, to_text, try_ts, whole
 from argent.operators.merge import recent_match
 from argent.operators.staging import (
-    DELETED, SYNCED, active_only, add_audit, dedup_latest, incremental_filter, limit_dates,
+    AUDIT_COLUMNS, DELETED, SYNCED, active_only, add_audit, dedup_latest, incremental_filter, limit_dates, with_docs,
 )
 
 Clean = Optional[Callable[[Column], Column]]
@@ -39,6 +39,10 @@ class ModelSpec:
     def column_names(self) -> list:
         return [c for c, _ in self.columns]
 
+    @property
+    def docs(self) -> dict:
+        return {c: COLUMN_DOCS[c] for c in (self.key, *self.column_names, *AUDIT_COLUMNS) if c in COLUMN_DOCS}
+
     @property
     def ties(self) -> list:
         """Order of rows with one key and sync time: the tie-breakers, then every
@@ -59,6 +63,32 @@ class SnapshotSpec:
     columns: Tuple[str, ...]
     pii: Tuple[Tuple[str, str], ...] = ()     # (column, PII class) tags written with the table
 
+    @property
+    def docs(self) -> dict:
+        return {c: COLUMN_DOCS[c] for c in (self.key, *self.columns, *HISTORY_DOCS) if c in COLUMN_DOCS}
+
+
+# Column descriptions kept with every table.
+HISTORY_DOCS = ("scd_id", "valid_from", "valid_to", "updated_at", "is_current", "is_deleted")
+COLUMN_DOCS: Dict[str, str] = {
+    "REGISTRATION_ID": "Key of the registration", "INCIDENT_ID": "Key of the incident", "INTERACTION_ID": "Key of the interaction",
+    "SURVEY_ID": "Key of the survey answer", "ADDRESS_ID": "Key of the address", "BRAND_ID": "Key of the brand",
+    "CATEGORY_ID": "Key of the category", "CITY_TIER_ID": "Key of the city tier", "ORDER_ID": "Key of the order",
+    "LINE_ID": "Key of the order line", "CAMPAIGN_ID": "Key of the campaign", "ITEM_ID": "Key of the item",
+    "CUSTOMER_ID": "Key of the customer", "CHANNEL": "Channel of the registration, 'Unknown' when missing",
+    "INCIDENT_DATE": "Time of the incident, null when it cannot be read", "INTERACTION_DATE": "Time of the interaction, null when it cannot be read",
+    "NPS_SCORE": "Recommendation score, 0 to 10", "CSAT_SCORE": "Satisfaction score, 1 to 5", "CITY": "City, upper case", "STATE": "State, upper case",
+    "TIER": "Tier of the city, upper case", "BRAND_NAME": "Name of the brand, 'Unknown' when missing",
+    "CATEGORY_NAME": "Name of the category, 'Unknown' when missing", "ORDER_DATE": "Time of the order, null when it cannot be read",
+    "TOTAL_AMOUNT": "Amount of the order, two decimals", "ORDER_STATUS": "Status of the order, upper case", "QUANTITY": "Ordered pieces",
+    "UNIT_PRICE": "Price of a piece, two decimals", "CAMPAIGN_NAME": "Name of the campaign", "TOTAL_SPEND": "Spend, whole number",
+    "CUSTOMERS_ACQUIRED": "Customers won, whole number", "EMAIL": "E-mail address", "PHONE": "Phone number", "FIRST_NAME": "First name", "LAST_NAME": "Last name",
+    "REGISTRATION_DATE": "Time of registration", "CUSTOMER_TYPE": "Type of customer", "STATUS": "Status as the source has it",
+    "_bronze_sync_timestamp": "When the row reached bronze", "_silver_load_timestamp": "When the row first reached silver",
+    "_run_id": "Run that wrote the row last", "_is_deleted": "Soft-delete flag of the source",
+    "scd_id": "Key of the version", "valid_from": "Start of the version", "valid_to": "End of the version, 9999-12-31 while it is current",
+    "updated_at": "Sync time that opened the version", "is_current": "Whether the version is the current one", "is_deleted": "Whether the version marks a delete",
+}
 
 # Event-keyed CRM tables get ids in time order: key-range buckets keep an
 # incremental merge inside the newest few buckets.
@@ -157,7 +187,8 @@ def materialize(spark: SparkSession, spec: ModelSpec, bronze: DataFrame, path: s
     ``propagate_deletes`` lets deletes reach the table (quirk Q2).
     ``num_buckets`` or ``range_width`` set the layout of a first build; without
     them it comes from the size of the bronze table (and the span of its keys,
-    for a key that grows with time). A stored table keeps its own.
+    for a key that grows with time). A stored table keeps its own. Column
+    descriptions and one of the table are kept with it (S12).
     """
     from argent.sources.silver_table import day_unit_for, merge_upsert, range_width_for, table_high_water
 
@@ -171,6 +202,6 @@ def materialize(spark: SparkSession, spec: ModelSpec, bronze: DataFrame, path: s
     day_unit = day_unit_for(bronze.select(*spec.scan_columns), SYNCED) if hw is None and window is not None else "day"
     batch = build_silver(bronze, spec, as_of, run_id, env=env, lookback_days=lookback_days,
                          propagate_deletes=propagate_deletes, watermark=hw)
-    return merge_upsert(spark, path, batch, spec.key, match_cond=window, num_buckets=num_buckets,
-                        range_width=range_width, day_unit=day_unit,
+    return merge_upsert(spark, path, with_docs(batch, spec.docs), spec.key, match_cond=window, num_buckets=num_buckets,
+                        comment=f"Newest row per {spec.key} of {spec.source}", range_width=range_width, day_unit=day_unit,
                         window_from=window_start(as_of, lookback_days) if window is not None else None)

@@ -1,8 +1,10 @@
 """Bronze source registry and scan.
 
-Thirteen change-captured source tables in three groups. Each bronze table is a
-Parquet folder ``<root>/<group>/<table>`` carrying the business columns plus a
-sync time and a nullable soft-delete flag.
+Thirteen source tables in three groups, captured from change logs (``log``) or,
+for a source without one, by comparing full extracts (``compare``). Each bronze
+table is at ``<root>/<group>/<table>``, a table that the ingest wrote
+(``plans.pipeline.run_ingest``) or a plain Parquet folder, carrying the business
+columns plus a sync time and a nullable soft-delete flag.
 """
 
 from __future__ import annotations
@@ -23,6 +25,11 @@ class BronzeSource:
     key: str
     columns: tuple
     description: str = ""
+    pii: tuple = ()                  # (column, PII class) tags written with the bronze table
+
+    @property
+    def capture(self) -> str:
+        return "compare" if self.group == "marketing" else "log"
 
     @property
     def all_columns(self) -> list:
@@ -39,7 +46,8 @@ SOURCES = {s.table: s for s in [
     BronzeSource("erp", "categories", "CATEGORY_ID", ("CATEGORY_NAME",), "Product categories"),
     BronzeSource("erp", "brands", "BRAND_ID", ("BRAND_NAME",), "Product brands"),
     BronzeSource("crm", "customers", "CUSTOMER_ID", ("EMAIL", "PHONE", "FIRST_NAME", "LAST_NAME",
-                                                     "REGISTRATION_DATE", "CUSTOMER_TYPE", "STATUS"), "Customer master"),
+                                                     "REGISTRATION_DATE", "CUSTOMER_TYPE", "STATUS"), "Customer master",
+                 (("EMAIL", "EMAIL"), ("PHONE", "PHONE"), ("FIRST_NAME", "FIRST_NAME"), ("LAST_NAME", "LAST_NAME"))),
     BronzeSource("crm", "registration_source", "REGISTRATION_ID", ("CUSTOMER_ID", "CHANNEL"), "Registration channel"),
     BronzeSource("crm", "incidents", "INCIDENT_ID", ("CUSTOMER_ID", "INCIDENT_DATE"), "Incidents"),
     BronzeSource("crm", "interactions", "INTERACTION_ID", ("CUSTOMER_ID", "INTERACTION_DATE"), "Interactions"),
@@ -68,4 +76,7 @@ def project_bronze(df: DataFrame, source: str, columns: Optional[Sequence[str]]
 def read_bronze(spark: SparkSession, root: str, source: str,
                 columns: Optional[Sequence[str]] = None) -> DataFrame:
     """Scan one bronze table, reading only the listed columns."""
-    return project_bronze(spark.read.parquet(source_path(root, source)), source, columns)
+    from argent.sources.silver_table import read_table
+    path = source_path(root, source)
+    table = read_table(spark, path)
+    return project_bronze(spark.read.parquet(path) if table is None else table, source, columns)

@@ -276,11 +276,11 @@ def history_run(base: DataFrame, key: str, change_col: str, run: int) -> DataFra
     """Source snapshot of a keyed table as delivered on run 1, 2 or 3.
 
     Key classes: ``late`` (k % 10 = 9) first appears on run 2, ``gone``
-    (k % 19 = 0) disappears on run 2, ``changed`` (k % 5 = 0) gets
+    (k % 19 = 0, not late) disappears on run 2, ``changed`` (k % 5 = 0) gets
     ``change_col = 'CHANGED'`` on run 2, and k % 38 = 0 comes back on run 3.
     """
     k = F.col(key)
-    late, gone, changed = (k % 10 == 9), (k % 19 == 0), (k % 5 == 0)
+    late, gone, changed = (k % 10 == 9), (k % 19 == 0) & (k % 10 != 9), (k % 5 == 0)
     t05, t15, t25 = lit_ts("2024-01-05 00:00:00"), lit_ts("2024-01-15 00:00:00"), lit_ts("2024-01-25 00:00:00")
     if run == 1:
         return base.where(~late).withColumn(SYNCED, t05)
@@ -328,7 +328,7 @@ def order_changes(spark, sf_dir) -> DataFrame:
 
 def campaigns_extract(spark, sf_dir, version: int) -> DataFrame:
     """Two full extracts of the campaign source. Version 1 lacks k % 9 = 0;
-    version 2 lacks k % 7 = 0, renames k % 5 = 0 and has no spend for k % 4 = 0
+    version 2 has these and lacks the other k % 7 = 0, renames k % 5 = 0 and has no spend for k % 4 = 0
     (version 1 has none for k % 8 = 0)."""
     s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
@@ -337,7 +337,7 @@ def campaigns_extract(spark, sf_dir, version: int) -> DataFrame:
             k.alias("CAMPAIGN_ID"), F.col("s_name").alias("CAMPAIGN_NAME"),
             F.when(k % 8 == 0, F.lit(None).cast("double")).otherwise(F.col("s_acctbal")).alias("TOTAL_SPEND"),
             F.col("s_nationkey").alias("CUSTOMERS_ACQUIRED"))
-    return s.where(k % 7 != 0).select(
+    return s.where((k % 7 != 0) | (k % 9 == 0)).select(
         k.alias("CAMPAIGN_ID"),
         F.when(k % 5 == 0, F.concat(F.col("s_name"), F.lit(" (renewed)"))).otherwise(F.col("s_name")).alias("CAMPAIGN_NAME"),
         F.when(k % 4 == 0, F.lit(None).cast("double")).otherwise(F.col("s_acctbal")).alias("TOTAL_SPEND"),
@@ -346,11 +346,12 @@ def campaigns_extract(spark, sf_dir, version: int) -> DataFrame:
 
 def orders_extract(spark, sf_dir, version: int) -> DataFrame:
     """Two full extracts of order headers: version 1 lacks k % 9 = 0; version 2
-    lacks k % 7 = 0 and carries the second delivery for every third order."""
+    has these, lacks the other k % 7 = 0 and carries the second delivery for every third order."""
     biz = ["ORDER_ID", "CUSTOMER_ID", "ORDER_DATE", "TOTAL_AMOUNT", "ORDER_STATUS"]
     v1 = orders_v1(spark, sf_dir).select(*biz)
     if version == 1:
         return v1.where(F.col("ORDER_ID") % 9 != 0)
     v2 = orders_v2(spark, sf_dir).select(*biz)
-    keep = v1.where((F.col("ORDER_ID") % 3 != 0) & (F.col("ORDER_ID") % 7 != 0))
-    return keep.unionByName(v2.where(F.col("ORDER_ID") % 7 != 0))
+    k = F.col("ORDER_ID")
+    there = (k % 7 != 0) | (k % 9 == 0)
+    return v1.where((k % 3 != 0) & there).unionByName(v2.where(there))

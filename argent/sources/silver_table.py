@@ -36,6 +36,7 @@ from __future__ import annotations
 import datetime
 import json
 import re
+import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -141,6 +142,8 @@ class Table:
     dropped: Dict[str, set] = field(default_factory=dict)  # folders that the version before still named
     high_water: Optional[str] = None
     applied: Dict[str, int] = field(default_factory=dict)  # stream -> its last micro-batch
+    untimed: bool = False                                  # a row without sync time was written
+    comment: Optional[str] = None                          # description of the table
 
     @property
     def keys(self) -> List[str]:
@@ -150,7 +153,8 @@ class Table:
         return json.dumps({
             "version": self.version, "part": self.part, "schema": json.loads(self.schema.json()), "layout": self.layout,
             "live": {c: _packed(v) for c, v in self.live.items()}, "whole": sorted(self.whole),
-            "dropped": {c: _packed(v) for c, v in self.dropped.items()}, "high_water": self.high_water, "applied": self.applied})
+            "dropped": {c: _packed(v) for c, v in self.dropped.items()}, "high_water": self.high_water, "applied": self.applied,
+            "untimed": self.untimed, "comment": self.comment})
 
     def folders(self, only: Optional[Callable[[str], bool]] = None) -> List[str]:
         """The live folders (of the partitions that ``only`` takes)."""
@@ -173,7 +177,7 @@ def open_table(spark: SparkSession, path: str) -> Optional[Table]:
         return None
     p = json.loads(text)
     return Table(root, p["version"], p["part"], T.StructType.fromJson(p["schema"]), p["layout"], {c: _unpacked(v) for c, v in p["live"].items()},
-                 set(p["whole"]), {c: _unpacked(v) for c, v in p["dropped"].items()}, p["high_water"], p["applied"])
+                 set(p["whole"]), {c: _unpacked(v) for c, v in p["dropped"].items()}, p["high_water"], p["applied"], p["untimed"], p["comment"])
 
 
 def read_folders(spark: SparkSession, table: Table, only: Optional[Callable[[str], bool]] = None) -> DataFrame:
@@ -220,24 +224,24 @@ def stored_range_width(df: DataFrame, keys: Sequence[str]) -> Optional[int]:
 
 def commit(df: DataFrame, path: str, before: Optional[Table], schema: T.StructType, layout: Dict, part: str = BUCKET,
            replaces: Optional[Callable[[str], bool]] = None, high_water: Optional[Callable[[object], Optional[str]]] = None,
-           applied: Optional[tuple] = None) -> Table:
+           applied: Optional[tuple] = None, comment: Optional[str] = None) -> Table:
     """Write ``df`` (with the column ``part``) to a fresh folder and publish it.
 
     The live folders whose partition value ``replaces`` takes go (all of them
     when it is None); others stay beside what ``df`` wrote. ``df`` may read the
     table. ``high_water`` gets the newest sync time written (seen while
     writing) and gives that of the table. ``applied`` is a stream and its
-    micro-batch.
+    micro-batch, ``comment`` the table's description.
     """
     spark, root = df.sparkSession, path.rstrip("/")
     name = f"{(before.version if before else 0) + 1:08d}-{uuid.uuid4().hex[:8]}"
     folder = f"{root}/data/{COMMIT}={name}"
     sync = _sync_column(df.columns)
     seen = Observation(f"commit-{name}")
-    out = df.observe(seen, F.max(sync).alias("m")) if sync else df
+    out = df.observe(seen, F.max(sync).alias("m"), F.count_if(F.col(sync).isNull()).alias("untimed")) if sync else df
     out.write.partitionBy(part).parquet(folder)
     written = {n.split("=", 1)[1] for n in child_names(spark, folder) if n.startswith(f"{part}=")}
-    newest = seen.get["m"] if sync else None
+    latest = seen.get["m"] if sync else None
     new = Table(root, (before.version if before else 0) + 1, part, _plain(schema), layout)
     if before:
         new.applied = dict(before.applied)
@@ -248,7 +252,9 @@ def commit(df: DataFrame, path: str, before: Optional[Table], schema: T.StructTy
     if written:
         new.live[name] = written
         new.whole.add(name)
-    new.high_water = high_water(newest) if high_water else _iso(newest)
+    new.high_water = high_water(latest) if high_water else _iso(latest)
+    new.untimed = bool(sync and seen.get["untimed"]) or bool(before and replaces is not None and before.untimed)
+    new.comment = comment or (before.comment if before else None)
     if applied:
         new.applied[applied[0]] = int(applied[1])
     publish(spark, new, before)
@@ -309,8 +315,8 @@ def _merged_high_water(spark: SparkSession, table: Table, replaced: Callable[[st
     """The newest sync time after a merge: what was written, unless folders
     that stay hold a newer one. They can only if the batch brought nothing as
     new as the table had; then their one column is read."""
-    def of(newest) -> Optional[str]:
-        new, old = _iso(newest), table.high_water
+    def of(latest) -> Optional[str]:
+        new, old = _iso(latest), table.high_water
         if old is None or (new is not None and datetime.datetime.fromisoformat(new) >= datetime.datetime.fromisoformat(old)):
             return new
         rest = read_folders(spark, table, lambda p: not replaced(p))
@@ -320,6 +326,41 @@ def _merged_high_water(spark: SparkSession, table: Table, replaced: Callable[[st
     return of
 
 
+_V1_SOURCES, _PUSHED = "spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown"
+_READING = threading.Lock()
+
+
+def newest(spark: SparkSession, path: str, column: str) -> Optional[DataFrame]:
+    """One row ``max_loaded_at``: the newest ``column`` of the table at ``path``.
+
+    A time without zone is read as the bigint it is stored as, of which Spark
+    takes the maximum from the footers of the files (the pushed aggregate of
+    its V2 Parquet source), so no data is read. Where footers cannot tell - the
+    column was written with nulls, is of another type or does not stand at one
+    place in all files - the column is read. None without a table.
+    """
+    table = open_table(spark, path)
+    if table is None:
+        return None
+    names = table.schema.fieldNames()
+    place = names.index(column) if column in names else len(names)
+    flat = all(not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) for f in table.schema.fields[:place])
+    if place == len(names) or not isinstance(table.schema[column].dataType, T.TimestampNTZType) or table.untimed or not flat or table.part == PART or column != _sync_column(names) or not table.live:
+        return read_folders(spark, table).agg(F.max(column).alias("max_loaded_at"))
+    part = T.StructField(table.part, T.LongType() if table.part == BUCKET else T.DateType())
+    schema = T.StructType([T.StructField(f.name, T.LongType() if f.name == column else f.dataType) for f in table.schema.fields] + [part, T.StructField(COMMIT, T.StringType())])
+    spark.conf.set(_PUSHED, "true")     # read when the plan is made; it means nothing to other readers
+    with _READING:
+        before = spark.conf.get(_V1_SOURCES)
+        spark.conf.set(_V1_SOURCES, ",".join(x for x in before.split(",") if x != "parquet"))
+        try:
+            df = spark.read.schema(schema).option("basePath", f"{table.path}/data").parquet(*table.folders())
+        finally:
+            spark.conf.set(_V1_SOURCES, before)
+    micros = df.agg(F.max(column).alias("m"))
+    return micros.select((F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("m").cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)"))).alias("max_loaded_at"))
+
+
 # ---------------------------------------------------------------------------
 # Types (S9)
 # ---------------------------------------------------------------------------
@@ -452,7 +493,7 @@ def _first_layout(df: DataFrame, keys: List[str], num_buckets: Optional[int], ra
 
 
 def write_table(df: DataFrame, path: str, keys: Union[str, Sequence[str]], num_buckets: Optional[int] = None,
-                range_width: Optional[int] = None, day_unit: Optional[str] = None, applied: Optional[tuple] = None) -> Table:
+                range_width: Optional[int] = None, day_unit: Optional[str] = None, applied: Optional[tuple] = None, comment: Optional[str] = None) -> Table:
     """First build: one commit in place of all that an earlier table at
     ``path`` held, with one folder per bucket (or day).
 
@@ -465,8 +506,8 @@ def write_table(df: DataFrame, path: str, keys: Union[str, Sequence[str]], num_b
     before = open_table(spark, path)
     layout = _first_layout(df, keys, num_buckets, range_width, day_unit)
     if day_unit:
-        return commit(df.withColumn(DAY, day_of(layout)).hint("rebalance", DAY), path, before, df.schema, layout, DAY, applied=applied)
-    return commit(with_bucket(df, keys, layout).repartition(BUCKET), path, before, df.schema, layout, applied=applied)
+        return commit(df.withColumn(DAY, day_of(layout)).hint("rebalance", DAY), path, before, df.schema, layout, DAY, applied=applied, comment=comment)
+    return commit(with_bucket(df, keys, layout).repartition(BUCKET), path, before, df.schema, layout, applied=applied, comment=comment)
 
 
 def stage(df: DataFrame, spark: SparkSession, name: str = "stage") -> DataFrame:
@@ -482,7 +523,7 @@ def stage(df: DataFrame, spark: SparkSession, name: str = "stage") -> DataFrame:
 def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[str, Sequence[str]],
                  exclude_update: Sequence[str] = (AUDIT_LOAD,), match_cond: Optional[Column] = None,
                  num_buckets: Optional[int] = None, combine=None, create=None, guard_col: Optional[str] = None,
-                 range_width: Optional[int] = None, window_from=None, day_unit: str = "day", applied: Optional[tuple] = None) -> dict:
+                 range_width: Optional[int] = None, window_from=None, day_unit: str = "day", applied: Optional[tuple] = None, comment: Optional[str] = None) -> dict:
     """Upsert ``batch`` (one row per key) into the table at ``path``.
 
     ``combine(target_buckets, staged_batch)`` replaces the default merge
@@ -499,7 +540,8 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
     table = open_table(spark, path)
     if table is None:
         first = create(batch) if create else batch
-        new = write_table(first, path, keys, num_buckets, range_width, day_unit=day_unit if window_from is not None else None, applied=applied)
+        new = write_table(first, path, keys, num_buckets, range_width, day_unit=day_unit if window_from is not None else None, applied=applied,
+                          comment=comment)
         return {"mode": "create", "buckets": new.layout.get("buckets"), "layout": new.layout}
     if applied and table.applied.get(applied[0], -1) >= int(applied[1]):
         return {"mode": "skipped", "rows": 0, "buckets": 0}

@@ -248,7 +248,7 @@ def run_source_sql(base: str, key: str, run: int) -> str:
     r1 = f"select * replace ({t05} as _synced) from ({base}) b where not ({key} % 10 = 9)"
     r2 = (f"select * replace (case when {key} % 5 = 0 then 'CHANGED' else STATUS end as STATUS, "
           f"case when {key} % 5 = 0 or {key} % 10 = 9 then {t15} else {t05} end as _synced) "
-          f"from ({base}) b where not ({key} % 19 = 0)")
+          f"from ({base}) b where not ({key} % 19 = 0 and {key} % 10 <> 9)")
     r3 = f"{r2} union all select * replace ({t25} as _synced) from ({base}) b where {key} % 38 = 0"
     return {1: r1, 2: r2, 3: r3}[run]
 
@@ -304,6 +304,7 @@ def history_sql(base: str, key: str, cols: list, runs=(1, 2, 3)) -> str:
 
 
 CUST_HIST = history_sql(FIXTURES["customers"], "CUSTOMER_ID", CUSTOMER_COLS)
+CUST_HIST1 = history_sql(FIXTURES["customers"], "CUSTOMER_ID", CUSTOMER_COLS, runs=(1,))
 CUST_HIST2 = history_sql(FIXTURES["customers"], "CUSTOMER_ID", CUSTOMER_COLS, runs=(1, 2))
 ITEM_HIST = history_sql(FIXTURES["items"], "ITEM_ID", ITEM_COLS)
 ITEM_HIST2 = history_sql(FIXTURES["items"], "ITEM_ID", ITEM_COLS, runs=(1, 2))
@@ -415,7 +416,7 @@ GROUP_OF = {"order_headers": "erp", "order_lines": "erp", "addresses": "erp", "c
             "incidents": "crm", "interactions": "crm", "surveys": "crm", "campaigns": "marketing"}
 RULES = {"erp": (60, 240), "crm": (60, 240), "marketing": (1440, 2880)}
 _HEADERS_J4 = merge_sql("order_headers", window=True)
-_CUR_PARENT = "select CUSTOMER_ID from h2 where is_current = true"
+_CUR_PARENT = "select CUSTOMER_ID from h1 where is_current = true"
 
 ORACLES.update({
     "a2_duplicate_groups": f"""select ORDER_ID, count(*) as n_records from ({_HEADERS_J4}) m
@@ -446,10 +447,10 @@ ORACLES.update({
     "d8_valid_email": _row_check(FIXTURES["customers"], "customers",
                                  [("valid_email_email", "EMAIL", "error",
                                    f"EMAIL is not null and not regexp_matches(EMAIL, '{_re(EMAIL_TEST_RE)}')")]),
-    "j1_orphans": f"""{CUST_HIST2} select child.ORDER_ID, child.CUSTOMER_ID from ({model_build('order_headers')}) child
+    "j1_orphans": f"""{CUST_HIST1} select child.ORDER_ID, child.CUSTOMER_ID from ({model_build('order_headers')}) child
         left join ({_CUR_PARENT}) parent on child.CUSTOMER_ID = parent.CUSTOMER_ID
         where child.CUSTOMER_ID is not null and parent.CUSTOMER_ID is null""",
-    "d9_references": f"""{CUST_HIST2} select {_res('references_customer_id', 'order_headers', 'CUSTOMER_ID', 'error', 'f')[7:]}
+    "d9_references": f"""{CUST_HIST1} select {_res('references_customer_id', 'order_headers', 'CUSTOMER_ID', 'error', 'f')[7:]}
         from (select count(*) as f from ({model_build('order_headers')}) child
         left join ({_CUR_PARENT}) parent on child.CUSTOMER_ID = parent.CUSTOMER_ID
         where child.CUSTOMER_ID is not null and parent.CUSTOMER_ID is null) y""",
@@ -491,12 +492,12 @@ def _extract_sql(kind: str, version: int) -> str:
         return """select s_suppkey as CAMPAIGN_ID,
             case when s_suppkey % 5 = 0 then concat(s_name, ' (renewed)') else s_name end as CAMPAIGN_NAME,
             case when s_suppkey % 4 = 0 then null else s_acctbal end as TOTAL_SPEND,
-            s_nationkey as CUSTOMERS_ACQUIRED from supplier where s_suppkey % 7 <> 0"""
+            s_nationkey as CUSTOMERS_ACQUIRED from supplier where (s_suppkey % 7 <> 0 or s_suppkey % 9 = 0)"""
     v1 = f"select {_BIZ} from ({FIXTURES['orders_v1']}) a"
     if version == 1:
         return f"{v1} where ORDER_ID % 9 <> 0"
-    return (f"{v1} where ORDER_ID % 3 <> 0 and ORDER_ID % 7 <> 0 union all "
-            f"select {_BIZ} from ({FIXTURES['orders_v2']}) b where ORDER_ID % 7 <> 0")
+    return (f"{v1} where ORDER_ID % 3 <> 0 and (ORDER_ID % 7 <> 0 or ORDER_ID % 9 = 0) union all "
+            f"select {_BIZ} from ({FIXTURES['orders_v2']}) b where ORDER_ID % 7 <> 0 or ORDER_ID % 9 = 0")
 
 
 def _diff_sql(kind: str, key: str, cols: list) -> str:
@@ -576,3 +577,12 @@ ORACLES["f12_type_name"] = f"""select ORDER_ID, upper(typeof(ORDER_ID)) as ID_TY
     from ({model_build('order_headers')}) m"""
 ORACLES["f13_case_when"] = f"""select CUSTOMER_ID, case when CUSTOMER_ID % 4 in (0, 1) then EMAIL else '***MASKED***' end as EMAIL
     from ({FIXTURES['customers']}) c"""
+
+ORACLES["s9_type_widen"] = f"select * replace (cast(CUSTOMER_ID as bigint) as CUSTOMER_ID) from ({merge_sql('order_headers')}) m"
+ORACLES["s2_ingest_runs"] = f"""with t as ({_BASE}), c as (select * from (select *, row_number() over
+        (partition by ORDER_ID order by _seq desc nulls first) as _rn from ({_CHANGES}) x) y where _rn = 1)
+    select {', '.join(_pick(c) for c in _BIZ.split(', '))},
+        case when c.ORDER_ID is not null then timestamp '{ORDERS_AS_OF}' else timestamp '2001-08-02 00:00:00' end as _synced,
+        c.ORDER_ID is not null and c._op = 'D' as _deleted
+    from t full outer join c on t.ORDER_ID = c.ORDER_ID"""
+ORACLES["s3_ingest_compare"] = ORACLES["s3_full_compare_apply"]

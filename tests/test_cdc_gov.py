@@ -4,6 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from argent.operators import cdc, governance as gov
+from argent.sources import fixtures as fx
+
+from tests.conftest import SF0001
 
 
 def test_snapshot_diff_edge_rows(spark):
@@ -77,3 +80,66 @@ def test_full_compare_applied_as_soft_deletes(spark):
     out = {r.k: (r.v, r._deleted, r._synced == T) for r in
            cdc.apply_changes(bronze, changes, "k", "_seq", as_of="2024-01-02").collect()}
     assert out == {1: ("a", False, True), 2: ("c", False, False), 4: ("d", False, False), 5: ("e", True, False)}
+
+
+def test_diff_with_repeated_and_null_keys_and_other_types(spark):
+    from argent.operators import cdc
+    prev = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (2, "b", 2), (3, None, 3), (4, "d", 4), (None, "n", 5), (None, "n", 5), (6, "", 6)], "k int, v string, n int")
+    cur = spark.createDataFrame([(1, "a", 1), (2, "b", 9), (2, "b", 9), (3, "c", 3), (5, "e", 5), (None, "n", 5), (6, None, 6)], "k bigint, v string, n bigint")
+    got = sorted((tuple(r) for r in cdc.snapshot_diff(prev, cur, "k").collect()), key=repr)
+    want = [("update", 2, "b", 9), ("update", 3, "c", 3), ("delete", 4, "d", 4), ("insert", 5, "e", 5), ("delete", None, "n", 5), ("delete", None, "n", 5),
+            ("insert", None, "n", 5), ("update", 6, None, 6)]
+    assert got == sorted(want, key=repr)
+    columns = {r.k: list(r.changed_columns) for r in cdc.diff_changed_columns(prev, cur, "k", ["v", "n"]).collect()}
+    assert columns == {2: ["n"], 3: ["v"], 6: ["v"]}
+    assert cdc.snapshot_diff(prev.limit(0), cur, "k").count() == 6 and cdc.snapshot_diff(prev, prev, "k").where("k is not null").count() == 0
+
+
+def test_ingest_of_logs_and_extracts(spark):
+    from argent.operators import governance as gov
+    from argent.plans import pipeline
+    from argent.session import work_dir
+    from argent.sources.bronze import read_bronze, source_path
+    from argent.sources.silver_table import open_table
+    landing, bronze = work_dir(spark, "t-landing"), work_dir(spark, "t-ingest")
+    log = "CUSTOMER_ID bigint, EMAIL string, PHONE string, FIRST_NAME string, LAST_NAME string, REGISTRATION_DATE string, CUSTOMER_TYPE string, STATUS string, _seq int, _op string"
+    row = lambda i, email, seq, op: (i, email, "p", "f", "l", "d", "t", "s", seq, op)
+    camp = "CAMPAIGN_ID bigint, CAMPAIGN_NAME string, TOTAL_SPEND double, CUSTOMERS_ACQUIRED int"
+    deliveries = [([row(1, "a", 1, "I"), row(2, "b", 1, "I"), row(1, "a2", 2, "U")], [(1, "x", 1.0, 1), (2, "y", 2.0, 2)]),
+                  ([row(2, "b", 3, "D"), row(3, "c", 3, "I")], [(2, "y", 2.5, 2), (3, "z", 3.0, 3)]),
+                  ([row(2, "b3", 4, "I")], [(1, "x", 1.0, 1), (2, "y", 2.5, 2), (3, "z", 3.0, 3)])]
+    for n, (changes, extract) in enumerate(deliveries):
+        spark.createDataFrame(changes, log).write.parquet(source_path(f"{landing}/{n}", "customers"))
+        spark.createDataFrame(extract, camp).write.parquet(source_path(f"{landing}/{n}", "campaigns"))
+        rep = pipeline.run_ingest(spark, f"{landing}/{n}", bronze, f"2024-01-0{n + 1} 00:00:00")
+        assert rep["items"]["mode"] == "nothing delivered" and rep["customers"]["mode"] == ("merge" if n else "create")
+    got = {r.CUSTOMER_ID: (r.EMAIL, r._synced.day, r._deleted) for r in read_bronze(spark, bronze, "customers").collect()}
+    assert got == {1: ("a2", 1, False), 2: ("b3", 3, False), 3: ("c", 2, False)}
+    got = {r.CAMPAIGN_ID: (r.TOTAL_SPEND, r._synced.day, r._deleted) for r in read_bronze(spark, bronze, "campaigns").collect()}
+    assert got == {1: (1.0, 3, False), 2: (2.5, 2, False), 3: (3.0, 2, False)}
+    # tags stay with the bronze table through every commit
+    assert gov.pii_columns(read_bronze(spark, bronze, "customers")) == gov.CUSTOMER_PII
+    assert open_table(spark, source_path(bronze, "customers")).version == 3
+
+
+def test_descriptions_stay_with_the_tables(spark):
+    from argent.plans import pipeline
+    from argent.plans.models import MODELS
+    from argent.session import work_dir
+    from argent.sources.bronze import source_path
+    from argent.sources.silver_table import open_table, read_table
+    bronze, silver = work_dir(spark, "t-docs-bronze"), work_dir(spark, "t-docs-silver")
+    for name in ("brands", "customers", "order_headers"):
+        fx.bronze(spark, SF0001, name).write.parquet(source_path(bronze, name))
+    for run in ("r1", "r2"):
+        pipeline.run_models(spark, bronze, silver, "2024-01-31 00:00:00", run, ["brands", "order_headers"], propagate_deletes=True, num_buckets=4)
+        pipeline.run_snapshots(spark, bronze, silver, "2024-01-31 00:00:00", ["customer_history"])
+    for name, path in (("brands", pipeline.silver_path(silver, "brands")), ("order_headers", pipeline.silver_path(silver, "order_headers"))):
+        t = read_table(spark, path)
+        assert {f.name: f.metadata["comment"] for f in t.schema.fields} == MODELS[name].docs
+        assert open_table(spark, path).comment == f"Newest row per {MODELS[name].key} of {name}"
+    h = read_table(spark, pipeline.history_path(silver, "customer_history"))
+    assert h.schema["EMAIL"].metadata == {"comment": "E-mail address", "pii_type": "EMAIL"} and h.schema["valid_to"].metadata["comment"]
+    # the model's match window and the options reach the tables
+    assert open_table(spark, pipeline.silver_path(silver, "order_headers")).layout.get("unit") and open_table(spark, pipeline.silver_path(silver, "brands")).layout["buckets"] == 4
+    assert read_table(spark, pipeline.silver_path(silver, "order_headers")).where("_is_deleted").count() > 0

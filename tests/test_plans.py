@@ -73,6 +73,51 @@ def test_history_compare_is_a_join_of_hash_aggregates(spark, capsys):
     assert "SortAggregate" not in out and tree(out).count("Exchange") == 2
 
 
+def test_all_checks_come_from_one_scan(spark, capsys, tmp_path):
+    p = str(tmp_path / "c")
+    _bronze(spark).write.parquet(p)
+    checks = [dq.unique("k"), dq.not_null("v"), dq.unique("v"), dq.in_range("k", 0, 100), dq.has_type("k", "bigint")]
+    t = tree(plan(dq.run_checks(spark.read.parquet(p), checks, "t"), capsys))
+    assert t.count("Scan parquet") == 1 and t.count("Exchange") == 2 and "SortAggregate" not in t
+
+
+def test_diff_shuffles_keys_and_digests_only(spark, capsys, tmp_path):
+    from argent.operators import cdc
+    for n in (1, 2):
+        _bronze(spark).dropDuplicates(["k"]).withColumn("wide", F.repeat(F.col("v"), n)).write.parquet(str(tmp_path / str(n)))
+    prev, cur = (spark.read.parquet(str(tmp_path / n)) for n in "12")
+    for df in (cdc._compared(prev, cur, "k"), cdc.diff_changed_columns(prev, cur, "k", ["v", "wide"])):
+        t = plan(df, capsys)
+        assert "SortAggregate" not in t and tree(t).count("Exchange") == 1
+        shuffled = re.search(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", t).group(1)
+        assert "wide" not in shuffled and "v#" not in shuffled and shuffled.startswith("_k#")
+    d = plan(cdc.snapshot_diff(prev, cur, "k"), capsys)
+    assert "SortAggregate" not in d
+
+
+def test_newest_time_comes_from_the_footers(spark, capsys):
+    from argent.sources.silver_table import newest
+    p = work_dir(spark, "t-newest")
+    one = _bronze(spark).dropDuplicates(["k"])
+    write_table(one, p, "k", 8)
+    want = one.agg(F.max("_synced")).first()[0]
+    df = newest(spark, p, "_synced")
+    assert df.first()[0] == want
+    assert "PushedAggregation: [MAX(_synced)]" in plan(df, capsys)
+    # later commits with a new column and a wider type: files differ, the place of the column does not
+    from argent.sources.silver_table import merge_upsert
+    later = one.where("k < 5").withColumns({"_synced": F.lit("2031-05-06 07:08:09.123456").cast("timestamp_ntz"), "extra": F.lit("x")})
+    merge_upsert(spark, p, later, "k", exclude_update=())
+    df = newest(spark, p, "_synced")
+    assert str(df.first()[0]) == "2031-05-06 07:08:09.123456" and "PushedAggregation" in plan(df, capsys)
+    # a column with nulls, or another one, is read
+    merge_upsert(spark, p, later.withColumn("_synced", F.lit(None).cast("timestamp_ntz")), "k", exclude_update=())
+    df = newest(spark, p, "_synced")
+    assert df.first()[0] == one.where("k >= 5").agg(F.max("_synced")).first()[0] and "PushedAggregation" not in plan(df, capsys)
+    assert newest(spark, p, "v").first()[0] == one.agg(F.max("v")).first()[0]
+    assert newest(spark, work_dir(spark, "t-newest-none"), "_synced") is None
+
+
 def test_no_forced_broadcast(spark, capsys, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
