@@ -1,4 +1,5 @@
 import re
+import sys
 
 import __spark_entry__ as E
 
@@ -16,6 +17,17 @@ def test_every_query_has_an_oracle():
     assert set(o) <= set(q)
 
 
+def test_queries_remain_when_an_import_of_the_subpackage_fails(monkeypatch):
+    own = {k for k in E.queries() if not LLM.match(k)}
+    for name in [m for m in sys.modules if m.startswith("argent.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    with monkeypatch.context() as m:
+        m.setitem(sys.modules, "regex", None)          # what one of its modules needs
+        assert own <= set(E.queries()) and "pipeline" not in E.queries()
+        m.setitem(sys.modules, "argent.llm", None)
+        assert set(E.queries()) == own and not [k for k in E.oracle_sql() if LLM.match(k)]
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
