@@ -18,6 +18,8 @@ from argent.session import stored
 BITS, SLACK = 4, 4.5
 #: Minima of the longer signatures of documents that share a bucket, and their bits.
 LONG, LONG_BITS = 1024, 2
+#: Rows of a block, and shingles of all its sets together.
+BLOCK, SETS = 2048, 4_000_000
 
 
 def shingle_set(text: str | None, words: int, hashes: Hashes) -> np.ndarray:
@@ -101,16 +103,23 @@ def estimate(a: Column, b: Column, hashes: int) -> Column:
 
 
 def _across(rows: pa.Table, percent: int) -> pa.RecordBatch | None:
-    """Pairs of two blocks of a bucket that may be linked: in different
-    components, of near enough size and estimate, not met in an earlier band."""
-    c = rows.column("c").to_numpy()
+    """Links (a, b) between components, of two blocks of a bucket: a spanning
+    forest of the pairs of near enough size and estimate that did not meet in
+    an earlier band, each confirmed on the full sets.
+
+    A pair is left out only while its ends are joined by links found already,
+    so nothing is lost and there are fewer links than rows.
+    """
+    c = rows.column("c").to_numpy().copy()
     if (c == c[0]).all():
         return None
     s, i, j, n, ids = (rows.column(x).to_numpy() for x in ("_s", "_i", "_j", "n", "id"))
     left, right = np.flatnonzero(s == i[0]), np.flatnonzero(s == j[0])
     sig, bands, t = fixed_rows(rows, "long", np.int64).view(np.uint64), fixed_rows(rows, "bands", np.int64), int(rows.column("t")[0].as_py())
     least, ones = least_estimate(0.01 * percent, LONG, LONG_BITS), np.uint64(int("1" * (64 // LONG_BITS), 1 << LONG_BITS))
-    out: list[tuple[np.ndarray, np.ndarray]] = []
+    sets = rows.column("x").combine_chunks()
+    ends, flat = sets.offsets.to_numpy(), sets.values.to_numpy(zero_copy_only=False).view(np.uint64)
+    found: list[tuple[int, int]] = []
     for a in left:
         b = right[(c[right] != c[a]) & (100 * np.minimum(n[right], n[a]) >= percent * np.maximum(n[right], n[a]))]
         if i[0] == j[0]:
@@ -123,10 +132,19 @@ def _across(rows: pa.Table, percent: int) -> pa.RecordBatch | None:
         same = 1 - np.bitwise_count(d & ones).sum(axis=1) / LONG
         b = b[(same - 2.0 ** -LONG_BITS) / (1 - 2.0 ** -LONG_BITS) >= least]
         b = b[~(bands[b, :t] == bands[a, :t]).any(axis=1)]
-        out.append((np.full(len(b), ids[a]), ids[b]))
-    if not sum(len(x) for x, _ in out):
+        own = flat[ends[a]:ends[a + 1]]
+        for k in b:
+            if c[k] == c[a]:
+                continue
+            other = flat[ends[k]:ends[k + 1]]
+            at = np.searchsorted(own, other)
+            shared = int((own[np.minimum(at, len(own) - 1)] == other).sum())
+            if 100 * shared >= percent * (len(own) + len(other) - shared):
+                found.append((int(ids[a]), int(ids[k])))
+                c[c == c[k]] = c[a]
+    if not found:
         return None
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80,
@@ -137,7 +155,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     100 * intersection >= ``percent`` * union; component_id is the smallest id
     reachable over links, itself included, and kept marks the one document of
     each component that stays. Texts without words are linked with nothing; a
-    null id is linked with nothing and kept. Rows with one id are one document.
+    null id is linked with nothing and kept. Rows with one id are one document;
+    if their texts differ, the one whose set has the smallest hash stands for
+    them, in any order of rows, and n_shingles is each row's own. Texts are
+    taken whole, of any length; the other columns of ``docs`` are not read, and
+    an empty table gives an empty result.
 
     Equal sets are collapsed first, by a map-side combined minimum, so a group
     of copies is one member of its buckets. The minima of one document in each
@@ -147,15 +169,18 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     confirmed on the full sets, components are merged. Then all pairs that
     share a bucket and are still in different components are estimated, in
     pairs of blocks and by longer signatures (LONG minima, LONG_BITS bits each),
-    in the first bucket that they share; those near the threshold are confirmed.
-    So a large group of near copies is not expanded into its pairs, and no link
-    between components stays untried.
+    in the first bucket that they share, and those near the threshold confirmed
+    there; a task gives a spanning forest of the links it confirmed. So a large
+    group of near copies is not expanded into its pairs, and no link between
+    components stays untried.
     """
     k = bands * rows
     least = least_estimate(0.01 * percent, k, BITS)
     base = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     sign = stored(signatures(base, "id", "text", words, bands, rows, seed), "signatures")
     filled = sign.where("n > 0 and id is not null")
+    first = filled.groupBy("id").agg(F.min("s1").alias("s1"), F.min_by("s2", "s1").alias("s2"))
+    filled = filled.join(stored(first, "texts"), ["id", "s1", "s2"], "left_semi")
     classes = stored(filled.groupBy("s1", "s2").agg(F.min("id").alias("rep")), "classes")
     member = stored(filled.select("id", "s1", "s2").join(classes, ["s1", "s2"]).select("id", "rep").distinct(), "members")
     one = filled.join(classes.withColumnRenamed("rep", "id"), ["s1", "s2", "id"], "left_semi").dropDuplicates(["id"])
@@ -164,14 +189,17 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     shared = stored(shelf.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("bucket"), "buckets")
     rows_ = stored(shelf.join(shared, "bucket"), "shelves")
     ids = stored(rows_.select("id").distinct(), "candidates")
-    signs = stored(one.join(ids, "id", "left_semi").select("id", "n", "sig", "bands"), "candidate-signatures")
+    signs = stored(one.join(ids, "id", "left_semi").select("id", "n", "s1", "s2", "sig", "bands"), "candidate-signatures")
 
     def sets(batch, s):
         x = [shingle_set(t, words, s.hashes) for t in column(batch, "text")]
+        d = [xxhash.xxh128_digest(a.tobytes()) for a in x]
         return [pa.array([a.view(np.int64) for a in x], pa.list_(pa.int64())),
-                pa.array([pack(s.minima(a), LONG_BITS) for a in x], pa.list_(pa.int64()))]
-    full = stored(add_columns(base.join(ids, "id", "left_semi"), sets, [("x", "array<bigint>"), ("long", "array<bigint>")],
-                              lambda: Signer(1, LONG, seed + 1)).drop("text").dropDuplicates(["id"]), "sets")
+                pa.array([pack(s.minima(a), LONG_BITS) for a in x], pa.list_(pa.int64())),
+                *[pa.array([int.from_bytes(b[k:k + 8], "big", signed=True) for b in d], pa.int64()) for k in (0, 8)]]
+    full = add_columns(base.join(ids, "id", "left_semi"), sets, [("x", "array<bigint>"), ("long", "array<bigint>"), ("s1", "bigint"), ("s2", "bigint")],
+                       lambda: Signer(1, LONG, seed + 1)).drop("text")
+    full = stored(full.join(signs.select("id", "s1", "s2"), ["id", "s1", "s2"], "left_semi").select("id", "x", "long").dropDuplicates(["id"]), "sets")
 
     def side(df: DataFrame, name: str, *cols: str) -> DataFrame:
         return df.select(F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in cols])
@@ -201,13 +229,15 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
         if r < star_rounds:
             pairs = placed.join(mixed, "bucket").where("c <> cb").select(F.col("id").alias("a"), "b").distinct()
             pairs = likely(pairs).groupBy("a").agg(F.max_by("b", F.struct("near", "b")).alias("b"))
+            new = stored(confirmed(pairs), "links")
         else:
-            open_ = stored(placed.join(mixed.select("bucket"), "bucket"), "open")
-            sizes = stored(open_.groupBy("bucket").agg(F.count("*").alias("m")), "open-buckets")
-            dealt = stored(block_pairs(open_, sizes, "bucket", "id", 2048), "open-blocks")
-            dealt = dealt.join(signs.select("id", "n", "bands"), "id").join(full.select("id", "long"), "id")
-            pairs = stored(map_groups(dealt, ["bucket", "t", "_i", "_j"], lambda g: _across(g, percent), "a bigint, b bigint"), "pairs")
-        new = stored(confirmed(pairs), "links")
+            open_ = stored(placed.join(mixed.select("bucket"), "bucket").join(signs.select("id", "n"), "id"), "open")
+            # a block has at most BLOCK rows and SETS shingles, on average of its bucket
+            size = F.ceil(F.greatest(F.count("*"), F.sum("n") * F.lit(BLOCK / SETS)))
+            sizes = stored(open_.groupBy("bucket").agg(size.cast("bigint").alias("m")), "open-buckets")
+            dealt = stored(block_pairs(open_, sizes, "bucket", "id", BLOCK), "open-blocks")
+            dealt = dealt.join(signs.select("id", "bands"), "id").join(full, "id")
+            new = stored(map_groups(dealt, ["bucket", "t", "_i", "_j"], lambda g: _across(g, percent), "a bigint, b bigint"), "links")
         links = new if links is None else links.unionByName(new)
         labels = components(links).select(F.col("v").alias("id"), F.col("component").alias("c"))
     if labels is not None:

@@ -252,3 +252,79 @@ def test_op13_query(spark):
         if r.label is not None and r.embedding is not None and all(x is not None and np.isfinite(x) for x in r.embedding):
             rows[r.vec_id] = ((r.label + 1) % 10 if r.vec_id % 7 == 0 else r.label, [int(np.floor(256 * x)) for x in r.embedding])
     assert sorted(tuple(r) for r in op13_negatives(spark, SF0001).collect()) == _negatives(rows, 50)
+
+
+# -- op1: the last pass and repeated ids ---------------------------------------
+
+
+def _sets(text, words):
+    w = (text or "").lower().split()
+    return {tuple(w[i:i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
+
+
+def _components(sets, percent=80):
+    root = {i: i for i in sets}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1:]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    return {i: top(i) for i in sets}
+
+
+def _near_copies(members, rng, length=60, changes=3):
+    base = [f"w{i}" for i in range(length)]
+    out = []
+    for i in range(members):
+        w = list(base)
+        for at in rng.sample(range(length), changes):
+            w[at] = f"x{rng.randrange(10 ** 6)}"
+        out.append((i, " ".join(w)))
+    return out
+
+
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_near_duplicates_of_a_group_match_brute_force(spark, monkeypatch, rounds):
+    from argent.llm import minhash
+    monkeypatch.setattr(minhash, "BLOCK", 32)
+    rows = _near_copies(150, random.Random(1))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, words=2, star_rounds=rounds).collect()}
+    want = _components({i: _sets(t, 2) for i, t in rows})
+    assert got == want and 1 < len(set(want.values())) < 150
+
+
+def test_links_of_a_group_grow_with_its_members(spark, monkeypatch):
+    from argent.llm import minhash
+    real, rows = minhash.stored, {}
+
+    def stored(df, name="stage"):
+        out = real(df, name)
+        if name == "links":
+            rows[members] = rows.get(members, 0) + out.count()
+        return out
+    monkeypatch.setattr(minhash, "stored", stored)
+    for members in (400, 1600):
+        df = spark.createDataFrame(_near_copies(members, random.Random(2), changes=1), "doc_id bigint, text string")
+        minhash.near_duplicates(df, words=2, star_rounds=0).count()
+    assert 399 <= rows[400] < 40 * 400 and rows[1600] < 5 * rows[400]
+
+
+def test_one_id_with_two_texts_in_either_order(spark):
+    from argent.llm.minhash import near_duplicates
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(1, a), (2, a), (2, b), (3, b), (3, b)]
+    results = []
+    for data in (rows, rows[::-1], rows[2:] + rows[:2]):
+        df = spark.createDataFrame([(*r, 0, 0) for r in data], "doc_id bigint, text string, rep int, component_id int").coalesce(1)
+        results.append(sorted(tuple(r) for r in near_duplicates(df, words=2).collect()))
+    assert results[0] == results[1] == results[2] and len(results[0]) == 5
+    component = {r[0]: r[2] for r in results[0]}
+    assert component in ({1: 1, 2: 1, 3: 3}, {1: 1, 2: 2, 3: 2})
