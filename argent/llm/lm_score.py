@@ -2,24 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from argent.llm.common import Hashes, column, split
+from argent.llm.common import Hashes, column, map_groups, split
 from argent.session import stored
 
 #: A word of the shared vocabulary occurs at least so often, whatever the corpus.
 LEAST = 2
 #: Weight of the unigram estimate in a bigram's, and of the even one in a unigram's.
 MU, ALPHA = 100.0, 1.0
-#: A block of documents is closed when it has so many tokens.
-BLOCK = 2_000_000
+#: A block of documents is closed when it has so many tokens; a task that adds
+#: counts up gets those of about so many tokens.
+BLOCK, ADDED = 2_000_000, 4_000_000
 #: Words are 64-bit hashes; these stand for the rare words and the start of a text.
 RARE, START = np.uint64(0x9D39247E33776D41), np.uint64(0x2AF7398005AAA5C7)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
-COUNTS = ("nt", "nb", "ct", "cb")
+#: Kinds of rows that go to a block: vocabulary, flags of documents, counts of words and of bigrams.
+KNOWN, FLAG, WORDS, BIGRAMS = 0, 1, 2, 3
+
+
+def _pack(*arrays: np.ndarray) -> bytes:
+    """64-bit arrays as compressed bytes, byte by byte of all numbers."""
+    sizes = np.array([len(a) for a in arrays], np.int64).tobytes()
+    return sizes + zstandard.compress(b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays if len(a)), 1)
+
+
+def _unpack(data: bytes, arrays: int, dtype=np.int64) -> list[np.ndarray]:
+    sizes = np.frombuffer(data[:8 * arrays], np.int64)
+    body, at, out = np.frombuffer(zstandard.decompress(data[8 * arrays:]), np.uint8), 0, []
+    for n in sizes:
+        out.append(np.ascontiguousarray(body[at:at + 8 * n].reshape(8, -1).T).view(dtype).reshape(-1) if n else np.zeros(0, dtype))
+        at += 8 * n
+    return out
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -39,40 +59,73 @@ def _bigrams(words: np.ndarray, n: np.ndarray) -> np.ndarray:
     return left * FACTOR + words
 
 
-def _sums(codes: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(codes in order, place of each token's, target count, count)."""
-    g, at = np.unique(codes, return_inverse=True)
-    return g, at, np.bincount(at, weights=flags, minlength=len(g)).astype(np.int64), np.bincount(at, minlength=len(g)).astype(np.int64)
+def _parts(keys: np.ndarray, parts: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order of ``keys`` by part and key, and each part that has some with its places in it."""
+    p = (keys >> np.uint64(32)) % np.uint64(parts)
+    order = np.lexsort((keys, p))
+    p = p[order]
+    cuts = [0, *(np.flatnonzero(p[1:] != p[:-1]) + 1).tolist(), len(p)]
+    return order, [(int(p[a]), slice(a, b)) for a, b in zip(cuts, cuts[1:]) if b > a]
 
 
-def _found(own: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in the sorted own of the keys found there, and which these are."""
-    at = np.searchsorted(own, keys)
-    ok = (own[np.minimum(at, len(own) - 1)] == keys) if len(own) else np.zeros(len(keys), bool)
-    return at[ok], ok
+def _rows(block: int, kind: int, keys: np.ndarray, counts: list[np.ndarray], parts: int) -> Iterator[tuple]:
+    """The keys of a block with their counts, packed by part."""
+    order, found = _parts(keys, parts)
+    keys, counts = keys[order], [c[order] for c in counts]
+    for p, at in found:
+        own = keys[at]
+        yield kind, p, block, _pack(np.diff(own, prepend=np.uint64(0)), *(c[at].view(np.uint64) for c in counts))
+
+
+def _added(rows: pa.Table, counts: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """Distinct keys of the packed rows, the sums of their counts, and where each row's keys stand among them."""
+    found = [_unpack(x, counts + 1, np.uint64) for x in rows.column("data").to_pylist()]
+    keys = np.concatenate([np.cumsum(f[0], dtype=np.uint64) for f in found])
+    own, at = np.unique(keys, return_inverse=True)
+    sums = [np.bincount(at, weights=np.concatenate([f[c] for f in found]).view(np.int64), minlength=len(own)).astype(np.int64) for c in range(1, counts + 1)]
+    return own, sums, np.split(at, np.cumsum([len(f[0]) for f in found])[:-1]), rows.column("block").to_numpy()
 
 
 class _Block:
-    """The documents and words of a block, with the counts of words over all blocks."""
-
-    def __init__(self, left: pa.Table, right: pa.Table, least: int):
-        head = left.column("words").is_valid().to_numpy()
-        docs = left.filter(pa.array(~head))
-        head = left.filter(pa.array(head))
-        self.words = head.column("words").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-        counts = {c: head.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).copy() for c in COUNTS}
-        kind = right.column("kind").to_numpy()
-        key = right.column("k").to_numpy().view(np.uint64)
-        at, ok = _found(self.words, key[kind == 0])
-        for c in COUNTS:  # a word of this block alone has its counts here
-            counts[c][at] = right.column(c).to_numpy()[kind == 0][ok]
-        self.counts, self.known = counts, counts["nb"] >= least
-        self.id, tokens = docs.column("id"), docs.column("tokens").combine_chunks()
-        self.n = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        self.tokens = tokens.flatten().to_numpy(zero_copy_only=False)
-        flags = docs.column("is_target").to_numpy().astype(np.float64)
-        coded = np.where(self.known, self.words, RARE)[self.tokens]
-        self.g, self.at, self.nt, self.nb = _sums(_bigrams(coded, self.n), np.repeat(flags, self.n))
+    """The documents of a block, in the vocabulary of all blocks."""
+
+    def __init__(self, left: pa.Table, right: pa.Table, parts: int):
+        self.number = left.column("block")[0].as_py()
+        deltas, self.n, self.tokens = _unpack(left.column("data")[0].as_py(), 3)
+        words = np.cumsum(deltas.view(np.uint64), dtype=np.uint64)
+        rows = list(zip(*(right.column(c).to_pylist() for c in ("kind", "p", "data")))) if right.num_rows else []
+        self.got = {kind: {p: data for k, p, data in rows if k == kind} for kind in (KNOWN, WORDS, BIGRAMS)}
+        order, found = _parts(words, parts)
+        known = np.zeros(len(words), bool)
+        for p, at in found:
+            known[order[at]] = _unpack(self.got[KNOWN][p], 1)[0] != 0
+        self.flags = np.zeros(len(self.n), bool)
+        self.flags[np.array([p for k, p, _ in rows if k == FLAG], np.int64)] = True
+        self.coded = np.where(known, words, RARE)[self.tokens]
+        self.of_token = np.repeat(self.flags, self.n)
+        self.words, self.word = np.unique(self.coded, return_inverse=True)
+        self.grams, self.gram = np.unique(_bigrams(self.coded, self.n), return_inverse=True)
+
+    def counts(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Of words: occurrences in target and all documents, and as the left of
+        a bigram in both; of bigrams: occurrences in both."""
+        inner = np.ones(len(self.coded), bool)
+        inner[(np.cumsum(self.n) - 1)[self.n > 0]] = False
+
+        def sums(at: np.ndarray, some: np.ndarray, size: int) -> np.ndarray:
+            return np.bincount(at[some], minlength=size).astype(np.int64)
+        t, every = self.of_token, np.ones(len(self.coded), bool)
+        return ([sums(self.word, some, len(self.words)) for some in (t, every, t & inner, inner)],
+                [sums(self.gram, some, len(self.grams)) for some in (t, every)])
+
+    def totals(self, kind: int, keys: np.ndarray, counts: int, parts: int) -> list[np.ndarray]:
+        """What came back for the block's keys, in their order."""
+        order, found = _parts(keys, parts)
+        out = [np.zeros(len(keys), np.int64) for _ in range(counts)]
+        for p, at in found:
+            for o, c in zip(out, _unpack(self.got[kind][p], counts)):
+                o[order[at]] = c
+        return out
 
 
 def lm_scores(docs: DataFrame, target: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
@@ -84,44 +137,37 @@ def lm_scores(docs: DataFrame, target: DataFrame, id: str = "doc_id", text: str
     case) that occur at least ``least`` times and one symbol for the rest. The
     losses are mean negative logarithms of the probabilities per token; score
     is their difference, lower for documents more like the target. A null or
-    empty text has no tokens and null losses; with no target documents the
-    target model is the smoothed even one. Rows are scored each for itself.
-
-    All words and bigrams of all documents are counted, and the counts are
-    stored tables that grow with the corpus; the driver gets a few sums. Texts
-    become blocks of about BLOCK tokens (one text at least), each with a list
-    of its words. A count that more than one block adds to goes back to these
-    blocks, once per block; other counts are the block's own. So neither a text
-    nor a row per token is shuffled for them, and no task holds more than the
-    words and bigrams of its block. Words and bigrams are told apart by 64-bit
-    hashes.
+    empty text has no tokens and null losses; a null id is no target; with no
+    target documents the target model is the smoothed even one. Rows are scored
+    each for itself, texts whole, of any length; other columns are not read and
+    an empty table gives an empty result.
+
+    Texts become blocks of about BLOCK tokens (one text at least) and are read
+    once; ids meet the targets without them. A block sends its distinct words,
+    and later its bigrams with their counts, in parts by hash, each part packed
+    in one row; the task of a part adds up what all blocks sent and answers each
+    with the sums of the keys it sent, in their order, so keys go one way and
+    counts the other, and a word that all blocks have is one number in each.
+    All words and bigrams of all documents are counted; what is gathered grows
+    with the corpus, in parts of about ADDED tokens, and the driver gets a few
+    sums. Blocks meet the answers twice, by block number. Words and bigrams are
+    told apart by 64-bit hashes.
     """
     base = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     kind = base.schema["id"].dataType.simpleString()
-    marked = target.select(F.col("id").alias("id")).where("id is not null").distinct().withColumn("is_target", F.lit(True))
-    flagged = base.hint("merge").join(marked, "id", "left").select("id", "text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
-    lists = ", ".join(f"{c} array<bigint>" for c in COUNTS)
 
     def encode(batches):
         hashes, number = Hashes(), TaskContext.get().partitionId() << 32
-        ids, flags, found, held = [], [], [], 0
+        ids, found, held = [], [], 0
 
         def block():
             n = np.array([len(x) for x in found], np.int64)
-            flat = np.concatenate(found)
-            target = np.repeat(np.array(flags, np.float64), n)
-            words, at, nt, nb = _sums(flat, target)
-            last = np.zeros(len(flat), bool)
-            last[(np.cumsum(n) - 1)[n > 0]] = True
-            ct = nt - np.bincount(at[last], weights=target[last], minlength=len(words)).astype(np.int64)
-            cb = nb - np.bincount(at[last], minlength=len(words)).astype(np.int64)
-            tokens = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), pa.array(at.astype(np.int32)))
-            rows = pa.concat_arrays([tokens, pa.nulls(1, tokens.type)])
-            heads = [pa.array([None] * len(n) + [v], pa.list_(pa.int64())) for v in (words.view(np.int64), nt, nb, ct, cb)]
+            words, at = np.unique(np.concatenate(found), return_inverse=True)
+            data = _pack(np.diff(words, prepend=np.uint64(0)), n, at.astype(np.int64))
             size = len(n) + 1
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(size, number, np.int64)), pa.concat_arrays([*ids, pa.nulls(1, ids[0].type)]),
-                 pa.array([*flags, False]), rows, *heads], names=["block", "id", "is_target", "tokens", "words", *COUNTS])
+                [pa.array(np.full(size, number, np.int64)), pa.array([*range(len(n)), -1], pa.int32()), pa.concat_arrays([*ids, pa.nulls(1, ids[0].type)]),
+                 pa.array([*n.tolist(), None], pa.int64()), pa.array([None] * len(n) + [data], pa.binary())], names=["block", "pos", "id", "n", "data"])
         for batch in batches:
             for part in split(batch):
                 new = [hashes.of(_words(t)) for t in column(part, "text")]
@@ -135,61 +181,85 @@ def lm_scores(docs: DataFrame, target: DataFrame, id: str = "doc_id", text: str
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     if b > a:
                         ids.append(part.column(part.schema.get_field_index("id")).slice(a, b - a))
-                        flags += column(part.slice(a, b - a), "is_target")
                         found += new[a:b]
                     if k < len(cuts) - 2:
                         yield block()
-                        number, ids, flags, found = number + 1, [], [], []
+                        number, ids, found = number + 1, [], []
                 held = size
         if found:
             yield block()
-    tokens = stored(flagged.mapInArrow(encode, f"block bigint, id {kind}, is_target boolean, tokens array<int>, words array<bigint>, {lists}"), "tokens")
-
-    heads = tokens.where("words is not null").select("block", F.explode(F.arrays_zip("words", *COUNTS)).alias("x"))
-    lexicon = heads.select("block", F.col("x.words").alias("k"), *[f"x.{c}" for c in COUNTS])
-    lexicon = stored(lexicon.groupBy("k").agg(*[F.sum(c).alias(c) for c in COUNTS], F.collect_set("block").alias("blocks")), "words")
-    rare = F.col("nb") < least
-    total = lexicon.agg(F.count_if(~rare).alias("size"), *[F.sum(c).alias(c) for c in COUNTS], *[F.sum(F.when(rare, F.col(c))).alias(f"r{c}") for c in COUNTS]).first()
-    size, of = total["size"], {c: total[c] or 0 for c in COUNTS}
-    of_rare = {c: total[f"r{c}"] or 0 for c in COUNTS}
+    tokens = stored(base.mapInArrow(encode, f"block bigint, pos int, id {kind}, n bigint, data binary"), "tokens")
+    texts, blocks = tokens.where("pos >= 0").select("block", "pos", "id", "n"), tokens.where("pos < 0").select("block", "data")
+    marked = target.select(F.col("id").alias("id")).where("id is not null").distinct()
+    flags = stored(texts.where("n > 0").join(marked, "id", "left_semi").select("block", "pos", "n"), "flags")
+    sums = texts.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("starts")).first()
+    of_target = flags.agg(F.sum("n").alias("n"), F.count("*").alias("starts")).first()
+    of = {"t": of_target["n"] or 0, "b": sums["n"] or 0}
+    starts = {"t": of_target["starts"], "b": sums["starts"]}
+    parts = max(16, -(-of["b"] // ADDED))
+    packed, answer = "kind int, p int, block bigint, data binary", ["kind", "p", "block", "data"]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.binary()))], names=answer)
+
+    def vocabulary(batches):
+        """The words of each block with how often they occur there."""
+        for batch in batches:
+            for number, data in zip(*(c.to_pylist() for c in batch.columns)):
+                deltas, _, at = _unpack(data, 3)
+                words = np.cumsum(deltas.view(np.uint64), dtype=np.uint64)
+                if len(words):
+                    yield batch_of(list(_rows(number, KNOWN, words, [np.bincount(at, minlength=len(words)).astype(np.int64)], parts)))
+
+    def known(rows: pa.Table) -> pa.RecordBatch:
+        own, (n,), places, numbers = _added(rows, 1)
+        ok = (n >= least).astype(np.int64)
+        p = rows.column("p")[0].as_py()
+        return batch_of([(KNOWN, p, b, _pack(ok[at])) for b, at in zip(numbers.tolist(), places)] + [(KNOWN, p, -1, _pack(np.array([ok.sum()])))])
+    said = stored(map_groups(blocks.mapInArrow(vocabulary, packed), ["p"], known, packed), "vocabulary")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([int(_unpack(x, 1)[0][0]) for x in batch.column(0).to_pylist()], pa.int64())], names=["size"])
+    size = said.where("block < 0").select("data").mapInArrow(sizes, "size bigint").agg(F.sum("size")).first()[0] or 0
     width = size + 2
-    # a text with tokens has one that no other follows
-    starts = {"nt": of["nt"] - of["ct"], "nb": of["nb"] - of["cb"]}
-    shared = lexicon.where(~rare & (F.size("blocks") > 1)).select(F.explode("blocks").alias("block"), F.lit(0).alias("kind"), "k", *COUNTS)
+    route = said.where("block >= 0").unionByName(flags.select(F.lit(FLAG).alias("kind"), F.col("pos").alias("p"), "block", F.lit(None).cast("binary").alias("data")))
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return pa.table({c: pa.array([], pa.int64()) for c in ("block", "k", "nt", "nb")})
-        b = _Block(left, right, least)
-        return pa.table({"block": np.full(len(b.g), left.column("block")[0].as_py(), np.int64), "k": b.g.view(np.int64), "nt": b.nt, "nb": b.nb})
-    counted = tokens.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(count, "block bigint, k bigint, nt bigint, nb bigint")
-    model = counted.groupBy("k").agg(F.sum("nt").alias("nt"), F.sum("nb").alias("nb"), F.collect_set("block").alias("blocks")).where(F.size("blocks") > 1)
-    model = stored(model, "bigrams")
-    zero = F.lit(0).cast("bigint")
-    route = shared.unionByName(model.select(F.explode("blocks").alias("block"), F.lit(1).alias("kind"), "k", "nt", "nb", zero.alias("ct"), zero.alias("cb")))
-    schema = f"id {kind}, n_tokens bigint, target_loss double, background_loss double"
+        rows: list[tuple] = []
+        if left.num_rows:
+            b = _Block(left, right, parts)
+            words, grams = b.counts()
+            rows = [*_rows(b.number, WORDS, b.words, words, parts), *_rows(b.number, BIGRAMS, b.grams, grams, parts)]
+        return pa.Table.from_batches([batch_of(rows)]) if rows else pa.table({c: pa.array([], t) for c, t in zip(answer, (pa.int32(), pa.int32(), pa.int64(), pa.binary()))})
+    counted = blocks.groupBy("block").cogroup(route.groupBy("block")).applyInArrow(count, packed)
+
+    def add(rows: pa.Table) -> pa.RecordBatch:
+        what, p = rows.column("kind")[0].as_py(), rows.column("p")[0].as_py()
+        _, totals, places, numbers = _added(rows, 4 if what == WORDS else 2)
+        return batch_of([(what, p, b, _pack(*(t[at] for t in totals))) for b, at in zip(numbers.tolist(), places)])
+    added = map_groups(counted, ["kind", "p"], add, packed)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        names = ["block", "pos", "target_loss", "background_loss"]
         if not left.num_rows:
-            return pa.table({"id": pa.nulls(0, left.schema.field("id").type) if "id" in left.column_names else pa.array([], pa.int64()),
-                             "n_tokens": pa.array([], pa.int64()), "target_loss": pa.array([], pa.float64()), "background_loss": pa.array([], pa.float64())})
-        b = _Block(left, right, least)
-        of_bigrams = right.filter(pa.array(right.column("kind").to_numpy() == 1))
-        at, ok = _found(b.g, of_bigrams.column("k").to_numpy().view(np.uint64))
-        first = _firsts(b.n)
+            return pa.table({c: pa.array([], t) for c, t in zip(names, (pa.int64(), pa.int32(), pa.float64(), pa.float64()))})
+        b = _Block(left, right, parts)
+        nt, nb, ct, cb = b.totals(WORDS, b.words, 4, parts)
+        gt, gb = b.totals(BIGRAMS, b.grams, 2, parts)
+        first, some = _firsts(b.n), np.flatnonzero(b.n)
         losses = []
-        for own, n, c in ((b.nt, "nt", "ct"), (b.nb, "nb", "cb")):
-            own[at] = of_bigrams.column(n).to_numpy()[ok]
-            single = (np.where(b.known, b.counts[n], of_rare[n]) + ALPHA) / (of[n] + ALPHA * width)
-            context = np.where(b.known, b.counts[c], of_rare[c])[b.tokens]
+        for which, single, left_of, pair in (("t", nt, ct, gt), ("b", nb, cb, gb)):
+            context = left_of[b.word].astype(np.float64)
             before = np.empty(len(context))
             before[1:] = context[:-1]
-            before[first] = starts[n]
-            loss = -np.log((own[b.at] + MU * single[b.tokens]) / (before + MU))
-            total = np.concatenate([[0.0], np.cumsum(loss)])
-            ends = np.cumsum(b.n)
-            losses.append(np.where(b.n > 0, (total[ends] - total[ends - b.n]) / np.maximum(b.n, 1), np.nan))
-        return pa.table({"id": b.id, "n_tokens": pa.array(b.n),
-                         **{f"{k}_loss": pa.array(v, from_pandas=True) for k, v in zip(("target", "background"), losses)}})
-    scored = tokens.groupBy("block").cogroup(route.groupBy("block")).applyInArrow(score, schema)
-    return scored.select(F.col("id").alias(id), "n_tokens", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))
+            before[first] = starts[which]
+            even = (single + ALPHA) / (of[which] + ALPHA * width)
+            total = np.concatenate([[0.0], np.cumsum(-np.log((pair[b.gram] + MU * even[b.word]) / (before + MU)))])
+            ends = np.cumsum(b.n)[some]
+            losses.append((total[ends] - total[ends - b.n[some]]) / b.n[some])
+        return pa.table({"block": np.full(len(some), b.number, np.int64), "pos": some.astype(np.int32), "target_loss": losses[0], "background_loss": losses[1]})
+    scored = blocks.groupBy("block").cogroup(route.unionByName(added).groupBy("block")).applyInArrow(score, "block bigint, pos int, target_loss double, background_loss double")
+    out = texts.join(scored, ["block", "pos"], "left")
+    return out.select(F.col("id").alias(id), F.col("n").alias("n_tokens"), "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))

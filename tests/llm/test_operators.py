@@ -131,7 +131,7 @@ def test_lm_scores(spark, docs):
     rows = got(lm_scores(df, target))
     texts = [(r["doc_id"], (r["text"] or "").encode().lower().split()) for r in got(df)]
     all_ = Counter(w for _, x in texts for w in x)
-    vocab = {w for w, n in all_.items() if n >= max(2, 1e-5 * sum(all_.values()))}
+    vocab = {w for w, n in all_.items() if n >= 2}
     coded = [(i, [w if w in vocab else 0 for w in x]) for i, x in texts]
 
     def model(keep):
@@ -155,6 +155,7 @@ def test_lm_scores(spark, docs):
 def test_lm_scores_keep_rare_words_of_a_large_corpus(spark, monkeypatch):
     from argent.llm import lm_score
     monkeypatch.setattr(lm_score, "BLOCK", 20_000)  # many blocks, and counts that go back to several
+    monkeypatch.setattr(lm_score, "ADDED", 5_000)   # in many parts
     texts = [(i, "the of and to " * 2500 + f"word{i % 7} " * 2 + f"term{i % 15} once{i}") for i in range(40)] + [(None, "the of"), (99, ""), (98, None)]
     df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
     rows = got(lm_score.lm_scores(df, df.where("doc_id < 10").select(F.col("doc_id").alias("id"))))
@@ -182,6 +183,13 @@ def test_lm_scores_keep_rare_words_of_a_large_corpus(spark, monkeypatch):
             assert r[name] is None if v is None else abs(r[name] - v) < 1e-9
 
 
+def test_lm_scores_without_words_or_rows(spark):
+    from argent.llm.lm_score import lm_scores
+    df = spark.createDataFrame([(1, "", 0, 0), (2, None, 0, 0), (2, " \n", 0, 0)], "doc_id long, text string, block int, n int")
+    assert [(r.n_tokens, r.score) for r in lm_scores(df, df.select(F.col("doc_id").alias("id"))).collect()] == [(0, None)] * 3
+    assert lm_scores(df.limit(0), df.select(F.col("doc_id").alias("id"))).count() == 0
+
+
 @pytest.mark.parametrize("ranges", [None, 17])
 def test_drop_repeats(spark, docs, ranges):
     from argent.llm.suffix_dedup import drop_repeats
