@@ -36,6 +36,16 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def add_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], fields: list[tuple[str, str]],
                 make: Callable[[], object] | None = None) -> DataFrame:
     """Append columns computed from Arrow batches; no row moves.

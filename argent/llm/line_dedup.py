@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from argent.llm.common import KEY, row_key, without
+from argent.llm.common import KEY, row_key
 from argent.session import stored
 
 WINDOW = 3
@@ -38,8 +38,10 @@ def line_dedup(docs: DataFrame, text: str = "text", order: str = "doc_id", windo
     written; blank lines are skipped and stay. The first occurrence of a window
     by (``order``, nulls last, then row key and place) stays, and the lines
     covered by any later occurrence go, each once. Texts of fewer lines and
-    null texts stay as they are. Rows equal in ``order`` and text count as one.
-    Input columns named like the two counts are replaced.
+    null texts stay as they are; texts are taken whole, of any length. Rows
+    equal in ``order`` and text count as one. An empty table gives an empty
+    one. Input columns named like the two counts are replaced, all others come
+    back as they were, whatever their names.
 
     Only hashes, keys and line numbers are shuffled to find the windows; they
     and the repeated ones are stored, so that the texts are read once for them
@@ -47,17 +49,18 @@ def line_dedup(docs: DataFrame, text: str = "text", order: str = "doc_id", windo
     lines by a merge join at any size.
     """
     cols = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed_lines")]
-    keyed = row_key(without(docs, "n_lines", "n_removed_lines"), order, text)
-    found = stored(_windows(keyed, text, order, window), "windows")
+    # the input's columns stand in a struct, so that they clash with none of ours
+    others = F.struct(*[F.col(f"`{c}`") for c in cols if c != text]).alias("row")
+    keyed = row_key(docs.select(others, F.col(f"`{text}`").alias("text"), F.col(f"`{order}`").alias("order")), "order", "text")
+    found = stored(_windows(keyed, "text", "order", window), "windows")
     repeated = stored(found.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.max("place").alias("last"))
                       .where("first <> last").select("h1", "h2", "first"), "repeated")
     gone = (found.join(repeated, ["h1", "h2"]).where("place <> first").select(*KEY, F.explode("idx").alias("i"))
-            .groupBy(*KEY).agg(F.collect_set("i").alias("_gone")))
+            .groupBy(*KEY).agg(F.collect_set("i").alias("gone")))
     # the lines are a column of their own, so that they are split once per row
-    out = keyed.hint("merge").join(stored(gone, "gone"), list(KEY), "left").withColumn("_lines", F.split(F.col(text), "\n"))
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone")), lambda i: F.get("_lines", i))
-    return out.withColumns({
-        "n_lines": F.greatest(F.size(F.filter("_lines", _has_word)), F.lit(0)).cast("bigint"),
-        "n_removed_lines": F.greatest(F.size("_gone"), F.lit(0)).cast("bigint"),
-        text: F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")),
-    }).select(*cols, "n_lines", "n_removed_lines")
+    out = keyed.drop("order").hint("merge").join(stored(gone, "gone"), list(KEY), "left").withColumn("lines", F.split("text", "\n"))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone")), lambda i: F.get("lines", i))
+    new = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    return out.select(*[new.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in cols],
+                      F.greatest(F.size(F.filter("lines", _has_word)), F.lit(0)).cast("bigint").alias("n_lines"),
+                      F.greatest(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed_lines"))

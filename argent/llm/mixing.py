@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from argent.llm.common import WORD, without
+from argent.llm.common import WORD, fresh, without
 
 #: Weights by source in code point order, null last, repeating.
 WEIGHTS = (5, 2, 1)
@@ -46,25 +46,30 @@ def mixing_plan(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = W
                 most: int = MOST) -> DataFrame:
     """``docs`` with size, source_size, target, rate, copies and taken.
 
-    Each document is taken floor(rate) times and once more when its draw, the
-    first 52 bits of md5(seed, doc_id), is below the fraction. Equal doc_ids
-    share a draw, so reruns agree; a null doc_id draws as the empty string.
-    Null sources form one source, the last. Empty texts have size 0. Sizes per
-    source are summed map-side, and the per-source rows, as few as there are
-    sources, are joined by Spark's own choice (a hot source is split by AQE).
-    Input columns with the names of result columns are replaced.
+    Each document is taken floor(rate) times and once more when its draw is
+    below the fraction: the first 52 bits of the md5 of seed, doc_id, text and
+    the row's number among the rows equal in these and source. So rows that share an id or
+    have none draw each for itself, equal rows too, and reruns agree. Null
+    sources form one source, the last. Null and empty texts have size 0, texts
+    are counted whole, an empty table gives an empty one. Sizes per source are
+    summed map-side, and the per-source rows, as few as there are sources, are
+    joined by Spark's own choice (a hot source is split by AQE). Input columns
+    with the names of result columns are replaced, all others stay.
     """
-    docs = without(docs, "size", "source_size", "target", "rate", "copies", "taken").withColumn("size", n_words(F.col("text")))
-    per = source_targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
-    per = per.withColumnRenamed("source", "_source")
-    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
-    out = docs.join(per, docs["source"].eqNullSafe(per["_source"]), "left").drop("_source")
-    out = out.withColumn("copies", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("int")).cast("bigint"))
+    docs = without(docs, "size", "source_size", "target", "rate", "copies", "taken")
+    place = F.row_number().over(Window.partitionBy("doc_id", "source", F.xxhash64("text"), F.xxhash64(F.lit(1), "text")).orderBy(F.lit(0)))
+    said = F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit(""))), place.cast("string"))
+    draw, other = fresh(docs, "draw", "of_source")
+    docs = docs.withColumns({"size": n_words(F.col("text")), draw: F.conv(F.substring(F.md5(said), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))})
+    per = source_targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most).withColumnRenamed("source", other)
+    out = docs.join(per, docs["source"].eqNullSafe(per[other]), "left").drop(other)
+    out = out.withColumn("copies", (F.floor("rate") + (F.col(draw) < F.col("rate") - F.floor("rate")).cast("int")).cast("bigint")).drop(draw)
     return out.withColumn("taken", F.col("size") * F.col("copies"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: every document of ``docs`` as often as its plan says."""
-    cols = docs.columns
-    plan = mixing_plan(docs, **options).where("copies > 0")
-    return plan.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*cols)
+    rows = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    plan = mixing_plan(docs.select("doc_id", "text", "source", rows), **options).where("copies > 0")
+    out = plan.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -134,7 +134,7 @@ ORACLES = {
                coalesce(k.n_lines, 0)::BIGINT AS n_lines, coalesce(k.n_removed_lines, 0)::BIGINT AS n_removed_lines
         FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id""",
     "op7_mixing": r"""
-        WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+        WITH d AS (SELECT doc_id, source, md5(coalesce(text, '')) AS digest, row_number() OVER (PARTITION BY doc_id, source, text) AS place, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
         s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
         w AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1)::INT] AS weight,
                      (2 * source_size)::DOUBLE AS cap, 1.5::DOUBLE * (SELECT sum(size) FROM d)::DOUBLE AS everything FROM s),
@@ -147,7 +147,7 @@ ORACLES = {
         l AS (SELECT max(level) FILTER (level <= stop) AS level FROM stops),
         t AS (SELECT source, source_size, least(cap, coalesce(level * weight, cap)) AS target FROM w, l),
         r AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-                     ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS draw
+                     ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || digest || ':' || place), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS draw
               FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
         c AS (SELECT *, (floor(rate) + (draw < rate - floor(rate))::INT)::BIGINT AS copies FROM r)
         SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM c""",

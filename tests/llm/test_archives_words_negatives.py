@@ -328,3 +328,31 @@ def test_one_id_with_two_texts_in_either_order(spark):
     assert results[0] == results[1] == results[2] and len(results[0]) == 5
     component = {r[0]: r[2] for r in results[0]}
     assert component in ({1: 1, 2: 1, 3: 3}, {1: 1, 2: 2, 3: 2})
+
+
+# -- op3 and op7: names that clash, null and repeated ids ------------------------
+
+
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    from argent.llm.line_dedup import line_dedup
+    text = "one a\ntwo b\nthree c"
+    names = ["_gone", "_k1", "_k2", "_h", "_lines", "gone", "lines", "row", "order", "w", "idx", "place", "h1", "a.b"]
+    df = spark.createDataFrame([(i, t, *[i] * len(names)) for i, t in ((1, text), (2, f"x\n{text}"))], ["doc_id", "text", *names])
+    out = {r[0]: tuple(r) for r in line_dedup(df).collect()}
+    assert out == {1: (1, text, *[1] * len(names), 3, 0), 2: (2, "x", *[2] * len(names), 4, 3)}
+
+
+def test_mixing_meets_its_targets_with_null_and_repeated_ids(spark):
+    from argent.llm.mixing import mix, mixing_plan
+    names = ["_source", "draw", "of_source", "_copy", "copy", "row", "a.b"]
+    rows = [(None if i % 2 else 7, f"w{i % 50} " * 9, f"s{i % 3}", *[i] * len(names)) for i in range(3000)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", "source", *names]).repartition(5)
+    plan = mixing_plan(df)
+    assert set(names) <= set(plan.columns)
+    for r in plan.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect():
+        assert abs(r.taken - r.target) < 0.05 * r.target
+    again = mixing_plan(df.repartition(9))
+    total = lambda p: sorted(map(tuple, p.groupBy("doc_id", "text").agg(F.sum("copies")).collect()), key=repr)
+    assert total(plan) == total(again)
+    out = mix(df)
+    assert out.columns == df.columns and out.count() == plan.agg(F.sum("copies")).first()[0]
