@@ -161,9 +161,9 @@ class Recent(dict):
 class Encoder:
     """Encodes texts and remembers the ids of chunks and words, as 32-bit bytes, between calls."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, chunks: int = CHUNKS, words: int = WORDS):
         self.bpe = _bpe(path)
-        self.chunks, self.words = Recent(CHUNKS), Recent(WORDS)
+        self.chunks, self.words = Recent(chunks), Recent(words)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         return [x for i in range(0, len(texts), TEXTS) for x in self._encode(texts[i:i + TEXTS])]
@@ -204,12 +204,14 @@ def _bpe(path: str) -> Bpe:
     return Bpe(path)
 
 
-def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
+def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "token_ids",
+               chunks: int = CHUNKS, words: int = WORDS) -> DataFrame:
     """``docs`` with the token ids of the whole text, in a column named ``ids``
     (replaced if there). Null and empty texts have no tokens. Map-only; a task
-    remembers the ids of about CHUNKS chunks and WORDS words. ``vocabulary`` is a tokenizer
+    remembers the ids of about ``chunks`` chunks and ``words`` words, which
+    costs time or memory and changes no result. ``vocabulary`` is a tokenizer
     file that every executor has (or gets through ``spark.files``)."""
-    return add_columns(docs, lambda b, e: [_lists(e.encode(column(b, text)))], [(ids, "array<int>")], lambda: Encoder(vocabulary))
+    return add_columns(docs, lambda b, e: [_lists(e.encode(column(b, text)))], [(ids, "array<int>")], lambda: Encoder(vocabulary, chunks, words))
 
 
 def bpe_decode(df: DataFrame, vocabulary: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
