@@ -43,11 +43,14 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
-    """Token ids of each document, their number, and digests of ids and decoded text."""
+    """Token ids of each document, their number, and digests of ids and decoded text.
+
+    The executors come here with the memory of four stages, so a task remembers
+    a third of what it may."""
     if vocabulary is None:
         import public_tokenizers
         vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    out = bpe_decode(bpe_encode(docs.select("doc_id", "lang", "source", "text"), vocabulary).drop("text"), vocabulary)
+    out = bpe_decode(bpe_encode(docs.select("doc_id", "lang", "source", "text"), vocabulary, chunks=30_000, words=60_000).drop("text"), vocabulary)
     return out.select("doc_id", "lang", "source", F.size("token_ids").cast("bigint").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -61,8 +64,8 @@ STAGES = [
     ("bpe_tokens", token_stage),
 ]
 
-#: SQL has no way to express MinHash candidates and BPE merges; tests/llm holds
-#: the result against a brute-force version.
+#: SQL has no way to express MinHash candidates and BPE merges; tests/llm checks
+#: each stage's own result and holds the tokens against the library.
 ORACLE_SQL = None
 
 
