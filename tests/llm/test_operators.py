@@ -303,6 +303,141 @@ def test_main_text_keeps_articles_in_furniture(page):
     assert main_text(page).split("\n") == ["The title", *want]
 
 
+MEGA = 1 << 20
+
+
+@pytest.mark.parametrize("page, kept", [
+    ("<div>word " * (MEGA // 10), False), ("<a " * (MEGA // 3), True), ("<b>" * (MEGA // 3), True), ("<b>x<p>y" * (MEGA // 8), True),
+    ("<a b=\"c' " * (MEGA // 9), True), ("<a" * (MEGA // 2) + " '>", True), ("<article>x" * (MEGA // 10), True),
+    ("<div>" * 50_000 + "<head><body>" * 50_000, True), ("<div>" * 90_000 + "</b>" * 90_000 + "<b></div>" * 50_000, True), ("&#" + "9" * MEGA, True)])
+def test_main_text_long_malformed_pages(page, kept):
+    """Time is linear in the page, whatever it holds, and the article before it stays."""
+    import time
+    from argent.llm.html_extract import main_text
+    t = time.process_time()
+    text = main_text("<article>" + BODY + "</article>" + page)
+    assert time.process_time() - t < 15  # 9 to 20 seconds for 64 kB before
+    if kept:
+        assert text.split("\n")[:6] == re.findall(r"<p>(.*?)</p>", BODY)
+
+
+def test_tags_by_brute_force():
+    """Tokens of the scanner and of its table against a reading letter by letter."""
+    import random
+    from argent.llm.html_extract import Tags
+
+    def tokens(page, at):
+        while (at := page.find("<", at)) >= 0:
+            rest, end = page[at:], -1
+            if rest.startswith("<!--"):
+                end = page.find("-->", at + 4) + 3 if "-->" in rest[4:] else len(page)
+            elif rest[1:2] in ("!", "?"):
+                end = page.find(">", at) + 1 or -1
+            elif re.match("</?[a-z]", rest):
+                i = at + re.match("</?[a-z]", rest).end()
+                while i < len(page) and page[i] not in " />":
+                    i += 1
+                quote = None
+                while i < len(page) and end < 0:
+                    c = page[i]
+                    if quote:
+                        quote = None if c == quote else quote
+                    elif c == ">":
+                        end = i + 1
+                    elif c in "'\"":
+                        quote = c
+                    i += 1
+            if end >= 0:
+                yield at, end
+            at = max(at + 1, end)
+    rng = random.Random(5)
+    for _ in range(4000):
+        page = "".join(rng.choice(["<", "<a", "</a", "<!--", "-->", "<!", "<?", ">", "'", '"', " ", "x", "/"]) for _ in range(rng.randrange(30)))
+        for table in (False, True):
+            tags, at, found = Tags(page), 0, []
+            if table:
+                tags._table(0)
+            while token := tags.next(at):
+                found.append(token[:2])
+                at = token[1]
+            assert found == list(tokens(page, 0)), page
+
+
+def brute_main_text(page):
+    """The docstring of main_text with whole paths, element by element."""
+    import math
+    from argent.llm.html_extract import FURNITURE, HELD, LINKED, MARKED, PUNCTUATION, blocks
+    assert "header" in FURNITURE
+    chains = []
+    for leaf, text, linked in blocks(page)[0]:
+        chain = []
+        while leaf:
+            chain.insert(0, leaf)
+            leaf = leaf.up
+        chains.append((chain, text, linked))
+    size = Counter()
+    for chain, text, _ in chains:
+        for e in chain:
+            size[e] += len(text)
+    main = ("article", "main")
+    plain = not any(e.tag in main for e in size)
+
+    def counts(e, by_tag):
+        if e.holds or plain and 2 * size[e] > sum(len(t) for _, t, _ in chains) and not (by_tag and e.tag in ("nav", "footer")):
+            return False
+        return by_tag or not (e.inside and e.h1)
+    kept = [c for c in chains if not any(e.aside and counts(e, True) for e in c[0])]
+    if not kept:
+        return ""
+    whole = sum(len(t) for _, t, _ in kept)
+    paths = {}
+    for chain, text, linked in kept:
+        path = tuple((e.tag, e.marked and counts(e, False)) for e in chain)
+        paths.setdefault(path, []).append((len(text), len(PUNCTUATION.findall(text)), linked, len(text) * min(1, max([size[e] / whole for e in chain if e.tag in main], default=0))))
+    order = list(paths)
+
+    def smooth(x):
+        y = [x[0], *x, x[-1]]
+        return x if len(x) < 2 else [(y[i - 1] / 2 + y[i] + y[i + 1] / 2) / 2 for i in range(1, len(y) - 1)]
+    length = {p: sum(n for n, *_ in paths[p]) for p in order}
+    densities = smooth([length[p] / len(paths[p]) for p in order])
+    points = smooth([sum(k for _, k, *_ in paths[p]) / len(paths[p]) for p in order])
+    score, link = {}, {}
+    for p, d, k in zip(order, densities, points):
+        link[p] = 0 if p[-1:] == (("h1", False),) else sum(x[2] for x in paths[p]) / length[p]
+        score[p] = math.log1p(d) * (1 + math.log1p(k)) * (MARKED if any(m for _, m in p) else 1) * (1 - LINKED * link[p])
+    limit = sum(score[p] * length[p] for p in order) / sum(length.values()) / 2
+    weight = Counter()
+    for p in order:
+        weight[p[:-1]] += score[p] * length[p]
+    best = max(weight, key=lambda c: (weight[c], -len(c)))
+    for p in order:
+        if not any(m for _, m in p):
+            r = 1 + sum(x[3] for x in paths[p]) / length[p]
+            if best and p[:len(best)] == best and "article" not in [t for t, _ in p[len(best):]]:
+                r *= HELD
+            score[p] *= 1 + (r - 1) * (1 - link[p])
+    good = {p for p in order if score[p] >= limit}
+    return "\n".join(text for chain, text, _ in kept if tuple((e.tag, e.marked and counts(e, False)) for e in chain) in good)
+
+
+def test_main_text_by_brute_force(spark):
+    import random
+    from argent.llm.html_extract import main_text
+    pages = [r["html"] for r in spark.read.parquet(f"{SF0001}/pages.parquet").collect()]
+    rng = random.Random(11)
+    bits = ["<svg>", "<option>", "<span class='ad'>", "<b>", "</div>", "<div class='widget'>", '"', "<a href=x>", "<main>", "<h1>", "<head>", "<dialog>", "</article>", "<nav>"]
+    for page in pages:
+        tokens = re.split(r"(<[^>]*>)", page or "")
+        for _ in range(4):
+            assert main_text("".join(tokens)) == brute_main_text("".join(tokens))
+            for _ in range(5):
+                i = rng.randrange(len(tokens) + 1)
+                tokens[i:i + rng.randrange(2)] = [rng.choice(bits)]
+            if rng.random() < 0.5:
+                tokens = [t.replace("article", "div") for t in tokens]
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
     from argent.llm.mixing import mixing_plan
