@@ -44,18 +44,17 @@ class Bpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
-        self.vocab: dict[str, int] = model["vocab"]
+        vocab: dict[str, int] = model["vocab"]
         self.end = model["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = {i: t for t, i in [*self.vocab.items(), *self.special.items()]}
         letters = byte_letters()
         self.spelled = dict(enumerate(letters[:128]))
         merges = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         #: by rank: the two symbols and what they make; and the rank by pair
-        self.pairs = [(self.vocab[a], self.vocab[b], self.vocab[a + b]) for a, b in merges]
+        self.pairs = [(vocab[a], vocab[b], vocab[a + b]) for a, b in merges]
         self.ranks = {a << 20 | b: r for r, (a, b, _) in enumerate(self.pairs)}
         #: symbols of the bytes within a word, then at its end; the byte of a letter; ranks of pairs of them
-        symbols = [self.vocab[c + e] for e in ("", self.end) for c in letters]
+        symbols = [vocab[c + e] for e in ("", self.end) for c in letters]
         self.byte_symbols = np.array(symbols)
         self.byte_of = np.zeros(512, np.int64)
         self.byte_of[[ord(c) for c in letters]] = np.arange(256)
@@ -67,7 +66,8 @@ class Bpe:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pieces = regex.compile(split["pattern"]["Regex"]).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split
-        self.rules = Tokenizer.from_file(path)
+        # only the normalizer and the pre-tokenizer are asked
+        self.rules = Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "post_processor": None, "model": {"type": "BPE", "vocab": {}, "merges": []}}))
 
     def split(self, chunk: str) -> list[str | int]:
         """Pieces of a chunk, spelled in byte letters, and ids of special strings.
@@ -214,19 +214,32 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str =
     return add_columns(docs, lambda b, e: [_lists(e.encode(column(b, text)))], [(ids, "array<int>")], lambda: Encoder(vocabulary, chunks, words))
 
 
+def _decode(ids: pa.Array, tokens: pa.Array) -> pa.Array:
+    """Texts of lists of ids: the tokens joined by spaces."""
+    n = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    flat = ids.flatten()
+    inside = pc.and_kleene(pc.greater_equal(flat, 0), pc.less(flat, len(tokens)))
+    words = tokens.take(pc.if_else(inside, flat, None))
+    if words.null_count:
+        owner = np.repeat(np.arange(len(n)), n)[pc.is_valid(words).to_numpy(zero_copy_only=False)]
+        n, words = np.bincount(owner, minlength=len(n)), words.drop_null()
+    ends = pa.array(np.cumsum([0, *n], dtype=np.int32))
+    return pc.binary_join(pa.ListArray.from_arrays(ends, words), pa.scalar(" ", pa.large_string())).cast(pa.string())
+
+
 def bpe_decode(df: DataFrame, vocabulary: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
     """``df`` with the text of ``ids``: the tokens joined by spaces, special
     ones kept, as the file names no decoder. Null ids give an empty text; ids
     outside the vocabulary are left out."""
-    def run(b, tokens):
-        x = b.column(b.schema.get_field_index(ids))
-        n = pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False)
-        flat = x.flatten()
-        inside = pc.and_kleene(pc.greater_equal(flat, 0), pc.less(flat, len(tokens)))
-        words = tokens.take(pc.if_else(inside, flat, None))
-        if words.null_count:
-            owner = np.repeat(np.arange(len(n)), n)[pc.is_valid(words).to_numpy(zero_copy_only=False)]
-            n, words = np.bincount(owner, minlength=len(n)), words.drop_null()
-        ends = pa.array(np.cumsum([0, *n], dtype=np.int32))
-        return [pc.binary_join(pa.ListArray.from_arrays(ends, words), pa.scalar(" ", pa.large_string())).cast(pa.string())]
-    return add_columns(df, run, [(text, "string")], lambda: _tokens(vocabulary))
+    return add_columns(df, lambda b, tokens: [_decode(b.column(b.schema.get_field_index(ids)), tokens)], [(text, "string")], lambda: _tokens(vocabulary))
+
+
+def bpe_round_trip(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "token_ids", decoded: str = "decoded",
+                   chunks: int = CHUNKS, words: int = WORDS) -> DataFrame:
+    """:func:`bpe_decode` of :func:`bpe_encode`, in one pass: a task needs one
+    Python worker instead of two, and the ids go to the JVM once."""
+    def run(b, state):
+        encoder, tokens = state
+        found = _lists(encoder.encode(column(b, text)))
+        return [found, _decode(found, tokens)]
+    return add_columns(docs, run, [(ids, "array<int>"), (decoded, "string")], lambda: (Encoder(vocabulary, chunks, words), _tokens(vocabulary)))

@@ -240,11 +240,13 @@ def test_mixing(spark, docs):
 def test_bpe_equals_library(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer
-    from argent.llm.bpe import bpe_decode, bpe_encode
+    from argent.llm.bpe import bpe_decode, bpe_encode, bpe_round_trip
     path = public_tokenizers.path("word_bpe_49k.json")
     lib = Tokenizer.from_file(path)
     for df in (docs, real(spark)):
-        for r in got(bpe_decode(bpe_encode(df, path), path)):
+        rows = got(bpe_decode(bpe_encode(df, path), path))
+        assert Counter(map(repr, rows)) == Counter(map(repr, got(bpe_round_trip(df, path))))
+        for r in rows:
             ids = lib.encode(r["text"] or "", add_special_tokens=False).ids
             assert r["token_ids"] == ids and r["decoded"] == lib.decode(ids, skip_special_tokens=False)
 
