@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from argent.llm.common import add_columns, column
 
 #: Chunks (runs between spaces) and words whose ids a task remembers.
-CHUNKS, WORDS = 100_000, 200_000
+CHUNKS, WORDS = 400_000, 200_000
 #: Texts encoded together.
 TEXTS = 250
 #: Words merged together; bounds the arrays of the index.
@@ -235,11 +235,13 @@ def bpe_decode(df: DataFrame, vocabulary: str, ids: str = "token_ids", text: str
 
 
 def bpe_round_trip(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "token_ids", decoded: str = "decoded",
-                   chunks: int = CHUNKS, words: int = WORDS) -> DataFrame:
+                   chunks: int = CHUNKS, words: int = WORDS, with_text: bool = True) -> DataFrame:
     """:func:`bpe_decode` of :func:`bpe_encode`, in one pass: a task needs one
-    Python worker instead of two, and the ids go to the JVM once."""
+    Python worker instead of two, and the ids go to the JVM once. Without
+    ``with_text`` the column of the texts is left out."""
     def run(b, state):
         encoder, tokens = state
         found = _lists(encoder.encode(column(b, text)))
         return [found, _decode(found, tokens)]
-    return add_columns(docs, run, [(ids, "array<int>"), (decoded, "string")], lambda: (Encoder(vocabulary, chunks, words), _tokens(vocabulary)))
+    return add_columns(docs, run, [(ids, "array<int>"), (decoded, "string")], lambda: (Encoder(vocabulary, chunks, words), _tokens(vocabulary)),
+                       () if with_text else (text,))

@@ -47,22 +47,24 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 
 def add_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], fields: list[tuple[str, str]],
-                make: Callable[[], object] | None = None) -> DataFrame:
+                make: Callable[[], object] | None = None, drop: tuple[str, ...] = ()) -> DataFrame:
     """Append columns computed from Arrow batches; no row moves.
 
     ``fn(batch[, state])`` gives one array per field; ``make()`` builds a state
-    kept for the task. An input column with the name of a field is replaced.
+    kept for the task. An input column with the name of a field is replaced;
+    those named in ``drop`` are read and don't come back from the worker.
     """
     df = without(df, *[n for n, _ in fields])
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), *(f"`{n}` {t}" for n, t in fields)])
-    names = [*df.columns, *(n for n, _ in fields)]
+    back = [(i, f) for i, f in enumerate(df.schema) if f.name not in drop]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for _, f in back), *(f"`{n}` {t}" for n, t in fields)])
+    names = [*(f.name for _, f in back), *(n for n, _ in fields)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = make() if make else None
         for batch in batches:
             for part in split(batch):
                 new = fn(part, state) if make else fn(part)
-                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=names)
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i, _ in back), *new], names=names)
     return df.mapInArrow(run, schema)
 
 

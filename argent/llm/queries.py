@@ -55,7 +55,8 @@ def _vocabulary(name: str) -> str:
 
 def op8_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     from argent.llm.bpe import bpe_round_trip
-    out = bpe_round_trip(_table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary or _vocabulary("word_bpe_49k.json"))
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    out = bpe_round_trip(docs, vocabulary or _vocabulary("word_bpe_49k.json"), with_text=False)
     return out.select("doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -246,6 +246,8 @@ def test_bpe_equals_library(spark, docs):
     for df in (docs, real(spark)):
         rows = got(bpe_decode(bpe_encode(df, path), path))
         assert Counter(map(repr, rows)) == Counter(map(repr, got(bpe_round_trip(df, path))))
+        slim = got(bpe_round_trip(df, path, chunks=2, words=2, with_text=False))
+        assert Counter(map(repr, slim)) == Counter(repr({c: v for c, v in r.items() if c != "text"}) for r in rows)
         for r in rows:
             ids = lib.encode(r["text"] or "", add_special_tokens=False).ids
             assert r["token_ids"] == ids and r["decoded"] == lib.decode(ids, skip_special_tokens=False)
