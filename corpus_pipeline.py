@@ -50,7 +50,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, vocabulary: s
     if vocabulary is None:
         import public_tokenizers
         vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    out = bpe_round_trip(docs.select("doc_id", "lang", "source", "text"), vocabulary, chunks=30_000, words=60_000)
+    out = bpe_round_trip(docs.select("doc_id", "lang", "source", "text"), vocabulary, chunks=30_000, words=60_000, with_text=False)
     return out.select("doc_id", "lang", "source", F.size("token_ids").cast("bigint").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
