@@ -20,6 +20,8 @@ GRAM, CHUNK = 32, 1 << 20
 #: Share of the suffixes sampled for the splitters (1 / SAMPLE), the most that
 #: reach the driver, and suffixes of a range and of a sorted run.
 SAMPLE, MOST_SAMPLES, RANGE, RUN = 256, 20_000, 25_000, 50_000
+#: Pairs of rows compared at once.
+PAIRS = 8192
 
 _RNG = np.random.default_rng(20240607)
 _TABLE = _RNG.integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -211,6 +213,44 @@ def sorted_runs(texts: DataFrame, splitters: list[bytes], length: int) -> DataFr
     return texts.select(*KEY, "text", "places").mapInArrow(run, RUN_SCHEMA)
 
 
+def repeated_cells(text: np.ndarray, spot: np.ndarray, hashes: np.ndarray, length: int) -> np.ndarray:
+    """Which of the strings ``spot`` (row of ``text`` * (reach + 1) + bytes on the
+    left) stand in another row at the same place, byte for byte.
+
+    Equal strings share a hash. Neighbours in the order of the hashes are
+    compared, each pair of rows once for all its strings; where different
+    strings share a hash, all strings of that hash are grouped by their bytes.
+    """
+    m, size = text.shape
+    reach = size - length
+    order = np.argsort(hashes, kind="stable")
+    first = np.flatnonzero(hashes[order][1:] == hashes[order][:-1])
+    a, b = order[first], order[first + 1]
+    (row_a, left), (row_b, other) = np.divmod(spot[a], reach + 1), np.divmod(spot[b], reach + 1)
+    pairs, at = np.unique(row_a * m + row_b, return_inverse=True)
+    by_pair = np.argsort(at, kind="stable")
+    equal = np.zeros(len(first), bool)
+    for lo in range(0, len(pairs), PAIRS):
+        some = by_pair[np.searchsorted(at[by_pair], lo):np.searchsorted(at[by_pair], lo + PAIRS)]
+        x, y = np.divmod(pairs[lo:lo + PAIRS], m)
+        differ = np.zeros((len(x), size + 1), np.int32)
+        np.cumsum(text[x] != text[y], axis=1, out=differ[:, 1:])
+        start = reach - left[some]
+        equal[some] = differ[at[some] - lo, start] == differ[at[some] - lo, start + length]
+    equal &= left == other
+    hit = np.zeros(len(spot), bool)
+    hit[a[equal]] = hit[b[equal]] = True
+    if not equal.all():
+        shared = np.flatnonzero(np.isin(hashes, np.unique(hashes[a[~equal]])))
+        groups: dict[tuple[int, bytes], list[int]] = {}
+        for i in shared.tolist():
+            row, n = divmod(int(spot[i]), reach + 1)
+            groups.setdefault((n, text[row, reach - n:reach - n + length].tobytes()), []).append(i)
+        for g in groups.values():
+            hit[g] = len(g) > 1
+    return hit
+
+
 FOUND_SCHEMA = "_k1 bigint, _k2 bigint, lo bigint, hi bigint, h1 bigint, h2 bigint, open boolean"
 
 
@@ -220,7 +260,7 @@ def merge_range(table: pa.Table, splitters: list[bytes], length: int) -> pa.Reco
     For an entry with ``l`` bytes on the left taken, the string starts ``l``
     before it. Only strings whose right part is common with a neighbour in the
     sorted order are looked at; among these, equal ones (of one ``l``) are
-    repeats. Strings whose right part is also that of a splitter may repeat in
+    repeats: found by 64-bit hashes, then compared. Strings whose right part is also that of a splitter may repeat in
     another range: what is not settled here goes on as an open row, with a
     128-bit hash, and a settled string as one open row of which the rest follows.
     """
@@ -274,17 +314,16 @@ def merge_range(table: pa.Table, splitters: list[bytes], length: int) -> pa.Reco
     twice = look & many[:, None]
     spot = np.flatnonzero(look.ravel())
     flat = strings.ravel()[spot]
-    order = np.argsort(flat)
-    same = flat[order][1:] == flat[order][:-1]
-    hit = np.zeros(len(flat), bool)
-    hit[order[1:][same]] = True
-    hit[order[:-1][same]] = True
-    twice.ravel()[spot[hit]] = True
+    twice.ravel()[spot[repeated_cells(text, spot, flat, length)]] = True
     out: list[tuple] = []
-    done: set[tuple[int, int]] = set()
+    done: set[bytes] = set()
+    whole = text.tobytes()
+
+    def digest(e: int, n: int) -> bytes:
+        at = e * size + reach - n
+        return xxhash.xxh128_digest(whole[at:at + length], n)
 
-    def digest(e: int, n: int) -> tuple[int, int]:
-        d = xxhash.xxh128_digest(text[e, reach - n:reach - n + length].tobytes(), n)
+    def longs(d: bytes) -> tuple[int, int]:
         return int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)
     for e in np.flatnonzero((twice | at_edge).any(axis=1)).tolist():
         found = np.flatnonzero(twice[e])
@@ -295,10 +334,10 @@ def merge_range(table: pa.Table, splitters: list[bytes], length: int) -> pa.Reco
         for n in np.flatnonzero(at_edge[e]).tolist():
             k1, k2, p = where[e][0].tolist()
             if not twice[e, n]:
-                out.append((k1, k2, p - n, p - n + length, *digest(e, n), True))
-            elif (n, int(strings[e, n])) not in done:
-                done.add((n, int(strings[e, n])))
-                out.append((k1, k2, p - n, p - n + length, *digest(e, n), False))
+                out.append((k1, k2, p - n, p - n + length, *longs(digest(e, n)), True))
+            elif (d := digest(e, n)) not in done:
+                done.add(d)
+                out.append((k1, k2, p - n, p - n + length, *longs(d), False))
     if not out:
         return None
     types = [pa.int64()] * 6 + [pa.bool_()]

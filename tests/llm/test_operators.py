@@ -471,3 +471,20 @@ def test_empty_tables(spark, docs):
     assert near_duplicates(none).count() == drop_repeats(none).count() == 0
     assert lm_scores(none, none.select(F.col("doc_id").alias("id"))).count() == 0
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_strings_of_one_hash_are_compared():
+    """Right hashes, hashes that many strings share and one hash for all give what the bytes say."""
+    from argent.llm.suffix_dedup import repeated_cells
+    rng = np.random.default_rng(5)
+    for length, reach, m in ((6, 4, 60), (5, 3, 9000), (3, 0, 40), (6, 4, 1)):
+        text = rng.integers(97, 99, (m, reach + length)).astype(np.uint8)
+        text[m // 2:m // 2 + 3] = text[0]
+        spot = np.flatnonzero(rng.random(m * (reach + 1)) < 0.7)
+        cells = [(int(s % (reach + 1)), text[s // (reach + 1), reach - s % (reach + 1):][:length].tobytes()) for s in spot.tolist()]
+        seen = Counter(cells)
+        want = [seen[c] > 1 for c in cells]
+        right = np.array([hash(c) for c in cells], np.int64).view(np.uint64)
+        for hashes in (right, right % np.uint64(7), np.zeros(len(spot), np.uint64)):
+            assert repeated_cells(text, spot, hashes, length).tolist() == want
+    assert repeated_cells(text, np.zeros(0, np.int64), np.zeros(0, np.uint64), length).tolist() == []
