@@ -21,7 +21,7 @@ GRAM, CHUNK = 32, 1 << 20
 #: reach the driver, and suffixes of a range and of a sorted run.
 SAMPLE, MOST_SAMPLES, RANGE, RUN = 256, 20_000, 25_000, 50_000
 #: Pairs of rows compared at once.
-PAIRS = 8192
+PAIRS = 1024
 
 _RNG = np.random.default_rng(20240607)
 _TABLE = _RNG.integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -230,8 +230,9 @@ def repeated_cells(text: np.ndarray, spot: np.ndarray, hashes: np.ndarray, lengt
     pairs, at = np.unique(row_a * m + row_b, return_inverse=True)
     by_pair = np.argsort(at, kind="stable")
     equal = np.zeros(len(first), bool)
-    for lo in range(0, len(pairs), PAIRS):
-        some = by_pair[np.searchsorted(at[by_pair], lo):np.searchsorted(at[by_pair], lo + PAIRS)]
+    ends = np.searchsorted(at[by_pair], np.arange(0, len(pairs) + PAIRS, PAIRS)).tolist()
+    for lo, i, j in zip(range(0, len(pairs), PAIRS), ends, ends[1:]):
+        some = by_pair[i:j]
         x, y = np.divmod(pairs[lo:lo + PAIRS], m)
         differ = np.zeros((len(x), size + 1), np.int32)
         np.cumsum(text[x] != text[y], axis=1, out=differ[:, 1:])
