@@ -416,7 +416,8 @@ GROUP_OF = {"order_headers": "erp", "order_lines": "erp", "addresses": "erp", "c
             "incidents": "crm", "interactions": "crm", "surveys": "crm", "campaigns": "marketing"}
 RULES = {"erp": (60, 240), "crm": (60, 240), "marketing": (1440, 2880)}
 _HEADERS_J4 = merge_sql("order_headers", window=True)
-_CUR_PARENT = "select CUSTOMER_ID from h1 where is_current = true"
+_CUR_PARENT = "select CUSTOMER_ID from h2 where is_current = true"
+_CUR_PARENT1 = "select CUSTOMER_ID from h1 where is_current = true"
 
 ORACLES.update({
     "a2_duplicate_groups": f"""select ORDER_ID, count(*) as n_records from ({_HEADERS_J4}) m
@@ -447,12 +448,12 @@ ORACLES.update({
     "d8_valid_email": _row_check(FIXTURES["customers"], "customers",
                                  [("valid_email_email", "EMAIL", "error",
                                    f"EMAIL is not null and not regexp_matches(EMAIL, '{_re(EMAIL_TEST_RE)}')")]),
-    "j1_orphans": f"""{CUST_HIST1} select child.ORDER_ID, child.CUSTOMER_ID from ({model_build('order_headers')}) child
+    "j1_orphans": f"""{CUST_HIST2} select child.ORDER_ID, child.CUSTOMER_ID from ({model_build('order_headers')}) child
         left join ({_CUR_PARENT}) parent on child.CUSTOMER_ID = parent.CUSTOMER_ID
         where child.CUSTOMER_ID is not null and parent.CUSTOMER_ID is null""",
     "d9_references": f"""{CUST_HIST1} select {_res('references_customer_id', 'order_headers', 'CUSTOMER_ID', 'error', 'f')[7:]}
         from (select count(*) as f from ({model_build('order_headers')}) child
-        left join ({_CUR_PARENT}) parent on child.CUSTOMER_ID = parent.CUSTOMER_ID
+        left join ({_CUR_PARENT1}) parent on child.CUSTOMER_ID = parent.CUSTOMER_ID
         where child.CUSTOMER_ID is not null and parent.CUSTOMER_ID is null) y""",
     "a3_freshness": _fresh("interactions", FIXTURES["interactions"], 60, 240, "2024-01-31 01:30:00"),
     "d10_freshness": " union all ".join(_fresh(n, FIXTURES[n], *RULES[g], "2024-01-31 03:00:00")

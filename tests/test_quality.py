@@ -47,3 +47,25 @@ def test_row_checks_single_aggregate(spark):
     res = dq.row_checks(df, [dq.not_null("a"), dq.positive("b"), dq.in_range("a", 0, 3)], "t")
     plan = res._jdf.queryExecution().executedPlan().toString()
     assert plan.count("HashAggregate") <= 2   # one partial + one final
+
+
+def _orders_of(spark, at, customers, buyers):
+    """A folder with customers of these keys and one order of each buyer, not divisible by 11 (deleted)."""
+    day = dt.datetime(2001, 1, 1)
+    spark.createDataFrame([(k, f"Customer#{k}", 1, 1.0, "BUILDING") for k in customers],
+                          "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string") \
+        .write.parquet(f"{at}/customer.parquet")
+    spark.createDataFrame([(k, b, "O", 10.0, day, "LOW") for k, b in buyers],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+                          "o_orderpriority string").write.parquet(f"{at}/orders.parquet")
+    return str(at)
+
+
+# 9 comes with run 2, 19 comes late too, 38 goes in run 2 and keeps a current row that marks it; 99 was never there.
+HELD, BUYERS = (1, 5, 9, 19, 38), [(1, 1), (2, 5), (4, 9), (5, 19), (7, 38), (8, 99), (10, None)]
+
+
+def test_orphan_query_looks_at_the_history_of_both_runs(spark, tmp_path):
+    from argent.plans.catalog import QUERIES
+    at = _orders_of(spark, tmp_path, HELD, BUYERS)
+    assert [tuple(r) for r in QUERIES["j1_orphans"](spark, at).collect()] == [(8, 99)]
