@@ -69,3 +69,10 @@ def test_orphan_query_looks_at_the_history_of_both_runs(spark, tmp_path):
     from argent.plans.catalog import QUERIES
     at = _orders_of(spark, tmp_path, HELD, BUYERS)
     assert [tuple(r) for r in QUERIES["j1_orphans"](spark, at).collect()] == [(8, 99)]
+
+
+def test_reference_query_looks_at_the_history_of_both_runs(spark, tmp_path):
+    from argent.plans.catalog import QUERIES
+    at = _orders_of(spark, tmp_path, HELD, BUYERS)
+    got = QUERIES["d9_references"](spark, at).first()
+    assert (got.failures, got.status) == (1, "error")
