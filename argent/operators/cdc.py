@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from argent.functions.exprs import CHANGE_RETENTION_DAYS, as_of_ts, days_ago
+from argent.operators.merge import deal_buckets
 from argent.operators.staging import DELETED, SYNCED, dedup_latest
 from argent.session import stored
 
@@ -43,7 +44,7 @@ def change_batch(changes: DataFrame, key: str, seq_col: str, op_col: str = OP, a
 
 
 def apply_change_batch(target: Optional[DataFrame], batch: DataFrame, key: str,
-                       bucket_col: Optional[str] = None) -> DataFrame:
+                       bucket_col: Optional[str] = None, pieces: int = 1, num_partitions: Optional[int] = None) -> DataFrame:
     """Apply a :func:`change_batch` (one row per key) to the bronze rows.
 
     Per key, with ``c`` = the change and ``t`` = the bronze row:
@@ -53,7 +54,7 @@ def apply_change_batch(target: Optional[DataFrame], batch: DataFrame, key: str,
 
     Target and batch rows are unioned and meet in one window per key: a
     single shuffle, partitioned by the storage bucket when ``bucket_col`` is
-    given (the bucket is a function of the key).
+    given (the bucket is a function of the key), each in ``pieces`` parts.
     """
     cols = [c for c in batch.columns if c not in (OP, bucket_col)]
     if target is None:
@@ -62,13 +63,14 @@ def apply_change_batch(target: Optional[DataFrame], batch: DataFrame, key: str,
     t = target.select(*cols, *extra, F.lit(0).alias("_side"), F.lit(None).cast("string").alias(OP))
     b = batch.select(*cols, *extra, F.lit(1).alias("_side"), F.col(OP))
     u = t.unionByName(b)
-    if bucket_col:
-        u = u.repartition(bucket_col)
     # A NULL key matches nothing: each such row gets its own window group
     # (spread by a row hash), so many of them never form one hot group.
     nk = F.when(F.col(key).isNotNull(), F.lit(0)).otherwise(F.xxhash64(*[F.col(c) for c in cols], F.col("_side")))
+    dealt = []
+    if bucket_col:
+        u, dealt = deal_buckets(u, bucket_col, [key, nk], pieces, num_partitions)
     u = u.withColumn("_nk", nk)
-    w = Window.partitionBy(*extra, key, "_nk")
+    w = Window.partitionBy(*dealt, key, "_nk")
     chg = F.max(F.when(F.col("_side") == 1, F.struct(*[F.col(c) for c in cols], F.col(OP)))).over(w)
     has_t = F.max(F.col("_side") == 0).over(w)
     u = u.withColumn("_c", chg).withColumn("_has_t", has_t)
@@ -99,7 +101,7 @@ def apply_changes_to_table(spark, path: str, changes: DataFrame, key: str, seq_c
 
     batch = change_batch(changes, key, seq_col, op_col, as_of)
     return merge_upsert(spark, path, batch, key, num_buckets=num_buckets,
-                        combine=lambda tgt, staged: apply_change_batch(tgt, staged, key, BUCKET),
+                        combine=lambda tgt, staged, **dealt: apply_change_batch(tgt, staged, key, BUCKET, **dealt),
                         create=lambda b: b.drop(OP))
 
 

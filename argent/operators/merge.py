@@ -15,8 +15,9 @@ Semantics (a SQL ``MERGE`` on the business key):
 Physical shape: the target rows and the batch rows are unioned and meet in one
 window per key, so the merge costs a single shuffle. With ``bucket_col`` the
 union is hash-partitioned by the storage bucket, which also satisfies the
-per-key window (bucket is a function of the key) and leaves every bucket in
-exactly one task for the write that follows. Keys are unique in the target and
+per-key window (bucket is a function of the key) and leaves few buckets in
+each task for the write that follows; a bucket too large for one task is dealt
+to several by the hash of the key (``pieces``). Keys are unique in the target and
 in the batch, so no window group is large. Rows with a NULL key get their own
 window groups (spread by a row hash) in the same pass and come out unchanged.
 """
@@ -33,6 +34,7 @@ from argent.functions.exprs import LOOKBACK_DAYS, days_ago
 
 _SIDE = "_m_side"
 _ELIG = "_m_elig"
+_PIECE = "_m_piece"
 
 
 def evolve_append(target_cols: Sequence[str], batch_cols: Sequence[str]) -> list:
@@ -52,16 +54,28 @@ def recent_match(days: int = LOOKBACK_DAYS, as_of=None, col: str = AUDIT_SYNC) -
     return F.col(col) >= days_ago(days, as_of)
 
 
+def deal_buckets(df: DataFrame, bucket_col: str, by: Sequence[Union[str, Column]], pieces: int = 1,
+                 num_partitions: Optional[int] = None) -> tuple:
+    """``df`` partitioned by the bucket, each bucket in ``pieces`` parts by the
+    hash of ``by``, and the columns that a window by key has to start with."""
+    cols = [bucket_col]
+    if pieces > 1:
+        df = df.withColumn(_PIECE, F.pmod(F.hash(*by), F.lit(pieces)))
+        cols.append(_PIECE)
+    return (df.repartition(num_partitions, *cols) if num_partitions else df.repartition(*cols)), cols
+
+
 def merge_frames(target: DataFrame, batch: DataFrame, keys: Union[str, Sequence[str]],
                  exclude_update: Sequence[str] = (AUDIT_LOAD,), match_cond: Optional[Column] = None,
                  bucket_col: Optional[str] = None, num_partitions: Optional[int] = None,
-                 guard_col: Optional[str] = None) -> DataFrame:
+                 guard_col: Optional[str] = None, pieces: int = 1) -> DataFrame:
     """Return the target after merging ``batch`` (one row per key) into it.
 
     ``guard_col`` (a sequence column such as the sync time) makes the merge
     safe to replay and order-independent: a matched target row is updated
     only when the batch value is not older than the stored one; an older
     batch row is dropped. A NULL value is the newest, as in the dedup (W1).
+    ``pieces`` is the number of tasks that a bucket is dealt to.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     types = {f.name: f.dataType for f in target.schema.fields}
@@ -78,8 +92,6 @@ def merge_frames(target: DataFrame, batch: DataFrame, keys: Union[str, Sequence[
         .withColumn(_ELIG, F.coalesce(match_cond, F.lit(False)) if match_cond is not None else F.lit(True))
     s = _align(batch, cols, types).withColumn(_SIDE, F.lit(1)).withColumn(_ELIG, F.lit(False))
     u = t.unionByName(s)
-    if bucket_col:
-        u = u.repartition(num_partitions, bucket_col) if num_partitions else u.repartition(bucket_col)
 
     has_key = F.lit(True)
     for k in keys:
@@ -88,9 +100,12 @@ def merge_frames(target: DataFrame, batch: DataFrame, keys: Union[str, Sequence[
     # by a row hash so that many of them do not form one hot group) and
     # pass through unchanged, in the same pass as the keyed rows.
     nk = F.when(has_key, F.lit(0)).otherwise(F.xxhash64(*[F.col(c) for c in cols], F.col(_SIDE)))
+    dealt = []
+    if bucket_col:
+        u, dealt = deal_buckets(u, bucket_col, [*keys, nk], pieces, num_partitions)
     u = u.withColumn("_m_nk", nk).withColumn("_m_haskey", has_key)
 
-    w = Window.partitionBy(*([bucket_col] if bucket_col else []), *keys, "_m_nk")
+    w = Window.partitionBy(*dealt, *keys, "_m_nk")
     src_fields = update_cols + ([guard_col] if guard_col and guard_col not in update_cols else [])
     src = F.max(F.when(F.col(_SIDE) == 1, F.struct(*[F.col(c) for c in src_fields]))).over(w)
     n_elig = F.sum(F.when((F.col(_SIDE) == 0) & F.col(_ELIG), 1).otherwise(0)).over(w)

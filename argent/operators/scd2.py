@@ -226,7 +226,7 @@ def snapshot(spark, path: str, source: DataFrame, key: str, as_of=None, updated_
         schema = described(out.schema)
         bucket = bucket_expr(hashed_keys(schema, [key]), layout["buckets"])
         out = out.withColumn(PART, F.concat(F.lit("c"), bucket.cast("string")))
-        commit(out.repartition(PART), path, None, schema, layout, PART)
+        commit(out.hint("rebalance", PART), path, None, schema, layout, PART)
         return {"mode": "create", "buckets": layout["buckets"]}
 
     # the source columns of the table after this run, with types that hold both
@@ -251,8 +251,8 @@ def snapshot(spark, path: str, source: DataFrame, key: str, as_of=None, updated_
     current = read_folders(spark, table, parts.__contains__).drop(PART)
     out = scd2_apply(current, source, key, as_of, updated_col, soft_delete_as_delete)
     part = F.when(F.col("is_current"), F.concat(F.lit("c"), bucket_of(out.schema).cast("string"))).otherwise(F.lit(CLOSED))
-    # a bucket's versions in one task; a bucket is as large as the first build's size allows
-    out = out.withColumn(_K, bucket_of(out.schema)).repartition(_K).drop(_K)
+    # a bucket's versions together, a large bucket split over tasks
+    out = out.withColumn(_K, bucket_of(out.schema)).hint("rebalance", _K).drop(_K)
     commit(out.withColumn(PART, part).select(*table.schema.fieldNames(), PART), path, table, table.schema, table.layout, PART,
            replaces=parts.__contains__)
     return {"mode": "snapshot", "buckets": len(touched)}

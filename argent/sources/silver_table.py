@@ -62,6 +62,8 @@ RANGE_META = "argent.range_width"
 NULL_KEY_SPREAD = 1024                    # range buckets -1..-1024 hold rows with a NULL key
 TARGET_BUCKET_BYTES = 512 * 1024 * 1024
 DAY_BYTES = 64 * 1024 * 1024
+TASK_ROWS = 250_000                       # rows that a task of a merge sorts, and the bytes of files they come from
+TASK_BYTES = 64 * 1024 * 1024
 UNKNOWN_BYTES = 1 << 60                   # Spark's estimate for a plan it knows nothing of is beyond
 
 
@@ -90,6 +92,18 @@ def first_buckets(df: DataFrame) -> int:
     return DEFAULT_BUCKETS if size is None else buckets_for(size)
 
 
+def merge_shares(target: DataFrame, staged: DataFrame, n_rows: int, n_buckets: int) -> Dict:
+    """Into how many pieces a merge deals each of ``n_buckets``, so that a piece
+    holds about TASK_ROWS rows however large the table is, and the partitions
+    for it where they are more than the session's: four for a piece, so that
+    few pieces meet in one. The rows of the target are counted from the
+    footers of its files."""
+    sizes = [input_bytes(target), input_bytes(staged)]
+    tasks = max(-(-(target.count() + n_rows) // TASK_ROWS), -(-sum(s or 0 for s in sizes) // TASK_BYTES))
+    usual = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return {"pieces": max(1, -(-tasks // n_buckets)), "num_partitions": 4 * tasks if 4 * tasks > usual else None}
+
+
 def range_width_for(df: DataFrame, key: str) -> Optional[int]:
     """Keys per range bucket of a first build: the span of the keys over the
     bucket count for its size (one pass over the key column; None without keys)."""
@@ -498,8 +512,8 @@ def write_table(df: DataFrame, path: str, keys: Union[str, Sequence[str]], num_b
     ``path`` held, with one folder per bucket (or day).
 
     The bucket count comes from the size of what ``df`` reads unless given.
-    ``repartition(bucket)`` puts each bucket in one task; days are dealt by
-    Spark's rebalancing, so a large day is split.
+    Buckets and days are dealt by Spark's rebalancing, so small ones share a
+    task and a large one is split.
     """
     spark = df.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -507,7 +521,7 @@ def write_table(df: DataFrame, path: str, keys: Union[str, Sequence[str]], num_b
     layout = _first_layout(df, keys, num_buckets, range_width, day_unit)
     if day_unit:
         return commit(df.withColumn(DAY, day_of(layout)).hint("rebalance", DAY), path, before, df.schema, layout, DAY, applied=applied, comment=comment)
-    return commit(with_bucket(df, keys, layout).repartition(BUCKET), path, before, df.schema, layout, applied=applied, comment=comment)
+    return commit(with_bucket(df, keys, layout).hint("rebalance", BUCKET), path, before, df.schema, layout, applied=applied, comment=comment)
 
 
 def stage(df: DataFrame, spark: SparkSession, name: str = "stage") -> DataFrame:
@@ -526,8 +540,9 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
                  range_width: Optional[int] = None, window_from=None, day_unit: str = "day", applied: Optional[tuple] = None, comment: Optional[str] = None) -> dict:
     """Upsert ``batch`` (one row per key) into the table at ``path``.
 
-    ``combine(target_buckets, staged_batch)`` replaces the default merge
-    (both carry the bucket column; the result must too); ``create(batch)``
+    ``combine(target_buckets, staged_batch, pieces=, num_partitions=)``
+    replaces the default merge (both carry the bucket column; the result must
+    too; the last two are those of :func:`merge_shares`); ``create(batch)``
     shapes the batch of a first write. ``window_from`` is the time from which
     ``match_cond`` matches: a first build then lays the table out by sync time,
     a folder for each ``day_unit`` (:func:`day_unit_for`), and a merge into such
@@ -561,10 +576,11 @@ def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Union[s
     touched, n_rows = {str(b) for b in seen["buckets"] or []}, seen["rows"]
     if n_rows:
         target = read_folders(spark, table, touched.__contains__)
+        dealt = merge_shares(target, staged, n_rows, len(touched))
         if combine is not None:
-            merged = combine(target, staged)
+            merged = combine(target, staged, **dealt)
         else:
-            merged = merge_frames(target, staged, keys, exclude_update, match_cond, bucket_col=BUCKET, guard_col=guard_col)
+            merged = merge_frames(target, staged, keys, exclude_update, match_cond, bucket_col=BUCKET, guard_col=guard_col, **dealt)
         commit(merged.select(*schema.fieldNames(), BUCKET), path, table, schema, table.layout, replaces=touched.__contains__,
                high_water=_merged_high_water(spark, table, touched.__contains__), applied=applied)
     remove_path(spark, staged.stage_path)

@@ -396,3 +396,62 @@ def test_guard_treats_a_null_time_as_the_newest(spark):
     src = spark.createDataFrame([(1, "null", None, L1), (2, "timed", L1, L1), (3, "null2", None, L1)], S)
     out = merge_frames(tgt, src, "k", guard_col="_bronze_sync_timestamp")
     assert rows(out, "k", "v") == [(1, "null"), (2, "null"), (3, "null2")]
+
+
+def _largest_file(spark, path):
+    """Rows of the fullest live file of a table."""
+    from argent.sources.silver_table import open_table, read_folders
+    return read_folders(spark, open_table(spark, path)).groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+
+
+def _with_loose_rows(spark, first, last, tag):
+    """Keyed rows, and rows without a key, some of them equal."""
+    loose = spark.range(200).select(F.lit(None).cast("bigint").alias("k"), (F.col("id") % 150).cast("string").alias("v"))
+    more = [F.lit(c).cast("timestamp_ntz").alias(n) for n, c in (("_bronze_sync_timestamp", L0), ("_silver_load_timestamp", L0))]
+    return _batch(spark, first, last, tag).unionByName(loose.select("*", *more), allowMissingColumns=True)
+
+
+def test_a_large_bucket_is_merged_by_several_tasks(spark, monkeypatch):
+    from argent.sources import silver_table as sink
+    a, b = work_dir(spark, "t-merge-deal"), work_dir(spark, "t-merge-whole")
+    for p in (a, b):
+        write_table(_with_loose_rows(spark, 0, 4000, "base"), p, "k", 1)
+    merge_upsert(spark, b, _with_loose_rows(spark, 3000, 6000, "upd"), "k")
+    monkeypatch.setattr(sink, "TASK_ROWS", 500, raising=False)
+    merge_upsert(spark, a, _with_loose_rows(spark, 3000, 6000, "upd"), "k")
+    out = rows(read_table(spark, a))
+    assert out == rows(read_table(spark, b)) and len(out) == 6000 + 400
+    assert _largest_file(spark, a) < 2000
+
+
+def test_a_large_bucket_of_changes_is_applied_by_several_tasks(spark, monkeypatch):
+    from argent.operators.cdc import OP, apply_changes_to_table
+    from argent.sources import silver_table as sink
+    a, b = work_dir(spark, "t-cdc-deal"), work_dir(spark, "t-cdc-whole")
+
+    def changes(first, last, op):
+        return spark.range(first, last).select(F.col("id").alias("k"), F.concat(F.lit(op), F.col("id").cast("string")).alias("v"),
+                                               F.lit(1).alias("_seq"), F.lit(op).alias(OP))
+    for p in (a, b):
+        apply_changes_to_table(spark, p, changes(0, 4000, "I"), "k", "_seq", as_of="2024-01-01 00:00:00", num_buckets=1)
+        if p == b:
+            monkeypatch.undo()
+        else:
+            monkeypatch.setattr(sink, "TASK_ROWS", 500, raising=False)
+        for first, last, op in ((3000, 6000, "U"), (500, 700, "D")):
+            apply_changes_to_table(spark, p, changes(first, last, op), "k", "_seq", as_of="2024-01-02 00:00:00")
+    out = rows(read_table(spark, a))
+    assert out == rows(read_table(spark, b)) and len(out) == 6000
+    assert _largest_file(spark, a) < 2000
+
+
+def test_a_large_bucket_of_a_first_build_is_written_by_several_tasks(spark, monkeypatch):
+    was = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
+    try:
+        p = work_dir(spark, "t-build-deal")
+        write_table(spark.range(0, 40000, 1, 16).select(F.col("id").alias("k"), F.md5(F.col("id").cast("string")).alias("v")), p, "k", 1)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", was)
+    assert read_table(spark, p).distinct().count() == 40000
+    assert _largest_file(spark, p) < 20000
