@@ -71,7 +71,7 @@ UNKNOWN_BYTES = 1 << 60                   # Spark's estimate for a plan it knows
 # Bucket counts
 # ---------------------------------------------------------------------------
 def buckets_for(total_bytes: int, target_bytes: int = TARGET_BUCKET_BYTES, minimum: int = 8) -> int:
-    """Bucket count for a table of ``total_bytes`` (one task and one file per
+    """Bucket count for a table of ``total_bytes`` (about one file per
     bucket per write): a power of two near ``total / target``. A 100 TB
     table at 512 MB per bucket gets 2^18 buckets."""
     n = max(minimum, -(-int(total_bytes) // int(target_bytes)))
