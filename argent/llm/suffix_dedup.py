@@ -6,20 +6,28 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from argent.llm.common import KEY, add_columns, column, map_groups, row_key
+from argent.llm.common import KEY, add_columns, column, row_key, split
 from argent.session import stored
 
 #: Bytes of the strings that choose the sorted suffixes, and of a hashing chunk.
 GRAM, CHUNK = 32, 1 << 20
-#: Share of the suffixes sampled for the splitters (1 / SAMPLE), the most that
-#: reach the driver, and suffixes of a range and of a sorted run.
+#: Share of the suffixes sampled for the splitters (1 / SAMPLE), about the most
+#: that reach the driver, and suffixes of a range and of a sorted run.
 SAMPLE, MOST_SAMPLES, RANGE, RUN = 256, 20_000, 25_000, 50_000
+#: Samples of a range that reach the driver even where they are more than MOST_SAMPLES.
+RANGE_SAMPLES = 16
+#: Merged entries that are looked through together, strings hashed at once, and
+#: rows of a batch that a range returns.
+BLOCK, CELLS, OUT_ROWS = 2048, 400_000, 50_000
+#: Rows of a batch of sorted runs.
+RUN_ROWS = 200
 #: Pairs of rows compared at once.
 PAIRS = 1024
 
@@ -27,6 +35,8 @@ _RNG = np.random.default_rng(20240607)
 _TABLE = _RNG.integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
+#: Suffixes whose number is below this are sampled.
+SAMPLED = (1 << 64) // SAMPLE
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -166,6 +176,15 @@ def merged(runs: list[Iterator[tuple[bytes, int]]]) -> Iterator[tuple[int, bytes
             node //= 2
 
 
+def scattered(places: np.ndarray, key: int) -> np.ndarray:
+    """A 64-bit number for each place of a text that looks drawn at random."""
+    x = places.astype(np.uint64) * np.uint64(_BASE) + np.uint64(key & (1 << 64) - 1)
+    for _ in range(2):
+        x ^= x >> np.uint64(32)
+        x *= _MIX
+    return x ^ (x >> np.uint64(29))
+
+
 def _packed(x, dtype) -> bytes:
     return np.asarray(x, dtype).tobytes()
 
@@ -183,7 +202,7 @@ def sorted_runs(texts: DataFrame, splitters: list[bytes], length: int) -> DataFr
             entries = sorted(held)
             at = 0
             for r in range(len(splitters) + 1):
-                to = bisect_left(entries, (splitters[r], -1, -1)) if r < len(splitters) else len(entries)
+                to = bisect_left(entries, (splitters[r],)) if r < len(splitters) else len(entries)
                 part = entries[at:to]
                 at = to
                 if part:
@@ -194,22 +213,24 @@ def sorted_runs(texts: DataFrame, splitters: list[bytes], length: int) -> DataFr
                            _packed(k1, np.int64), _packed(k2, np.int64), _packed(place, np.int64))
             held.clear()
 
-        def batch_of(rows):
+        def batches_of(rows):
             types = [pa.int32()] + [pa.binary()] * 7
             names = [x.split()[0] for x in RUN_SCHEMA.split(", ")]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+            while some := list(islice(rows, RUN_ROWS)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), types)], names=names)
         n = 0
         for batch in batches:
-            for k1, k2, text, places in zip(*(column(batch, c) for c in (*KEY, "text", "places"))):
-                raw = text.encode()
-                for p in places:
-                    held.setdefault(suffix(raw, p, length), []).append((k1, k2, p))
-                n += len(places)
-                if n >= RUN:
-                    yield batch_of(list(flush()))
-                    n = 0
+            for part in split(batch):
+                for k1, k2, text, places in zip(*(column(part, c) for c in (*KEY, "text", "places"))):
+                    raw = text.encode()
+                    for p in places:
+                        held.setdefault(suffix(raw, p, length), []).append((k1, k2, p))
+                    n += len(places)
+                    if n >= RUN:
+                        yield from batches_of(flush())
+                        n = 0
         if held:
-            yield batch_of(list(flush()))
+            yield from batches_of(flush())
     return texts.select(*KEY, "text", "places").mapInArrow(run, RUN_SCHEMA)
 
 
@@ -255,95 +276,181 @@ def repeated_cells(text: np.ndarray, spot: np.ndarray, hashes: np.ndarray, lengt
 FOUND_SCHEMA = "_k1 bigint, _k2 bigint, lo bigint, hi bigint, h1 bigint, h2 bigint, open boolean"
 
 
-def merge_range(table: pa.Table, splitters: list[bytes], length: int) -> pa.RecordBatch | None:
+def _found(k1, k2, lo, hi, h1=None, h2=None, open_=None) -> pa.RecordBatch:
+    """A batch of FOUND_SCHEMA; without hashes, settled spans."""
+    n = len(lo)
+    long, none = pa.int64(), pa.nulls(n, pa.int64())
+    cols = [pa.array(k1, long), pa.array(k2, long), pa.array(lo, long), pa.array(hi, long), none if h1 is None else pa.array(h1, long),
+            none if h2 is None else pa.array(h2, long), pa.array(np.zeros(n, bool) if open_ is None else open_, pa.bool_())]
+    return pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in FOUND_SCHEMA.split(", ")])
+
+
+def common_with(keys: np.ndarray, splitter: bytes) -> np.ndarray:
+    """Length of the prefix that each row of ``keys`` has in common with a
+    splitter, one less than the splitter at most: a key that begins with all of
+    it is on its right, and so is every other such key."""
+    n = len(splitter) - 1
+    differ = np.ones((len(keys), n + 1), bool)
+    np.not_equal(keys[:, :n], np.frombuffer(splitter, np.uint8)[:n], out=differ[:, :n])
+    return differ.argmax(axis=1).astype(np.int32)
+
+
+def block_repeats(keys: list[bytes], lcps: list[int], sides: list[list[int]], places: np.ndarray, counts: np.ndarray, edges: list[bytes],
+                  length: int) -> Iterator[pa.RecordBatch]:
+    """Starts of repeated strings of neighbouring entries of a range.
+
+    ``lcps`` are the common prefixes with the entry before, ``places`` the rows
+    (key, key, place) of all entries, of which ``counts`` says how many each has.
+    The strings are hashed and compared by slices of their bytes on the left;
+    equal ones have as many, so that a slice needs no other.
+    """
+    size, reach, m = 2 * length - GRAM, length - GRAM, len(keys)
+    both, many, first = np.array(sides, np.int32), counts > 1, np.cumsum(counts) - counts
+    near = np.array([0, *lcps[1:], 0], np.int32)
+    near = np.maximum(near[:-1], near[1:])
+    text = np.frombuffer(b"".join(keys), np.uint8).reshape(m, size)
+    edge = np.zeros(m, np.int32)
+    for e in edges:
+        np.maximum(edge, common_with(text, e), out=edge)
+    text = np.concatenate([text[:, length:][:, ::-1], text[:, :length]], axis=1)  # as it stands in the document
+    whole = memoryview(text).cast("B")
+
+    def digest(e: int, n: int) -> tuple[int, int]:
+        at = e * size + reach - n
+        d = xxhash.xxh128_digest(whole[at:at + length], n)
+        return int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)
+    # hashes of all strings, rolled from the leftmost to the rightmost start
+    base, top = np.uint64(_BASE), np.uint64(pow(_BASE, length - 1, 1 << 64))
+    h = np.zeros(m, np.uint64)
+    for i in range(length):
+        h = h * base + _TABLE[text[:, i]]
+    twice = np.zeros((m, reach + 1), bool)
+    step = max(1, CELLS // m)
+    for start in range(0, reach + 1, step):
+        l = reach - np.arange(start, min(reach + 1, start + step))
+        strings = np.empty((m, len(l)), np.uint64)
+        for i, left in enumerate(l.tolist()):
+            at = reach - left
+            strings[:, i] = h * _MIX + np.uint64(left)
+            if left:
+                h = (h - _TABLE[text[:, at]] * top) * base + _TABLE[text[:, at + length]]
+        valid = (length - l[None] <= both[:, :1]) & (l[None] <= both[:, 1:])
+        look = valid & ((length - l[None] <= near[:, None]) | many[:, None])
+        row, i = np.nonzero(look)
+        hit = repeated_cells(text, row * (reach + 1) + l[i], strings[row, i], length) | many[row]
+        twice[row[hit], l[i[hit]]] = True
+        del strings, look, row, i, hit
+        if not edge.any():
+            continue
+        row, i = np.nonzero(valid & (length - l[None] <= edge[:, None]))
+        n, settled = l[i], twice[row, l[i]]
+        done: set[tuple[int, int]] = set()
+        for lo in range(0, len(row), OUT_ROWS):
+            some = []
+            for e, left, s in zip(row[lo:lo + OUT_ROWS].tolist(), n[lo:lo + OUT_ROWS].tolist(), settled[lo:lo + OUT_ROWS].tolist()):
+                d = digest(e, left)
+                if not s:
+                    some.append((e, left, *d, True))
+                elif d not in done:
+                    done.add(d)
+                    some.append((e, left, *d, False))
+            if some:
+                e, left, h1, h2, open_ = zip(*some)
+                k1, k2, p = places[first[list(e)]].T
+                p = p - np.array(left)
+                yield _found(k1, k2, p, p + length, h1, h2, open_)
+    edged = np.zeros((m, reach + 3), np.int8)
+    edged[:, 1:-1] = twice
+    edged = np.diff(edged, axis=1)
+    row, least = np.nonzero(edged == 1)  # runs of repeated strings, by their bytes on the left
+    most = np.nonzero(edged == -1)[1] - 1
+    n = counts[row]
+    ends = np.cumsum(n)
+    for lo in range(0, int(ends[-1]) if len(ends) else 0, OUT_ROWS):
+        which = np.arange(lo, min(lo + OUT_ROWS, int(ends[-1])))
+        run = np.searchsorted(ends, which, "right")
+        k1, k2, p = places[first[row[run]] + which - (ends - n)[run]].T
+        yield _found(k1, k2, p - most[run], p - least[run] + length)
+
+
+def merge_range(table: pa.Table, splitters: list[bytes], length: int) -> Iterator[pa.RecordBatch]:
     """Merge the runs of a range and find the starts of repeated strings.
 
     For an entry with ``l`` bytes on the left taken, the string starts ``l``
     before it. Only strings whose right part is common with a neighbour in the
     sorted order are looked at; among these, equal ones (of one ``l``) are
-    repeats: found by 64-bit hashes, then compared. Strings whose right part is also that of a splitter may repeat in
+    repeats: found by 64-bit hashes, then compared. A right part has GRAM bytes or
+    more, so the merged entries are looked through by blocks that end where
+    neighbours have less in common, and a range is never spread out whole.
+    Strings whose right part is also that of a splitter may repeat in
     another range: what is not settled here goes on as an open row, with a
     128-bit hash, and a settled string as one open row of which the rest follows.
     """
-    rows = {c: table.column(c).to_pylist() for c in table.column_names}
-    size, reach = 2 * length - GRAM, length - GRAM
-    sides, spots = [], []
-    for s, c, a, b, p in zip(*(rows[x] for x in ("sides", "count", "k1", "k2", "place"))):
-        sides.append(np.frombuffer(s, np.uint8).reshape(-1, 2))
-        ends = np.cumsum(np.frombuffer(c, np.int32))
-        all_ = np.stack([np.frombuffer(x, np.int64) for x in (a, b, p)], axis=1)
-        spots.append(np.split(all_, ends[:-1]))
+    size, r = 2 * length - GRAM, table.column("range")[0].as_py()
+    rows = {c: [x.as_buffer() for x in table.column(c)] for c in table.column_names if c != "range"}
+    edges = [e for e in (splitters[x] for x in (r - 1, r) if 0 <= x < len(splitters)) if len(e) > GRAM]
+    side_of = [np.frombuffer(s, np.uint8).reshape(-1, 2).tolist() for s in rows["sides"]]
+    ends = [[0, *np.cumsum(np.frombuffer(c, np.int32)).tolist()] for c in rows["count"]]
+    spots = [tuple(np.frombuffer(rows[c][i], np.int64) for c in ("k1", "k2", "place")) for i in range(len(ends))]
     keys: list[bytes] = []
     lcps: list[int] = []
-    side: list[np.ndarray] = []
-    where: list[np.ndarray] = []
-    at = [0] * len(sides)
-    for r, key, lcp in merged([decoded(x, y, size) for x, y in zip(rows["lcp"], rows["rest"])]):
-        s, o = sides[r][at[r]], spots[r][at[r]]
-        at[r] += 1
-        if keys and lcp == size and (s == side[-1]).all():
-            where[-1] = np.concatenate([where[-1], o])
+    sides: list[list[int]] = []
+    where: list[tuple[int, int, int]] = []
+    counts: list[int] = []
+
+    def looked_through() -> Iterator[pa.RecordBatch]:
+        places = np.stack([np.concatenate([spots[i][c][a:b] for i, a, b in where]) for c in range(3)], axis=1)
+        yield from block_repeats(keys, lcps, sides, places, np.array(counts, np.int64), edges, length)
+        for x in (keys, lcps, sides, where, counts):
+            x.clear()
+    at = [0] * len(ends)
+    for i, key, lcp in merged([decoded(x, memoryview(y), size) for x, y in zip(rows["lcp"], rows["rest"])]):
+        n = at[i]
+        at[i] += 1
+        side, spot = side_of[i][n], (i, ends[i][n], ends[i][n + 1])
+        if keys and lcp == size and side == sides[-1]:
+            where.append(spot)
+            counts[-1] += spot[2] - spot[1]
             continue
+        if lcp < GRAM and len(keys) >= BLOCK:
+            yield from looked_through()
         keys.append(key)
         lcps.append(lcp)
-        side.append(s)
-        where.append(o)
-    m, r = len(keys), rows["range"][0]
-    both, many = np.stack(side).astype(np.int32), np.array([len(o) for o in where]) > 1
-    lcp = np.array([*lcps, 0], np.int32)
-    lcp[0] = 0
-    text = np.frombuffer(b"".join(keys), np.uint8).reshape(m, size)
-    text = np.concatenate([text[:, length:][:, ::-1], text[:, :length]], axis=1)  # as it stands in the document
-    near = np.maximum(lcp[:-1], lcp[1:])
-    edges = [splitters[x] for x in (r - 1, r) if 0 <= x < len(splitters)]
-    edge = np.array([max([0, *(common(k, e, 0) for e in edges)]) for k in keys], np.int32)
-    l = np.arange(reach + 1)
-    valid = (length - l[None] <= both[:, :1]) & (l[None] <= both[:, 1:])
-    at_edge = valid & (length - l[None] <= edge[:, None])
-    look = valid & ((length - l[None] <= near[:, None]) | many[:, None])
-    # hashes of all strings, rolled from the leftmost to the rightmost start
-    base, top = np.uint64(_BASE), np.uint64(pow(_BASE, length - 1, 1 << 64))
-    h = np.zeros(m, np.uint64)
-    for i in range(length):
-        h = h * base + _TABLE[text[:, i]]
-    strings = np.empty((m, reach + 1), np.uint64)
-    for start in range(reach + 1):
-        left = reach - start
-        strings[:, left] = h * _MIX + np.uint64(left)
-        if start < reach:
-            h = (h - _TABLE[text[:, start]] * top) * base + _TABLE[text[:, start + length]]
-    twice = look & many[:, None]
-    spot = np.flatnonzero(look.ravel())
-    flat = strings.ravel()[spot]
-    twice.ravel()[spot[repeated_cells(text, spot, flat, length)]] = True
-    out: list[tuple] = []
-    done: set[bytes] = set()
-    whole = text.tobytes()
-
-    def digest(e: int, n: int) -> bytes:
-        at = e * size + reach - n
-        return xxhash.xxh128_digest(whole[at:at + length], n)
-
-    def longs(d: bytes) -> tuple[int, int]:
-        return int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)
-    for e in np.flatnonzero((twice | at_edge).any(axis=1)).tolist():
-        found = np.flatnonzero(twice[e])
-        if len(found):
-            cut = np.flatnonzero(np.diff(found) > 1)
-            for a, b in zip(found[[0, *(cut + 1)]].tolist(), found[[*cut, -1]].tolist()):
-                out += [(k1, k2, p - b, p - a + length, None, None, False) for k1, k2, p in where[e].tolist()]
-        for n in np.flatnonzero(at_edge[e]).tolist():
-            k1, k2, p = where[e][0].tolist()
-            if not twice[e, n]:
-                out.append((k1, k2, p - n, p - n + length, *longs(digest(e, n)), True))
-            elif (d := digest(e, n)) not in done:
-                done.add(d)
-                out.append((k1, k2, p - n, p - n + length, *longs(d), False))
-    if not out:
-        return None
-    types = [pa.int64()] * 6 + [pa.bool_()]
-    names = [x.split()[0] for x in FOUND_SCHEMA.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+        sides.append(side)
+        where.append(spot)
+        counts.append(spot[2] - spot[1])
+    if keys:
+        yield from looked_through()
+
+
+def merged_ranges(runs: DataFrame, splitters: list[bytes], length: int) -> DataFrame:
+    """:func:`merge_range` of every range, each in a task of its own."""
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        table = pa.Table.from_batches(parts)
+        r = table.column("range").to_numpy()
+        for x in np.unique(r).tolist():
+            yield from merge_range(table.filter(pa.array(r == x)) if (r != x).any() else table, splitters, length)
+    return runs.repartitionById(len(splitters) + 1, F.col("range")).mapInArrow(merge, FOUND_SCHEMA)
+
+
+def splitters_of(sample: list[bytes], ranges: int) -> list[bytes]:
+    """Up to ``ranges`` - 1 ends of key ranges, at equal steps of a sorted sample.
+
+    Each has only the bytes that tell its key from the end before, GRAM at least:
+    suffixes with equal first GRAM bytes stay in one range unless a range ends
+    among them twice.
+    """
+    out: list[bytes] = []
+    last = None
+    for i in range(1, ranges) if sample else ():
+        key = sample[len(sample) * i // ranges]
+        if key != last:
+            out.append(key[:GRAM if last is None else max(GRAM, common(last, key, 0) + 1)])
+            last = key
+    return out
 
 
 def _cut(text: str, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
@@ -374,16 +481,17 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 200, seed_
 
     def choose(batch, anchors):
         places, grams, samples = [], [], []
-        for t in column(batch, "text"):
+        for k, t in zip(column(batch, KEY[0]), column(batch, "text")):
             raw = t.encode()
             p, h = anchors.of(raw)
-            some = np.flatnonzero(h * _MIX < np.uint64((1 << 64) // SAMPLE))
+            r = scattered(p, k)
+            some = np.flatnonzero(r < np.uint64(SAMPLED))
             places.append(p)
             grams.append(h.view(np.int64))
-            samples.append([{"g": int(h[i].view(np.int64)), "key": suffix(raw, int(p[i]), length)[0]} for i in some])
+            samples.append([{"g": int(h[i].view(np.int64)), "key": suffix(raw, int(p[i]), length)[0], "r": int(r[i])} for i in some])
         return [pa.array(places, pa.list_(pa.int64())), pa.array(grams, pa.list_(pa.int64())),
-                pa.array(samples, pa.list_(pa.struct([("g", pa.int64()), ("key", pa.binary())])))]
-    fields = [("places", "array<bigint>"), ("grams", "array<bigint>"), ("samples", "array<struct<g:bigint,key:binary>>")]
+                pa.array(samples, pa.list_(pa.struct([("g", pa.int64()), ("key", pa.binary()), ("r", pa.int64())])))]
+    fields = [("places", "array<bigint>"), ("grams", "array<bigint>"), ("samples", "array<struct<g:bigint,key:binary,r:bigint>>")]
     chosen = stored(add_columns(base, choose, fields, lambda: Anchors(length)).drop("text").where(F.size("places") > 0), "anchors")
     one = F.explode(F.arrays_zip(F.col("places").alias("p"), F.col("grams").alias("g")))
     anchors = chosen.select(*KEY, one.alias("a")).select(*KEY, F.col("a.p").alias("p"), F.col("a.g").alias("g"))
@@ -392,14 +500,12 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 200, seed_
     wanted = stored(anchors.join(twice, "g").groupBy(*KEY).agg(F.collect_set("p").alias("places")), "suffixes")
     texts = stored(base.join(wanted, list(KEY)).dropDuplicates(list(KEY)), "texts")
     n = texts.agg(F.sum(F.size("places"))).first()[0] or 0
-    sample = (chosen.select(F.explode("samples").alias("s")).select(F.col("s.g").alias("g"), F.col("s.key").alias("key")).join(twice, "g")
-              .select("key", F.xxhash64(F.lit(5), "key").alias("r")))
-    # one in SAMPLE grams is there, each with all its suffixes; no more than MOST_SAMPLES reach the driver
-    keys = sorted(r["key"] for r in sample.orderBy("r").limit(MOST_SAMPLES).select("key").collect())
     ranges = seed_ranges or max(1, -(-n // RANGE))
-    splitters = sorted({bytes(keys[len(keys) * i // ranges]) for i in range(1, ranges)}) if keys else []
-    runs = sorted_runs(texts, splitters, length)
-    found = stored(map_groups(runs, ["range"], lambda t: merge_range(t, splitters, length), FOUND_SCHEMA), "repeats")
+    # one suffix in SAMPLE is there, of equal texts one; about MOST_SAMPLES or RANGE_SAMPLES a range reach the driver
+    sample = stored(chosen.select(F.explode("samples").alias("s")).select("s.*").dropDuplicates(["r", "key"]).join(twice, "g").select("key", "r"), "samples")
+    most = int(SAMPLED * min(1, max(MOST_SAMPLES, RANGE_SAMPLES * ranges) / max(1, sample.count())))
+    splitters = splitters_of(sorted(bytes(x["key"]) for x in sample.where(F.col("r") < most).select("key").collect()), ranges)
+    found = stored(merged_ranges(sorted_runs(texts, splitters, length), splitters, length), "repeats")
     edges = found.where("h1 is not null")
     settled = stored(edges.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2"), "settled")
     rest = edges.where("open").join(settled, ["h1", "h2"]).select(*KEY, "lo", "hi")

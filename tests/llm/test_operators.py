@@ -488,3 +488,93 @@ def test_strings_of_one_hash_are_compared():
         for hashes in (right, right % np.uint64(7), np.zeros(len(spot), np.uint64)):
             assert repeated_cells(text, spot, hashes, length).tolist() == want
     assert repeated_cells(text, np.zeros(0, np.int64), np.zeros(0, np.uint64), length).tolist() == []
+
+
+class _Here:
+    """Stands for a DataFrame of which one task is run in this process."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, fn, _):
+        return fn
+
+
+def _ranges(texts, splitters, length):
+    """Sorted runs of every suffix with GRAM bytes or more, by range."""
+    import pyarrow as pa
+    from argent.llm.suffix_dedup import GRAM, sorted_runs
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(range(len(texts)), pa.int64()), pa.array(texts),
+                                        pa.array([range(len(t) - GRAM + 1) for t in texts], pa.list_(pa.int64()))], names=["_k1", "_k2", "text", "places"])
+    half = len(texts) // 2
+    runs = pa.Table.from_batches(list(sorted_runs(_Here(), splitters, length)(iter([batch.slice(0, half)])))
+                                 + list(sorted_runs(_Here(), splitters, length)(iter([batch.slice(half)]))))
+    r = runs.column("range").to_numpy()
+    return [runs.filter(pa.array(r == x)) for x in np.unique(r).tolist()]
+
+
+@pytest.mark.parametrize("ranges, block, cells", [(1, 1, 50), (1, 2048, 400_000), (5, 7, 300), (40, 1, 50), (400, 3, 900)])
+def test_ranges_looked_through_by_blocks(monkeypatch, ranges, block, cells):
+    """Blocks, slices and ranges of any size give the strings that brute force gives."""
+    from argent.llm import suffix_dedup as sd
+    for name, n in (("BLOCK", block), ("CELLS", cells), ("OUT_ROWS", 7), ("RUN_ROWS", 3), ("RUN", 200)):
+        monkeypatch.setattr(sd, name, n)
+    length, rng = 48, np.random.default_rng(3)
+    word = lambda n, k: "".join(rng.choice(list("abcdefgh"[:k]), n))
+    hot, warm = word(70, 3), word(60, 8)
+    texts = [word(int(rng.integers(0, 20)), 8) + x + word(int(rng.integers(0, 20)), 2) for x in [hot] * 12 + [warm] * 3 + [hot[:50], hot[5:60], "é" * 40, word(80, 8), "a" * 130, "a" * 70 + "\0" * 70]]
+    texts = [t for t in texts if len(t.encode()) == len(t)] + [hot, hot[:40], "\0" * 60]
+    suffixes = sorted(sd.suffix(t.encode(), p, length)[0] for t in texts for p in range(len(t) - sd.GRAM + 1))
+    splitters = sd.splitters_of(suffixes, ranges)
+    assert splitters == sorted(set(splitters)) and len(splitters) < ranges and all(len(s) >= sd.GRAM for s in splitters)
+    settled, open_, hashes = set(), [], Counter()
+    for table in _ranges(texts, splitters, length):
+        for b in sd.merge_range(table, splitters, length):
+            assert b.num_rows <= 7
+            for x in b.to_pylist():
+                if x["h1"] is None:
+                    settled |= {(x["_k1"], p) for p in range(x["lo"], x["hi"] - length + 1)}
+                else:
+                    hashes[x["h1"], x["h2"]] += 1
+                    if x["open"]:
+                        open_.append((x["_k1"], x["lo"], x["hi"], (x["h1"], x["h2"])))
+    assert ranges > 1 or not hashes
+    assert ranges < 400 or hashes
+    for k, lo, hi, h in open_:
+        assert hi - lo == length
+        if hashes[h] > 1:
+            settled.add((k, lo))
+    seen = Counter(t[p:p + length] for t in texts for p in range(len(t) - length + 1))
+    assert settled == {(k, p) for k, t in enumerate(texts) for p in range(len(t) - length + 1) if seen[t[p:p + length]] > 1}
+
+
+def test_memory_of_a_range_is_bounded():
+    """Merging a range takes far less than a hash for each string of its suffixes."""
+    import tracemalloc
+    from argent.llm import suffix_dedup as sd
+    rng = np.random.default_rng(4)
+    lines = ["".join(x) for x in rng.choice(list("abcdefghij klmnop"), (40, 400))]
+    texts = [lines[i % 40][:300] + str(i) + lines[(i * 7 + 1) % 40][:300] for i in range(36)]
+    table, = _ranges(texts, [], 200)
+    tracemalloc.start()
+    found = 0
+    for b in sd.merge_range(table, [], 200):
+        found += b.num_rows if hasattr(b, "num_rows") else 1
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    n = sum(len(c) // 4 for c in table.column("count").to_pylist())
+    assert n > 15_000 and found
+    assert peak < 80 << 20
+
+
+def test_range_ends_keep_small_groups_whole():
+    """Suffixes that share their first GRAM bytes are parted only when a range ends among them twice; a hot key ends one range."""
+    from argent.llm.suffix_dedup import GRAM, splitters_of
+    group = [bytes([65 + i // 5]) * GRAM + bytes([65 + i % 5]) * 8 for i in range(100)]
+    for ends in range(1, 15):
+        assert all(len(s) == GRAM for s in splitters_of(group, ends))
+    assert splitters_of([b"b" * 40] * 90 + group, 10).count(b"b" * GRAM) <= 1
+    hot = [b"x" * GRAM + bytes([97 + i % 26]) * 8 for i in range(260)]
+    got = splitters_of(sorted(group + hot), 60)
+    assert got == sorted(set(got)) and sum(s.startswith(b"x" * GRAM) for s in got) > 10
+    assert splitters_of([], 9) == splitters_of(group, 1) == []
