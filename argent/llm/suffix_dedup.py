@@ -26,8 +26,8 @@ RANGE_SAMPLES = 16
 #: Merged entries that are looked through together, strings hashed at once, and
 #: rows of a batch that a range returns.
 BLOCK, CELLS, OUT_ROWS = 2048, 400_000, 50_000
-#: Rows of a batch of sorted runs.
-RUN_ROWS = 200
+#: Rows of a batch of sorted runs, and ranges of a task.
+RUN_ROWS, TASK_RANGES = 200, 4
 #: Pairs of rows compared at once.
 PAIRS = 1024
 
@@ -424,7 +424,10 @@ def merge_range(table: pa.Table, splitters: list[bytes], length: int) -> Iterato
 
 
 def merged_ranges(runs: DataFrame, splitters: list[bytes], length: int) -> DataFrame:
-    """:func:`merge_range` of every range, each in a task of its own."""
+    """:func:`merge_range` of every range, TASK_RANGES a task; neighbours, which
+    a passage that many texts share may fill, go to different tasks."""
+    tasks = -(-(len(splitters) + 1) // TASK_RANGES)
+
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [b for b in batches if b.num_rows]
         if not parts:
@@ -433,7 +436,7 @@ def merged_ranges(runs: DataFrame, splitters: list[bytes], length: int) -> DataF
         r = table.column("range").to_numpy()
         for x in np.unique(r).tolist():
             yield from merge_range(table.filter(pa.array(r == x)) if (r != x).any() else table, splitters, length)
-    return runs.repartitionById(len(splitters) + 1, F.col("range")).mapInArrow(merge, FOUND_SCHEMA)
+    return runs.repartitionById(tasks, F.pmod("range", F.lit(tasks))).mapInArrow(merge, FOUND_SCHEMA)
 
 
 def splitters_of(sample: list[bytes], ranges: int) -> list[bytes]:
